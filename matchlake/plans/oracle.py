@@ -180,10 +180,46 @@ JOIN pairs p ON p.team1_name = a.team_name AND p.team2_name = o.team_name
 }
 
 
+# documents keep a match's bans and picks; T1 drops both lists of a match
+# in which either is empty
+BOTH_LISTS = """
+both_lists AS (
+  SELECT match_id FROM raw_vetos GROUP BY match_id
+  HAVING count(*) FILTER (WHERE type = 'ban') > 0 AND count(*) FILTER (WHERE type = 'pick') > 0
+)"""
+
+MODEL_SQL.update({
+    "flatten_matchs": "SELECT DISTINCT * FROM raw_matchs",
+    "flatten_teams": """
+SELECT DISTINCT x.team_id, t.name, t.link
+FROM (SELECT team1_id AS team_id FROM raw_matchs UNION ALL SELECT team2_id FROM raw_matchs) x
+LEFT JOIN raw_teams t ON t.team_id = x.team_id
+""",
+    "flatten_players": """
+SELECT DISTINCT player_id, team_id, nick FROM raw_stats WHERE side = 'total'
+""",
+    "flatten_vetos": f"""
+, {BOTH_LISTS.strip()}
+SELECT DISTINCT v.match_id, v.type, v.choice_number, v.map_name, v.team_id
+FROM raw_vetos v WHERE v.match_id IN (SELECT match_id FROM both_lists)
+""",
+    "flatten_results": f"""
+, {BOTH_LISTS.strip()}
+SELECT DISTINCT r.match_id, r.choice_number, r.map_name, r.pick_team_id, r.ct, r.result, r.t, r.team_name
+FROM raw_results r
+JOIN raw_vetos v ON v.match_id = r.match_id AND v.choice_number = r.choice_number AND v.type = 'pick'
+WHERE r.match_id IN (SELECT match_id FROM both_lists)
+""",
+    "flatten_stats": """
+SELECT DISTINCT match_id, side, map_name, adr, diff, kast, kd, nick, player_id, rating, team_id
+FROM raw_stats
+""",
+})
+
+
 def model_sql(name: str) -> str:
-    body = MODEL_SQL[name]
-    if body.lstrip().startswith(","):
-        # the body adds CTEs of its own
-        head, _, rest = body.partition("\nSELECT DISTINCT a.match_id")
-        return "WITH " + RAW_CTES.strip() + head + "\nSELECT DISTINCT a.match_id" + rest
+    body = MODEL_SQL[name].strip()
+    if body.startswith(","):
+        # the body adds CTEs of its own: ", name AS (...) ... SELECT ..."
+        return "WITH " + RAW_CTES.strip() + "\n" + body
     return with_raw(body)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.adapters import RawFromDriver
 from ..sources.tables import DriverTables
+from ..functions.scalar import day_before
+from ..operators import assemble, flatten
 from . import models
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +55,41 @@ def q_pair_bounds(spark, sf_dir):
     return models.pair_bounds(r.maps_results(), r.teams())
 
 
+# ---- documents and flatten --------------------------------------------------
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze documents assembled (N13) from the derived raw rows."""
+    r = raw(spark, sf_dir)
+    return assemble.documents(
+        r.matchs(), r.teams(), r.maps_vetos(),
+        r.maps_results(with_side_no=True), r.match_stats(with_slot=True),
+    )
+
+
+def q_flatten_matchs(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return flatten.matchs(d, day_before("extract_date"))
+
+
+def q_flatten_teams(spark, sf_dir):
+    return flatten.teams(documents(spark, sf_dir))
+
+
+def q_flatten_players(spark, sf_dir):
+    return flatten.players(documents(spark, sf_dir))
+
+
+def q_flatten_vetos(spark, sf_dir):
+    return flatten.vetos(documents(spark, sf_dir))
+
+
+def q_flatten_results(spark, sf_dir):
+    return flatten.results(documents(spark, sf_dir))
+
+
+def q_flatten_stats(spark, sf_dir):
+    return flatten.stats(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "stg_matchs": q_stg_matchs,
     "stg_teams": q_stg_teams,
@@ -61,6 +98,12 @@ QUERIES: dict[str, Query] = {
     "stg_match_stats": q_stg_match_stats,
     "stg_maps_results": q_stg_maps_results,
     "pair_bounds": q_pair_bounds,
+    "flatten_matchs": q_flatten_matchs,
+    "flatten_teams": q_flatten_teams,
+    "flatten_players": q_flatten_players,
+    "flatten_vetos": q_flatten_vetos,
+    "flatten_results": q_flatten_results,
+    "flatten_stats": q_flatten_stats,
 }
 
 

@@ -118,11 +118,13 @@ class RawFromDriver:
             _s(self._choice_team()).alias("team_id"),
         )
 
-    def maps_results(self) -> DataFrame:
+    def maps_results(self, with_side_no: bool = False) -> DataFrame:
+        """Two rows per line group; ``side_no`` (0 = team a, 1 = team b) is
+        kept on request for the order of results inside a document."""
         g = self.line_groups().select(
             "l_orderkey", "l_linenumber", "k", "q",
             self._choice_team().alias("pick_team"),
-            F.explode(F.array("a", "b")).alias("team_key"),
+            F.posexplode(F.array("a", "b")).alias("side_no", "team_key"),
         )
         s = self.t.supplier.select("s_suppkey", "s_name")
         j = g.join(s, g.team_key == s.s_suppkey)
@@ -136,6 +138,7 @@ class RawFromDriver:
             _s(q).alias("result"),
             _s(q - q % 9).alias("t"),
             F.col("s_name").alias("team_name"),
+            *([F.col("side_no")] if with_side_no else []),
         )
 
     # ---- per lineitem -------------------------------------------------
