@@ -150,15 +150,21 @@ SELECT mr.match_id, min(t.team_id) AS team1_id, max(t.team_id) AS team2_id
 FROM raw_results mr JOIN raw_teams t ON t.name = mr.team_name
 GROUP BY 1
 """,
-    "stg_maps_results": """
+}
+
+
+def m7_sql(results: str, matchs: str, teams: str) -> str:
+    """Body of the map-results model over the given relation names (adds its
+    own CTEs, so it starts with a comma)."""
+    return f"""
 , bounds AS (
   SELECT mr.match_id, min(t.team_id) AS team1_id, max(t.team_id) AS team2_id
-  FROM raw_results mr JOIN raw_teams t ON t.name = mr.team_name GROUP BY 1
+  FROM {results} mr JOIN {teams} t ON t.name = mr.team_name GROUP BY 1
 ), pairs AS (
   SELECT DISTINCT b.match_id, t1.team_id AS team1_id, t1.name AS team1_name,
          t2.team_id AS team2_id, t2.name AS team2_name
-  FROM bounds b JOIN raw_teams t1 ON b.team1_id = t1.team_id
-                JOIN raw_teams t2 ON b.team2_id = t2.team_id
+  FROM bounds b JOIN {teams} t1 ON b.team1_id = t1.team_id
+                JOIN {teams} t2 ON b.team2_id = t2.team_id
 )
 SELECT DISTINCT a.match_id,
   CASE
@@ -171,14 +177,15 @@ SELECT DISTINCT a.match_id,
   a.choice_number, a.map_name, coalesce(a.pick_team_id, 'Left') AS pick_team_id,
   a.team_name AS team1_id, a.result AS team1_result, a.ct AS team1_ct, a.t AS team1_t,
   o.team_name AS team2_id
-FROM raw_results a
-JOIN raw_matchs m ON a.match_id = m.match_id
-JOIN raw_results o ON a.match_id = o.match_id AND a.choice_number = o.choice_number
-                  AND a.team_name != o.team_name
+FROM {results} a
+JOIN {matchs} m ON a.match_id = m.match_id
+JOIN {results} o ON a.match_id = o.match_id AND a.choice_number = o.choice_number
+                AND a.team_name != o.team_name
 JOIN pairs p ON p.team1_name = a.team_name AND p.team2_name = o.team_name
-""",
-}
+"""
+
 
+MODEL_SQL["stg_maps_results"] = m7_sql("raw_results", "raw_matchs", "raw_teams")
 
 # documents keep a match's bans and picks; T1 drops both lists of a match
 # in which either is empty
@@ -217,6 +224,50 @@ FROM raw_stats
 })
 
 
+# tables written by the range job over the assembled documents (one day per
+# match, so per-day dedupe equals plain DISTINCT for match-keyed tables)
+JOB_CTES = f"""
+, {BOTH_LISTS.strip()},
+flat_results AS (
+  SELECT DISTINCT r.match_id, r.choice_number, r.map_name, r.pick_team_id, r.ct, r.result, r.t, r.team_name
+  FROM raw_results r
+  JOIN raw_vetos v ON v.match_id = r.match_id AND v.choice_number = r.choice_number AND v.type = 'pick'
+  WHERE r.match_id IN (SELECT match_id FROM both_lists)
+),
+flat_vetos AS (
+  SELECT DISTINCT v.match_id, v.type, v.choice_number, v.map_name, v.team_id
+  FROM raw_vetos v WHERE v.match_id IN (SELECT match_id FROM both_lists)
+),
+flat_matchs AS (SELECT DISTINCT * FROM raw_matchs),
+flat_teams AS (
+  SELECT DISTINCT x.date, x.team_id, t.name, t.link
+  FROM (SELECT date, team1_id AS team_id FROM raw_matchs UNION ALL SELECT date, team2_id FROM raw_matchs) x
+  LEFT JOIN raw_teams t ON t.team_id = x.team_id
+),
+flat_players AS (
+  SELECT DISTINCT m.date, s.player_id, s.team_id, s.nick
+  FROM raw_stats s JOIN raw_matchs m ON m.match_id = s.match_id
+  WHERE s.side = 'total'
+),
+flat_stats AS (SELECT DISTINCT * FROM raw_stats)"""
+
+JOB_COUNTS = """
+SELECT 'matchs' AS table_name, count(*) AS n_rows FROM flat_matchs
+UNION ALL SELECT 'teams', count(*) FROM flat_teams
+UNION ALL SELECT 'players', count(*) FROM flat_players
+UNION ALL SELECT 'maps_vetos', count(*) FROM flat_vetos
+UNION ALL SELECT 'maps_results', count(*) FROM flat_results
+UNION ALL SELECT 'match_stats', count(*) FROM flat_stats
+"""
+
+MODEL_SQL.update({
+    "json_round_trip": "SELECT DISTINCT * FROM raw_matchs",
+    "daily_run": JOB_CTES + JOB_COUNTS,
+    "rerun_is_idempotent": JOB_CTES + JOB_COUNTS,
+    "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams").replace(", bounds AS", ",\nbounds AS", 1),
+})
+
+
 def model_sql(name: str) -> str:
     body = MODEL_SQL[name].strip()
     if body.startswith(","):

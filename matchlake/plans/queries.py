@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.adapters import RawFromDriver
 from ..sources.tables import DriverTables
+from pyspark.sql import functions as F
+
 from ..functions.scalar import day_before
 from ..operators import assemble, flatten
-from . import models
+from ..schemas import RAW_TABLES
+from ..session import scratch_path
+from ..sources import io
+from . import job, models
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +95,61 @@ def q_flatten_stats(spark, sf_dir):
     return flatten.stats(documents(spark, sf_dir))
 
 
+# ---- landing, jobs -------------------------------------------------------------
+def land(spark: SparkSession, sf_dir: str, fmt: str = "parquet", layout: str = "day") -> str:
+    """Write the assembled documents into partitions of a fresh folder below
+    the shared checkpoint dir; returns the folder."""
+    root = scratch_path(spark, f"bronze-{fmt}")
+    io.land_documents(documents(spark, sf_dir), root, fmt=fmt, layout=layout)
+    return root
+
+
+
+
+
+# The whole history is rewritten, so the jobs below store month partitions:
+# the generated tables have a few rows per day over thousands of days.
+JOB_LAYOUT = "month"
+
+
+def run_job(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
+    bronze = land(spark, sf_dir, layout=JOB_LAYOUT)
+    raw_root = scratch_path(spark, "raw")
+    for _ in range(times):
+        job.run_range(spark, bronze, raw_root, layout=JOB_LAYOUT)
+    return raw_root
+
+
+def table_counts(spark: SparkSession, raw_root: str) -> DataFrame:
+    out = None
+    for name in RAW_TABLES:
+        c = io.read_raw(spark, raw_root, name, layout=JOB_LAYOUT).agg(
+            F.count(F.lit(1)).alias("n_rows")
+        )
+        c = c.select(F.lit(name).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_json_round_trip(spark, sf_dir):
+    root = land(spark, sf_dir, "json", layout=JOB_LAYOUT)
+    d = io.read_bronze(spark, root, fmt="json", layout=JOB_LAYOUT)
+    return flatten.matchs(d, day_before("extract_date"))
+
+
+def q_daily_run(spark, sf_dir):
+    return table_counts(spark, run_job(spark, sf_dir))
+
+
+def q_rerun_is_idempotent(spark, sf_dir):
+    return table_counts(spark, run_job(spark, sf_dir, times=2))
+
+
+def q_backfill(spark, sf_dir):
+    cat = io.RawCatalog(spark, run_job(spark, sf_dir), layout=JOB_LAYOUT)
+    return models.stg_maps_results(cat["maps_results"], cat["matchs"], cat["teams"])
+
+
 QUERIES: dict[str, Query] = {
     "stg_matchs": q_stg_matchs,
     "stg_teams": q_stg_teams,
@@ -104,6 +164,10 @@ QUERIES: dict[str, Query] = {
     "flatten_vetos": q_flatten_vetos,
     "flatten_results": q_flatten_results,
     "flatten_stats": q_flatten_stats,
+    "json_round_trip": q_json_round_trip,
+    "daily_run": q_daily_run,
+    "rerun_is_idempotent": q_rerun_is_idempotent,
+    "backfill": q_backfill,
 }
 
 

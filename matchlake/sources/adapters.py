@@ -44,6 +44,11 @@ def pool_name(k: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in POOL]), (k + 1).cast("int"))
 
 
+def maps_dimension(spark) -> DataFrame:
+    """The fixed seven-row map dimension with explicit ids."""
+    return spark.createDataFrame(MAP_DIMENSION, MAPS)
+
+
 class RawFromDriver:
     """Lazy derivations; each method returns an unevaluated DataFrame."""
 
@@ -179,7 +184,7 @@ class RawFromDriver:
         )
 
     def maps(self) -> DataFrame:
-        return self.t.spark.createDataFrame(MAP_DIMENSION, MAPS)
+        return maps_dimension(self.t.spark)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
