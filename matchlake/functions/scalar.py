@@ -107,7 +107,7 @@ def headline_date(headline: ColumnOrName) -> Column:
     day = F.regexp_replace(F.element_at(tok, -2), "(st|nd|rd|th)$", "")
     month = month_number(F.element_at(tok, -3))
     year = F.element_at(tok, -1)
-    return F.try_to_date(F.concat_ws("-", year, month, F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.concat_ws("-", year, month, F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 
 # ---- text (X9, X12-X15, X18) -------------------------------------------------

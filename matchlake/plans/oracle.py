@@ -268,6 +268,114 @@ MODEL_SQL.update({
 })
 
 
+_POOL_K = POOL_CASE  # CASE k WHEN 0 THEN 'Vertigo' ...
+
+
+def _pool(alias: str) -> str:
+    return POOL_CASE.replace("CASE k", f"CASE {alias}.k")
+
+
+MODEL_SQL.update({
+    "url_fields": """
+SELECT page_id,
+       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1) AS host,
+       split_part(url, '/', 5) AS segment_4,
+       split_part(url, '/', -2) AS next_to_last,
+       split_part(url, '/', -1) AS last
+FROM pages
+""",
+    "page_fields": """
+SELECT page_id,
+       regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
+       regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS ad_text,
+       CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INTEGER) AS n_links,
+       regexp_extract_all(html, 'href="([^"]*)"', 1)[1] AS first_link
+FROM pages
+""",
+    "array_tail": """
+, x AS (
+  SELECT page_id,
+         regexp_extract_all(html, '<a href="([^"]*)">', 1)[2:] AS h,
+         regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)[2:] AS t
+  FROM pages
+), z AS (
+  SELECT page_id, h, t, unnest(generate_series(1, greatest(len(h), len(t)))) AS i FROM x
+)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, h[i] AS href, t[i] AS text FROM z
+""",
+    "veto_lines": f"""
+SELECT CAST(g.l_orderkey AS VARCHAR) AS match_id,
+       CASE WHEN g.pick_team IS NOT NULL AND g.l_linenumber <= 2 THEN 'ban' ELSE 'pick' END AS type,
+       CAST(g.l_linenumber AS VARCHAR) AS choice_number,
+       CASE WHEN g.pick_team IS NOT NULL OR g.l_linenumber = 7 THEN {_pool('g')} ELSE 'over' END AS map_name,
+       CAST(g.pick_team AS VARCHAR) AS team_id
+FROM lg g
+JOIN supplier sa ON sa.s_suppkey = g.a
+JOIN supplier sb ON sb.s_suppkey = g.b
+""",
+    "half_scores": """
+, hs AS (
+  SELECT g.l_orderkey, g.l_linenumber, g.q, sa.s_name AS a_name, sb.s_name AS b_name,
+         CASE WHEN g.q % 2 = 0 THEN 'ct' ELSE 't' END AS c1,
+         CASE WHEN g.k = 0 THEN 'ct' WHEN g.q % 2 = 0 THEN 't' ELSE 'ct' END AS c2,
+         CAST(g.q % 9 AS VARCHAR) AS s1,
+         CAST(CAST(floor(g.q / 9.0) AS BIGINT) AS VARCHAR) AS s2
+  FROM lg g JOIN supplier sa ON sa.s_suppkey = g.a JOIN supplier sb ON sb.s_suppkey = g.b
+), sides AS (
+  SELECT l_orderkey, l_linenumber, q, a_name AS team_name, c1, c2, s1 AS v1, s2 AS v2 FROM hs
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, q, b_name,
+         CASE WHEN c1 = 'ct' THEN 't' ELSE 'ct' END, CASE WHEN c2 = 'ct' THEN 't' ELSE 'ct' END,
+         s2, s1 FROM hs
+)
+SELECT CAST(l_orderkey AS VARCHAR) AS match_id, CAST(l_linenumber AS VARCHAR) AS choice_number,
+       team_name, CAST(q AS VARCHAR) AS result,
+       CASE WHEN c2 = 'ct' THEN v2 WHEN c1 = 'ct' THEN v1 END AS ct,
+       CASE WHEN c2 = 't' THEN v2 WHEN c1 = 't' THEN v1 END AS t
+FROM sides
+""",
+    "headline_day": """
+, rd AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS run_day FROM lineitem)
+SELECT strftime(rd.run_day, '%Y-%m-%d') AS run_date, CAST(o.o_orderkey AS VARCHAR) AS match_id
+FROM orders o JOIN rd ON CAST(o.o_orderdate AS DATE) = rd.run_day - 1
+""",
+    "format_label": """
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id,
+       'Best of ' || CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '1' WHEN '2' THEN '2'
+                          WHEN '3' THEN '3' ELSE '5' END || ' ' AS best_of_type,
+       CASE WHEN o_orderstatus = 'F' THEN 'LAN' ELSE 'Online' END AS type
+FROM orders
+""",
+    "player_rows": """
+SELECT match_id, player_id, nick, kd, diff, adr, kast, rating FROM raw_stats WHERE side = 'total'
+""",
+    "played_picks": f"""
+, pk AS (SELECT * FROM lg WHERE l_linenumber >= 3),
+first_block AS (
+  SELECT l_orderkey, k, min(l_linenumber) AS first_ln FROM pk GROUP BY l_orderkey, k
+),
+nb AS (
+  SELECT l_orderkey, CAST(count(*) FILTER (WHERE l_linenumber <= 2) AS INTEGER) AS n_bans
+  FROM lg GROUP BY l_orderkey
+)
+SELECT CAST(p.l_orderkey AS VARCHAR) AS match_id, nb.n_bans,
+       CAST(p.l_linenumber AS VARCHAR) AS choice_number, {_pool('p')} AS map_name,
+       CAST(p.pick_team AS VARCHAR) AS team_id, 2 AS n_results,
+       sa.s_name AS first_team, CAST(fb.q AS VARCHAR) AS first_result
+FROM pk p
+JOIN first_block f ON f.l_orderkey = p.l_orderkey AND f.k = p.k
+JOIN lg fb ON fb.l_orderkey = p.l_orderkey AND fb.l_linenumber = f.first_ln
+JOIN supplier sa ON sa.s_suppkey = fb.a
+JOIN supplier sb ON sb.s_suppkey = fb.b
+JOIN nb ON nb.l_orderkey = p.l_orderkey
+WHERE p.q % 10 NOT IN (0, 5)
+""",
+    "no_forfeits": """
+SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT contains(text, 'forfeit')
+""",
+})
+
+
 def model_sql(name: str) -> str:
     body = MODEL_SQL[name].strip()
     if body.startswith(","):

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.adapters import RawFromDriver
+from ..operators import extract
+from ..sources.adapters import RawFromDriver, TextFromDriver
 from ..sources.tables import DriverTables
 from pyspark.sql import functions as F
 
@@ -150,6 +151,53 @@ def q_backfill(spark, sf_dir):
     return models.stg_maps_results(cat["maps_results"], cat["matchs"], cat["teams"])
 
 
+# ---- extraction jobs ------------------------------------------------------------
+def text(spark: SparkSession, sf_dir: str) -> TextFromDriver:
+    return TextFromDriver(DriverTables(spark, sf_dir))
+
+
+def q_url_fields(spark, sf_dir):
+    return extract.url_fields(DriverTables(spark, sf_dir).pages)
+
+
+def q_page_fields(spark, sf_dir):
+    return extract.page_fields(DriverTables(spark, sf_dir).pages)
+
+
+def q_array_tail(spark, sf_dir):
+    return extract.link_pairs(DriverTables(spark, sf_dir).pages)
+
+
+def q_veto_lines(spark, sf_dir):
+    return extract.parse_veto_lines(text(spark, sf_dir).veto_lines())
+
+
+def q_half_scores(spark, sf_dir):
+    return extract.half_scores(text(spark, sf_dir).half_score_spans())
+
+
+def q_headline_day(spark, sf_dir):
+    t = text(spark, sf_dir)
+    return extract.headline_day(t.headlines(), t.run_days())
+
+
+def q_format_label(spark, sf_dir):
+    return extract.format_label(text(spark, sf_dir).format_lines())
+
+
+def q_player_rows(spark, sf_dir):
+    return extract.player_rows(text(spark, sf_dir).scoreboard_rows())
+
+
+def q_played_picks(spark, sf_dir):
+    return extract.played_picks(text(spark, sf_dir).match_pages())
+
+
+def q_no_forfeits(spark, sf_dir):
+    d = DriverTables(spark, sf_dir).documents
+    return extract.no_forfeits(d).select("doc_id", "lang", "source", "n_chars")
+
+
 QUERIES: dict[str, Query] = {
     "stg_matchs": q_stg_matchs,
     "stg_teams": q_stg_teams,
@@ -168,6 +216,16 @@ QUERIES: dict[str, Query] = {
     "daily_run": q_daily_run,
     "rerun_is_idempotent": q_rerun_is_idempotent,
     "backfill": q_backfill,
+    "url_fields": q_url_fields,
+    "page_fields": q_page_fields,
+    "array_tail": q_array_tail,
+    "veto_lines": q_veto_lines,
+    "half_scores": q_half_scores,
+    "headline_day": q_headline_day,
+    "format_label": q_format_label,
+    "player_rows": q_player_rows,
+    "played_picks": q_played_picks,
+    "no_forfeits": q_no_forfeits,
 }
 
 

@@ -16,7 +16,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -29,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("MATCHLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)

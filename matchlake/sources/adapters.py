@@ -196,3 +196,176 @@ class RawFromDriver:
             "match_stats": self.match_stats(),
             "maps": self.maps(),
         }
+
+
+# ---- text inputs of the extraction jobs ------------------------------------------
+# Trailer that makes a single-block veto line longer than eight
+# tokens (the map name is then the sixth token from the end).
+ONE_BLOCK_TRAILER = " in the first round today"
+GRAND_FINAL = "\n* Grand final"
+
+
+class TextFromDriver(RawFromDriver):
+    """Page-shaped inputs rendered from the driver tables: veto lines,
+    format lines, headlines, scoreboard rows, result blocks."""
+
+    def line_groups_named(self) -> DataFrame:
+        """Line groups with the names of both teams."""
+        g = self.line_groups()
+        s = self.t.supplier.select("s_suppkey", "s_name")
+        sa = s.select(F.col("s_suppkey").alias("a"), F.col("s_name").alias("a_name"))
+        sb = s.select(F.col("s_suppkey").alias("b"), F.col("s_name").alias("b_name"))
+        return g.join(sa, "a").join(sb, "b")
+
+    def veto_lines(self) -> DataFrame:
+        """One veto line per line group, as the page shows it:
+        '1. <team> removed <map>', '3. <team> picked <map>',
+        '<n>. <map> was left over'. Lines of a single-block page (even order
+        keys) carry a trailer after the map when a team is named."""
+        g = self.line_groups_named()
+        team_name = F.when(F.col("f") == "A", F.col("a_name")).when(F.col("f") == "R", F.col("b_name"))
+        ln = F.col("l_linenumber").cast("string")
+        mp = pool_name(F.col("k"))
+        one_block = F.col("l_orderkey") % 2 == 0
+        verb = F.when(F.col("l_linenumber") <= 2, " removed ").otherwise(" picked ")
+        named = F.concat(ln, F.lit(". "), team_name, verb, mp,
+                         F.when(one_block, F.lit(ONE_BLOCK_TRAILER)).otherwise(F.lit("")))
+        left = F.concat(ln, F.lit(". "), mp, F.lit(" was left over"))
+        return g.select(
+            _s(F.col("l_orderkey")).alias("match_id"),
+            F.col("l_linenumber").alias("line_no"),
+            F.when(team_name.isNull(), left).otherwise(named).alias("line"),
+            one_block.alias("one_block"),
+            _s(F.col("a")).alias("team1_id"), F.col("a_name").alias("team1_name"),
+            _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
+        )
+
+    def format_lines(self) -> DataFrame:
+        """'Best of <n> (<LAN|Online>)', with a starred note on every third."""
+        o = self.t.orders
+        p = F.substring("o_orderpriority", 1, 1)
+        n = F.when(p == "1", "1").when(p == "2", "2").when(p == "3", "3").otherwise("5")
+        kind = F.when(F.col("o_orderstatus") == "F", "LAN").otherwise("Online")
+        note = F.when(F.col("o_orderkey") % 3 == 0, F.lit(GRAND_FINAL)).otherwise(F.lit(""))
+        return o.select(
+            _s(F.col("o_orderkey")).alias("match_id"),
+            F.concat(F.lit("Best of "), n, F.lit(" ("), kind, F.lit(")"), note).alias("format_line"),
+        )
+
+    def headlines(self) -> DataFrame:
+        """Each match under the headline of its day."""
+        from ..functions.scalar import headline_of
+
+        o = self.t.orders
+        return o.select(
+            _s(F.col("o_orderkey")).alias("match_id"),
+            headline_of(F.to_date("o_orderdate")).alias("headline"),
+        )
+
+    def run_days(self) -> DataFrame:
+        """Days on which the extraction ran (ship days), one row each."""
+        return self.t.lineitem.select(F.to_date("l_shipdate").alias("run_day")).distinct()
+
+    def scoreboard_rows(self) -> DataFrame:
+        """Rows of the 'total' scoreboards: a header row (position 0) per
+        (match, team slot) and one row per lineitem (position = line number)."""
+        li = self.t.lineitem
+        sk = _s(F.col("l_suppkey"))
+        qty = _s(F.floor("l_quantity"))
+        cell = lambda cls, v: F.concat(F.lit(f'<td class="{cls}">'), v, F.lit("</td>"))
+        player = F.concat(
+            F.lit('<tr><td class="players"><a href="'), F.lit(PLAYER_LINK_PREFIX), sk,
+            F.lit("/nick"), sk, F.lit('">nick'), sk, F.lit("</a></td>"),
+            cell("kd text-center", F.concat(qty, F.lit("-"), _s(F.col("l_linenumber")))),
+            F.lit('<td class="plus-minus"><span>'), _s(F.col("l_linenumber")), F.lit("</span></td>"),
+            cell("adr", _s(F.floor(F.col("l_extendedprice") / 1000))),
+            cell("kast", F.concat(qty, F.lit("%"))),
+            cell("rating", _s(F.floor(F.col("l_discount") * 100 + 0.5))),
+            F.lit("</tr>"),
+        )
+        slot = F.when(F.col("l_suppkey") % 2 == 0, "team1").otherwise("team2")
+        base = li.select(
+            _s(F.col("l_orderkey")).alias("match_id"),
+            F.when(F.col("l_linestatus") == "O", "Vertigo").otherwise("Dust2").alias("map_name"),
+            slot.alias("slot"),
+            F.col("l_linenumber").alias("pos"),
+            player.alias("row_html"),
+        )
+        header = (
+            base.select("match_id", "map_name", "slot").distinct()
+            .select(
+                "match_id", "map_name", "slot", F.lit(0).alias("pos"),
+                F.concat(F.lit('<tr class="header-row"><td class="players"><a class="teamName team" href="'),
+                         F.lit(TEAM_LINK_PREFIX), F.col("slot"), F.lit('/x">'), F.col("slot"),
+                         F.lit("</a></td></tr>")).alias("row_html"),
+            )
+        )
+        return base.unionByName(header)
+
+    def result_entries(self) -> DataFrame:
+        """Per line group: the veto entry and, for picks, its result block.
+
+        was_played is false for q % 10 = 0 and unknown (NULL) for q % 10 = 5.
+        The block's results list the left team (a) first."""
+        g = self.line_groups_named()
+        q = F.col("q")
+
+        def res(name):
+            return F.struct(
+                F.col(name).alias("team_name"), _s(q).alias("result"),
+                _s(q % 9).alias("ct"), _s(q - q % 9).alias("t"),
+            )
+
+        return g.select(
+            _s(F.col("l_orderkey")).alias("match_id"),
+            F.struct(
+                _s(F.col("l_linenumber")).alias("choice_number"),
+                _s(self._choice_team()).alias("team_id"),
+                pool_name(F.col("k")).alias("map_name"),
+                (F.col("l_linenumber") <= 2).alias("removed"),
+                F.when(q % 10 == 0, F.lit(False)).when(q % 10 == 5, F.lit(None).cast("boolean"))
+                .otherwise(F.lit(True)).alias("was_played"),
+            ).alias("entry"),
+            F.when(
+                F.col("l_linenumber") >= 3,
+                F.struct(
+                    _s(F.col("l_linenumber")).alias("choice_number"),
+                    pool_name(F.col("k")).alias("map_name"),
+                    F.array(res("a_name"), res("b_name")).alias("results"),
+                ),
+            ).alias("block"),
+        )
+
+    def match_pages(self) -> DataFrame:
+        """One row per match with the page's veto list and result blocks in
+        page order (a match's content: at most seven entries)."""
+        e = self.result_entries()
+        return e.groupBy("match_id").agg(
+            F.sort_array(F.collect_list("entry")).alias("vetos"),
+            F.sort_array(F.collect_list("block")).alias("blocks"),
+        )
+
+    def half_score_spans(self) -> DataFrame:
+        """Per line group and team: result plus the two half-score spans
+        (class, text). Left team: first half 'ct' for even q, else 't', second
+        half the other side, but both 'ct' when k = 0 (a repeated key)."""
+        g = self.line_groups_named()
+        q = F.col("q")
+        even = q % 2 == 0
+        c1_left = F.when(even, "ct").otherwise("t")
+        c2_left = F.when(F.col("k") == 0, "ct").otherwise(F.when(even, "t").otherwise("ct"))
+        flip = lambda c: F.when(c == "ct", "t").otherwise("ct")
+        s1, s2 = _s(q % 9), _s(F.floor(q / 9))
+        teams = F.array(
+            F.struct(F.lit(0).alias("side_no"), F.col("a_name").alias("team_name"),
+                     F.array(c1_left, c2_left).alias("classes"), F.array(s1, s2).alias("scores")),
+            F.struct(F.lit(1).alias("side_no"), F.col("b_name").alias("team_name"),
+                     F.array(flip(c1_left), flip(c2_left)).alias("classes"), F.array(s2, s1).alias("scores")),
+        )
+        x = g.select(
+            _s(F.col("l_orderkey")).alias("match_id"),
+            _s(F.col("l_linenumber")).alias("choice_number"),
+            _s(q).alias("result"),
+            F.explode(teams).alias("tm"),
+        )
+        return x.select("match_id", "choice_number", "result", "tm.*")
