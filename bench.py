@@ -51,14 +51,17 @@ def main() -> None:
     run(Q.q_stg_teams(spark, sf_dir))
 
     # ---- derive raw tables once ---------------------------------------------------
-    raw = RawFromDriver(DriverTables(spark, sf_dir))
+    raw = RawFromDriver(DriverTables(spark, sf_dir), materialize=True)
     raw_root = scratch_path(spark, "bench-raw")
-    frames = {
-        "matchs": raw.matchs(), "teams": raw.teams(), "players": raw.players(),
-        "maps_vetos": raw.maps_vetos(), "maps_results": raw.maps_results(),
-        "match_stats": raw.match_stats(),
-    }
-    times["derive_raw"] = timed(lambda: io.write_raw(frames, raw_root))
+
+    def frames():
+        return {
+            "matchs": raw.matchs(), "teams": raw.teams(), "players": raw.players(),
+            "maps_vetos": raw.maps_vetos(), "maps_results": raw.maps_results(),
+            "match_stats": raw.match_stats(),
+        }
+
+    times["derive_raw"] = timed(lambda: io.write_raw(frames(), raw_root))
     cat = io.RawCatalog(spark, raw_root, maps=maps_dimension(spark))
     mr, ms, mt, tm, mv = (cat[n] for n in ("maps_results", "match_stats", "matchs", "teams", "maps_vetos"))
 

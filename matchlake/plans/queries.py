@@ -25,8 +25,8 @@ from . import job, models
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def raw(spark: SparkSession, sf_dir: str) -> RawFromDriver:
-    return RawFromDriver(DriverTables(spark, sf_dir))
+def raw(spark: SparkSession, sf_dir: str, materialize: bool = False) -> RawFromDriver:
+    return RawFromDriver(DriverTables(spark, sf_dir), materialize=materialize)
 
 
 # ---- models -----------------------------------------------------------------
@@ -48,12 +48,14 @@ def q_stg_maps_vetos(spark, sf_dir):
 
 
 def q_stg_match_stats(spark, sf_dir):
-    return models.stg_match_stats(raw(spark, sf_dir).match_stats())
+    r = raw(spark, sf_dir, materialize=True)
+    return models.stg_match_stats(r.stored("match_stats", r.match_stats()))
 
 
 def q_stg_maps_results(spark, sf_dir):
-    r = raw(spark, sf_dir)
-    return models.stg_maps_results(r.maps_results(), r.matchs(), r.teams())
+    # the results table feeds three branches of the model: derive it once
+    r = raw(spark, sf_dir, materialize=True)
+    return models.stg_maps_results(r.stored("maps_results", r.maps_results()), r.matchs(), r.teams())
 
 
 def q_pair_bounds(spark, sf_dir):
@@ -63,8 +65,9 @@ def q_pair_bounds(spark, sf_dir):
 
 # ---- documents and flatten --------------------------------------------------
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze documents assembled (N13) from the derived raw rows."""
-    r = raw(spark, sf_dir)
+    """Bronze documents assembled (N13) from the derived raw rows (the line
+    groups feed vetos and results, so they are derived once)."""
+    r = raw(spark, sf_dir, materialize=True)
     return assemble.documents(
         r.matchs(), r.teams(), r.maps_vetos(),
         r.maps_results(with_side_no=True), r.match_stats(with_slot=True),
@@ -153,7 +156,7 @@ def q_backfill(spark, sf_dir):
 
 # ---- extraction jobs ------------------------------------------------------------
 def text(spark: SparkSession, sf_dir: str) -> TextFromDriver:
-    return TextFromDriver(DriverTables(spark, sf_dir))
+    return TextFromDriver(DriverTables(spark, sf_dir), materialize=True)
 
 
 def q_url_fields(spark, sf_dir):

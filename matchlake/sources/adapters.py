@@ -50,10 +50,30 @@ def maps_dimension(spark) -> DataFrame:
 
 
 class RawFromDriver:
-    """Lazy derivations; each method returns an unevaluated DataFrame."""
+    """Lazy derivations; each method returns an unevaluated DataFrame.
 
-    def __init__(self, tables: DriverTables):
+    With ``materialize=True`` the inputs that several frames share (the line
+    groups; any frame passed to ``stored``) are computed once, written as
+    Parquet under the shared checkpoint folder and read back: lineage is cut,
+    the work is not repeated per use, and the optimizer sees real sizes.
+    """
+
+    def __init__(self, tables: DriverTables, materialize: bool = False):
         self.t = tables
+        self.materialize = materialize
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        if name not in self._stored:
+            from ..session import scratch_path
+
+            spark = self.t.spark
+            path = scratch_path(spark, f"derived-{name}")
+            df.write.mode("overwrite").parquet(path)
+            self._stored[name] = spark.read.parquet(path)
+        return self._stored[name]
 
     # ---- match level -------------------------------------------------
     def team_count(self) -> Column:
@@ -107,7 +127,7 @@ class RawFromDriver:
             F.min("l_returnflag").alias("f"),
         )
         h = self.match_header().select("o_orderkey", "a", "b")
-        return g.join(h, g.l_orderkey == h.o_orderkey).drop("o_orderkey")
+        return self.stored("line_groups", g.join(h, g.l_orderkey == h.o_orderkey).drop("o_orderkey"))
 
     @staticmethod
     def _choice_team() -> Column:
