@@ -4,7 +4,9 @@ Stages (all on Spark, local[$BENCH_CPUS]):
   derive   raw tables derived from the driver tables, written once as Parquet
   models   M4-M7 over the raw Parquet (native / as-written pairs)
   flatten  documents landed as Parquet bronze, then R4 / R6 native / as-written
-  job      the range job (W2) over the whole history
+  job      the range job (W2) over the whole history; the daily job as
+           written (inferred schema, 12 writes) vs native on one day; a
+           30-day backfill as per-day runs vs one range job
   extract  veto-line, result-block and headline extraction over whole tables
 
 Every query is executed completely with the ``noop`` sink (no collect).
@@ -20,6 +22,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from matchlake.operators import flatten  # noqa: E402
 from matchlake.plans import job, models  # noqa: E402
 from matchlake.plans import queries as Q  # noqa: E402
@@ -40,6 +44,44 @@ def timed(fn) -> float:
     return round(time.perf_counter() - t, 3)
 
 
+BACKFILL_DAYS = 30
+
+
+def daily_job_as_written(spark, landing_root: str, day: str) -> None:
+    """The reference's run, for comparison: inferred JSON schema, a count
+    guard, then every frame written on its own (12 appends), each one a new
+    scan of the source."""
+    src = spark.read.json(f"{landing_root}/extract_date={day}")
+    if src.count() == 0:
+        return
+    out = scratch_path(spark, "bench-as-written")
+    match_date = F.lit(day)
+    frames = [
+        ("matchs", flatten.matchs(src, match_date)),
+        ("teams", flatten.teams(src)),
+        ("players", flatten.players(src)),
+    ]
+    x = src.select("match_id", "maps.*").withColumn("ban", F.explode("bans")).withColumn(
+        "pick", F.explode("picks")).select("match_id", "ban", "pick")
+    for kind in ("ban", "pick"):
+        frames.append(("maps_vetos", x.select("match_id", F.lit(kind).alias("type"),
+                       f"{kind}.choice_number", f"{kind}.map_name", f"{kind}.team_id").dropDuplicates()))
+    picks = x.select("match_id", "pick.*")
+    frames.append(("maps_results", picks.withColumn("r", F.explode("results")).select(
+        "match_id", "choice_number", "map_name", F.col("team_id").alias("pick_team_id"), "r.*"
+    ).dropDuplicates()))
+    st = src.select("match_id", F.explode("stats").alias("s")).select(
+        "match_id", F.col("s.map").alias("map_name"), "s.team1", "s.team2")
+    for slot in ("team1", "team2"):
+        for side in ("ct", "tr", "total"):
+            frames.append(("match_stats", st.select(
+                "match_id", F.lit(side).alias("side"), "map_name",
+                F.explode(f"{slot}.{side}").alias("p")).select("match_id", "side", "map_name", "p.*")
+                .dropDuplicates()))
+    for name, df in frames:
+        df.write.mode("append").parquet(f"{out}/{name}")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -93,6 +135,24 @@ def main() -> None:
     job_root = scratch_path(spark, "bench-job")
     times["range_job"] = timed(lambda: job.run_range(spark, bronze, job_root, layout=Q.JOB_LAYOUT))
 
+    # ---- daily job as written vs native, backfill per day vs one range job --------------------
+    days = [r.extract_date for r in docs.select("extract_date").distinct()
+            .orderBy("extract_date").limit(BACKFILL_DAYS).collect()]
+    json_root = scratch_path(spark, "bench-landing-json")
+    io.land_documents(docs.where(F.col("extract_date").isin(days)), json_root, fmt="json")
+    times["daily_job_as_written"] = timed(lambda: daily_job_as_written(spark, json_root, days[0]))
+    times["daily_job"] = timed(
+        lambda: job.run_day(spark, json_root, days[0], scratch_path(spark, "bench-day"), fmt="json")
+    )
+    per_day_root = scratch_path(spark, "bench-per-day")
+    times[f"backfill_{len(days)}_days_per_day_runs"] = timed(
+        lambda: [job.run_day(spark, json_root, d, per_day_root, fmt="json") for d in days]
+    )
+    times[f"backfill_{len(days)}_days_range_job"] = timed(
+        lambda: job.run_range(spark, json_root, scratch_path(spark, "bench-range"),
+                              start=days[0], end=days[-1], fmt="json")
+    )
+
     # ---- extraction ------------------------------------------------------------------------
     times["veto_lines"] = timed(lambda: run(Q.q_veto_lines(spark, sf_dir)))
     times["played_picks"] = timed(lambda: run(Q.q_played_picks(spark, sf_dir)))
