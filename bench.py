@@ -145,10 +145,10 @@ def main() -> None:
         lambda: job.run_day(spark, json_root, days[0], scratch_path(spark, "bench-day"), fmt="json")
     )
     per_day_root = scratch_path(spark, "bench-per-day")
-    times[f"backfill_{len(days)}_days_per_day_runs"] = timed(
+    times["backfill_days_as_written"] = timed(
         lambda: [job.run_day(spark, json_root, d, per_day_root, fmt="json") for d in days]
     )
-    times[f"backfill_{len(days)}_days_range_job"] = timed(
+    times["backfill_days"] = timed(
         lambda: job.run_range(spark, json_root, scratch_path(spark, "bench-range"),
                               start=days[0], end=days[-1], fmt="json")
     )
@@ -162,7 +162,8 @@ def main() -> None:
     native = [k for k in times if not k.endswith("_as_written")]
     pairs = {
         k: round(times[f"{k}_as_written"] / times[k], 2)
-        for k in ("stg_maps_results", "stg_match_stats", "flatten_vetos", "flatten_stats")
+        for k in ("stg_maps_results", "stg_match_stats", "flatten_vetos", "flatten_stats",
+                  "daily_job", "backfill_days")
         if times.get(k)
     }
     out = {
@@ -173,6 +174,7 @@ def main() -> None:
         "speedup_native_vs_as_written": pairs,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "backfill_days": BACKFILL_DAYS,
         "raw_tables": list(RAW_TABLES),
     }
     print(json.dumps(out), flush=True)
