@@ -97,6 +97,18 @@ def parse_veto_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def parse_veto_block(blocks: DataFrame, header_lines: int = 5) -> DataFrame:
+    """A single-block veto box: text split into lines (X18), the header
+    lines skipped (N9, ``lines[5:]``), each line parsed as a single-block
+    line (E3)."""
+    lines = tail(F.split(F.col("block"), "\n"), header_lines)
+    x = blocks.select(
+        "match_id", "team1_id", "team1_name", "team2_id", "team2_name",
+        F.explode(lines).alias("line"),
+    ).withColumn("one_block", F.lit(True))
+    return parse_veto_lines(x)
+
+
 # ---- E4 --------------------------------------------------------------------------
 def half_scores(spans: DataFrame) -> DataFrame:
     """Half scores keyed by the side class of each span; a class seen

@@ -376,6 +376,10 @@ SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT contains(text, 'fo
 })
 
 
+# a single-block box parses to the same rows as the separate lines
+MODEL_SQL["veto_block"] = MODEL_SQL["veto_lines"]
+
+
 def model_sql(name: str) -> str:
     body = MODEL_SQL[name].strip()
     if body.startswith(","):

@@ -175,6 +175,10 @@ def q_veto_lines(spark, sf_dir):
     return extract.parse_veto_lines(text(spark, sf_dir).veto_lines())
 
 
+def q_veto_block(spark, sf_dir):
+    return extract.parse_veto_block(text(spark, sf_dir).veto_blocks())
+
+
 def q_half_scores(spark, sf_dir):
     return extract.half_scores(text(spark, sf_dir).half_score_spans())
 
@@ -223,6 +227,7 @@ QUERIES: dict[str, Query] = {
     "page_fields": q_page_fields,
     "array_tail": q_array_tail,
     "veto_lines": q_veto_lines,
+    "veto_block": q_veto_block,
     "half_scores": q_half_scores,
     "headline_day": q_headline_day,
     "format_label": q_format_label,

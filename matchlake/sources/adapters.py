@@ -223,6 +223,8 @@ class RawFromDriver:
 # tokens (the map name is then the sixth token from the end).
 ONE_BLOCK_TRAILER = " in the first round today"
 GRAND_FINAL = "\n* Grand final"
+# The five lines above the vetos in a single-block veto box.
+BLOCK_HEADER = ["Veto", "", "Best of 3", "", "Map pool"]
 
 
 class TextFromDriver(RawFromDriver):
@@ -260,6 +262,31 @@ class TextFromDriver(RawFromDriver):
             _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
         )
 
+    def veto_blocks(self) -> DataFrame:
+        """Single-block pages: per match one text with five header lines and
+        then every veto line (with the trailer), in choice order. A block
+        is one match's content (at most seven lines)."""
+        g = self.line_groups_named()
+        mp = pool_name(F.col("k"))
+        team_name = F.when(F.col("f") == "A", F.col("a_name")).when(F.col("f") == "R", F.col("b_name"))
+        verb = F.when(F.col("l_linenumber") <= 2, " removed ").otherwise(" picked ")
+        ln = F.col("l_linenumber").cast("string")
+        line = F.when(
+            team_name.isNull(), F.concat(ln, F.lit(". "), mp, F.lit(" was left over"))
+        ).otherwise(F.concat(ln, F.lit(". "), team_name, verb, mp, F.lit(ONE_BLOCK_TRAILER)))
+        per_match = g.groupBy(
+            F.col("l_orderkey"), F.col("a"), F.col("a_name"), F.col("b"), F.col("b_name")
+        ).agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber"), line.alias("line")))).alias("ls"))
+        text = F.concat_ws(
+            "\n", *[F.lit(h) for h in BLOCK_HEADER], F.transform("ls", lambda x: x["line"])
+        )
+        return per_match.select(
+            _s(F.col("l_orderkey")).alias("match_id"),
+            text.alias("block"),
+            _s(F.col("a")).alias("team1_id"), F.col("a_name").alias("team1_name"),
+            _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
+        )
+
     def format_lines(self) -> DataFrame:
         """'Best of <n> (<LAN|Online>)', with a starred note on every third."""
         o = self.t.orders
