@@ -81,3 +81,12 @@ def test_month_layout_requires_whole_months(spark, tmp_root):
 
     with pytest.raises(ValueError):
         job.run_range(spark, tmp_root, tmp_root, start="2022-02-03", layout="month")
+
+
+def test_cli_runs_a_range(spark, tmp_root):
+    docs, days = three_days(spark)
+    bronze = f"{tmp_root}/bronze"
+    io.land_documents(docs, bronze)
+    out = f"{tmp_root}/cli"
+    job.main(["--src", bronze, "--dst", out, "--start", days[0], "--end", days[-1]])
+    assert io.read_raw(spark, out, "matchs").count() == docs.count()
