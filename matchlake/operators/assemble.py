@@ -1,12 +1,14 @@
 """Assemble nested match documents from flat rows (the inverse of the
 flatten), as the extraction step produces them.
 
-Each nested list is one ``groupBy(key).agg(collect_list(struct))`` at its
-level, with ``sort_array`` for a stable order; the levels are joined on
-match_id. Each collected group is one match's content (two teams, at most
-seven vetos, scoreboards of the maps played), i.e. bounded by the document
-itself, not by the table. All aggregates are hash-partitioned on match_id,
-so joining them adds no further shuffle.
+All flat rows of a match (vetos, results, player lines) become one tagged
+entry each; one ``groupBy(match_id).agg(collect_list)`` gathers them and
+the nesting (bans, picks with their results, scoreboards per map and side)
+is built inside the row with ``filter`` / ``transform`` / ``sort_array``.
+One shuffle and one aggregation in all, then one join to the match header.
+A collected group is one match's content (two teams, at most seven vetos,
+the scoreboards of the maps played), i.e. bounded by the document, not by
+the table.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import STAT_SIDES, TEAM_SLOTS
+from ..schemas import PLAYER, RESULT, TEAM_SLOTS
 
 PLAYER_FIELDS = ["player_id", "team_id", "nick", "kd", "diff", "adr", "kast", "rating"]
+_PLAYER_TYPE = PLAYER.simpleString()
+_RESULT_TYPE = RESULT.simpleString()
 
 
 def _team(prefix: str, t: DataFrame) -> DataFrame:
@@ -60,96 +64,79 @@ def documents(
         F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd").alias("extract_date"),
     )
 
-    # results of one pick, left team first
-    res = maps_results.groupBy("match_id", "choice_number").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "side_no",
-                    F.struct("team_name", "result", "ct", "t").alias("r"),
-                )
-            )
-        ).alias("rs")
-    ).select("match_id", "choice_number", F.col("rs.r").alias("results"))
-
-    bans = (
-        maps_vetos.where(F.col("type") == "ban")
-        .groupBy("match_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("choice_number", "team_id", "map_name"))
-            ).alias("b")
-        )
-        .select(
-            "match_id",
-            F.transform(
-                "b",
-                lambda x: F.struct(
-                    x["team_id"].alias("team_id"),
-                    x["choice_number"].alias("choice_number"),
-                    x["map_name"].alias("map_name"),
-                ),
-            ).alias("bans"),
-        )
+    # every flat row of a match as one tagged entry; one shuffle and one
+    # aggregation per match, the nesting is then built with array functions
+    null_s = F.lit(None).cast("string")
+    player = F.struct(*PLAYER_FIELDS)
+
+    def entry(kind, choice=null_s, team_id=null_s, map_name=null_s, vtype=null_s,
+              side_no=F.lit(None).cast("int"), res=None, slot=null_s, side=null_s, p=None):
+        return F.struct(
+            F.lit(kind).alias("kind"), choice.alias("choice_number"), team_id.alias("team_id"),
+            map_name.alias("map_name"), vtype.alias("vtype"), side_no.alias("side_no"),
+            (res if res is not None else F.lit(None).cast(_RESULT_TYPE)).alias("res"),
+            slot.alias("slot"), side.alias("side"),
+            (p if p is not None else F.lit(None).cast(_PLAYER_TYPE)).alias("player"),
+        ).alias("e")
+
+    c = F.col
+    entries = (
+        maps_vetos.select("match_id", entry("veto", c("choice_number"), c("team_id"), c("map_name"), c("type")))
+        .unionByName(maps_results.select("match_id", entry(
+            "result", c("choice_number"), side_no=c("side_no").cast("int"),
+            res=F.struct("team_name", "result", "ct", "t"))))
+        .unionByName(match_stats_slot.select("match_id", entry(
+            "stat", map_name=c("map_name"), slot=c("slot"), side=c("side"), p=player)))
     )
-    picks_rows = maps_vetos.where(F.col("type") == "pick").join(
-        res, ["match_id", "choice_number"], "left"
+    per_match = entries.groupBy("match_id").agg(F.collect_list("e").alias("es"))
+
+    def of(kind, pred=None):
+        return lambda x: (x["kind"] == kind) & (pred(x) if pred else F.lit(True))
+
+    es = F.col("es")
+    bans = F.transform(
+        F.sort_array(F.transform(F.filter(es, of("veto", lambda x: x["vtype"] == "ban")),
+                                 lambda x: F.struct(x["choice_number"].alias("c"), x["team_id"].alias("t"), x["map_name"].alias("m")))),
+        lambda x: F.struct(x["t"].alias("team_id"), x["c"].alias("choice_number"), x["m"].alias("map_name")),
     )
-    picks = (
-        picks_rows.groupBy("match_id")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("choice_number", "team_id", "map_name", "results")
-                )
-            ).alias("p")
-        )
-        .select(
-            "match_id",
-            F.transform(
-                "p",
-                lambda x: F.struct(
-                    x["team_id"].alias("team_id"),
-                    x["choice_number"].alias("choice_number"),
-                    x["map_name"].alias("map_name"),
-                    F.lit(True).alias("was_played"),
-                    x["results"].alias("results"),
-                ),
-            ).alias("picks"),
+
+    def results_of(choice):
+        rs = F.filter(es, of("result", lambda r: r["choice_number"] == choice))
+        return F.transform(
+            F.sort_array(F.transform(rs, lambda r: F.struct(r["side_no"].alias("n"), r["res"].alias("r")))),
+            lambda y: y["r"],
         )
-    )
 
-    # scoreboards: per (match, map) six player lists, then the maps per match
-    player = F.struct(*PLAYER_FIELDS)
-    boards = match_stats_slot.groupBy("match_id", "map_name").agg(
-        *[
-            F.sort_array(
-                F.collect_list(
-                    F.when((F.col("slot") == slot) & (F.col("side") == side), player)
-                )
-            ).alias(f"{slot}_{side}")
-            for slot in TEAM_SLOTS
-            for side in STAT_SIDES
-        ]
+    picks = F.transform(
+        F.sort_array(F.transform(F.filter(es, of("veto", lambda x: x["vtype"] == "pick")),
+                                 lambda x: F.struct(x["choice_number"].alias("c"), x["team_id"].alias("t"), x["map_name"].alias("m")))),
+        lambda x: F.struct(
+            x["t"].alias("team_id"), x["c"].alias("choice_number"), x["m"].alias("map_name"),
+            F.lit(True).alias("was_played"), results_of(x["c"]).alias("results"),
+        ),
     )
-    per_map = boards.select(
-        "match_id",
-        F.struct(
-            F.col("map_name").alias("map"),
+
+    def board(m, slot, side):
+        sel = F.filter(es, of("stat", lambda x: x["map_name"].eqNullSafe(m) & (x["slot"] == slot) & (x["side"] == side)))
+        return F.sort_array(F.transform(sel, lambda x: x["player"]))
+
+    maps_played = F.sort_array(F.array_distinct(F.transform(F.filter(es, of("stat")), lambda x: x["map_name"])))
+    stats = F.transform(
+        maps_played,
+        lambda m: F.struct(
+            m.alias("map"),
             *[
-                F.struct(*[F.col(f"{slot}_{side}").alias(side) for side in ("total", "tr", "ct")]).alias(slot)
+                F.struct(*[board(m, slot, side).alias(side) for side in ("total", "tr", "ct")]).alias(slot)
                 for slot in TEAM_SLOTS
             ],
-        ).alias("m"),
+        ),
+    )
+    nested = per_match.select(
+        "match_id", bans.alias("bans"), picks.alias("picks"), stats.alias("stats")
     )
-    stats = per_map.groupBy("match_id").agg(F.sort_array(F.collect_list("m")).alias("stats"))
 
     empty = F.array()
-    doc = (
-        header.join(bans, "match_id", "left")
-        .join(picks, "match_id", "left")
-        .join(stats, "match_id", "left")
-    )
+    doc = header.join(nested, "match_id", "left")
     return doc.select(
         "match_id", "type", "best_of_type", "teams",
         F.struct(
