@@ -41,3 +41,25 @@ def test_last_wins_map(spark):
     assert out[1].m == {"t": "1", "ct": "2"}
     got = df.select(N.last_value_of("k", "v", "ct")).collect()
     assert [r[0] for r in got] == ["9", "2"]
+
+
+def test_unnest_expand_first_where_sorted(spark):
+    df = spark.createDataFrame(
+        [("m1", [("b", 2), ("a", 1)]), ("m2", []), ("m3", None)],
+        "id string, xs array<struct<k:string,v:int>>",
+    )
+    u = N.unnest(df, "xs", "x", "id")
+    assert sorted(tuple(r) for r in N.expand(u, "x", "id").collect()) == [("m1", "a", 1), ("m1", "b", 2)]
+    got = df.select(
+        N.first_where("xs", lambda x: x["v"] > 1)["k"].alias("k"),
+        N.nth(N.sorted_structs("xs"), 0)["k"].alias("s"),
+    ).collect()
+    assert [tuple(r) for r in got] == [("b", "a"), (None, None), (None, None)]
+
+
+def test_lines_and_tokens(spark):
+    from matchlake.functions import scalar as X
+
+    df = spark.createDataFrame([("a b  c\nd",)], "t string")
+    r = df.select(X.lines_of("t").alias("l"), X.token_count("t").alias("n")).collect()[0]
+    assert r.l == ["a b  c", "d"] and r.n == 4
