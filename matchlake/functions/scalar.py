@@ -104,9 +104,10 @@ def headline_date(headline: ColumnOrName) -> Column:
     """X10: '... <Month> <day><st|nd|rd|th> <year>' to a date. Tokens are
     taken from the end, the month goes through X11 (unknown month -> NULL)."""
     tok = F.split(_c(headline), " ")
-    day = F.regexp_replace(F.element_at(tok, -2), "(st|nd|rd|th)$", "")
-    month = month_number(F.element_at(tok, -3))
-    year = F.element_at(tok, -1)
+    # try_element_at: a short or malformed headline gives NULL, not an error
+    day = F.regexp_replace(F.try_element_at(tok, F.lit(-2)), "(st|nd|rd|th)$", "")
+    month = month_number(F.try_element_at(tok, F.lit(-3)))
+    year = F.try_element_at(tok, F.lit(-1))
     return F.try_to_date(F.concat_ws("-", year, month, F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 

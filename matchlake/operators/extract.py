@@ -85,8 +85,8 @@ def parse_veto_lines(lines: DataFrame) -> DataFrame:
     in2 = F.coalesce(line.contains(F.col("team2_name")), F.lit(False))
     found = in1 | in2
     team = F.when(in1, F.col("team1_id")).when(in2, F.col("team2_id"))
-    last = F.element_at(tok, -1)
-    named_map = F.when(F.col("one_block") & (n > 8), F.element_at(tok, -6)).otherwise(last)
+    last = F.try_element_at(tok, F.lit(-1))
+    named_map = F.when(F.col("one_block") & (n > 8), F.try_element_at(tok, F.lit(-6))).otherwise(last)
     unnamed_map = F.when(choice == "7", F.get(tok, 1)).otherwise(last)
     return lines.select(
         "match_id",

@@ -85,3 +85,8 @@ def test_text_helpers(spark):
         bo, kind, X.token_count("v"), X.strip_chars(F.lit("1."), "."),
     ).collect()[0]
     assert tuple(r) == ("77", "77", "nick", "", "Best of 3 ", "LAN", 4, "1")
+
+
+def test_malformed_headline_is_null(spark):
+    df = spark.createDataFrame([("Results",), ("Results for Smarch 3rd 2022",), (None,)], "h string")
+    assert [r[0] for r in df.select(X.headline_date("h")).collect()] == [None, None, None]
