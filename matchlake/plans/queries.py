@@ -1,7 +1,10 @@
 """Registry of the queries checked against the DuckDB oracle.
 
-Each entry takes (spark, sf_dir) and returns a lazy DataFrame over the whole
-driver tables at that scale factor; nothing is collected.
+Each entry takes (spark, sf_dir) and returns a DataFrame over the whole
+driver tables at that scale factor; nothing is collected. Queries that reuse
+a derived input, or that exercise landing and the jobs, first write those
+inputs / outputs as tables below the shared checkpoint folder, and the
+returned frame reads them.
 """
 
 from __future__ import annotations
@@ -9,18 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import extract
-from ..sources.adapters import RawFromDriver, TextFromDriver
-from ..sources.tables import DriverTables
 from pyspark.sql import functions as F
 
 from ..functions.scalar import day_before
-from ..operators import assemble, flatten
+from ..operators import assemble, extract, flatten
 from ..schemas import RAW_TABLES
 from ..session import scratch_path
 from ..sources import io
+from ..sources.adapters import RawFromDriver, TextFromDriver
+from ..sources.tables import DriverTables
 from . import job, models
+from . import oracle as _oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,8 +240,6 @@ QUERIES: dict[str, Query] = {
 
 
 # ---- oracle SQL per query -----------------------------------------------------
-from . import oracle as _oracle  # noqa: E402
-
 ORACLES: dict[str, Callable[[], str]] = {
     name: (lambda n=name: _oracle.model_sql(n)) for name in _oracle.MODEL_SQL
 }

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from matchlake.operators import nested as N
 
