@@ -186,6 +186,7 @@ JOIN pairs p ON p.team1_name = a.team_name AND p.team2_name = o.team_name
 
 
 MODEL_SQL["stg_maps_results"] = m7_sql("raw_results", "raw_matchs", "raw_teams")
+MODEL_SQL["last_sorts"] = MODEL_SQL["stg_maps_results"].rstrip() + "\nORDER BY 1 ASC NULLS LAST, 2 ASC NULLS LAST\n"
 
 # documents keep a match's bans and picks; T1 drops both lists of a match
 # in which either is empty

@@ -60,6 +60,12 @@ def q_stg_maps_results(spark, sf_dir):
     return models.stg_maps_results(r.stored("maps_results", r.maps_results()), r.matchs(), r.teams())
 
 
+def q_last_sorts(spark, sf_dir):
+    """O1: the map-results model in its written order (match_id, then
+    map_choice, NULLs last): a range-partitioned global sort."""
+    return models.ordered_maps_results(q_stg_maps_results(spark, sf_dir))
+
+
 def q_pair_bounds(spark, sf_dir):
     r = raw(spark, sf_dir)
     return models.pair_bounds(r.maps_results(), r.teams())
@@ -215,6 +221,7 @@ QUERIES: dict[str, Query] = {
     "stg_match_stats": q_stg_match_stats,
     "stg_maps_results": q_stg_maps_results,
     "pair_bounds": q_pair_bounds,
+    "last_sorts": q_last_sorts,
     "flatten_matchs": q_flatten_matchs,
     "flatten_teams": q_flatten_teams,
     "flatten_players": q_flatten_players,
