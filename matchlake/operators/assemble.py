@@ -2,13 +2,13 @@
 flatten), as the extraction step produces them.
 
 All flat rows of a match (vetos, results, player lines) become one tagged
-entry each; one ``groupBy(match_id).agg(collect_list)`` gathers them and
+entry each; one ``groupBy(match_id).agg(collect_set)`` gathers them and
 the nesting (bans, picks with their results, scoreboards per map and side)
 is built inside the row with ``filter`` / ``transform`` / ``sort_array``.
 One shuffle and one aggregation in all, then one join to the match header.
-A collected group is one match's content (two teams, at most seven vetos,
-the scoreboards of the maps played), i.e. bounded by the document, not by
-the table.
+A collected group is one match's distinct content (two teams, at most
+seven vetos, the scoreboards of the maps played), i.e. bounded by the
+document, not by the table, even when raw rows were appended many times.
 """
 
 from __future__ import annotations
@@ -88,7 +88,10 @@ def documents(
         .unionByName(match_stats_slot.select("match_id", entry(
             "stat", map_name=c("map_name"), slot=c("slot"), side=c("side"), p=player)))
     )
-    per_match = entries.groupBy("match_id").agg(F.collect_list("e").alias("es"))
+    # collect_set: copies of a re-appended match collapse in the map-side
+    # partial aggregate, so a group is bounded by the match's distinct
+    # content (every list is sorted below, and the flatten dedupes anyway)
+    per_match = entries.groupBy("match_id").agg(F.collect_set("e").alias("es"))
 
     def of(kind, pred=None):
         return lambda x: (x["kind"] == kind) & (pred(x) if pred else F.lit(True))

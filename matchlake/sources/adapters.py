@@ -276,7 +276,7 @@ class TextFromDriver(RawFromDriver):
         ).otherwise(F.concat(ln, F.lit(". "), team_name, verb, mp, F.lit(ONE_BLOCK_TRAILER)))
         per_match = g.groupBy(
             F.col("l_orderkey"), F.col("a"), F.col("a_name"), F.col("b"), F.col("b_name")
-        ).agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber"), line.alias("line")))).alias("ls"))
+        ).agg(F.sort_array(F.collect_set(F.struct(F.col("l_linenumber"), line.alias("line")))).alias("ls"))
         text = F.concat_ws(
             "\n", *[F.lit(h) for h in BLOCK_HEADER], F.transform("ls", lambda x: x["line"])
         )
@@ -388,8 +388,8 @@ class TextFromDriver(RawFromDriver):
         page order (a match's content: at most seven entries)."""
         e = self.result_entries()
         return e.groupBy("match_id").agg(
-            F.sort_array(F.collect_list("entry")).alias("vetos"),
-            F.sort_array(F.collect_list("block")).alias("blocks"),
+            F.sort_array(F.collect_set("entry")).alias("vetos"),
+            F.sort_array(F.collect_set("block")).alias("blocks"),
         )
 
     def half_score_spans(self) -> DataFrame:
