@@ -73,3 +73,44 @@ def g7():
         m["team1"]["tr"] = [p for p in m["team1"]["tr"] if p["player_id"] != "2"]
     d["maps"]["picks"][0]["map_name"] = "Train"
     return d
+
+
+def series(mid, bo, scores, choices, left_over=7):
+    """A document with bans 1-2, the given pick choices and a left-over pick
+    at ``left_over`` (team NULL); every pick played with two results."""
+    d = g1()
+    d["match_id"] = mid
+    d["best_of_type"] = bo
+    d["teams"][0]["score"], d["teams"][1]["score"] = scores
+    pool = ["Dust2", "Mirage", "Inferno", "Ancient", "Overpass", "Nuke", "Vertigo"]
+    d["maps"]["bans"] = [
+        {"team_id": "9996", "choice_number": "1", "map_name": "Nuke"},
+        {"team_id": "10503", "choice_number": "2", "map_name": "Vertigo"},
+    ]
+    picks = []
+    for i, c in enumerate(list(choices) + [left_over]):
+        team = None if c == left_over else ("9996" if i % 2 == 0 else "10503")
+        picks.append({"team_id": team, "choice_number": str(c), "map_name": pool[i], "was_played": True,
+                      "results": [result("Alpha", "16", "9", "7"), result("Beta", "10", "5", "5")]})
+    d["maps"]["picks"] = picks
+    return d
+
+
+def g2():
+    """Bo1, bans, left-over at 7, score 16-3."""
+    return series("200", "Best of 1 ", ("16", "3"), [])
+
+
+def g3():
+    """Bo1 16-16, and a copy with a NULL score."""
+    return [series("300", "Best of 1", ("16", "16"), []), series("301", "Best of 1", (None, "16"), [])]
+
+
+def g4():
+    """Bo5, picks 3-6, left-over 7."""
+    return series("400", "Best of 5", ("3", "0"), [3, 4, 5, 6])
+
+
+def g5():
+    """Bo2 and a NULL format."""
+    return [series("500", "Best of 2", ("1", "1"), [3, 4], left_over=99), series("501", None, ("2", "0"), [3, 4], left_over=99)]
