@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, shuffle_partitions=4, app="matchlake-tests")
+    s = local_session("*", shuffle_partitions=8, app="matchlake-tests")
     yield s
     s.stop()
 
