@@ -167,7 +167,10 @@ class RawFromDriver:
         )
 
     # ---- per lineitem -------------------------------------------------
-    def match_stats(self, with_slot: bool = False) -> DataFrame:
+    def match_stats(self, with_slot: bool = False, sides: tuple[str, ...] = ("total", "ct", "tr")) -> DataFrame:
+        """One row per lineitem and side; ``sides`` limits the generated
+        sides (a filter on the generated column cannot be pushed below the
+        generator, so asking for fewer sides saves the work)."""
         li = self.t.lineitem
         side = F.col("side")
         offset = F.when(side == "ct", SIDE_ADR_OFFSET["ct"]).when(
@@ -190,15 +193,14 @@ class RawFromDriver:
             cols.append(
                 F.when(F.col("l_suppkey") % 2 == 0, "team1").otherwise("team2").alias("slot")
             )
-        sides = F.explode(F.array(*[F.lit(x) for x in ("total", "ct", "tr")])).alias("side")
-        x = li.select("*", sides)
+        gen = F.explode(F.array(*[F.lit(x) for x in sides])).alias("side")
+        x = li.select("*", gen)
         x = x.where(~((F.col("side") == "tr") & (F.col("l_linenumber") == 7)))
         return x.select(*cols)
 
     def players(self) -> DataFrame:
         return (
-            self.match_stats()
-            .where(F.col("side") == "total")
+            self.match_stats(sides=("total",))
             .select("player_id", "team_id", "nick")
             .distinct()
         )
