@@ -33,11 +33,19 @@ def strict_int(s: ColumnOrName) -> Column:
     return _c(s).cast("int")
 
 
-def series_score(best_of_type: ColumnOrName, own: ColumnOrName, other: ColumnOrName) -> Column:
+def lenient_int(s: ColumnOrName) -> Column:
+    """X4, quality-check variant: bad text gives NULL instead of an error."""
+    return _c(s).try_cast("int")
+
+
+def series_score(
+    best_of_type: ColumnOrName, own: ColumnOrName, other: ColumnOrName, strict: bool = True
+) -> Column:
     """A Bo1 score is a round score, turned into win 1 / 0 (equal or NULL
     scores give 0); other formats keep the number of maps won."""
     bo = F.trim(_c(best_of_type))
-    mine, theirs = strict_int(own), strict_int(other)
+    to_int = strict_int if strict else lenient_int
+    mine, theirs = to_int(own), to_int(other)
     return F.when(bo == "Best of 1", F.when(mine > theirs, 1).otherwise(0)).otherwise(mine)
 
 

@@ -90,3 +90,14 @@ def test_text_helpers(spark):
 def test_malformed_headline_is_null(spark):
     df = spark.createDataFrame([("Results",), ("Results for Smarch 3rd 2022",), (None,)], "h string")
     assert [r[0] for r in df.select(X.headline_date("h")).collect()] == [None, None, None]
+
+
+def test_quality_check_variant_gives_null(spark):
+    from matchlake.plans import models
+
+    df = spark.createDataFrame([("1", "Best of 3", "-", "1")], "match_id string, best_of_type string, team1_score string, team2_score string")
+    df = df.selectExpr("match_id", "'LAN' AS type", "'2022-01-01' AS date", "best_of_type", "'a' AS team1_id", "'b' AS team2_id", "team1_score", "team2_score")
+    r = models.stg_matchs(df, strict=False).collect()[0]
+    assert (r.team1_score, r.team2_score) == (None, 1)
+    with pytest.raises(Exception):
+        models.stg_matchs(df).collect()
