@@ -46,19 +46,25 @@ def apply_job_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder under
-    the system temp dir is registered as checkpoint dir.
+    Read from the session (conf first, then the context); only when it is
+    unset (local tests) a folder under the system temp dir is registered as
+    checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            import tempfile
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    import tempfile
 
-            d = tempfile.mkdtemp(prefix="matchlake-ckpt-")
+    d = tempfile.mkdtemp(prefix="matchlake-ckpt-")
+    if sc is not None:
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+    spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
