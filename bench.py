@@ -140,9 +140,16 @@ def main() -> None:
             .orderBy("extract_date").limit(BACKFILL_DAYS).collect()]
     json_root = scratch_path(spark, "bench-landing-json")
     io.land_documents(docs.where(F.col("extract_date").isin(days)), json_root, fmt="json")
-    times["daily_job_as_written"] = timed(lambda: daily_job_as_written(spark, json_root, days[0]))
+    busiest = (
+        docs.where(F.col("extract_date").isin(days)).groupBy("extract_date").count()
+        .orderBy(F.desc("count"), "extract_date").first().extract_date
+    )
+    try:
+        times["daily_job_as_written"] = timed(lambda: daily_job_as_written(spark, json_root, busiest))
+    except Exception:  # noqa: BLE001 - inferred schema broke (the reference's own fragility)
+        times["daily_job_as_written"] = None
     times["daily_job"] = timed(
-        lambda: job.run_day(spark, json_root, days[0], scratch_path(spark, "bench-day"), fmt="json")
+        lambda: job.run_day(spark, json_root, busiest, scratch_path(spark, "bench-day"), fmt="json")
     )
     per_day_root = scratch_path(spark, "bench-per-day")
     times["backfill_days_as_written"] = timed(
@@ -164,7 +171,7 @@ def main() -> None:
         k: round(times[f"{k}_as_written"] / times[k], 2)
         for k in ("stg_maps_results", "stg_match_stats", "flatten_vetos", "flatten_stats",
                   "daily_job", "backfill_days")
-        if times.get(k)
+        if times.get(k) and times.get(f"{k}_as_written")
     }
     out = {
         "metric": "native_total_sec",

@@ -105,7 +105,9 @@ def land_documents(
     out = clustered(with_layout(docs, layout), col)
     w = out.write.partitionBy(col).mode(mode).option("partitionOverwriteMode", "dynamic")
     if fmt == "json":
-        w.json(root)
+        # explicit nulls, as the reference's json.dump writes them (a reader
+        # that infers the schema then still sees every field)
+        w.option("ignoreNullFields", "false").json(root)
     else:
         w.format(fmt).save(root)
 
