@@ -241,27 +241,38 @@ class TextFromDriver(RawFromDriver):
         sb = s.select(F.col("s_suppkey").alias("b"), F.col("s_name").alias("b_name"))
         return g.join(sa, "a").join(sb, "b")
 
-    def veto_lines(self) -> DataFrame:
-        """One veto line per line group, as the page shows it:
-        '1. <team> removed <map>', '3. <team> picked <map>',
-        '<n>. <map> was left over'. Lines of a single-block page (even order
-        keys) carry a trailer after the map when a team is named."""
-        g = self.line_groups_named()
+    @staticmethod
+    def _veto_line(with_trailer: Column) -> Column:
+        """'1. <team> removed <map>', '3. <team> picked <map>' (plus the
+        trailer when asked), or '<n>. <map> was left over' without a team."""
         team_name = F.when(F.col("f") == "A", F.col("a_name")).when(F.col("f") == "R", F.col("b_name"))
         ln = F.col("l_linenumber").cast("string")
         mp = pool_name(F.col("k"))
-        one_block = F.col("l_orderkey") % 2 == 0
         verb = F.when(F.col("l_linenumber") <= 2, " removed ").otherwise(" picked ")
-        named = F.concat(ln, F.lit(". "), team_name, verb, mp,
-                         F.when(one_block, F.lit(ONE_BLOCK_TRAILER)).otherwise(F.lit("")))
+        trailer = F.when(with_trailer, F.lit(ONE_BLOCK_TRAILER)).otherwise(F.lit(""))
+        named = F.concat(ln, F.lit(". "), team_name, verb, mp, trailer)
         left = F.concat(ln, F.lit(". "), mp, F.lit(" was left over"))
+        return F.when(team_name.isNull(), left).otherwise(named)
+
+    @staticmethod
+    def _teams_cols() -> list[Column]:
+        return [
+            _s(F.col("a")).alias("team1_id"), F.col("a_name").alias("team1_name"),
+            _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
+        ]
+
+    def veto_lines(self) -> DataFrame:
+        """One veto line per line group, as the page shows it. Lines of a
+        single-block page (even order keys) carry a trailer after the map
+        when a team is named."""
+        g = self.line_groups_named()
+        one_block = F.col("l_orderkey") % 2 == 0
         return g.select(
             _s(F.col("l_orderkey")).alias("match_id"),
             F.col("l_linenumber").alias("line_no"),
-            F.when(team_name.isNull(), left).otherwise(named).alias("line"),
+            self._veto_line(one_block).alias("line"),
             one_block.alias("one_block"),
-            _s(F.col("a")).alias("team1_id"), F.col("a_name").alias("team1_name"),
-            _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
+            *self._teams_cols(),
         )
 
     def veto_blocks(self) -> DataFrame:
@@ -269,24 +280,15 @@ class TextFromDriver(RawFromDriver):
         then every veto line (with the trailer), in choice order. A block
         is one match's content (at most seven lines)."""
         g = self.line_groups_named()
-        mp = pool_name(F.col("k"))
-        team_name = F.when(F.col("f") == "A", F.col("a_name")).when(F.col("f") == "R", F.col("b_name"))
-        verb = F.when(F.col("l_linenumber") <= 2, " removed ").otherwise(" picked ")
-        ln = F.col("l_linenumber").cast("string")
-        line = F.when(
-            team_name.isNull(), F.concat(ln, F.lit(". "), mp, F.lit(" was left over"))
-        ).otherwise(F.concat(ln, F.lit(". "), team_name, verb, mp, F.lit(ONE_BLOCK_TRAILER)))
-        per_match = g.groupBy(
-            F.col("l_orderkey"), F.col("a"), F.col("a_name"), F.col("b"), F.col("b_name")
-        ).agg(F.sort_array(F.collect_set(F.struct(F.col("l_linenumber"), line.alias("line")))).alias("ls"))
+        line = self._veto_line(F.lit(True))
+        per_match = g.groupBy("l_orderkey", "a", "a_name", "b", "b_name").agg(
+            F.sort_array(F.collect_set(F.struct(F.col("l_linenumber"), line.alias("line")))).alias("ls")
+        )
         text = F.concat_ws(
             "\n", *[F.lit(h) for h in BLOCK_HEADER], F.transform("ls", lambda x: x["line"])
         )
         return per_match.select(
-            _s(F.col("l_orderkey")).alias("match_id"),
-            text.alias("block"),
-            _s(F.col("a")).alias("team1_id"), F.col("a_name").alias("team1_name"),
-            _s(F.col("b")).alias("team2_id"), F.col("b_name").alias("team2_name"),
+            _s(F.col("l_orderkey")).alias("match_id"), text.alias("block"), *self._teams_cols()
         )
 
     def format_lines(self) -> DataFrame:
