@@ -132,17 +132,24 @@ def check_schema(name: str, df: DataFrame) -> DataFrame:
 
 
 def write_raw(
-    tables: dict[str, DataFrame], raw_root: str, mode: str = "overwrite", layout: str = "day"
+    tables: dict[str, DataFrame],
+    raw_root: str,
+    mode: str = "overwrite",
+    layout: str = "day",
+    parallel: bool = True,
 ) -> None:
     """One Parquet table per raw table, partitioned by the storage day
     (or month).
 
     ``mode='overwrite'`` (dynamic) replaces the partitions written;
-    ``'append'`` is the reference's behaviour (rows repeat on a re-run)."""
+    ``'append'`` is the reference's behaviour (rows repeat on a re-run).
+    With ``parallel`` the tables are written as concurrent Spark jobs (one
+    thread each submits its job; the cluster runs their tasks side by side);
+    the first failure is raised after all writes have finished."""
     col = LAYOUTS[layout]
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> None:
         out = check_schema(name, df)
-        w = None
         if PART in out.columns:
             out = clustered(with_layout(out, layout), col)
             w = out.write.partitionBy(col)
@@ -152,6 +159,18 @@ def write_raw(
             f"{raw_root.rstrip('/')}/{name}"
         )
 
+    if not parallel or len(tables) < 2:
+        for name, df in tables.items():
+            write(name, df)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(write, name, df) for name, df in tables.items()]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
 
 def read_raw(
     spark: SparkSession, raw_root: str, name: str, keep_day: bool = False, layout: str = "day"
