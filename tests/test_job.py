@@ -66,7 +66,7 @@ def test_reads_the_daily_json_array_file_and_prunes(spark, tmp_root):
     day_dir = f"{tmp_root}/landing/extract_date=2022-02-26"
     local = day_dir.replace("file:", "")
     os.makedirs(local, exist_ok=True)
-    with open(f"{local}/HLTV_20220226.json", "w", encoding="utf-8") as fh:
+    with open(f"{local}/matches_20220226.json", "w", encoding="utf-8") as fh:
         json.dump([g1(), g6()], fh, ensure_ascii=False)
     df = io.read_bronze(spark, f"{tmp_root}/landing", fmt="json", day="2022-02-26")
     assert sorted(r.match_id for r in df.collect()) == ["100", "600"]
