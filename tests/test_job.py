@@ -90,3 +90,24 @@ def test_cli_runs_a_range(spark, tmp_root):
     out = f"{tmp_root}/cli"
     job.main(["--src", bronze, "--dst", out, "--start", days[0], "--end", days[-1]])
     assert io.read_raw(spark, out, "matchs").count() == docs.count()
+
+
+def test_parallel_write_raises_the_first_error(spark, tmp_root):
+    import pytest
+
+    good = spark.createDataFrame([("1", "a", "l")], "team_id string, name string, link string")
+    bad = spark.createDataFrame([("1",)], "player_id string")  # lacks team_id, nick
+    with pytest.raises(ValueError):
+        io.write_raw({"teams": good, "players": bad}, f"{tmp_root}/raw")
+
+
+def test_models_published_as_views(spark, tmp_root):
+    from matchlake.plans import models
+    from matchlake.plans.queries import raw
+
+    r = raw(spark, "/root/testdata/sf0.001")
+    frames = r.tables()
+    models.publish(frames)
+    n = spark.sql("SELECT count(*) AS n FROM stg_matchs").first().n
+    assert n == frames["matchs"].count()
+    assert spark.sql("SELECT count(*) AS n FROM stg_maps").first().n == 7
