@@ -101,3 +101,12 @@ def test_quality_check_variant_gives_null(spark):
     assert (r.team1_score, r.team2_score) == (None, 1)
     with pytest.raises(Exception):
         models.stg_matchs(df).collect()
+
+
+def test_ordinal_suffixes_round_trip(spark):
+    days = [1, 2, 3, 4, 11, 12, 13, 21, 22, 23, 24, 30, 31]
+    df = spark.createDataFrame([(dt.date(2022, 1, d),) for d in days], "d date")
+    out = df.select(X.headline_of("d").alias("h")).select("h", X.headline_date("h").alias("back")).collect()
+    suffixes = [r.h.split(" ")[-2] for r in out]
+    assert suffixes == ["1st", "2nd", "3rd", "4th", "11th", "12th", "13th", "21st", "22nd", "23rd", "24th", "30th", "31st"]
+    assert [r.back for r in out] == [dt.date(2022, 1, d) for d in days]
