@@ -160,9 +160,9 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     )
     nxt = next_ids(ids)
     b = base.select(F.col("doc_id").alias("b_id"), F.col("text").alias("b_text"))
-    heads = nxt.join(
-        b, nxt.next_id.eqNullSafe(b.b_id) & (nxt.next_hash == F.xxhash64("b_text"))
-    ).select(F.col("doc_id").alias("h_id"), F.col("b_text").alias("n_text"), "k")
+    # the hash is no join key, so that both joins share one shuffle of the texts
+    same = F.col("next_hash").bitwiseXOR(F.xxhash64("b_text")) == 0
+    heads = nxt.join(b, nxt.next_id.eqNullSafe(b.b_id) & same).select(F.col("doc_id").alias("h_id"), F.col("b_text").alias("n_text"), "k")
     heads = with_fingerprint(heads, "n_text", "next_fp").select(
         "h_id", F.expr("substring(n_text, 1, k)").alias("head"), "next_fp"
     )
