@@ -159,10 +159,13 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64("text").alias("hash"), F.floor(F.length("text") / 4).cast("int").alias("k")
     )
     nxt = next_ids(ids)
-    b = base.select(F.col("doc_id").alias("b_id"), F.col("text").alias("b_text"))
-    # the hash is no join key, so that both joins share one shuffle of the texts
-    same = F.col("next_hash").bitwiseXOR(F.xxhash64("b_text")) == 0
-    heads = nxt.join(b, nxt.next_id.eqNullSafe(b.b_id) & same).select(F.col("doc_id").alias("h_id"), F.col("b_text").alias("n_text"), "k")
+    # the texts enter both joins under the same names and with the same keys
+    # (the hash is none), so that Spark shuffles them once for both
+    nxt = nxt.withColumnRenamed("doc_id", "h_id")
+    same = F.col("next_hash").bitwiseXOR(F.xxhash64("text")) == 0
+    heads = nxt.join(base, nxt.next_id.eqNullSafe(base.doc_id) & same).select(
+        "h_id", F.col("text").alias("n_text"), "k"
+    )
     heads = with_fingerprint(heads, "n_text", "next_fp").select(
         "h_id", F.expr("substring(n_text, 1, k)").alias("head"), "next_fp"
     )
