@@ -186,9 +186,11 @@ def decisions(docs: DataFrame) -> DataFrame:
     text_sha256. Of rows that repeat id and text, one is kept."""
     rows = common.stored(docs.select("doc_id", digest(F.col("text")).alias("digest")), "digests")
     g = groups(*split_history(rows))
-    j = rows.join(g, "digest")
+    # numbered by both keys before the join: nothing above it keeps a hot
+    # digest's rows together
     again = Window.partitionBy("digest", "doc_id").orderBy(F.lit(1))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(again) == 1)
+    j = rows.withColumn("nth", F.row_number().over(again)).join(g, "digest")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
     return j.select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
