@@ -20,6 +20,8 @@ empty texts to no ids.
 from __future__ import annotations
 
 import hashlib
+import math
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,7 +73,6 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 class Codec:
     def __init__(self, v: Vocabulary):
-        self.pieces, self.kinds = v.pieces, v.kinds
         normal = [s for s, k in zip(v.scores, v.kinds) if k == "n"]
         self.unknown = min(normal, default=0.0) - 10.0
         self.byte_ids = [0] * 256
@@ -81,6 +82,10 @@ class Codec:
                 self.byte_ids[int(p[3:5], 16)] = i
             elif k in "na":
                 self.scores[p] = (s if k == "n" else -0.1, i)
+        self.text_of = [
+            bytes([int(p[3:5], 16)]) if k == "b" else b"" if k == "x" else p.replace(SPACE, " ").encode()
+            for p, k in zip(v.pieces, v.kinds)
+        ]
         self.automaton = ahocorasick.Automaton()
         for p, (s, i) in self.scores.items():
             self.automaton.add_word(p, (len(p), s, i))
@@ -90,34 +95,37 @@ class Codec:
         lone = "".join(c for c in "\n\t\r" if c not in longer)
         stretch = f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else "")
         self.split = None if open_ else regex.compile(stretch)
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
+        self.by_line = self.split is not None and "\n" in lone
+        # ids as bytes: an entry is small, and a text's ids are one join
+        self.young: dict[str, tuple[bytes, float]] = {}
+        self.old: dict[str, tuple[bytes, float]] = {}
+        self.words: dict[str, tuple[bytes, float]] = {}
+        self.old_words: dict[str, tuple[bytes, float]] = {}
 
     # U+2581 in the text itself is not a space: a private mark keeps them apart
     MARK = "▁"
 
-    def viterbi(self, text: str) -> tuple[tuple[int, ...], float]:
-        """Ids and score of the best segmentation of escaped text."""
+    def viterbi(self, text: str) -> tuple[bytes, float]:
+        """Ids (little-endian int32) and score of the best segmentation of
+        escaped text."""
         n = len(text)
         best, back, piece = [NOWHERE] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0.0
         unknown, closed = self.unknown, 0
-
-        def close(upto: int) -> None:
-            nonlocal closed
-            while closed < upto:
+        for end, (size, score, i) in self.automaton.iter(text):
+            while closed < end:  # no piece ends here any more: a character alone?
                 closed += 1
                 alone = best[closed - 1] + unknown
                 if alone > best[closed]:
                     best[closed], back[closed], piece[closed] = alone, closed - 1, -1
-
-        for end, (size, score, i) in self.automaton.iter(text):
-            if closed < end:
-                close(end)
             got = best[end + 1 - size] + score
             if got > best[end + 1]:
                 best[end + 1], back[end + 1], piece[end + 1] = got, end + 1 - size, i
-        close(n)
+        while closed < n:
+            closed += 1
+            alone = best[closed - 1] + unknown
+            if alone > best[closed]:
+                best[closed], back[closed], piece[closed] = alone, closed - 1, -1
         ids: list[int] = []
         at = n
         while at:
@@ -127,9 +135,9 @@ class Codec:
                 ids.extend(self.byte_ids[b] for b in reversed(text[at - 1].encode()))
             at = back[at]
         ids.reverse()
-        return tuple(ids), best[n]
+        return struct.pack(f"<{len(ids)}i", *ids), best[n]
 
-    def _stretch(self, s: str) -> tuple:
+    def _stretch(self, s: str) -> tuple[bytes, float]:
         got = self.young.get(s)
         if got is None:
             got = self.old.pop(s, None) or self.viterbi(s)
@@ -139,31 +147,55 @@ class Codec:
                 self.young[s] = got
         return got
 
-    def encode(self, text: str) -> tuple[list[int], float]:
-        ids: list[int] = []
-        score = 0.0
+    def _word(self, w: str) -> tuple[bytes, float]:
+        """A word after one space."""
+        got = self.old_words.pop(w, None) or self.viterbi(SPACE + w)
+        if len(self.words) >= KEPT:
+            self.old_words, self.words = self.words, {}
+        if len(w) <= 64:
+            self.words[w] = got
+        return got
+
+    def _escaped(self, text: str) -> list[tuple[bytes, float]]:
+        return [self._stretch(s) for s in self.split.findall(text)] if self.split else [self.viterbi(text)]
+
+    def _lines(self, text: str) -> list[tuple[bytes, float]]:
+        """As ``_escaped``, without its search: lines and single spaces."""
+        out: list[tuple[bytes, float]] = []
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append(self._stretch("\n"))
+            words = line.split(" ")
+            if "" in words:
+                out.extend(self._escaped(("" if k else SPACE) + line.replace(" ", SPACE)))
+                continue
+            if k:
+                out.append(self._stretch(words[0]))
+                del words[0]
+            got = list(map(self.words.get, words))
+            if None in got:
+                got = [g or self._word(w) for g, w in zip(got, words)]
+            out.extend(got)
+        return out
+
+    def encode(self, text: str) -> tuple[np.ndarray, float]:
+        """Ids (int32) and score of a text."""
         if not text:
-            return ids, score
-        for k, part in enumerate(text.split(SPACE)):
-            if k:  # a U+2581 of the text itself
-                ids.extend(self.byte_ids[b] for b in SPACE.encode())
-                score += self.unknown
-            escaped = part.replace(" ", SPACE) if k else SPACE + part.replace(" ", SPACE)
-            for s in self.split.findall(escaped) if self.split else [escaped]:
-                got, more = self._stretch(s)
-                ids.extend(got)
-                score += more
-        return ids, score
-
-    def decode(self, ids) -> str:
-        out: list[bytes] = []
-        for i in ids:
-            if self.kinds[i] == "b":
-                out.append(bytes([int(self.pieces[i][3:5], 16)]))
-            elif self.kinds[i] != "x":
-                out.append(self.pieces[i].replace(SPACE, " ").encode())
-        data = b"".join(out)
-        return data[1:].decode("utf-8", "replace") if data[:1] == b" " else data.decode("utf-8", "replace")
+            return np.zeros(0, "<i4"), 0.0
+        if self.by_line and SPACE not in text:
+            out = self._lines(text)
+        else:
+            out = []
+            for k, part in enumerate(text.split(SPACE)):
+                if k:  # a U+2581 of the text itself
+                    own = [self.byte_ids[b] for b in SPACE.encode()]
+                    out.append((struct.pack(f"<{len(own)}i", *own), self.unknown))
+                out.extend(self._escaped(("" if k else SPACE) + part.replace(" ", SPACE)))
+        return np.frombuffer(b"".join([g[0] for g in out]), "<i4"), math.fsum([g[1] for g in out])
+
+    def decode(self, ids: np.ndarray) -> str:
+        data = b"".join(map(self.text_of.__getitem__, ids.tolist()))
+        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
 _codecs: dict[str, Codec] = {}
@@ -193,7 +225,7 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> Dat
                 ids, scores = [], []
                 for t in column.slice(lo, 256):
                     got = (None, None) if not t.is_valid else c.encode(t.as_py())
-                    ids.append(None if got[0] is None else np.asarray(got[0], np.int32))
+                    ids.append(got[0])
                     scores.append(got[1])
                 yield pa.record_batch(
                     [*part.columns, pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64())],
@@ -224,16 +256,34 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def report(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256 (of the ids, comma-joined),
-    piece_score, decoded_sha256, exact (decoding gives the text back)."""
+    """Per row: doc_id, n_tokens, ids_sha256 (of the ids as little-endian
+    int32), piece_score, decoded_sha256, exact (decoding gives the text back).
+
+    Encoding and decoding share a pass, so that ids need not leave the task.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    d = decode(encode(rows, model=model), model=model)
-    sha = lambda c: F.sha2(c.cast("binary"), 256)
-    return d.select(
-        "doc_id",
-        F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"),
-        sha(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("ids_sha256"),
-        "piece_score",
-        sha(F.col("decoded")).alias("decoded_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("exact"),
+    vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model or default_model()))
+    kinds = [pa.int64(), pa.string(), pa.float64(), pa.string(), pa.bool_()]
+    names = ["n_tokens", "ids_sha256", "piece_score", "decoded_sha256", "exact"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(vocabulary.value)
+        for batch in batches:
+            out: list[tuple] = []
+            for t in batch.column("text"):
+                if not t.is_valid:
+                    out.append((0, None, None, None, True))
+                    continue
+                text = t.as_py()
+                ids, score = c.encode(text)
+                back = c.decode(ids)
+                shas = [hashlib.sha256(x).hexdigest() for x in (ids.tobytes(), back.encode())]
+                out.append((len(ids), shas[0], score, shas[1], back == text))
+            cols = zip(*out) if out else [()] * len(kinds)
+            yield pa.record_batch(
+                [batch.column("doc_id"), *(pa.array(x, k) for x, k in zip(cols, kinds))], ["doc_id", *names]
+            )
+
+    return rows.mapInArrow(
+        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, piece_score double, decoded_sha256 string, exact boolean"
     )
