@@ -10,9 +10,9 @@ class, and the classes are joined:
    Two classes stay together at one draw with the probability of their
    similarity, so with two draws a pair at 0.8 survives any depth with
    probability 0.9375 or more, and all runs miss it with about 2e-5;
-2. children of one class end; children of at most ``SMALL`` classes are
-   leaves; larger ones are split again, down to ``DEPTH``. Leaves still larger
-   are cut into blocks, and every pair of blocks is a task unit of its own: no
+2. children of one class end; children of at most ``SMALL`` classes, or of over
+   half their parent, are leaves; others are split again, down to ``DEPTH``.
+   Leaves still larger are cut into blocks, and every pair of blocks is a task unit of its own: no
    leaf meets whole in one task;
 3. in a leaf (or pair of blocks) all pairs are compared, first on their
    tokens, then on their whole sets. A pair is counted in its first common
@@ -43,8 +43,9 @@ RUNS = 4
 FANOUT = 2
 SMALL = 128
 DEPTH = 3
-BLOCK = 512
+BLOCK = 1024
 SLACK = 0.25  # tokens that agree may fall short of LEAST by this share
+LABELS = 1 << 20  # rows of a file of labels
 SEED = 6
 
 _rng = np.random.default_rng(SEED)
@@ -118,33 +119,36 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 # ---- chosen paths ------------------------------------------------------------------
 def _children(rows: DataFrame) -> DataFrame:
-    """(cid, node) one level down, from (cid, node, sig)."""
+    """(cid, up, node) one level down, from (cid, up, node, sig); up is the
+    number of classes in the parent."""
 
     def child(s: int):
         at = F.pmod(F.xxhash64(F.col("node"), F.lit(s)), F.lit(SAMPLES)).cast("int")
         return F.xxhash64(F.col("node"), F.lit(s), F.element_at("sig", at + 1))
 
-    return rows.select("cid", F.explode(F.array(*[child(s) for s in range(FANOUT)])).alias("node"))
+    return rows.select("cid", "up", F.explode(F.array(*[child(s) for s in range(FANOUT)])).alias("node"))
 
 
 def leaves(classes: DataFrame) -> DataFrame:
     """(cid, node, n): the leaves of at least two classes."""
-    spark = classes.sparkSession
     roots = F.array(*[F.xxhash64(F.lit(SEED), F.lit(r)) for r in range(RUNS)])
-    rows = _children(classes.select("cid", "sig", F.explode(roots).alias("node")))
+    everything = F.lit(None).cast("bigint").alias("up")
+    rows = _children(classes.select("cid", "sig", everything, F.explode(roots).alias("node")))
     out = []
     for depth in range(1, DEPTH + 1):
-        rows = common.stored(rows, f"paths-{depth}")
         size = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         here = common.stored(rows.join(size, "node"), f"nodes-{depth}")
         if depth == DEPTH:
             out.append(here)
             break
-        out.append(here.where(F.col("n") <= SMALL))
-        large = here.where(F.col("n") > SMALL)
+        # a child with over half its parent is one cluster: no use to split it
+        tight = F.coalesce(F.col("n") * 2 > F.col("up"), F.lit(False))
+        out.append(here.where((F.col("n") <= SMALL) | tight))
+        large = here.where((F.col("n") > SMALL) & ~tight)
         if large.isEmpty():
             break
-        rows = _children(large.drop("n").join(classes.select("cid", "sig"), "cid"))
+        below = large.select("cid", "node", F.col("n").alias("up")).join(classes.select("cid", "sig"), "cid")
+        rows = _children(below)
     all_ = out[0]
     for more in out[1:]:
         all_ = all_.unionByName(more)
@@ -298,12 +302,12 @@ def _links(key: tuple, held: list[pa.Table]):
 
 # ---- components ---------------------------------------------------------------------
 def components(edges: DataFrame) -> DataFrame:
-    """(cid, label): the smallest member of each connected component."""
-    both = common.stored(
-        edges.unionByName(edges.select(F.col("root").alias("cid"), F.col("cid").alias("root"))).where("cid <> root").distinct(),
-        "edges",
-    )
-    labels = common.stored(both.groupBy("cid").agg(F.least("cid", F.min("root")).alias("label")), "labels")
+    """(cid, label): the smallest member of each connected component. Labels
+    are a table per round, in files of about ``LABELS`` rows."""
+    back = edges.select(F.col("root").alias("cid"), F.col("cid").alias("root"))
+    both = common.stored(edges.unionByName(back).where("cid <> root").distinct(), "edges")
+    labels = both.groupBy("cid").agg(F.least("cid", F.min("root")).alias("label"))
+    files = 1 + both.count() // LABELS
     while True:
         near = (
             both.join(labels.select(F.col("cid").alias("root"), "label"), "root")
@@ -314,7 +318,7 @@ def components(edges: DataFrame) -> DataFrame:
         lower = lower.join(jump, "label", "left").select(
             "cid", F.least("label", F.coalesce("next", "label")).alias("label"), "was"
         )
-        lower = common.stored(lower, "labels")
+        lower = common.stored(lower.coalesce(files), "labels")
         labels = lower.select("cid", "label")
         if lower.where("label <> was").isEmpty():
             return labels
@@ -337,7 +341,7 @@ def join(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    in_leaves = common.stored(leaves(classes), "leaves")
+    in_leaves = leaves(classes)
     lists = in_leaves.groupBy("cid").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
     known = common.stored(classes.select("cid", "sig", "copies", "member").join(lists, "cid"), "leaf-lists")
     unit_rows = _units(in_leaves)
