@@ -10,31 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm import exact_dedup, jaccard_join, mixing, pieces, toxicity
-from matchlake.llm.common import documents, labels, stored
+from matchlake.llm.common import bounded_batches, documents, labels, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
+    bounded_batches(spark)
     return toxicity.drop_toxic(docs, labels(spark, sf_dir))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the smallest doc_id stays."""
+    bounded_batches(spark)
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at 0.8 on five-word runs stays."""
+    bounded_batches(spark)
     return jaccard_join.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    bounded_batches(spark)
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
+    bounded_batches(spark)
     e = pieces.encode(docs.select("doc_id", "source", "text"))
     return e.selectExpr("doc_id", "source", "ids", "cast(coalesce(size(ids), 0) as bigint) AS n_tokens", "piece_score")
 

@@ -9,9 +9,22 @@ from ..session import scratch_path
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Batches of whole texts: thousands of long texts would not fit a reader's
+#: buffers or a Python worker.
+BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
+}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Session settings for rows that hold whole texts."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -19,12 +32,21 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back: later stages
-    (and retries after a lost executor) start from files, not from lineage."""
+    (and retries after a lost executor) start from files, not from lineage.
+
+    Such tables are much smaller than the texts, so several partitions share a
+    file: an eighth of the shuffle partitions, and at least two a core.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    files = max(2 * spark.sparkContext.defaultParallelism, partitions(spark) // 8)
+    df.coalesce(files).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -32,7 +54,3 @@ def fold(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id's decimal text modulo n; a null id counts as ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -14,7 +14,7 @@ shard: the slot's 32 bytes are compared in full, so a nonmember that falls on
 a slot is never taken for a member. Members join the history's group,
 nonmembers form groups of their own.
 
-A shard holds about ``SHARD`` digests however large the history is. Groups of
+A shard holds at most about ``SHARD`` digests however large the history is. Groups of
 copies are reduced by partial aggregation before any shuffle, and the last
 join carries ids and digests only (Spark splits a hot digest there).
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SHARD = 1024  # digests per shard, on average
+SHARD = 1024  # rows per shard, on average
 GAMMA = 1.5  # positions per digest on each level
 LEVELS = 64
 
@@ -141,9 +141,8 @@ def _sharded(df: DataFrame, shards: int) -> DataFrame:
 
 def build_index(history: DataFrame) -> tuple[DataFrame, int]:
     """The stored index over (doc_id, digest) rows, and its number of shards."""
-    distinct = common.stored(reduced(history), "history-digests")
-    shards = max(1, -(-distinct.count() // SHARD))
-    index = _sharded(distinct, shards).groupBy("shard").applyInPandas(_build, INDEX_SCHEMA)
+    shards = max(1, -(-history.count() // SHARD))
+    index = _sharded(reduced(history), shards).groupBy("shard").applyInPandas(_build, INDEX_SCHEMA)
     return common.stored(index, "mph"), shards
 
 
@@ -198,10 +197,15 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    tagged = docs.withColumn("__digest", digest(F.col("text")))
+
+    def key(of: str) -> Column:
+        return F.xxhash64(F.col("doc_id"), F.col(of))
+
+    tagged = docs.withColumn("__digest", digest(F.col("text"))).withColumn("__k", key("__digest"))
     rows = common.stored(tagged.select("doc_id", F.col("__digest").alias("digest")), "digests")
-    g = groups(*split_history(rows)).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("doc_id"))
-    here = tagged["__digest"] == g["__digest"]
-    j = tagged.join(g, here & tagged["doc_id"].eqNullSafe(g["doc_id"]), "left_semi")
-    again = Window.partitionBy("__digest", "doc_id").orderBy(F.lit(1))
+    g = groups(*split_history(rows)).select("digest", F.col("keep_id").alias("doc_id"))
+    stay = g.select(F.col("digest").alias("__digest"), key("digest").alias("__k"))
+    # join and numbering share their keys, and so one shuffle of the texts
+    again = Window.partitionBy("__k", "__digest").orderBy(F.lit(1))
+    j = tagged.join(stay, ["__k", "__digest"], "left_semi")
     return j.withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*docs.columns)

@@ -143,7 +143,7 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def plan(sized: DataFrame) -> DataFrame:
     """(source, size, n, source_size, target, passes, extra) per source and size."""
-    hist = common.stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-histogram")
+    hist = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     totals = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("bigint").alias("source_size"))
     t = targets(totals)
     h = hist.alias("h").join(t.alias("t"), F.col("h.source").eqNullSafe(F.col("t.source")))
@@ -154,15 +154,12 @@ def plan(sized: DataFrame) -> DataFrame:
     )
 
 
-def _sized(docs: DataFrame, key: str) -> DataFrame:
-    """Ids, sources, sizes and seeded hashes, stored: texts are read once."""
+def _sized(docs: DataFrame) -> DataFrame:
+    """Ids, sources, sizes and seeded hashes: all that the mix needs."""
     h = F.xxhash64(F.lit(SEED), F.col("doc_id"))
-    return common.stored(
-        docs.select(
-            "doc_id", F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"),
-            h.alias("hash"), F.pmod(F.shiftright(h, 8), F.lit(BUCKETS)).alias("bucket"),
-        ),
-        key,
+    return docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"),
+        h.alias("hash"), F.pmod(F.shiftright(h, 8), F.lit(BUCKETS)).alias("bucket"),
     )
 
 
@@ -170,7 +167,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target,
     taken. A document is taken 0, 1 or 2 times; rows that repeat an id are
     documents of their own (ties in the seeded hash break by row)."""
-    sized = _sized(docs, "sized")
+    sized = common.stored(_sized(docs), "sized")
     p = common.stored(plan(sized), "mix-plan")
     keys = ["source", "size"]
     # cumulated counts per hash bucket: at most BUCKETS rows per (source, size)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import arrays, common, sampling
 
-SAMPLE = 12_000  # labelled documents for mining and training, about
+SAMPLE = 9_000  # labelled documents for mining and training, about
 PER_DOC = 4096  # distinct features of a sample document
 THRESHOLD = 0.3
 MIN_DOCS = 4  # toxic sample documents a tied feature occurs in
