@@ -41,6 +41,11 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
 
 
+def _hashes(parts: Column, seed: int) -> Column:
+    # one parameter only: a second one would be the place in the array
+    return F.transform(parts, lambda p: F.xxhash64(F.lit(seed), p))
+
+
 def _total(hashes: Column, part) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.aggregate(hashes, zero, lambda acc, h: acc + part(h))
@@ -50,9 +55,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: struct(exact array<bigint>, signs array<bigint>)."""
     hs = [f"_{out}_h{i}" for i in range(EXACT // 2 + 1)]
     df = df.withColumn(f"_{out}_p", pieces(F.col(text)))
-    df = df.withColumns(
-        {h: F.transform(f"_{out}_p", lambda p, i=i: F.xxhash64(F.lit(i), p)) for i, h in enumerate(hs)}
-    )
+    df = df.withColumns({h: _hashes(F.col(f"_{out}_p"), i) for i, h in enumerate(hs)})
     exact = []
     for h in hs[1:]:
         exact.append(_total(F.col(h), lambda x: x.bitwiseAND(F.lit(LOW32))))
