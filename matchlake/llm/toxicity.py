@@ -16,6 +16,8 @@ A logistic regression is then trained on the posterior labels of the sample,
 with the votes and the tied words as features, and scores every whole text.
 
 Null and empty texts have no words and get the score of a text without hits.
+Without labelled training rows the label model's own odds stand in for the
+trained weights.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from . import arrays, common, sampling
 SAMPLE = 9_000  # labelled documents for mining and training, about
 PER_DOC = 4096  # distinct features of a sample document
 THRESHOLD = 0.3
-MIN_DOCS = 4  # toxic sample documents a tied feature occurs in
+MIN_DOCS, MIN_SHARE = 4, 0.005  # toxic sample documents a tied feature occurs in, at least
 LEAST_LIFT = 2.0  # log odds of a tied feature, lower bound
 SEED = 4
 
@@ -183,7 +185,7 @@ def mine(sample: pa.Table) -> Mined:
         pos, neg = bad + 0.5, n - bad + 0.5
         lift = np.log(pos / max(y.sum(), 1)) - np.log(neg / max((~y).sum(), 1))
         sure = lift - 1.0 * np.sqrt(1 / pos + 1 / neg)
-        out.append(keys[(bad >= MIN_DOCS) & (sure >= LEAST_LIFT)])
+        out.append(keys[(bad >= max(MIN_DOCS, MIN_SHARE * y.sum())) & (sure >= LEAST_LIFT)])
     return Mined(*out)
 
 
@@ -352,6 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     for code, n in list(table.items()):
         if code % 3:
             table[code - code % 3] = max(table.get(code - code % 3, 0) - n, 0)
+    table = table or {0: 0}
     code = np.array(sorted(table), np.int64)
     count = np.array([table[c] for c in code], np.float64)
     votes = (code[:, None] // 3 >> np.arange(len(VOTERS))) & 1
@@ -362,6 +365,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     size = len(mined.words) + len(mined.begins) + len(mined.endings)
     target = model.posterior(own, label) if len(label) else np.zeros(0)
     b, wv, wf = fit_linear(own, rows, feats, size, target)
+    if not len(label):  # nothing to train on: the label model's own odds
+        odds = np.log(np.clip(model.sensitivity, 0.01, 0.99) / np.clip(1 - model.specificity, 0.01, 0.99))
+        b, wv = float(np.log(model.prior / (1 - model.prior))), odds
     return Classifier(mined, model, b, wv, wf)
 
 
@@ -381,10 +387,11 @@ def _sample_own_votes(sample: pa.Table, mined: Mined, drawn: DataFrame, shared)
     return (code[:, None] >> np.arange(len(VOTERS))) & 1
 
 
-def scores(docs: DataFrame, model: Classifier) -> DataFrame:
-    """``docs`` with score double and votes array<string> (voters that fired)."""
-    names = [c for c in docs.columns if c not in ("score", "votes")]
-    schema = docs.select(*names, F.lit(0.0).alias("score"), F.array(F.lit("")).alias("votes")).schema
+def scores(docs: DataFrame, model: Classifier, score: str = "score", votes: str = "votes") -> DataFrame:
+    """``docs`` with a double score and the array of voters that fired, under
+    the given names (columns of ``docs`` with these names are replaced)."""
+    names = [c for c in docs.columns if c not in (score, votes)]
+    schema = docs.select(*names, F.lit(0.0).alias(score), F.array(F.lit("")).alias(votes)).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,13 +399,13 @@ def scores(docs: DataFrame, model: Classifier) -> DataFrame:
         voting = Voting(m.mined)
         for batch in batches:
             for w in _words(batch.column(names.index("text"))):
-                votes, rows, feats = voting(w)
-                z = m.bias + votes @ m.vote_weights + np.bincount(rows, m.feature_weights[feats], minlength=w.rows)
-                score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                fired = [[VOTERS[j] for j in np.flatnonzero(v)] for v in votes]
+                fired, rows, feats = voting(w)
+                z = m.bias + fired @ m.vote_weights + np.bincount(rows, m.feature_weights[feats], minlength=w.rows)
+                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                voters = [[VOTERS[j] for j in np.flatnonzero(v)] for v in fired]
                 part = batch.slice(w.lo, w.rows)
                 yield pa.record_batch(
-                    [*part.columns, pa.array(score), pa.array(fired, pa.list_(pa.string()))], [*names, "score", "votes"]
+                    [*part.columns, pa.array(p), pa.array(voters, pa.list_(pa.string()))], [*names, score, votes]
                 )
 
     return docs.select(*names).mapInArrow(run, schema)
@@ -419,6 +426,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    s = scores(docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs, fit(docs, labels))
-    kept = s.where(F.col("score") < THRESHOLD).drop("score", "votes")
-    return kept.select(*[F.col("__score").alias("score") if c == "score" else F.col(c) for c in docs.columns])
+    s = scores(docs, fit(docs, labels), "__toxic_score", "__toxic_votes")
+    return s.where(F.col("__toxic_score") < THRESHOLD).select(*docs.columns)
