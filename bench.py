@@ -1,12 +1,11 @@
-"""Benchmark: the headline queries at one scale factor, native and as-written.
+"""Benchmark: the headline queries at one scale factor.
 
 Stages (all on Spark, local[$BENCH_CPUS]):
   derive   raw tables derived from the driver tables, written once as Parquet
-  models   M4-M7 over the raw Parquet (native / as-written pairs)
-  flatten  documents landed as Parquet bronze, then R4 / R6 native / as-written
-  job      the range job (W2) over the whole history; the daily job as
-           written (inferred schema, 12 writes) vs native on one day; a
-           30-day backfill as per-day runs vs one range job
+  models   M4-M7 over the raw Parquet
+  flatten  documents landed as Parquet bronze, then R4 / R6
+  job      the range job (W2) over the whole history; the daily job on one
+           day; a 30-day backfill as one range job
   extract  veto-line, result-block and headline extraction over whole tables
 
 Every query is executed completely with the ``noop`` sink (no collect).
@@ -50,55 +49,10 @@ def timed(fn, repeat: int = 1) -> float:
     return round(best, 3)
 
 
-def timed_pair(times: dict, name: str, native, written, repeat: int = 2) -> None:
-    """Native and as-written forms, interleaved, best of ``repeat`` each."""
-    n, w = [], []
-    for _ in range(repeat):
-        n.append(timed(native))
-        w.append(timed(written))
-    times[name] = min(n)
-    times[f"{name}_as_written"] = min(w)
-
-
 BACKFILL_DAYS = 30
 REPEAT = 2  # best of two for the cheap queries; the write-heavy jobs run once
 
 
-def daily_job_as_written(spark, landing_root: str, day: str) -> None:
-    """The reference's run, for comparison: inferred JSON schema, a count
-    guard, then every frame written on its own (12 appends), each one a new
-    scan of the source."""
-    src = spark.read.json(f"{landing_root}/extract_date={day}")
-    if src.count() == 0:
-        return
-    out = scratch_path(spark, "bench-as-written")
-    match_date = F.lit(day)
-    frames = [
-        ("matchs", flatten.matchs(src, match_date)),
-        ("teams", flatten.teams(src)),
-        ("players", flatten.players(src)),
-    ]
-    x = src.select("match_id", "maps.*").withColumn("ban", F.explode("bans")).withColumn(
-        "pick", F.explode("picks")).select("match_id", "ban", "pick")
-    for kind in ("ban", "pick"):
-        frames.append(("maps_vetos", x.select("match_id", F.lit(kind).alias("type"),
-                       f"{kind}.choice_number", f"{kind}.map_name", f"{kind}.team_id").dropDuplicates()))
-    picks = x.select("match_id", "pick.*")
-    frames.append(("maps_results", picks.withColumn("r", F.explode("results")).select(
-        "match_id", "choice_number", "map_name", F.col("team_id").alias("pick_team_id"), "r.*"
-    ).dropDuplicates()))
-    st = src.select("match_id", F.explode("stats").alias("s")).select(
-        "match_id", F.col("s.map").alias("map_name"), "s.team1", "s.team2")
-    for slot in ("team1", "team2"):
-        for side in ("ct", "tr", "total"):
-            frames.append(("match_stats", st.select(
-                "match_id", F.lit(side).alias("side"), "map_name",
-                F.explode(f"{slot}.{side}").alias("p")).select("match_id", "side", "map_name", "p.*")
-                .dropDuplicates()))
-    for name, df in frames:
-        df.write.mode("append").parquet(f"{out}/{name}")
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -128,27 +82,21 @@ def main() -> None:
     times["stg_matchs"] = timed(lambda: run(models.stg_matchs(mt)), REPEAT)
     times["stg_maps_vetos"] = timed(lambda: run(models.stg_maps_vetos(mv, cat["maps"])), REPEAT)
     times["pair_bounds"] = timed(lambda: run(models.pair_bounds(mr, tm)), REPEAT)
-    timed_pair(times, "stg_maps_results",
-               lambda: run(models.stg_maps_results(mr, mt, tm)),
-               lambda: run(models.stg_maps_results(mr, mt, tm, as_written=True)), REPEAT)
-    timed_pair(times, "stg_match_stats",
-               lambda: run(models.stg_match_stats(ms)),
-               lambda: run(models.stg_match_stats(ms, as_written=True)), REPEAT)
+    times["stg_maps_results"] = timed(lambda: run(models.stg_maps_results(mr, mt, tm)), REPEAT)
+    times["stg_match_stats"] = timed(lambda: run(models.stg_match_stats(ms)), REPEAT)
 
     # ---- bronze and flatten ------------------------------------------------------------
     bronze = scratch_path(spark, "bench-bronze")
     times["land_documents"] = timed(
-        lambda: io.land_documents(Q.documents(spark, sf_dir), bronze, layout=Q.JOB_LAYOUT)
+        lambda: io.land_documents(Q.documents(spark, sf_dir), bronze, layout="month")
     )
-    docs = io.read_bronze(spark, bronze, layout=Q.JOB_LAYOUT)
-    timed_pair(times, "flatten_vetos", lambda: run(flatten.vetos(docs)),
-               lambda: run(flatten.vetos(docs, as_written=True)), REPEAT)
-    timed_pair(times, "flatten_stats", lambda: run(flatten.stats(docs)),
-               lambda: run(flatten.stats(docs, as_written=True)), REPEAT)
+    docs = io.read_bronze(spark, bronze, layout="month")
+    times["flatten_vetos"] = timed(lambda: run(flatten.vetos(docs)), REPEAT)
+    times["flatten_stats"] = timed(lambda: run(flatten.stats(docs)), REPEAT)
 
     # ---- the range job over the whole history ----------------------------------------------
     job_root = scratch_path(spark, "bench-job")
-    times["range_job"] = timed(lambda: job.run_range(spark, bronze, job_root, layout=Q.JOB_LAYOUT))
+    times["range_job"] = timed(lambda: job.run_range(spark, bronze, job_root, layout="month"))
 
     # ---- daily job as written vs native, backfill per day vs one range job --------------------
     days = [r.extract_date for r in docs.select("extract_date").distinct()
@@ -159,17 +107,9 @@ def main() -> None:
         docs.where(F.col("extract_date").isin(days)).groupBy("extract_date").count()
         .orderBy(F.desc("count"), "extract_date").first().extract_date
     )
-    try:
-        times["daily_job_as_written"] = timed(lambda: daily_job_as_written(spark, json_root, busiest))
-    except Exception:  # noqa: BLE001 - inferred schema broke (the reference's own fragility)
-        times["daily_job_as_written"] = None
     times["daily_job"] = timed(
         lambda: job.run_day(spark, json_root, busiest, scratch_path(spark, "bench-day"), fmt="json")
     )
-    per_day_root = scratch_path(spark, "bench-per-day")
-    times["backfill_days_as_written"] = timed(
-        lambda: [job.run_day(spark, json_root, d, per_day_root, fmt="json") for d in days]
-    )
     times["backfill_days"] = timed(
         lambda: job.run_range(spark, json_root, scratch_path(spark, "bench-range"),
                               start=days[0], end=days[-1], fmt="json")
@@ -183,22 +123,17 @@ def main() -> None:
 
     times["veto_lines"] = timed(lambda: run(extract.parse_veto_lines(lines)), REPEAT)
     times["played_picks"] = timed(lambda: run(extract.played_picks(pages)), REPEAT)
+    stored_heads = scratch_path(spark, "bench-headlines")
+    heads.write.parquet(stored_heads)
+    heads = spark.read.parquet(stored_heads)
     times["headline_day"] = timed(lambda: run(extract.headline_day(heads, days_)), REPEAT)
     times["page_fields"] = timed(lambda: run(Q.q_page_fields(spark, sf_dir)), REPEAT)
 
-    native = [k for k in times if not k.endswith("_as_written")]
-    pairs = {
-        k: round(times[f"{k}_as_written"] / times[k], 2)
-        for k in ("stg_maps_results", "stg_match_stats", "flatten_vetos", "flatten_stats",
-                  "daily_job", "backfill_days")
-        if times.get(k) and times.get(f"{k}_as_written")
-    }
     out = {
         "metric": "native_total_sec",
-        "value": round(sum(times[k] for k in native), 3),
+        "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "speedup_native_vs_as_written": pairs,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "backfill_days": BACKFILL_DAYS,

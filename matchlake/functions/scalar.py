@@ -28,9 +28,11 @@ def best_of_label(best_of_type: ColumnOrName) -> Column:
 
 
 def strict_int(s: ColumnOrName) -> Column:
-    """Text to integer; bad text fails the query (ANSI cast), blanks around
-    digits are accepted."""
-    return _c(s).cast("int")
+    """Text to integer; bad text fails the query, whether or not the
+    session casts by ANSI rules. Blanks around digits are accepted."""
+    got = _c(s).try_cast("int")
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), _c(s))).cast("int")
+    return F.when(got.isNotNull() | _c(s).isNull(), got).otherwise(bad)
 
 
 def lenient_int(s: ColumnOrName) -> Column:
@@ -49,19 +51,29 @@ def series_score(
     return F.when(bo == "Best of 1", F.when(mine > theirs, 1).otherwise(0)).otherwise(mine)
 
 
+# Position of a played map in its series, by format (None: any
+# other) and choice number.
+MAP_CHOICES = {
+    "Best of 1": {"3": "Map 1", "4": "Map 2", "5": "Map 1", "6": "Map 2", "7": "Map 1"},
+    "Best of 3": {"3": "Map 1", "4": "Map 2", "7": "Map 3"},
+    "Best of 5": {"3": "Map 1", "4": "Map 2", "5": "Map 3", "6": "Map 4", "7": "Map 5"},
+    None: {"3": "Map 1", "4": "Map 2"},
+}
+
+
+def _literal_map(d: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+
+
 def map_choice(best_of_type: ColumnOrName, choice_number: ColumnOrName) -> Column:
-    """Position of a played map in the series; first true arm wins, no
-    ELSE (NULL). choice_number compares as text."""
-    bo = F.trim(_c(best_of_type))
-    ch = _c(choice_number)
-    bo1, bo3, bo5 = bo == "Best of 1", bo == "Best of 3", bo == "Best of 5"
-    return (
-        F.when((bo1 & ((ch == "5") | (ch == "7"))) | (ch == "3"), "Map 1")
-        .when((bo1 & (ch == "6")) | (ch == "4"), "Map 2")
-        .when((bo3 & (ch == "7")) | (bo5 & (ch == "5")), "Map 3")
-        .when(bo5 & (ch == "6"), "Map 4")
-        .when(bo5 & (ch == "7"), "Map 5")
-    )
+    """Position of a played map in the series, from the table above;
+    NULL outside it. choice_number compares as text."""
+    bo = F.coalesce(F.trim(_c(best_of_type)), F.lit(""))
+    known = {k: v for k, v in MAP_CHOICES.items() if k is not None}
+    table = F.when(~bo.isin(*known), _literal_map(MAP_CHOICES[None]))
+    for label, choices in known.items():
+        table = table.when(bo == label, _literal_map(choices))
+    return F.try_element_at(table, _c(choice_number))
 
 
 def or_left(team_id: ColumnOrName) -> Column:
@@ -77,11 +89,8 @@ def day_before(iso_day: ColumnOrName) -> Column:
 
 def month_number(month_name: ColumnOrName) -> Column:
     """X11: English month name to two-digit text; unknown names give NULL."""
-    m = _c(month_name)
-    c = None
-    for i, name in enumerate(MONTHS, start=1):
-        c = F.when(m == name, f"{i:02d}") if c is None else c.when(m == name, f"{i:02d}")
-    return c
+    numbers = {name: f"{i:02d}" for i, name in enumerate(MONTHS, start=1)}
+    return F.try_element_at(_literal_map(numbers), _c(month_name))
 
 
 def ordinal_suffix(day: ColumnOrName) -> Column:

@@ -1,14 +1,11 @@
 """Assemble nested match documents from flat rows (the inverse of the
 flatten), as the extraction step produces them.
 
-All flat rows of a match (vetos, results, player lines) become one tagged
-entry each; one ``groupBy(match_id).agg(collect_set)`` gathers them and
-the nesting (bans, picks with their results, scoreboards per map and side)
-is built inside the row with ``filter`` / ``transform`` / ``sort_array``.
-One shuffle and one aggregation in all, then one join to the match header.
-A collected group is one match's distinct content (two teams, at most
-seven vetos, the scoreboards of the maps played), i.e. bounded by the
-document, not by the table, even when raw rows were appended many times.
+Every list is one filtered aggregate of its own flat table, built bottom-up:
+results per pick, six scoreboards per map, then one row per match; all of it
+is dealt by match_id once, and each flat row is touched once. A group is one
+match's distinct content (two teams, at most seven vetos, the scoreboards of
+the maps played), also where raw rows were appended many times.
 """
 
 from __future__ import annotations
@@ -16,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import PLAYER, RESULT, TEAM_SLOTS
+from ..schemas import RESULT, TEAM_SLOTS
 
+BOARD_ORDER = ("total", "tr", "ct")
 PLAYER_FIELDS = ["player_id", "team_id", "nick", "kd", "diff", "adr", "kast", "rating"]
-_PLAYER_TYPE = PLAYER.simpleString()
 _RESULT_TYPE = RESULT.simpleString()
 
 
@@ -64,83 +61,48 @@ def documents(
         F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd").alias("extract_date"),
     )
 
-    # every flat row of a match as one tagged entry; one shuffle and one
-    # aggregation per match, the nesting is then built with array functions
-    null_s = F.lit(None).cast("string")
-    player = F.struct(*PLAYER_FIELDS)
+    def gathered(cond, *fields):
+        """Sorted distinct structs of the rows that meet ``cond``."""
+        return F.sort_array(F.collect_set(F.when(cond, F.struct(*fields))))
 
-    def entry(kind, choice=null_s, team_id=null_s, map_name=null_s, vtype=null_s,
-              side_no=F.lit(None).cast("int"), res=None, slot=null_s, side=null_s, p=None):
-        return F.struct(
-            F.lit(kind).alias("kind"), choice.alias("choice_number"), team_id.alias("team_id"),
-            map_name.alias("map_name"), vtype.alias("vtype"), side_no.alias("side_no"),
-            (res if res is not None else F.lit(None).cast(_RESULT_TYPE)).alias("res"),
-            slot.alias("slot"), side.alias("side"),
-            (p if p is not None else F.lit(None).cast(_PLAYER_TYPE)).alias("player"),
-        ).alias("e")
-
-    c = F.col
-    entries = (
-        maps_vetos.select("match_id", entry("veto", c("choice_number"), c("team_id"), c("map_name"), c("type")))
-        .unionByName(maps_results.select("match_id", entry(
-            "result", c("choice_number"), side_no=c("side_no").cast("int"),
-            res=F.struct("team_name", "result", "ct", "t"))))
-        .unionByName(match_stats_slot.select("match_id", entry(
-            "stat", map_name=c("map_name"), slot=c("slot"), side=c("side"), p=player)))
+    veto = [F.col("choice_number"), F.col("team_id"), F.col("map_name")]
+    vetos = maps_vetos.groupBy("match_id").agg(
+        gathered(F.col("type") == "ban", *veto).alias("bans"), gathered(F.col("type") == "pick", *veto).alias("picks")
     )
-    # collect_set: copies of a re-appended match collapse in the map-side
-    # partial aggregate, so a group is bounded by the match's distinct
-    # content (every list is sorted below, and the flatten dedupes anyway)
-    per_match = entries.groupBy("match_id").agg(F.collect_set("e").alias("es"))
-
-    def of(kind, pred=None):
-        return lambda x: (x["kind"] == kind) & (pred(x) if pred else F.lit(True))
-
-    es = F.col("es")
-    bans = F.transform(
-        F.sort_array(F.transform(F.filter(es, of("veto", lambda x: x["vtype"] == "ban")),
-                                 lambda x: F.struct(x["choice_number"].alias("c"), x["team_id"].alias("t"), x["map_name"].alias("m")))),
-        lambda x: F.struct(x["t"].alias("team_id"), x["c"].alias("choice_number"), x["m"].alias("map_name")),
+    per_choice = maps_results.repartition("match_id").groupBy("match_id", "choice_number").agg(
+        gathered(F.lit(True), F.col("side_no").cast("int").alias("n"),
+                 F.struct("team_name", "result", "ct", "t").alias("r")).alias("rs")
     )
+    results = per_choice.where("choice_number is not null").groupBy("match_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("choice_number", F.col("rs.r").alias("rs")))).alias("results")
+    )
+    boards = match_stats_slot.repartition("match_id").groupBy("match_id", "map_name").agg(*[
+        gathered((F.col("slot") == slot) & (F.col("side") == side), *PLAYER_FIELDS).alias(f"{slot}_{side}")
+        for slot in TEAM_SLOTS for side in BOARD_ORDER
+    ])
+    per_map = F.struct(
+        F.col("map_name").alias("map"),
+        *[F.struct(*[F.col(f"{slot}_{side}").alias(side) for side in BOARD_ORDER]).alias(slot) for slot in TEAM_SLOTS],
+    )
+    stats = boards.groupBy("match_id").agg(F.sort_array(F.collect_list(per_map)).alias("stats"))
 
-    def results_of(choice):
-        rs = F.filter(es, of("result", lambda r: r["choice_number"] == choice))
-        return F.transform(
-            F.sort_array(F.transform(rs, lambda r: F.struct(r["side_no"].alias("n"), r["res"].alias("r")))),
-            lambda y: y["r"],
-        )
-
+    no_results = F.array().cast(f"array<{_RESULT_TYPE}>")
+    bans = F.transform("bans", lambda x: F.struct(x["team_id"].alias("team_id"), x["choice_number"].alias("choice_number"), x["map_name"].alias("map_name")))
     picks = F.transform(
-        F.sort_array(F.transform(F.filter(es, of("veto", lambda x: x["vtype"] == "pick")),
-                                 lambda x: F.struct(x["choice_number"].alias("c"), x["team_id"].alias("t"), x["map_name"].alias("m")))),
+        "picks",
         lambda x: F.struct(
-            x["t"].alias("team_id"), x["c"].alias("choice_number"), x["m"].alias("map_name"),
-            F.lit(True).alias("was_played"), results_of(x["c"]).alias("results"),
-        ),
-    )
-
-    def board(m, slot, side):
-        sel = F.filter(es, of("stat", lambda x: x["map_name"].eqNullSafe(m) & (x["slot"] == slot) & (x["side"] == side)))
-        return F.sort_array(F.transform(sel, lambda x: x["player"]))
-
-    maps_played = F.sort_array(F.array_distinct(F.transform(F.filter(es, of("stat")), lambda x: x["map_name"])))
-    stats = F.transform(
-        maps_played,
-        lambda m: F.struct(
-            m.alias("map"),
-            *[
-                F.struct(*[board(m, slot, side).alias(side) for side in ("total", "tr", "ct")]).alias(slot)
-                for slot in TEAM_SLOTS
-            ],
+            x["team_id"].alias("team_id"), x["choice_number"].alias("choice_number"), x["map_name"].alias("map_name"),
+            F.lit(True).alias("was_played"),
+            F.coalesce(F.try_element_at("results", x["choice_number"]), no_results).alias("results"),
         ),
     )
-    nested = per_match.select(
-        "match_id", bans.alias("bans"), picks.alias("picks"), stats.alias("stats")
+    nested = (
+        header.join(vetos, "match_id", "left").join(results, "match_id", "left").join(stats, "match_id", "left")
+        .withColumns({"bans": bans, "picks": picks})
     )
 
     empty = F.array()
-    doc = header.join(nested, "match_id", "left")
-    return doc.select(
+    return nested.select(
         "match_id", "type", "best_of_type", "teams",
         F.struct(
             F.coalesce("bans", empty).alias("bans"),

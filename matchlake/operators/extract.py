@@ -67,6 +67,46 @@ def link_pairs(pages: DataFrame) -> DataFrame:
     return zip_positions(x, {"href": "hrefs", "text": "texts"}, "page_id")
 
 
+# Places of the left and the right team's half scores among the
+# spans of a block.
+LEFT_HALVES, RIGHT_HALVES = (1, 5), (3, 7)
+BOX_RE = r'<div class="team"><a href="([^"]*)"><div class="teamName">([^<]*)</div></a><div class="score">([^<]*)</div>'
+SPAN_RE = r'<span(?: class="([^"]*)")?>([^<]*)</span>'
+
+
+def team_boxes(pages: DataFrame) -> DataFrame:
+    """One row per team box: place, id (from the link), name, score, link."""
+    h = F.col("html")
+    part = lambda g: F.regexp_extract_all(h, F.lit(BOX_RE), F.lit(g))
+    boxes = F.arrays_zip(part(1).alias("link"), part(2).alias("name"), part(3).alias("score"))
+    x = pages.select("match_id", F.posexplode(boxes).alias("pos", "b"))
+    return x.select(
+        "match_id", "pos", path_part("b.link", 4).alias("team_id"), "b.name", "b.score", "b.link"
+    )
+
+
+def score_blocks(blocks: DataFrame) -> DataFrame:
+    """Half scores of both teams from a block's spans, and whether the map was
+    played (the block's class)."""
+    h = F.col("html")
+    part = lambda g: F.regexp_extract_all(h, F.lit(SPAN_RE), F.lit(g))
+    at = lambda c, places: F.array(*[F.get(c, F.lit(i)) for i in places])
+    x = blocks.select(
+        "match_id", "choice_number", "left_name", "right_name", part(1).alias("cls"), part(2).alias("txt"),
+        (F.regexp_extract(h, '^<div class="([^"]*)"', 1) == "played").alias("was_played"),
+    )
+    sides = F.array(*[
+        F.struct(F.col(name).alias("team_name"), at(F.col("cls"), places).alias("classes"), at(F.col("txt"), places).alias("scores"))
+        for name, places in (("left_name", LEFT_HALVES), ("right_name", RIGHT_HALVES))
+    ])
+    y = x.select("match_id", "choice_number", "was_played", F.explode(sides).alias("s"))
+    y = y.select("match_id", "choice_number", "was_played", "s.*").withColumn("halves", last_wins_map("classes", "scores"))
+    return y.select(
+        "match_id", "choice_number", "team_name", "was_played",
+        F.try_element_at("halves", F.lit("ct")).alias("ct"), F.try_element_at("halves", F.lit("t")).alias("t"),
+    )
+
+
 # ---- E3 --------------------------------------------------------------------------
 def parse_veto_lines(lines: DataFrame) -> DataFrame:
     """One veto line to (choice_number, team_id or NULL, map_name, type).
@@ -161,6 +201,18 @@ def player_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def board_players(rows: DataFrame) -> DataFrame:
+    """Player rows with the team of their scoreboard: its id is in the link of
+    the header row. A scoreboard has one header, so the join keeps the rows."""
+    key = ["match_id", "map_name", "slot"]
+    link = F.regexp_extract(F.col("row_html"), r'<a class="teamName team" href="([^"]*)"', 1)
+    teams = rows.where(F.col("pos") == 0).select(*key, path_part(link, 4).alias("team_id"))
+    fields = ["player_id", "nick", "kd", "diff", "adr", "kast", "rating"]
+    players = player_rows(rows.withColumn("match_id", F.struct(*key)))
+    p = players.select("match_id.*", *fields)
+    return p.join(teams, key).select("match_id", "map_name", "team_id", *fields)
+
+
 # ---- N8 / N10 / N14 -------------------------------------------------------------
 def played_picks(pages: DataFrame) -> DataFrame:
     """Split a page's veto list into bans and picks (N14), attach to each

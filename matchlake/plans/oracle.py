@@ -4,6 +4,7 @@ tables (pre-registered as views of the same name)."""
 
 from __future__ import annotations
 
+from ..functions.scalar import MAP_CHOICES
 from ..schemas import MAP_DIMENSION
 from ..sources.adapters import BEST_OF, POOL, SIDE_ADR_OFFSET, TEAM_LINK_PREFIX
 
@@ -108,19 +109,16 @@ def with_raw(body: str) -> str:
 
 
 MODEL_SQL = {
+    # labels and win flags from small tables of the rules, not from the model
     "stg_matchs": """
-SELECT match_id, type, date,
-       CASE WHEN trim(best_of_type) = 'Best of 3' THEN 'MD3'
-            WHEN trim(best_of_type) = 'Best of 5' THEN 'MD5'
-            ELSE 'MD1' END AS best_of_type,
-       team1_id, team2_id,
-       CASE WHEN trim(best_of_type) = 'Best of 1' THEN
-              CASE WHEN CAST(team1_score AS INTEGER) > CAST(team2_score AS INTEGER) THEN 1 ELSE 0 END
-            ELSE CAST(team1_score AS INTEGER) END AS team1_score,
-       CASE WHEN trim(best_of_type) = 'Best of 1' THEN
-              CASE WHEN CAST(team2_score AS INTEGER) > CAST(team1_score AS INTEGER) THEN 1 ELSE 0 END
-            ELSE CAST(team2_score AS INTEGER) END AS team2_score
-FROM raw_matchs
+, label(bo, short) AS (VALUES ('Best of 3', 'MD3'), ('Best of 5', 'MD5')),
+num AS (
+  SELECT *, trim(best_of_type) AS bo, team1_score::INTEGER AS s1, team2_score::INTEGER AS s2 FROM raw_matchs
+)
+SELECT n.match_id, n.type, n.date, coalesce(l.short, 'MD1') AS best_of_type, n.team1_id, n.team2_id,
+       if(n.bo = 'Best of 1', coalesce(n.s1 > n.s2, false)::INTEGER, n.s1) AS team1_score,
+       if(n.bo = 'Best of 1', coalesce(n.s2 > n.s1, false)::INTEGER, n.s2) AS team2_score
+FROM num n LEFT JOIN label l ON l.bo = n.bo
 """,
     "stg_teams": """
 SELECT DISTINCT team_id, name AS team_name, link AS team_link FROM raw_teams
@@ -133,17 +131,26 @@ SELECT DISTINCT mv.match_id, mv.type, mv.choice_number, m.id AS map_id,
        coalesce(mv.team_id, 'Left') AS pick_team_id
 FROM raw_vetos mv JOIN dim_maps m ON mv.map_name = m.name
 """,
+    # every key has one list of rows per side; a row of the result is one pick
+    # from each list
     "stg_match_stats": """
-SELECT t.match_id, t.map_name, t.nick, t.player_id, t.team_id,
-       t.adr AS adr_total, t.diff AS diff_total, t.kast AS kast_total, t.kd AS kd_total, t.rating AS rating_total,
-       c.adr AS adr_ct, c.diff AS diff_ct, c.kast AS kast_ct, c.kd AS kd_ct, c.rating AS rating_ct,
-       r.adr AS adr_tr, r.diff AS diff_tr, r.kast AS kast_tr, r.kd AS kd_tr, r.rating AS rating_tr
-FROM raw_stats t
-JOIN raw_stats c ON c.side = 'ct' AND c.match_id = t.match_id AND c.map_name = t.map_name
-                AND c.player_id = t.player_id AND c.team_id = t.team_id
-JOIN raw_stats r ON r.side = 'tr' AND r.match_id = t.match_id AND r.map_name = t.map_name
-                AND r.player_id = t.player_id AND r.team_id = t.team_id
-WHERE t.side = 'total'
+, boards AS (
+  SELECT match_id, map_name, player_id, team_id,
+         list({nick: nick, adr: adr, diff: diff, kast: kast, kd: kd, rating: rating}) FILTER (WHERE side = 'total') AS tot,
+         list({adr: adr, diff: diff, kast: kast, kd: kd, rating: rating}) FILTER (WHERE side = 'ct') AS ct,
+         list({adr: adr, diff: diff, kast: kast, kd: kd, rating: rating}) FILTER (WHERE side = 'tr') AS tr
+  FROM raw_stats
+  WHERE match_id IS NOT NULL AND map_name IS NOT NULL AND player_id IS NOT NULL AND team_id IS NOT NULL
+  GROUP BY ALL
+),
+one AS (SELECT * EXCLUDE (tot), unnest(tot) AS a FROM boards),
+two AS (SELECT * EXCLUDE (ct), unnest(ct) AS b FROM one),
+three AS (SELECT * EXCLUDE (tr), unnest(tr) AS c FROM two)
+SELECT match_id, map_name, a.nick AS nick, player_id, team_id,
+       a.adr AS adr_total, a.diff AS diff_total, a.kast AS kast_total, a.kd AS kd_total, a.rating AS rating_total,
+       b.adr AS adr_ct, b.diff AS diff_ct, b.kast AS kast_ct, b.kd AS kd_ct, b.rating AS rating_ct,
+       c.adr AS adr_tr, c.diff AS diff_tr, c.kast AS kast_tr, c.kd AS kd_tr, c.rating AS rating_tr
+FROM three
 """,
     "pair_bounds": """
 SELECT mr.match_id, min(t.team_id) AS team1_id, max(t.team_id) AS team2_id
@@ -153,40 +160,47 @@ GROUP BY 1
 }
 
 
+CHOICES = ", ".join(
+    f"({_q(bo or '')}, {_q(n)}, {_q(label)})" for bo, row in MAP_CHOICES.items() for n, label in row.items()
+)
+
+
 def m7_sql(results: str, matchs: str, teams: str) -> str:
     """Body of the map-results model over the given relation names (adds its
-    own CTEs, so it starts with a comma)."""
+    own CTEs, so it starts with a comma): a result and an opponent of the same
+    choice are kept if some match has their names as its pair of bounds."""
     return f"""
-, bounds AS (
-  SELECT mr.match_id, min(t.team_id) AS team1_id, max(t.team_id) AS team2_id
-  FROM {results} mr JOIN {teams} t ON t.name = mr.team_name GROUP BY 1
-), pairs AS (
-  SELECT DISTINCT b.match_id, t1.team_id AS team1_id, t1.name AS team1_name,
-         t2.team_id AS team2_id, t2.name AS team2_name
-  FROM bounds b JOIN {teams} t1 ON b.team1_id = t1.team_id
-                JOIN {teams} t2 ON b.team2_id = t2.team_id
-)
-SELECT DISTINCT a.match_id,
-  CASE
-    WHEN (trim(m.best_of_type) = 'Best of 1' AND (a.choice_number = '5' OR a.choice_number = '7')) OR a.choice_number = '3' THEN 'Map 1'
-    WHEN (trim(m.best_of_type) = 'Best of 1' AND a.choice_number = '6') OR a.choice_number = '4' THEN 'Map 2'
-    WHEN (trim(m.best_of_type) = 'Best of 3' AND a.choice_number = '7') OR (trim(m.best_of_type) = 'Best of 5' AND a.choice_number = '5') THEN 'Map 3'
-    WHEN trim(m.best_of_type) = 'Best of 5' AND a.choice_number = '6' THEN 'Map 4'
-    WHEN trim(m.best_of_type) = 'Best of 5' AND a.choice_number = '7' THEN 'Map 5'
-  END AS map_choice,
-  a.choice_number, a.map_name, coalesce(a.pick_team_id, 'Left') AS pick_team_id,
-  a.team_name AS team1_id, a.result AS team1_result, a.ct AS team1_ct, a.t AS team1_t,
-  o.team_name AS team2_id
-FROM {results} a
-JOIN {matchs} m ON a.match_id = m.match_id
-JOIN {results} o ON a.match_id = o.match_id AND a.choice_number = o.choice_number
-                AND a.team_name != o.team_name
-JOIN pairs p ON p.team1_name = a.team_name AND p.team2_name = o.team_name
+, choice(bo, choice_number, label) AS (VALUES {CHOICES}),
+limits AS (
+  SELECT r.match_id, min(t.team_id) AS low, max(t.team_id) AS high
+  FROM {results} r, {teams} t WHERE t.name = r.team_name GROUP BY r.match_id
+),
+named AS (
+  SELECT DISTINCT x.name AS low_name, y.name AS high_name
+  FROM limits l, {teams} x, {teams} y WHERE x.team_id = l.low AND y.team_id = l.high
+),
+format AS (
+  SELECT DISTINCT match_id, if(trim(best_of_type) IN ('Best of 1', 'Best of 3', 'Best of 5'), trim(best_of_type), '') AS bo
+  FROM {matchs}
+),
+sided AS (
+  SELECT DISTINCT r.match_id, r.choice_number, r.map_name, coalesce(r.pick_team_id, 'Left') AS pick_team_id,
+         r.team_name AS team1_id, r.result AS team1_result, r.ct AS team1_ct, r.t AS team1_t, f.bo
+  FROM {results} r, format f WHERE f.match_id = r.match_id
+),
+rivals AS (SELECT DISTINCT match_id, choice_number, team_name AS team2_id FROM {results})
+SELECT DISTINCT s.match_id, c.label AS map_choice, s.choice_number, s.map_name, s.pick_team_id,
+       s.team1_id, s.team1_result, s.team1_ct, s.team1_t, v.team2_id
+FROM sided s
+JOIN rivals v USING (match_id, choice_number)
+LEFT JOIN choice c ON c.bo = s.bo AND c.choice_number = s.choice_number
+WHERE v.team2_id <> s.team1_id
+  AND EXISTS (SELECT 1 FROM named n WHERE n.low_name = s.team1_id AND n.high_name = v.team2_id)
 """
 
 
 MODEL_SQL["stg_maps_results"] = m7_sql("raw_results", "raw_matchs", "raw_teams")
-MODEL_SQL["last_sorts"] = MODEL_SQL["stg_maps_results"].rstrip() + "\nORDER BY 1 ASC NULLS LAST, 2 ASC NULLS LAST\n"
+MODEL_SQL["last_sorts"] = MODEL_SQL["stg_maps_results"].rstrip() + "\nORDER BY match_id NULLS LAST, map_choice NULLS LAST\n"
 
 # documents keep a match's bans and picks; T1 drops both lists of a match
 # in which either is empty
@@ -252,20 +266,54 @@ flat_players AS (
 ),
 flat_stats AS (SELECT DISTINCT * FROM raw_stats)"""
 
-JOB_COUNTS = """
-SELECT 'matchs' AS table_name, count(*) AS n_rows FROM flat_matchs
-UNION ALL SELECT 'teams', count(*) FROM flat_teams
-UNION ALL SELECT 'players', count(*) FROM flat_players
-UNION ALL SELECT 'maps_vetos', count(*) FROM flat_vetos
-UNION ALL SELECT 'maps_results', count(*) FROM flat_results
-UNION ALL SELECT 'match_stats', count(*) FROM flat_stats
-"""
+JOB_ROW_COLUMNS = {
+    "matchs": "best_of_type date match_id team1_id team1_score team2_id team2_score type",
+    "teams": "link name team_id",
+    "players": "nick player_id team_id",
+    "maps_vetos": "choice_number map_name match_id team_id type",
+    "maps_results": "choice_number ct map_name match_id pick_team_id result t team_name",
+    "match_stats": "adr diff kast kd map_name match_id nick player_id rating side team_id",
+}
+JOB_ROW_SOURCES = {
+    "matchs": "flat_matchs", "teams": "flat_teams", "players": "flat_players",
+    "maps_vetos": "(SELECT f.*, m.date FROM flat_vetos f JOIN raw_matchs m USING (match_id))",
+    "maps_results": "(SELECT f.*, m.date FROM flat_results f JOIN raw_matchs m USING (match_id))",
+    "match_stats": "(SELECT f.*, m.date FROM flat_stats f JOIN raw_matchs m USING (match_id))",
+}
+
+
+def job_rows(where: str = "true", copies: int = 1) -> str:
+    """Rows of the six tables with their storage day, as md5 of their text."""
+    parts = []
+    for name, columns in JOB_ROW_COLUMNS.items():
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns.split())
+        parts.append(
+            f"SELECT '{name}' AS table_name, strftime(CAST(date AS DATE) + 1, '%Y-%m-%d') AS extract_date, "
+            f"md5(concat_ws('|', {text})) AS row_md5 FROM {JOB_ROW_SOURCES[name]} f, range({copies}) WHERE {where}"
+        )
+    return "\n" + "\nUNION ALL ".join(parts) + "\n"
+
+
+def first_days(n: int) -> str:
+    return f"date IN (SELECT DISTINCT date FROM raw_matchs ORDER BY date LIMIT {n})"
+
+
+# the corrected extract: no bans in every fifth match, nothing of the first month
+CORRECTED_CTES = JOB_CTES.replace(
+    "WHERE type = 'ban') > 0", "WHERE type = 'ban' AND CAST(match_id AS BIGINT) % 5 <> 0) > 0"
+)
+AFTER_FIRST_MONTH = (
+    "strftime(CAST(date AS DATE) + 1, '%Y-%m') > "
+    "(SELECT min(strftime(CAST(date AS DATE) + 1, '%Y-%m')) FROM raw_matchs)"
+)
 
 MODEL_SQL.update({
     "json_round_trip": "SELECT DISTINCT * FROM raw_matchs",
-    "daily_run": JOB_CTES + JOB_COUNTS,
-    "rerun_is_idempotent": JOB_CTES + JOB_COUNTS,
-    "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams").replace(", bounds AS", ",\nbounds AS", 1),
+    "daily_run": JOB_CTES + job_rows(first_days(3)),
+    "append_run": JOB_CTES + job_rows(first_days(1), copies=2),
+    "corrected_rerun": CORRECTED_CTES + job_rows(AFTER_FIRST_MONTH),
+    "rerun_is_idempotent": JOB_CTES + job_rows(),
+    "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams"),
 })
 
 
@@ -377,6 +425,33 @@ SELECT doc_id, lang, source, n_chars FROM documents WHERE NOT contains(text, 'fo
 })
 
 
+MODEL_SQL["team_boxes"] = """
+SELECT m.match_id, x.pos::INTEGER AS pos, t.team_id, t.name, if(x.pos = 0, m.team1_score, m.team2_score) AS score, t.link
+FROM raw_matchs m, (VALUES (0), (1)) x(pos), raw_teams t
+WHERE t.team_id = if(x.pos = 0, m.team1_id, m.team2_id)
+"""
+MODEL_SQL["board_players"] = """
+SELECT match_id, map_name, slot AS team_id, player_id, nick, kd, diff, adr, kast, rating
+FROM raw_stats_slot WHERE side = 'total'
+"""
+MODEL_SQL["score_blocks"] = MODEL_SQL["half_scores"].replace(
+    "CAST(q AS VARCHAR) AS result", "q % 10 <> 0 AS was_played"
+)
+MODEL_SQL["stats_by_map"] = MODEL_SQL["stg_match_stats"]
+MODEL_SQL["no_forfeit_matches"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS match_id, '* Match ' || o_orderkey || ' played' AS note
+FROM orders WHERE o_orderkey % 3 <> 1
+"""
+MODEL_SQL["views_by_ordinal"] = """
+, vetos AS (
+  SELECT DISTINCT v.match_id, v.type, v.choice_number, d.id, coalesce(v.team_id, 'Left') AS pick
+  FROM raw_vetos v, dim_maps d WHERE d.name = v.map_name
+)
+SELECT CASE trim(m.best_of_type) WHEN 'Best of 3' THEN 'MD3' WHEN 'Best of 5' THEN 'MD5' ELSE 'MD1' END AS best_of_type,
+       v.type, count(*) AS n, min(v.choice_number) AS first_choice
+FROM vetos v, raw_matchs m WHERE m.match_id = v.match_id GROUP BY ALL
+"""
+
 # a single-block box parses to the same rows as the separate lines
 MODEL_SQL["veto_block"] = MODEL_SQL["veto_lines"]
 

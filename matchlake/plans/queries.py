@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import day_before
 from ..operators import assemble, extract, flatten
-from ..schemas import RAW_TABLES
+from ..schemas import RAW, RAW_TABLES
 from ..session import scratch_path
 from ..sources import io
-from ..sources.adapters import RawFromDriver, TextFromDriver
+from ..sources.adapters import RawFromDriver, TextFromDriver, maps_dimension
 from ..sources.tables import DriverTables
 from . import job, models
 from . import oracle as _oracle
@@ -82,13 +82,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, landed as month partitions and read back."""
+    return io.read_bronze(spark, land(spark, sf_dir, layout="month"), layout="month")
+
+
 def q_flatten_matchs(spark, sf_dir):
-    d = documents(spark, sf_dir)
-    return flatten.matchs(d, day_before("extract_date"))
+    return flatten.matchs(landed(spark, sf_dir), day_before("extract_date"))
 
 
 def q_flatten_teams(spark, sf_dir):
-    return flatten.teams(documents(spark, sf_dir))
+    return flatten.teams(landed(spark, sf_dir))
 
 
 def q_flatten_players(spark, sf_dir):
@@ -116,52 +120,95 @@ def land(spark: SparkSession, sf_dir: str, fmt: str = "parquet", layout: str = "
     return root
 
 
+def content(spark: SparkSession, raw_root: str, layout: str) -> DataFrame:
+    """Every row of the six raw tables as (table_name, extract_date, row_md5)."""
+    out = None
+    for name, schema in RAW.items():
+        if name not in RAW_TABLES:
+            continue
+        t = io.read_raw(spark, raw_root, name, keep_day=True, layout=layout)
+        text = F.concat_ws("|", *[F.coalesce(F.col(f.name).cast("string"), F.lit("-")) for f in sorted(schema.fields, key=lambda f: f.name)])
+        t = t.select(F.lit(name).alias("table_name"), io.PART, F.md5(text.cast("binary")).alias("row_md5"))
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
-
-# The whole history is rewritten, so the jobs below store month partitions:
-# the generated tables have a few rows per day over thousands of days.
-JOB_LAYOUT = "month"
+def first_days(spark: SparkSession, bronze: str, n: int) -> list[str]:
+    days = io.read_bronze(spark, bronze).select(io.PART).distinct().orderBy(io.PART).limit(n)
+    return [r[0] for r in days.collect()]
 
 
-def run_job(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
-    bronze = land(spark, sf_dir, layout=JOB_LAYOUT)
-    raw_root = scratch_path(spark, "raw")
-    for _ in range(times):
-        job.run_range(spark, bronze, raw_root, layout=JOB_LAYOUT)
-    return raw_root
+def q_json_round_trip(spark, sf_dir):
+    root = land(spark, sf_dir, "json", layout="month")
+    d = io.read_bronze(spark, root, fmt="json", layout="month")
+    return flatten.matchs(d, day_before("extract_date"))
 
 
-def table_counts(spark: SparkSession, raw_root: str) -> DataFrame:
-    out = None
-    for name in RAW_TABLES:
-        c = io.read_raw(spark, raw_root, name, layout=JOB_LAYOUT).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        c = c.select(F.lit(name).alias("table_name"), "n_rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+def q_daily_run(spark, sf_dir):
+    """The whole history lands as day partitions, then the daily job runs
+    on the first three days."""
+    bronze, raw_root = land(spark, sf_dir), scratch_path(spark, "raw")
+    for day in first_days(spark, bronze, 3):
+        job.run_day(spark, bronze, day, raw_root)
+    return content(spark, raw_root, "day")
 
 
-def q_json_round_trip(spark, sf_dir):
-    root = land(spark, sf_dir, "json", layout=JOB_LAYOUT)
-    d = io.read_bronze(spark, root, fmt="json", layout=JOB_LAYOUT)
-    return flatten.matchs(d, day_before("extract_date"))
+def q_append_run(spark, sf_dir):
+    """The reference's append: the first day twice gives its rows twice."""
+    bronze, raw_root = land(spark, sf_dir), scratch_path(spark, "raw")
+    for day in first_days(spark, bronze, 1) * 2:
+        job.run_day(spark, bronze, day, raw_root, mode="append")
+    return content(spark, raw_root, "day")
 
 
-def q_daily_run(spark, sf_dir):
-    return table_counts(spark, run_job(spark, sf_dir))
+def range_run(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
+    """W2 over the whole history, in month partitions."""
+    bronze, raw_root = land(spark, sf_dir, layout="month"), scratch_path(spark, "raw")
+    for _ in range(times):
+        job.run_range(spark, bronze, raw_root, layout="month")
+    return raw_root
 
 
 def q_rerun_is_idempotent(spark, sf_dir):
-    return table_counts(spark, run_job(spark, sf_dir, times=2))
+    return content(spark, range_run(spark, sf_dir, times=2), "month")
+
+
+def q_corrected_rerun(spark, sf_dir):
+    """A corrected extract replaces the first: every fifth match lost its
+    bans, and nothing is left of the first month."""
+    bronze, raw_root = land(spark, sf_dir, layout="month"), scratch_path(spark, "raw")
+    job.run_range(spark, bronze, raw_root, layout="month")
+    d = io.read_bronze(spark, bronze, layout="month")
+    first = d.agg(F.min(F.substring(io.PART, 1, 7))).first()[0]
+    no_bans = F.col("match_id").cast("bigint") % 5 == 0
+    maps = F.col("maps").withField("bans", F.when(no_bans, F.slice("maps.bans", 1, 0)).otherwise(F.col("maps.bans")))
+    corrected = scratch_path(spark, "corrected")
+    d.where(F.substring(io.PART, 1, 7) != first).withColumn("maps", maps).write.parquet(corrected)
+    io.land_documents(spark.read.schema(d.schema).parquet(corrected), bronze, layout="month", wanted=lambda v: True)
+    job.run_range(spark, bronze, raw_root, layout="month")
+    return content(spark, raw_root, "month")
 
 
 def q_backfill(spark, sf_dir):
-    cat = io.RawCatalog(spark, run_job(spark, sf_dir), layout=JOB_LAYOUT)
+    cat = io.RawCatalog(spark, range_run(spark, sf_dir), layout="month")
     return models.stg_maps_results(cat["maps_results"], cat["matchs"], cat["teams"])
 
 
+def q_views_by_ordinal(spark, sf_dir):
+    """Models as views, grouped and ordered by ordinals in SQL."""
+    r = raw(spark, sf_dir)
+    models.publish({n: (maps_dimension(spark) if n == "maps" else getattr(r, n)()) for n in (*RAW_TABLES, "maps")})
+    return spark.sql(
+        "SELECT m.best_of_type, v.type, count(*) AS n, min(v.choice_number) AS first_choice "
+        "FROM stg_maps_vetos v JOIN stg_matchs m USING (match_id) GROUP BY 1, 2 ORDER BY 1, 2"
+    )
+
+
+def q_stats_by_map(spark, sf_dir):
+    """O2: the stats model sorted by map."""
+    return models.ordered_match_stats(q_stg_match_stats(spark, sf_dir))
+
+
 # ---- extraction jobs ------------------------------------------------------------
 def text(spark: SparkSession, sf_dir: str) -> TextFromDriver:
     return TextFromDriver(DriverTables(spark, sf_dir), materialize=True)
@@ -213,6 +260,22 @@ def q_no_forfeits(spark, sf_dir):
     return extract.no_forfeits(d).select("doc_id", "lang", "source", "n_chars")
 
 
+def q_team_boxes(spark, sf_dir):
+    return extract.team_boxes(text(spark, sf_dir).team_boxes())
+
+
+def q_score_blocks(spark, sf_dir):
+    return extract.score_blocks(text(spark, sf_dir).score_blocks())
+
+
+def q_board_players(spark, sf_dir):
+    return extract.board_players(text(spark, sf_dir).scoreboard_rows())
+
+
+def q_no_forfeit_matches(spark, sf_dir):
+    return extract.no_forfeits(text(spark, sf_dir).match_notes(), "note")
+
+
 QUERIES: dict[str, Query] = {
     "stg_matchs": q_stg_matchs,
     "stg_teams": q_stg_teams,
@@ -232,6 +295,10 @@ QUERIES: dict[str, Query] = {
     "daily_run": q_daily_run,
     "rerun_is_idempotent": q_rerun_is_idempotent,
     "backfill": q_backfill,
+    "append_run": q_append_run,
+    "corrected_rerun": q_corrected_rerun,
+    "views_by_ordinal": q_views_by_ordinal,
+    "stats_by_map": q_stats_by_map,
     "url_fields": q_url_fields,
     "page_fields": q_page_fields,
     "array_tail": q_array_tail,
@@ -243,6 +310,10 @@ QUERIES: dict[str, Query] = {
     "player_rows": q_player_rows,
     "played_picks": q_played_picks,
     "no_forfeits": q_no_forfeits,
+    "no_forfeit_matches": q_no_forfeit_matches,
+    "team_boxes": q_team_boxes,
+    "score_blocks": q_score_blocks,
+    "board_players": q_board_players,
 }
 
 

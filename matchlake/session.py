@@ -4,6 +4,7 @@ location derived from ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,7 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("MATCHLAKE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("MATCHLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
         .config("spark.sql.session.timeZone", "UTC")
     )
@@ -48,26 +49,22 @@ def apply_job_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session (conf first, then the context); only when it is
-    unset (local tests) a folder under the system temp dir is registered as
-    checkpoint dir.
+    Read from the session (conf first, then the context). Where it is unset, a
+    local master (tests) gets a folder under the system temp dir; on a cluster
+    that folder would be each machine's own, so there it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote sessions have no context
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
     import tempfile
 
-    d = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="matchlake-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

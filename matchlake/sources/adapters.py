@@ -291,6 +291,14 @@ class TextFromDriver(RawFromDriver):
             _s(F.col("l_orderkey")).alias("match_id"), text.alias("block"), *self._teams_cols()
         )
 
+    def match_notes(self) -> DataFrame:
+        """A note line per match; on every third one a team did not show up."""
+        key = F.col("o_orderkey")
+        note = F.when(key % 3 == 1, F.concat(F.lit("* Match "), _s(key), F.lit(" decided by forfeit")))
+        return self.t.orders.select(
+            _s(key).alias("match_id"), note.otherwise(F.concat(F.lit("* Match "), _s(key), F.lit(" played"))).alias("note")
+        )
+
     def format_lines(self) -> DataFrame:
         """'Best of <n> (<LAN|Online>)', with a starred note on every third."""
         o = self.t.orders
@@ -396,6 +404,40 @@ class TextFromDriver(RawFromDriver):
             F.sort_array(F.collect_set("block")).alias("blocks"),
         )
 
+    def team_boxes(self) -> DataFrame:
+        """Per match the markup of its two team boxes, left team first."""
+        m, t = RawFromDriver(self.t), RawFromDriver(self.t).teams()
+        box = lambda link, name, score: F.concat(
+            F.lit('<div class="team"><a href="'), link, F.lit('"><div class="teamName">'), name,
+            F.lit('</div></a><div class="score">'), score, F.lit("</div></div>"),
+        )
+        side = lambda n: t.select(
+            F.col("team_id").alias(f"team{n}_id"), F.col("name").alias(f"n{n}"), F.col("link").alias(f"l{n}")
+        )
+        j = m.matchs().join(side(1), "team1_id").join(side(2), "team2_id")
+        left, right = box(F.col("l1"), F.col("n1"), F.col("team1_score")), box(F.col("l2"), F.col("n2"), F.col("team2_score"))
+        return j.select("match_id", F.concat(left, F.lit("\n"), right).alias("html"))
+
+    def score_blocks(self) -> DataFrame:
+        """Markup of one map's half scores: nine spans, the scores at places
+        1, 3, 5 and 7 with the side as class."""
+        s = self.half_score_spans()
+        left, right = s.where("side_no = 0"), s.where("side_no = 1")
+        key = ["match_id", "choice_number", "result"]
+        j = left.select(*key, F.col("team_name").alias("left_name"), F.col("classes").alias("lc"), F.col("scores").alias("ls")).join(
+            right.select(*key, F.col("team_name").alias("right_name"), F.col("classes").alias("rc"), F.col("scores").alias("rs")), key
+        )
+        plain = lambda text: F.lit(f"<span>{text}</span>")
+        span = lambda c, v, i: F.concat(
+            F.lit('<span class="'), F.get(c, F.lit(i)), F.lit('">'), F.get(v, F.lit(i)), F.lit("</span>")
+        )
+        kind = F.when(F.col("result").cast("int") % 10 == 0, "optional").otherwise("played")
+        html = F.concat(
+            F.lit('<div class="'), kind, F.lit('">'), plain("("), span("lc", "ls", 0), plain(":"), span("rc", "rs", 0),
+            plain("; "), span("lc", "ls", 1), plain(":"), span("rc", "rs", 1), plain(")"), F.lit("</div>"),
+        )
+        return j.select("match_id", "choice_number", "left_name", "right_name", html.alias("html"))
+
     def half_score_spans(self) -> DataFrame:
         """Per line group and team: result plus the two half-score spans
         (class, text). Left team: first half 'ct' for even q, else 't', second

@@ -2,15 +2,16 @@
 
 Layout: ``<root>/extract_date=<yyyy-MM-dd>/part-*`` for bronze and for every
 raw table (``<raw_root>/<table>/extract_date=.../``). The day column is a
-Hive-style partition: a day predicate prunes directories, and writes use
-dynamic partition overwrite, so re-running a day replaces exactly that day
-(the reference appends, which duplicates rows on a re-run; ``mode='append'``
-keeps that behaviour on request).
+Hive-style partition: a day predicate prunes directories. Writes use dynamic
+partition overwrite, and the caller says which partitions the output stands
+for: those among them that it leaves empty are removed, so a re-run replaces
+its days even where nothing is left of them. (The reference appends, which
+duplicates rows on a re-run; ``mode='append'`` keeps that on request.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ..schemas import BRONZE, RAW
 
 PART = "extract_date"
 MONTH = "extract_month"
+CORRUPT = "_corrupt_record"
 # storage layouts: directory column per layout; "day" is the reference's
 LAYOUTS = {"day": PART, "month": MONTH}
 
@@ -76,13 +78,42 @@ def read_bronze(
 
     JSON is read in line mode; a line holding a whole JSON array (the
     reference's daily file) yields one row per element. Only the given day or
-    range is listed and read.
+    range is listed and read. Malformed JSON lines are left out here;
+    ``malformed`` returns them.
     """
-    reader = spark.read.schema(_with_part(BRONZE, layout))
+    df = _load(spark, root, fmt, day_filter(day, start, end, layout), layout)
+    return df.where(_well_formed()).drop(CORRUPT) if fmt == "json" else df
+
+
+def malformed(
+    spark: SparkSession, root: str, day: str | None = None, start: str | None = None, end: str | None = None,
+    layout: str = "day",
+) -> DataFrame:
+    """The JSON lines that are no documents, with their day: for a side table."""
+    df = _load(spark, root, "json", day_filter(day, start, end, layout), layout)
+    return df.where(~_well_formed()).select(PART, F.col(CORRUPT).alias("line"))
+
+
+def _well_formed() -> Column:
+    # Spark refuses to read the corrupt column of raw JSON alone, as a count
+    # would: a second column, in a test that is always true
+    return F.col(CORRUPT).isNull() & (F.length(F.coalesce("match_id", F.lit(""))) >= 0)
+
+
+def read_days(spark: SparkSession, root: str, days: list[str], fmt: str = "parquet") -> DataFrame:
+    """Documents of the listed days: a literal list, so that only their
+    directories are read."""
+    df = _load(spark, root, fmt, F.col(PART).isin(days), "day")
+    return df.where(_well_formed()).drop(CORRUPT) if fmt == "json" else df
+
+
+def _load(spark: SparkSession, root: str, fmt: str, cond: Column | None, layout: str) -> DataFrame:
+    schema = _with_part(BRONZE, layout)
+    reader = spark.read
     if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-    df = reader.format(fmt).load(root)
-    cond = day_filter(day, start, end, layout)
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    df = reader.schema(schema).format(fmt).load(root)
     df = df if cond is None else df.where(cond)
     return df.drop(MONTH) if layout == "month" else df
 
@@ -95,12 +126,48 @@ def clustered(df: DataFrame, col: str) -> DataFrame:
     return df.hint("rebalance", col)
 
 
+Wanted = Callable[[str], bool]  # which partition values an output stands for
+
+
+def _partition_files(spark: SparkSession, path: str, col: str, wanted: Wanted) -> dict[str, set[str]]:
+    """File names per wanted partition directory of a table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[str, set[str]] = {}
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith(f"{col}=") and wanted(name[len(col) + 1 :]):
+                out[name] = {f.getPath().getName() for f in fs.listStatus(st.getPath())}
+    return out
+
+
+def _replacing(spark: SparkSession, path: str, col: str, wanted: Wanted | None, write: Callable[[], None]) -> None:
+    """Run ``write``, then remove the wanted partitions that it has not
+    written: what they hold is from an earlier run."""
+    before = _partition_files(spark, path, col, wanted) if wanted else {}
+    write()
+    if before:
+        after = _partition_files(spark, path, col, wanted)
+        fs = None
+        for name, files in before.items():
+            if after.get(name) == files:
+                p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+                fs = fs or p.getFileSystem(spark._jsc.hadoopConfiguration())
+                fs.delete(p, True)
+
+
 def land_documents(
-    docs: DataFrame, root: str, fmt: str = "parquet", mode: str = "overwrite", layout: str = "day"
+    docs: DataFrame, root: str, fmt: str = "parquet", mode: str = "overwrite", layout: str = "day",
+    wanted: Wanted | None = None,
 ) -> None:
-    """S3: write documents into day (or month) partitions; with dynamic
-    partition overwrite only the partitions present in ``docs`` are replaced.
-    Non-ASCII text is written as UTF-8."""
+    """S3: write documents into day (or month) partitions. Partitions present
+    in ``docs`` are replaced, and so are, by nothing, the ``wanted`` others: an
+    extract that is empty for its day empties the day. Non-ASCII text is
+    written as UTF-8."""
+    if wanted is not None and mode == "overwrite":
+        again = lambda: land_documents(docs, root, fmt, mode, layout)
+        return _replacing(docs.sparkSession, root.rstrip("/"), LAYOUTS[layout], wanted, again)
     col = LAYOUTS[layout]
     out = clustered(with_layout(docs, layout), col)
     w = out.write.partitionBy(col).mode(mode).option("partitionOverwriteMode", "dynamic")
@@ -137,12 +204,14 @@ def write_raw(
     mode: str = "overwrite",
     layout: str = "day",
     parallel: bool = True,
+    wanted: Wanted | None = None,
 ) -> None:
     """One Parquet table per raw table, partitioned by the storage day
     (or month).
 
-    ``mode='overwrite'`` (dynamic) replaces the partitions written;
-    ``'append'`` is the reference's behaviour (rows repeat on a re-run).
+    ``mode='overwrite'`` replaces the partitions written and the ``wanted``
+    ones that the new rows leave empty; ``'append'`` is the reference's
+    behaviour (rows repeat on a re-run).
     With ``parallel`` the tables are written as concurrent Spark jobs (one
     thread each submits its job; the cluster runs their tasks side by side);
     the first failure is raised after all writes have finished."""
@@ -155,9 +224,12 @@ def write_raw(
             w = out.write.partitionBy(col)
         else:
             w = out.write
-        w.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(
-            f"{raw_root.rstrip('/')}/{name}"
-        )
+        path = f"{raw_root.rstrip('/')}/{name}"
+        w = w.mode(mode).option("partitionOverwriteMode", "dynamic")
+        if mode == "overwrite" and PART in df.columns:
+            _replacing(df.sparkSession, path, col, wanted, lambda: w.parquet(path))
+        else:
+            w.parquet(path)
 
     if not parallel or len(tables) < 2:
         for name, df in tables.items():

@@ -111,3 +111,43 @@ def test_models_published_as_views(spark, tmp_root):
     n = spark.sql("SELECT count(*) AS n FROM stg_matchs").first().n
     assert n == frames["matchs"].count()
     assert spark.sql("SELECT count(*) AS n FROM stg_maps").first().n == 7
+
+
+def test_a_corrected_day_replaces_the_day(spark, tmp_root):
+    docs, days = three_days(spark)
+    bronze, raw = f"{tmp_root}/bronze", f"{tmp_root}/raw"
+    io.land_documents(docs, bronze)
+    for d in days:
+        job.run_day(spark, bronze, d, raw)
+
+    def rows(name, day):
+        return io.read_raw(spark, raw, name, keep_day=True).where(F.col("extract_date") == day).count()
+
+    others = {n: rows(n, days[1]) for n in RAW_TABLES}
+    # the corrected extract of the first day has no bans, that of the last is empty
+    first = docs.where(F.col("extract_date") == days[0])
+    first = first.withColumn("maps", F.col("maps").withField("bans", F.slice("maps.bans", 1, 0)))
+    io.land_documents(first, bronze, wanted=lambda v: v == days[0])
+    io.land_documents(docs.where("false"), bronze, wanted=lambda v: v == days[2])
+    assert job.run_day(spark, bronze, days[0], raw)
+    assert not job.run_day(spark, bronze, days[2], raw, skip_if_empty=True)
+    assert rows("maps_vetos", days[0]) == rows("maps_results", days[0]) == 0 < rows("matchs", days[0])
+    assert all(rows(n, days[2]) == 0 for n in RAW_TABLES)
+    assert {n: rows(n, days[1]) for n in RAW_TABLES} == others
+
+
+def test_malformed_lines_are_set_aside(spark, tmp_root):
+    local = f"{tmp_root}/landing/extract_date=2022-02-26".replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/a.json", "w", encoding="utf-8") as fh:
+        fh.write(json.dumps(g1()) + "\n{broken\n")
+    root = f"{tmp_root}/landing"
+    assert [r.match_id for r in io.read_bronze(spark, root, fmt="json").collect()] == ["100"]
+    assert [tuple(r) for r in io.malformed(spark, root).collect()] == [("2022-02-26", "{broken")]
+
+
+def test_cli_rejects_a_month_layout_for_one_day(spark, tmp_root):
+    import pytest
+
+    with pytest.raises(SystemExit):
+        job.main(["--src", tmp_root, "--dst", tmp_root, "--process-date", "2022-02-26", "--layout", "month"])

@@ -18,10 +18,27 @@ def test_map_results_is_a_semi_join_without_fan_out(spark):
     assert "CartesianProduct" not in p and "NestedLoop" not in p
 
 
-def test_stats_model_pre_aggregates_and_expands(spark):
+def test_stats_model_shuffles_each_side_once_on_the_join_keys(spark):
     r = raw(spark, "/root/testdata/sf0.001", materialize=True)
-    p = plan(models.stg_match_stats(r.stored("ms", r.match_stats())))
-    assert "partial_count" in p and "explode(sequence" in p
+    ms = r.stored("ms", r.match_stats())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(models.stg_match_stats(ms))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    p = p.split("== Initial Plan ==")[0]
+    assert p.count("Exchange hashpartitioning(match_id") == 3 and "sequence" not in p
+
+
+def test_listed_days_prune_and_json_is_parsed_once(spark, tmp_root):
+    d = documents(spark, "/root/testdata/sf0.001")
+    day = d.select("extract_date").first().extract_date
+    io.land_documents(d.where(d.extract_date.isin(day, "1999-01-01")), tmp_root, fmt="json")
+    docs = io.read_days(spark, tmp_root, [day], "json")
+    assert day in plan(docs).split("PartitionFilters: [")[1].split("]")[0]
+    parsed = job._parsed(spark, docs, "json")
+    assert all("json" not in plan(t).split("FileScan")[1][:10] for t in job.range_tables(parsed).values())
 
 
 def test_flatten_stats_is_one_generator_and_one_dedupe(spark, tmp_root):

@@ -110,3 +110,19 @@ def test_ordinal_suffixes_round_trip(spark):
     suffixes = [r.h.split(" ")[-2] for r in out]
     assert suffixes == ["1st", "2nd", "3rd", "4th", "11th", "12th", "13th", "21st", "22nd", "23rd", "24th", "30th", "31st"]
     assert [r.back for r in out] == [dt.date(2022, 1, d) for d in days]
+
+
+def test_strict_int_fails_without_ansi_casts(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from matchlake.functions import scalar as X
+
+    df = spark.createDataFrame([(" 7 ",), (None,)], "s string")
+    assert [r[0] for r in df.select(X.strict_int("s")).collect()] == [7, None]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not an integer"):
+            df.select(X.strict_int(F.lit("-"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
