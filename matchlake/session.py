@@ -46,6 +46,29 @@ def apply_job_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the session's Python workers, once per context: a
+    worker need not share the driver's working folder or PYTHONPATH. Spark
+    copies the archive to each executor itself."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="matchlake-code-")) / "matchlake-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
