@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,7 +18,9 @@ BATCHES = {
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Session settings for rows that hold whole texts."""
+    """Session settings for rows that hold whole texts, and the package for
+    the Python workers that read them."""
+    ship_package(spark)
     for key, value in BATCHES.items():
         spark.conf.set(key, value)
 
