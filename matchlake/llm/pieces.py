@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-KEPT = 200_000  # remembered stretches per generation
+KEPT = 400_000  # remembered stretches per generation
 NOWHERE = float("-inf")
 
 
