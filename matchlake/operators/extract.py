@@ -117,24 +117,26 @@ def parse_veto_lines(lines: DataFrame) -> DataFrame:
     single-block page with more than eight tokens, and the second token for a
     line without a team whose choice is '7'.
     """
-    line = F.col("line")
+    in1 = F.coalesce(F.col("line").contains(F.col("team1_name")), F.lit(False))
+    in2 = F.coalesce(F.col("line").contains(F.col("team2_name")), F.lit(False))
+    team = F.when(in1, F.col("team1_id")).when(in2, F.col("team2_id"))
+    return lines.select("match_id", *veto_fields(F.col("line"), F.col("one_block"), in1 | in2, team))
+
+
+def veto_fields(line: Column, one_block: Column, found: Column, team_id: Column) -> list[Column]:
+    """The fields of one veto line, given whether a team was found in it."""
     tok = F.split(line, " ")
     n = F.size(tok)
     choice = strip_chars(F.get(tok, 0), ".")
-    in1 = F.coalesce(line.contains(F.col("team1_name")), F.lit(False))
-    in2 = F.coalesce(line.contains(F.col("team2_name")), F.lit(False))
-    found = in1 | in2
-    team = F.when(in1, F.col("team1_id")).when(in2, F.col("team2_id"))
     last = F.try_element_at(tok, F.lit(-1))
-    named_map = F.when(F.col("one_block") & (n > 8), F.try_element_at(tok, F.lit(-6))).otherwise(last)
+    named_map = F.when(one_block & (n > 8), F.try_element_at(tok, F.lit(-6))).otherwise(last)
     unnamed_map = F.when(choice == "7", F.get(tok, 1)).otherwise(last)
-    return lines.select(
-        "match_id",
+    return [
         F.when(line.contains("removed"), "ban").otherwise("pick").alias("type"),
         choice.alias("choice_number"),
         F.when(found, named_map).otherwise(unnamed_map).alias("map_name"),
-        team.alias("team_id"),
-    )
+        team_id.alias("team_id"),
+    ]
 
 
 def parse_veto_block(blocks: DataFrame, header_lines: int = 5) -> DataFrame:
@@ -184,29 +186,38 @@ def format_label(format_lines: DataFrame) -> DataFrame:
 
 
 # ---- E6 --------------------------------------------------------------------------
-def player_rows(rows: DataFrame) -> DataFrame:
-    """Scoreboard rows to player stats: the header row (position 0) is
-    skipped; id and nick are the last two tokens of the player link."""
-    h = F.col("row_html")
-    link = F.regexp_extract(h, r'<td class="players"><a href="([^"]*)"', 1)
-    return rows.where(F.col("pos") > 0).select(
-        "match_id",
+def player_cells(row: Column, team_id: Column | None = None) -> list[Column]:
+    """Fields of a scoreboard row; id and nick are the last two tokens of the
+    player link. The team comes from the scoreboard's header."""
+    link = F.regexp_extract(row, r'<td class="players"><a href="([^"]*)"', 1)
+    return [
         path_part(link, -2).alias("player_id"),
+        *([] if team_id is None else [team_id.alias("team_id")]),
         path_part(link, -1).alias("nick"),
-        _cell(h, "kd").alias("kd"),
-        _cell(h, "plus-minus", "<span>").alias("diff"),
-        _cell(h, "adr").alias("adr"),
-        _cell(h, "kast").alias("kast"),
-        _cell(h, "rating").alias("rating"),
-    )
+        _cell(row, "kd").alias("kd"),
+        _cell(row, "plus-minus", "<span>").alias("diff"),
+        _cell(row, "adr").alias("adr"),
+        _cell(row, "kast").alias("kast"),
+        _cell(row, "rating").alias("rating"),
+    ]
+
+
+def team_of_header(markup: Column) -> Column:
+    """Team id in the link of a scoreboard's header row."""
+    return path_part(F.regexp_extract(markup, r'<a class="teamName team" href="([^"]*)"', 1), -2)
+
+
+def player_rows(rows: DataFrame) -> DataFrame:
+    """Scoreboard rows to player stats: the header row (position 0) is
+    skipped."""
+    return rows.where(F.col("pos") > 0).select("match_id", *player_cells(F.col("row_html")))
 
 
 def board_players(rows: DataFrame) -> DataFrame:
     """Player rows with the team of their scoreboard: its id is in the link of
     the header row. A scoreboard has one header, so the join keeps the rows."""
     key = ["match_id", "map_name", "slot"]
-    link = F.regexp_extract(F.col("row_html"), r'<a class="teamName team" href="([^"]*)"', 1)
-    teams = rows.where(F.col("pos") == 0).select(*key, path_part(link, 4).alias("team_id"))
+    teams = rows.where(F.col("pos") == 0).select(*key, team_of_header(F.col("row_html")).alias("team_id"))
     fields = ["player_id", "nick", "kd", "diff", "adr", "kast", "rating"]
     players = player_rows(rows.withColumn("match_id", F.struct(*key)))
     p = players.select("match_id.*", *fields)

@@ -437,6 +437,44 @@ FROM raw_stats_slot WHERE side = 'total'
 MODEL_SQL["score_blocks"] = MODEL_SQL["half_scores"].replace(
     "CAST(q AS VARCHAR) AS result", "q % 10 <> 0 AS was_played"
 )
+# pages show no forfeited match, the board's team instead of the player's, and
+# to each pick the first block of its map; unplayed maps are left out
+MODEL_SQL["pages_to_raw"] = f"""
+, shown AS (SELECT * FROM raw_matchs WHERE CAST(match_id AS BIGINT) % 3 <> 1),
+pk AS (
+  SELECT g.*, first_value(g.q) OVER (PARTITION BY g.l_orderkey, g.k ORDER BY g.l_linenumber) AS shown_q
+  FROM lg g WHERE g.l_linenumber >= 3
+),
+played AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS match_id, CAST(l_linenumber AS VARCHAR) AS choice_number, {POOL_CASE} AS map_name,
+         CAST(pick_team AS VARCHAR) AS team_id, a, b, shown_q
+  FROM pk WHERE shown_q % 10 <> 0
+),
+page_vetos AS (
+  SELECT match_id, type, choice_number, map_name, team_id FROM raw_vetos WHERE type = 'ban'
+  UNION ALL SELECT match_id, 'pick', choice_number, map_name, team_id FROM played
+),
+flat_vetos AS (
+  SELECT DISTINCT * FROM page_vetos SEMI JOIN shown USING (match_id)
+  WHERE match_id IN (SELECT match_id FROM page_vetos WHERE type = 'ban') AND match_id IN (SELECT match_id FROM played)
+),
+flat_results AS (
+  SELECT DISTINCT v.match_id, v.choice_number, v.map_name, v.team_id AS pick_team_id, CAST(p.shown_q % 9 AS VARCHAR) AS ct,
+         CAST(p.shown_q AS VARCHAR) AS result, CAST(p.shown_q - p.shown_q % 9 AS VARCHAR) AS t, s.s_name AS team_name
+  FROM flat_vetos v JOIN played p USING (match_id, choice_number) JOIN supplier s ON s.s_suppkey IN (p.a, p.b)
+  WHERE v.type = 'pick'
+),
+flat_matchs AS (SELECT DISTINCT * REPLACE (coalesce(best_of_type, '') AS best_of_type) FROM shown),
+flat_teams AS (
+  SELECT DISTINCT m.date, t.team_id, t.name, t.link FROM shown m JOIN raw_teams t ON t.team_id IN (m.team1_id, m.team2_id)
+),
+flat_stats AS (
+  SELECT DISTINCT s.* EXCLUDE (slot) REPLACE (if(s.slot = 'team1', m.team1_id, m.team2_id) AS team_id)
+  FROM raw_stats_slot s JOIN shown m USING (match_id)
+),
+flat_players AS (
+  SELECT DISTINCT m.date, s.player_id, s.team_id, s.nick FROM flat_stats s JOIN shown m USING (match_id) WHERE s.side = 'total'
+)""" + job_rows()
 MODEL_SQL["stats_by_map"] = MODEL_SQL["stg_match_stats"]
 MODEL_SQL["no_forfeit_matches"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS match_id, '* Match ' || o_orderkey || ' played' AS note

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import day_before
-from ..operators import assemble, extract, flatten
+from ..operators import assemble, extract, flatten, pages
 from ..schemas import RAW, RAW_TABLES
 from ..session import scratch_path
 from ..sources import io
-from ..sources.adapters import RawFromDriver, TextFromDriver, maps_dimension
+from ..sources.adapters import RawFromDriver, TextFromDriver, maps_dimension, rendered_pages
 from ..sources.tables import DriverTables
 from . import job, models
 from . import oracle as _oracle
@@ -272,6 +272,15 @@ def q_board_players(spark, sf_dir):
     return extract.board_players(text(spark, sf_dir).scoreboard_rows())
 
 
+def q_pages_to_raw(spark, sf_dir):
+    """Whole match pages to documents, landed, and run through the range job."""
+    stored, bronze, raw_root = (scratch_path(spark, n) for n in ("pages", "bronze", "raw"))
+    rendered_pages(documents(spark, sf_dir)).write.parquet(stored)
+    io.land_documents(pages.match_documents(spark.read.parquet(stored)), bronze, layout="month")
+    job.run_range(spark, bronze, raw_root, layout="month")
+    return content(spark, raw_root, "month")
+
+
 def q_no_forfeit_matches(spark, sf_dir):
     return extract.no_forfeits(text(spark, sf_dir).match_notes(), "note")
 
@@ -314,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "team_boxes": q_team_boxes,
     "score_blocks": q_score_blocks,
     "board_players": q_board_players,
+    "pages_to_raw": q_pages_to_raw,
 }
 
 

@@ -462,3 +462,75 @@ class TextFromDriver(RawFromDriver):
             F.explode(teams).alias("tm"),
         )
         return x.select("match_id", "choice_number", "result", "tm.*")
+
+
+def rendered_pages(docs: DataFrame) -> DataFrame:
+    """Whole match pages (url, html, extract_date) as markup of bronze documents.
+
+    Pages of even matches show their vetos in one box, the others line by
+    line; the note tells a forfeit on every third page; maps whose result is a
+    multiple of ten are marked as not played."""
+    key = F.col("match_id").cast("bigint")
+    note = F.when(key % 3 == 1, F.lit("\n* decided by forfeit")).otherwise(F.lit(""))
+    div = lambda cls, *inner: F.concat(F.lit(f'<div class="{cls}">'), *inner, F.lit("</div>"))
+    each = lambda arr, f, sep="": F.array_join(F.transform(arr, f), sep)
+    one_box = key % 2 == 0
+
+    def box(t: Column) -> Column:
+        link = F.concat(F.lit('<a href="'), t["link"], F.lit('">'), div("teamName", t["name"]), F.lit("</a>"))
+        return div("team", link, div("score", t["score"]))
+
+    def line(v: Column, verb: str) -> Column:
+        left, right = F.get("teams", F.lit(0)), F.get("teams", F.lit(1))
+        team = F.when(v["team_id"] == left["team_id"], left["name"]).when(v["team_id"] == right["team_id"], right["name"])
+        trailer = F.when(one_box & team.isNotNull(), F.lit(ONE_BLOCK_TRAILER)).otherwise(F.lit(""))
+        said = F.concat(v["choice_number"], F.lit(". "), F.coalesce(team, F.lit("nobody")), F.lit(f" {verb} "), v["map_name"], trailer)
+        over = F.concat(v["choice_number"], F.lit(". "), v["map_name"], F.lit(" was left over"))
+        return F.when(team.isNull() & (v["choice_number"] == "7"), over).otherwise(said)
+
+    def holder(p: Column) -> Column:
+        left, right = F.get(p["results"], F.lit(0)), F.get(p["results"], F.lit(1))
+        plain = lambda text: F.lit(f"<span>{text}</span>")
+        half = lambda r, side: F.concat(F.lit(f'<span class="{side}">'), r[side], F.lit("</span>"))
+        team = lambda r: F.concat(div("results-teamname", r["team_name"]), div("results-team-score", r["result"]))
+        kind = F.when(left["result"].cast("int") % 10 == 0, "optional").otherwise("played")
+        spans = [
+            plain("("), half(left, "ct"), plain(":"), half(right, "t"), plain("; "), half(left, "t"), plain(":"), half(right, "ct"), plain(")"),
+        ]
+        return div(
+            "mapholder", F.lit('<div class="'), kind, F.lit('">'), div("mapname", p["map_name"]), team(left), team(right), *spans, F.lit("</div>")
+        )
+
+    def table(players: Column, team: Column) -> Column:
+        header = F.concat(
+            F.lit('<table><tbody><tr class="header-row"><td class="players"><a class="teamName team" href="'), team["link"],
+            F.lit('">'), team["name"], F.lit("</a></td></tr>"),
+        )
+        cell = lambda cls, *v: F.concat(F.lit(f'<td class="{cls}">'), *v, F.lit("</td>"))
+
+        def row(p: Column) -> Column:
+            link = F.concat(F.lit(f'<a href="{PLAYER_LINK_PREFIX}'), p["player_id"], F.lit("/"), p["nick"], F.lit('">'), p["nick"], F.lit("</a>"))
+            return F.concat(
+                F.lit("<tr>"), cell("players", link), cell("kd text-center", p["kd"]),
+                cell("plus-minus", F.lit("<span>"), p["diff"], F.lit("</span>")), cell("adr", p["adr"]), cell("kast", p["kast"]),
+                cell("rating", p["rating"]), F.lit("</tr>"),
+            )
+
+        return F.concat(header, each(players, row), F.lit("</tbody></table>"))
+
+    def boards(s: Column) -> Column:
+        tables = [
+            table(s[slot][side], F.get("teams", F.lit(k))) for k, slot in enumerate(("team1", "team2")) for side in ("total", "tr", "ct")
+        ]
+        return div("stats-content", *tables)
+
+    lines = F.concat(F.transform("maps.bans", lambda v: line(v, "removed")), F.transform("maps.picks", lambda v: line(v, "picked")))
+    in_box = div("vetobox", F.concat_ws("\n", *[F.lit(t) for t in BLOCK_HEADER], lines))
+    html = F.concat(
+        F.lit("<html><body>"), div("describe", F.coalesce("best_of_type", F.lit("")), F.lit("("), F.col("type"), F.lit(")"), note),
+        each("teams", box, "\n"), F.when(one_box, in_box).otherwise(each(lines, lambda t: div("veto", t))),
+        each("maps.picks", holder), div("matchstats", each("stats", lambda s: div("dynamic-map-name-full", s["map"])), each("stats", boards)),
+        F.lit("</body></html>"),
+    )
+    url = F.concat(F.lit("https://h.example/matches/"), F.col("match_id"), F.lit("/x"))
+    return docs.select(url.alias("url"), html.alias("html"), "extract_date")
