@@ -2,9 +2,13 @@
 
 Each language's dictionary is raw text of that language: passages of a bounded
 sample of the training documents (``DOCS`` documents a language, picked by a
-seeded hash, and up to ``PASSAGE`` bytes from the middle of each). A text is
-cut into blocks, every block is compressed with every dictionary, and the
-smallest total wins. Blocks keep the text from becoming its own dictionary.
+seeded hash, and up to ``PASSAGE`` characters from the middle of each).
+Dictionaries and texts are reduced to lower-case words of letters, and a word
+that repeats at once counts once: digits, marks and runs of one word compress
+alike in every language. A text is cut into blocks, every block is compressed
+with every dictionary, and the smallest total wins (of equal totals, the
+language of more training documents). Blocks keep the text from becoming its
+own dictionary.
 
 The score is a two-sided comparison with the runner-up; ``rejected`` marks
 narrow margins. Null texts and texts without a letter get ``und`` and 0.
@@ -14,6 +18,7 @@ With no training rows every text gets ``und``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import regex
@@ -26,15 +31,22 @@ from . import common
 DOCS = 160
 PASSAGE = 600
 BLOCK = 1024
-LEVEL = 3
+LEVEL = 6
 NARROW = 0.01
 BITS = 0.1  # weight of a saved bit against the runner-up
 SEED = 7
 LETTER = regex.compile(r"\p{L}")
+LETTERS = regex.compile(r"[\p{L}\p{M}]+")
+
+
+def words_only(text: str) -> bytes:
+    """Lower-case words of letters, each once where it repeats at once."""
+    return f" {' '.join(w for w, _ in groupby(LETTERS.findall(text.lower())))} ".encode()
 
 
 def training_passages(docs: DataFrame) -> list[tuple[str, list[bytes]]]:
-    """Per language, passages of about ``DOCS`` documents.
+    """Per language, passages of about ``DOCS`` documents; languages in the
+    order of their training documents, most first.
 
     The share to draw per language comes from its count, so one language with
     most rows is thinned before it meets in a task. Number of languages times
@@ -54,8 +66,9 @@ def training_passages(docs: DataFrame) -> list[tuple[str, list[bytes]]]:
     rows = drawn.withColumn("nth", nth).where(F.col("nth") <= DOCS).select("lang", "nth", passage.alias("p")).collect()
     by: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r.lang, -r.nth)):
-        by.setdefault(r.lang, []).append(r.p.encode())
-    return sorted(by.items())
+        by.setdefault(r.lang, []).append(words_only(r.p))
+    count = {r.lang: r.n for r in sizes}
+    return sorted(by.items(), key=lambda e: (-count[e[0]], e[0]))
 
 
 class Compressors:
@@ -74,7 +87,7 @@ class Compressors:
             )
 
     def sizes(self, text: str) -> list[int]:
-        data = text.encode()
+        data = words_only(text)
         n = max(1, -(-len(data) // BLOCK))
         step = -(-len(data) // n)
         blocks = [data[i : i + step] for i in range(0, len(data), step)]
@@ -84,7 +97,7 @@ class Compressors:
         if text is None or not self.names or not LETTER.search(text):
             return "und", 0.0, True
         sizes = self.sizes(text)
-        order = sorted(range(len(sizes)), key=lambda i: (sizes[i], self.names[i]))
+        order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
         best = sizes[order[0]]
         if len(order) == 1:
             return self.names[0], 1.0, False

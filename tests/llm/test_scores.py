@@ -79,10 +79,26 @@ def test_languages_on_held_out_rows(docs):
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     held = [i for i, r in got.items() if r.held_out and lang[i] is not None]
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
-    assert sum(got[i].lang_pred == lang[i] for i in held) / len(held) > 0.9
+    assert sum(got[i].lang_pred == lang[i] for i in held) / len(held) > 0.97
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_case_marks_and_repeats_do_not_decide_the_language(docs):
+    ways = langid.Compressors(langid.training_passages(docs))
+    rows = docs.where("text is not null and lang is not null and n_chars between 200 and 4000").collect()
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    for change in (str.upper, lambda t: t.replace(" ", "!! 77 "), lambda t: t + " xyz" * 400):
+        assert sum(ways.predict(change(r.text))[0] == r.lang for r in held) / len(held) > 0.95
+
+
+def test_equal_sizes_go_to_the_language_of_more_documents(spark):
+    rows = [(k, "one two three four" if k < 60 else "uno dos tres cuatro", "zz" if k < 60 else "aa") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    passages = langid.training_passages(docs)
+    assert [name for name, _ in passages] == ["zz", "aa"]
+    assert langid.Compressors(passages).predict("q")[0] == "zz"
+
+
 def test_language_edges(odd, empty):
     got = langid.predictions(odd).collect()
     assert len(got) == odd.count()
