@@ -120,12 +120,13 @@ def parse_veto_lines(lines: DataFrame) -> DataFrame:
     in1 = F.coalesce(F.col("line").contains(F.col("team1_name")), F.lit(False))
     in2 = F.coalesce(F.col("line").contains(F.col("team2_name")), F.lit(False))
     team = F.when(in1, F.col("team1_id")).when(in2, F.col("team2_id"))
-    return lines.select("match_id", *veto_fields(F.col("line"), F.col("one_block"), in1 | in2, team))
+    line = F.col("line")
+    return lines.select("match_id", *veto_fields(line, F.split(line, " "), F.col("one_block"), in1 | in2, team))
 
 
-def veto_fields(line: Column, one_block: Column, found: Column, team_id: Column) -> list[Column]:
-    """The fields of one veto line, given whether a team was found in it."""
-    tok = F.split(line, " ")
+def veto_fields(line: Column, tok: Column, one_block: Column, found: Column, team_id: Column) -> list[Column]:
+    """The fields of one veto line, given its tokens and whether a team was
+    found in it."""
     n = F.size(tok)
     choice = strip_chars(F.get(tok, 0), ".")
     last = F.try_element_at(tok, F.lit(-1))
@@ -186,10 +187,13 @@ def format_label(format_lines: DataFrame) -> DataFrame:
 
 
 # ---- E6 --------------------------------------------------------------------------
-def player_cells(row: Column, team_id: Column | None = None) -> list[Column]:
+def player_link(row: Column) -> Column:
+    return F.regexp_extract(row, r'<td class="players"><a href="([^"]*)"', 1)
+
+
+def player_cells(row: Column, link: Column, team_id: Column | None = None) -> list[Column]:
     """Fields of a scoreboard row; id and nick are the last two tokens of the
     player link. The team comes from the scoreboard's header."""
-    link = F.regexp_extract(row, r'<td class="players"><a href="([^"]*)"', 1)
     return [
         path_part(link, -2).alias("player_id"),
         *([] if team_id is None else [team_id.alias("team_id")]),
@@ -210,7 +214,8 @@ def team_of_header(markup: Column) -> Column:
 def player_rows(rows: DataFrame) -> DataFrame:
     """Scoreboard rows to player stats: the header row (position 0) is
     skipped."""
-    return rows.where(F.col("pos") > 0).select("match_id", *player_cells(F.col("row_html")))
+    h = F.col("row_html")
+    return rows.where(F.col("pos") > 0).select("match_id", *player_cells(h, player_link(h)))
 
 
 def board_players(rows: DataFrame) -> DataFrame:

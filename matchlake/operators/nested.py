@@ -51,8 +51,13 @@ def keep(arr: ColumnOrName, pred: Callable[[Column], Column]) -> Column:
 
 def tail(arr: ColumnOrName, skip: int = 1) -> Column:
     """Drop the first ``skip`` elements (header rows); empty when shorter."""
-    a = _c(arr)
-    return F.slice(a, skip + 1, F.greatest(F.size(a) - skip, F.lit(0)))
+    return F.slice(_c(arr), skip + 1, 1 << 30)  # a slice stops at the end
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used:
+    inside lambdas Spark shares no common subexpressions."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def first_where(arr: ColumnOrName, pred: Callable[[Column], Column]) -> Column:
