@@ -326,12 +326,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 # ---- the join -------------------------------------------------------------------------
 def join(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, th, cid, copy_id (smallest id of
-    the rows with an equal set), class_id (smallest id of the linked group),
-    n_links (other rows with a similarity of at least LEAST).
-
-    Rows without words have null cid, themselves as class and no links. Null
-    ids lose to every other id. Rows that repeat are documents of their own.
+    """One row per row of ``docs``: doc_id, th, cid, label (the linked group),
+    copy_id (smallest id of the rows with an equal set), class_id (smallest id
+    of the linked group), n_links (other rows with a similarity of at least
+    LEAST).
+
+    Rows without words have null cid and label, themselves as class and no
+    links. Null ids lose to every other id. Rows that repeat are documents of
+    their own. Groups are told apart by label: class_id is null for a group
+    without ids, and groups that share an id can share it.
     """
     rows = common.stored(signatures(docs), "signatures")
     classes = common.stored(
@@ -366,10 +369,10 @@ def join(docs: DataFrame) -> DataFrame:
     per_class = per_class.withColumn("label", F.coalesce("label", "cid"))
     lowest = per_class.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     per_class = per_class.join(lowest, "label").select(
-        "cid", "copy_id", "class_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+        "cid", "label", "copy_id", "class_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
     return rows.drop("sig").join(per_class, "cid", "left").select(
-        "doc_id", "th", "cid",
+        "doc_id", "th", "cid", "label",
         F.coalesce("copy_id", F.when(F.col("cid").isNull(), F.col("doc_id"))).alias("copy_id"),
         F.coalesce("class_id", F.when(F.col("cid").isNull(), F.col("doc_id"))).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -377,10 +380,11 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each linked group (the smallest id, then text
-    hash); rows without words stay."""
+    """``docs`` with one row of each linked group (the smallest id, null last,
+    then text hash); rows without words stay."""
     j = common.stored(join(docs), "joined")
-    one = j.where("cid is not null").groupBy("class_id").agg(F.min(F.struct("doc_id", "th")).alias("m"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th"))
+    one = j.where("cid is not null").groupBy("label").agg(first.alias("m"))
     stay = one.select(F.col("m.doc_id").alias("doc_id"), F.col("m.th").alias("th"))
     stay = stay.unionByName(j.where("cid is null").select("doc_id", "th")).distinct()
     stay = stay.select(F.xxhash64("doc_id", "th").alias("__k")).distinct()

@@ -174,6 +174,20 @@ def test_join_edges(odd, empty):
     assert jaccard_join.join(empty).count() == 0 and jaccard_join.keep_one(empty).count() == 0
 
 
+def test_groups_are_told_apart_without_ids(spark):
+    near = [f"n{i}" for i in range(60)]
+    rows = [
+        (None, "red green blue cyan pink grey"), (None, "one two three four five six"),  # unrelated, no ids
+        (5, "sun moon star sky cloud rain"), (5, "oak elm ash fir yew bay"),  # unrelated, one id
+        (None, " ".join(near)), (8, " ".join(near[:-1] + ["last"])), (7, " ".join(["first"] + near[1:])),  # one group
+        (None, "same words here and there now"), (None, "same words here and there now"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compare(df)
+    got = sorted(((r.doc_id or 0, r.text) for r in jaccard_join.keep_one(df).collect()))
+    assert got == sorted((i or 0, t) for i, t in [*rows[:4], rows[6], rows[7]])
+
+
 # ---- licence scans ------------------------------------------------------------------------
 def test_licence_lines_of_the_documents(docs):
     lines = {
