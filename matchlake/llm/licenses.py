@@ -1,18 +1,24 @@
 """License scans by conditional compression.
 
-Candidate blocks are runs of lines with licence words. A block is compressed
-alone and with each template as zstandard raw dictionary; the templates are
-ranked by the share of bytes saved, and the best ones are confirmed by their
-exact wording differences: the words of the template that the block has, in
-order, and the words to delete or insert.
+Candidate blocks are the licence words of a text with all words that a
+template's wording around them can reach. In a block, every stretch that holds
+enough of a template's words, in any layout, is aligned with the template by
+its exact wording differences: the words of the template that the stretch has,
+in order, and the words to delete or insert. The aligned span is compressed
+alone and with the template as zstandard raw dictionary, and the share of
+bytes saved confirms it; so what else stands in the block does not matter.
+Of spans that overlap, the one that explains most words stays.
 
 Texts without a licence word are settled in Spark; the others go through
-Arrow batches, nothing is shuffled. Repeated blocks are remembered per task,
+Arrow batches, nothing is shuffled. Repeated spans are remembered per task,
 up to ``KEPT``. Null and empty texts have no candidates.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -26,11 +32,10 @@ CUE = (
     r"(?i)licen[cs]|copyright|permission|warrant|redistribut|spdx|public domain|creative commons|"
     r"as is|merchantab|liabilit|all rights"
 )
-GAP = 2  # lines without a licence word inside a block
 LEVEL = 9
-RANKED = 3
-SAVED = 0.2  # least share of bytes a template has to save
-COVERED = 0.8  # least share of the template's words in the block, in order
+SAVED = 0.2  # least share of a span's bytes a template has to save
+COVERED = 0.8  # least share of the template's words in the span, in order
+REACH = 4  # words of a stretch to words of its template; a span of more saves less than SAVED
 KEPT = 50_000
 
 # Wordings of common licence notices, by SPDX id.
@@ -91,35 +96,44 @@ _cue = regex.compile(CUE)
 _word = regex.compile(r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*")
 
 
-def blocks(text: str) -> list[tuple[int, str]]:
-    """(number of the first line, block) for each candidate block."""
-    lines = text.split("\n")
-    out, start, last = [], -1, -1
-    for i, line in enumerate(lines):
-        if _cue.search(line):
-            if start >= 0 and i - last > GAP + 1:
-                out.append((start, "\n".join(lines[start : last + 1])))
-                start = -1
-            start, last = (i if start < 0 else start), i
-    if start >= 0:
-        out.append((start, "\n".join(lines[start : last + 1])))
-    return out
-
-
-def differences(template: str, block: str) -> tuple[float, list[str], list[str]]:
-    """(share of the template's words that the block has in order, words
-    missing from the block, words of the block inside the match that the
-    template lacks)."""
-    a = [w.lower() for w in _word.findall(template)]
-    b = [w.lower() for w in _word.findall(block)]
+def blocks(text: str, reach: int) -> list[list[tuple[int, int]]]:
+    """Start and end of each word, for each candidate block: the words up to
+    ``reach`` words from a licence word."""
+    words = [m.span() for m in _word.finditer(text)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    out: list[list[int]] = []
+    for cue in _cue.finditer(text):
+        lo = max(0, bisect_right(ends, cue.start()) - reach)
+        hi = min(len(words), bisect_left(starts, cue.end()) + reach)
+        if out and lo <= out[-1][1]:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+    return [words[lo:hi] for lo, hi in out]
+
+
+def align(a: list[str], b: list[str | None]) -> tuple[int, int, int, int] | None:
+    """(first word of b, word after the last, words of a that b has in order,
+    words to delete or insert) of the best alignment of a with a span of b."""
     same = [m for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size]
     if not same:
-        return 0.0, a, []
-    covered = sum(m.size for m in same)
-    kept_a = {i for m in same for i in range(m.a, m.a + m.size)}
-    kept_b = {i for m in same for i in range(m.b, m.b + m.size)}
-    inside = range(same[0].b, same[-1].b + same[-1].size)
-    return covered / len(a), [w for i, w in enumerate(a) if i not in kept_a], [b[i] for i in inside if i not in kept_b]
+        return None
+
+    def of(part: list) -> tuple[int, int, int, int]:
+        covered = sum(m.size for m in part)
+        lo, hi = part[0].b, part[-1].b + part[-1].size
+        return lo, hi, covered, len(a) - covered + hi - lo - covered
+
+    # outer matches that cost more words than they bring are chance
+    part, trimmed = same, True
+    while trimmed and len(part) > 1:
+        trimmed = False
+        for less in (part[1:], part[:-1]):
+            if of(less)[2] - of(less)[3] > of(part)[2] - of(part)[3]:
+                part, trimmed = less, True
+                break
+    best = of(part)
+    return best if best[2] >= COVERED * len(a) else of(same)
 
 
 class Scanner:
@@ -130,47 +144,82 @@ class Scanner:
         for name, wordings in templates.items():
             for t in wordings:
                 d = zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.ways.append((name, t, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, **plain)))
-        self.known: dict[str, tuple | None] = {}
-
-    def ranking(self, block: str) -> list[tuple[float, str, str]]:
-        """(share saved, licence, template), best first."""
-        data = block.encode()
+                way = zstandard.ZstdCompressor(level=LEVEL, dict_data=d, **plain)
+                words = [w.lower() for w in _word.findall(t)]
+                if words:
+                    self.ways.append((name, words, Counter(words), way))
+        self.vocabulary = {w for _, words, _, _ in self.ways for w in words}
+        self.reach = REACH * max((len(words) for _, words, _, _ in self.ways), default=0)
+        self.known: dict[tuple[int, str], float] = {}
+
+    def saved(self, way: int, span: str) -> float:
+        """Share of the span's bytes that the template saves."""
+        if (way, span) in self.known:
+            return self.known[way, span]
+        data = span.encode()
         whole = len(self.alone.compress(data))
-        saved = [((whole - len(w.compress(data))) / whole, name, t) for name, t, w in self.ways]
-        return sorted(saved, key=lambda x: (-x[0], x[1], x[2]))
-
-    def match(self, block: str) -> tuple | None:
-        """(licence, share saved, words that differ) of the confirmed winner."""
-        if block in self.known:
-            return self.known[block]
-        best = None
-        for saved, name, template in self.ranking(block)[:RANKED]:
-            if saved < SAVED:
-                break
-            covered, missing, added = differences(template, block)
-            if covered >= COVERED:
-                found = (len(missing) + len(added), -saved, name)
-                best = min(best, found) if best else found
-        got = (best[2], -best[1], best[0]) if best else None
+        got = (whole - len(self.ways[way][3].compress(data))) / whole
         if len(self.known) < KEPT:
-            self.known[block] = got
+            self.known[way, span] = got
         return got
 
-
-    def matches(self, block: str) -> list[tuple]:
-        """The match of a block; where it has none as a whole, those of its
-        lines."""
-        whole = self.match(block)
-        if whole or "\n" not in block:
-            return [whole] if whole else []
-        return [m for m in map(self.match, block.split("\n")) if m]
+    def stretches(self, way: int, words: list[str | None], places: dict[str, list[int]]) -> Iterator[tuple[int, int, int, int]]:
+        """Alignments of a template with the words of a block, left to right."""
+        _, a, wanted, _ = self.ways[way]
+        need, width = math.ceil(COVERED * len(a) - 1e-9), REACH * len(a)
+        if sum(min(n, len(places.get(w, ()))) for w, n in wanted.items()) < need:
+            return
+        at = sorted(i for w in wanted for i in places.get(w, ()))
+        first, have, total, wait = 0, Counter(), 0, -1
+        for k, i in enumerate(at):
+            have[words[i]] += 1
+            total += have[words[i]] <= wanted[words[i]]
+            while at[first] <= i - width:
+                w = words[at[first]]
+                total -= have[w] <= wanted[w]
+                have[w] -= 1
+                first += 1
+            if total < need or i < wait:
+                continue
+            lo = at[first]
+            got = align(a, words[lo : i + len(a)])
+            if got and got[2] >= need:
+                yield lo + got[0], lo + got[1], got[2], got[3]
+                while first <= k and at[first] < lo + got[1]:
+                    w = words[at[first]]
+                    total -= have[w] <= wanted[w]
+                    have[w] -= 1
+                    first += 1
+                wait = lo + got[1]
+            else:
+                wait = i + max(1, len(a) // 2)
+
+    def matches(self, text: str, block: list[tuple[int, int]]) -> list[tuple]:
+        """(start in the text, licence, share saved, words that differ) of each
+        notice of a block, in order."""
+        words: list[str | None] = [text[a:b].lower() for a, b in block]
+        places: dict[str, list[int]] = {}
+        for i, w in enumerate(words):
+            if w in self.vocabulary:
+                places.setdefault(w, []).append(i)
+        found = []
+        for way, (name, _, _, _) in enumerate(self.ways):
+            for lo, hi, covered, differ in self.stretches(way, words, places):
+                saved = self.saved(way, text[block[lo][0] : block[hi - 1][1]])
+                if saved >= SAVED:
+                    found.append((differ - covered, -saved, name, lo, hi, differ))
+        out, taken = [], bytearray(len(words))
+        for _, less, name, lo, hi, differ in sorted(found):
+            if not any(taken[lo:hi]):
+                taken[lo:hi] = b"\1" * (hi - lo)
+                out.append((block[lo][0], name, -less, differ))
+        return sorted(out)
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_candidates, n_confirmed,
     licenses (sorted, comma-joined, null if none), first_line of the first
-    confirmed block, best_saved, wording_changes of the best one."""
+    confirmed notice, best_saved, wording_changes of the best one."""
     chosen = templates or TEMPLATES
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -182,12 +231,13 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> Data
         for batch in batches:
             out: list[tuple] = []
             for t in batch.column("text"):
-                found = [(line, scanner.matches(b)) for line, b in blocks(t.as_py())] if t.is_valid else []
-                hits = [(line, m) for line, got in found for m in got]
-                best = max((m for _, m in hits), key=lambda m: (m[1], m[0]), default=None)
+                text = t.as_py() if t.is_valid else ""
+                found = blocks(text, scanner.reach)
+                hits = [m for b in found for m in scanner.matches(text, b)]
+                best = max(hits, key=lambda m: (m[2], m[1]), default=None)
                 out.append((
-                    len(found), len(hits), ",".join(sorted({m[0] for _, m in hits})) or None,
-                    hits[0][0] if hits else None, best[1] if best else None, best[2] if best else None,
+                    len(found), len(hits), ",".join(sorted({m[1] for m in hits})) or None,
+                    text.count("\n", 0, hits[0][0]) if hits else None, best[2] if best else None, best[3] if best else None,
                 ))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64()]
             cols = list(zip(*out)) if out else [()] * 6

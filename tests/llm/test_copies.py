@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -215,6 +216,20 @@ def test_changed_wordings(spark):
     assert got[2].licenses == "LGPL-3.0" and got[2].wording_changes == 0
 
 
+def test_wrapped_wordings(spark):
+    texts, want = [], []
+    for name, k in (("MIT", 1), ("MPL-2.0", 0), ("BSD-3-Clause", 0), ("ISC", 0), ("GPL-3.0", 1)):
+        for width in (40, 60, 76):
+            body = textwrap.fill(licenses.TEMPLATES[name][k], width)
+            texts += [body, "Some prose.\n\n" + textwrap.indent(body, " * ") + "\n\n" + "More prose here.\n" * 40]
+            want += [(name, 0, 0), (name, 2, 0)]
+    texts.append(textwrap.fill(licenses.TEMPLATES["MIT"][1], 76).replace("\nANY", "\n\nANY"))
+    want.append(("MIT", 0, 0))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(licenses.scan(df).collect(), key=lambda r: r.doc_id)
+    assert [(r.licenses, r.first_line, r.wording_changes) for r in got] == want
+
+
 def test_licence_edges(odd, empty):
     got = licenses.scan(odd).collect()
     assert len(got) == odd.count() and all(r.licenses is None for r in got)
