@@ -196,24 +196,29 @@ class Scanner:
 
     def matches(self, text: str, block: list[tuple[int, int]]) -> list[tuple]:
         """(start in the text, licence, share saved, words that differ) of each
-        notice of a block, in order."""
+        notice of a block, in order. What is left beside the notices found is
+        scanned again, until nothing more is found."""
         words: list[str | None] = [text[a:b].lower() for a, b in block]
-        places: dict[str, list[int]] = {}
-        for i, w in enumerate(words):
-            if w in self.vocabulary:
-                places.setdefault(w, []).append(i)
-        found = []
-        for way, (name, _, _, _) in enumerate(self.ways):
-            for lo, hi, covered, differ in self.stretches(way, words, places):
-                saved = self.saved(way, text[block[lo][0] : block[hi - 1][1]])
-                if saved >= SAVED:
-                    found.append((differ - covered, -saved, name, lo, hi, differ))
-        out, taken = [], bytearray(len(words))
-        for _, less, name, lo, hi, differ in sorted(found):
-            if not any(taken[lo:hi]):
-                taken[lo:hi] = b"\1" * (hi - lo)
-                out.append((block[lo][0], name, -less, differ))
-        return sorted(out)
+        out: list[tuple] = []
+        while True:
+            places: dict[str, list[int]] = {}
+            for i, w in enumerate(words):
+                if w in self.vocabulary:
+                    places.setdefault(w, []).append(i)
+            found = []
+            for way, (name, _, _, _) in enumerate(self.ways):
+                for lo, hi, covered, differ in self.stretches(way, words, places):
+                    saved = self.saved(way, text[block[lo][0] : block[hi - 1][1]])
+                    if saved >= SAVED:
+                        found.append((differ - covered, -saved, name, lo, hi, differ))
+            if not found:
+                return sorted(out)
+            taken = bytearray(len(words))
+            for _, less, name, lo, hi, differ in sorted(found):
+                if not any(taken[lo:hi]):
+                    taken[lo:hi] = b"\1" * (hi - lo)
+                    words[lo:hi] = [None] * (hi - lo)
+                    out.append((block[lo][0], name, -less, differ))
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:

@@ -230,6 +230,22 @@ def test_wrapped_wordings(spark):
     assert [(r.licenses, r.first_line, r.wording_changes) for r in got] == want
 
 
+def test_every_notice_of_a_block(spark):
+    lines = "\n".join(f"Copyright {k} all rights of licence {k}" for k in range(40))
+    mit, isc = (textwrap.fill(licenses.TEMPLATES[k][-1], 70) for k in ("MIT", "ISC"))
+    texts = [
+        "Released under the MIT License.\nLicensed under CC BY 4.0.",
+        "\n".join([lines, mit, lines, isc, lines, mit, lines]),
+        # the second notice is left beside a better alignment that overlaps it
+        "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0. Licensed under CC BY-NC 4.0.",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(licenses.scan(df).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_confirmed, r.licenses) for r in got] == [
+        (2, "CC-BY-4.0,MIT"), (3, "ISC,MIT"), (3, "CC-BY-4.0,CC-BY-NC-4.0,CC-BY-SA-4.0")
+    ]
+
+
 def test_licence_edges(odd, empty):
     got = licenses.scan(odd).collect()
     assert len(got) == odd.count() and all(r.licenses is None for r in got)
