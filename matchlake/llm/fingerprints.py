@@ -9,7 +9,7 @@ adding or subtracting its vector (``combine``).
 The vector has two parts:
 
 * ``EXACT`` lanes of 32 random bits, added modulo 2**32: equality;
-* ``SIGNS`` lanes of +1 / -1, added modulo 2**16: the inner product of two
+* ``SIGNS`` lanes of +1 / -1, added modulo 2**32: the inner product of two
   such sums estimates the size of the multiset intersection, so that the
   cosine of two fingerprints is a likeness from 0 to 1.
 
@@ -73,7 +73,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         F.transform(f"_{out}_b", lambda x: x.bitwiseAND(F.lit(LOW32))),
         F.transform(f"_{out}_b", lambda x: F.shiftrightunsigned(x, 32)),
     )
-    signs = F.transform(counts, lambda c: F.pmod(c * 2 - n, F.lit(65536)))
+    signs = F.transform(counts, lambda c: F.pmod(c * 2 - n, F.lit(1 << 32)))
     df = df.withColumn(out, F.struct(F.col(f"_{out}_e").alias("exact"), signs.alias("signs")))
     return df.drop(f"_{out}_p", f"_{out}_b", f"_{out}_e", *hs)
 
@@ -83,7 +83,7 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     without the pieces of ``b`` (``sign=-1``)."""
     return F.struct(
         F.zip_with(a["exact"], b["exact"], lambda x, y: F.pmod(x + y * sign, F.lit(1 << 32))).alias("exact"),
-        F.zip_with(a["signs"], b["signs"], lambda x, y: F.pmod(x + y * sign, F.lit(65536))).alias("signs"),
+        F.zip_with(a["signs"], b["signs"], lambda x, y: F.pmod(x + y * sign, F.lit(1 << 32))).alias("signs"),
     )
 
 
@@ -92,18 +92,17 @@ def as_text(fp: Column) -> Column:
     return F.lower(
         F.concat(
             F.array_join(F.transform(fp["exact"], lambda x: F.lpad(F.hex(x), 8, "0")), ""),
-            F.array_join(F.transform(fp["signs"], lambda x: F.lpad(F.hex(x), 4, "0")), ""),
+            F.array_join(F.transform(fp["signs"], lambda x: F.lpad(F.hex(x), 8, "0")), ""),
         )
     )
 
 
 def _dot(a: Column, b: Column) -> Column:
-    centred = lambda x: F.when(x >= 32768, x - 65536).otherwise(x)
+    # as doubles: the products of long texts' lanes do not fit 64 bits
+    centred = lambda x: F.when(x >= 1 << 31, x - (1 << 32)).otherwise(x).cast("double")
     return F.aggregate(
-        F.zip_with(a["signs"], b["signs"], lambda x, y: centred(x) * centred(y)),
-        F.lit(0).cast("bigint"),
-        lambda acc, x: acc + x,
-    ).cast("double")
+        F.zip_with(a["signs"], b["signs"], lambda x, y: centred(x) * centred(y)), F.lit(0.0), lambda acc, x: acc + x
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:

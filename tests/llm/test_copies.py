@@ -36,6 +36,18 @@ def test_pieces_are_inserted_and_deleted(spark):
     assert r.added and r.removed
 
 
+def test_lanes_hold_many_equal_pieces(spark):
+    df = spark.createDataFrame([("0\n" * 40_000, "0\n" * 30_000 + "x y\n" * 100)], "a string, b string")
+    for c in ("a", "b"):
+        df = fingerprints.with_fingerprint(df, c, f"f_{c}")
+    a, b = F.col("f_a"), F.col("f_b")
+    r = df.select(
+        fingerprints.likeness(a, b).alias("near"),
+        (fingerprints.combine(fingerprints.combine(a, b), b, -1) == a).alias("back"),
+    ).first()
+    assert r.near > 0.99 and r.back
+
+
 def test_edited_texts(docs):
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
     got = {r.doc_id: r for r in fingerprints.fingerprint_report(docs).collect()}
