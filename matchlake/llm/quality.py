@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from . import arrays, common, sampling
 
 SAMPLE = 12_000
-PER_DOC = 4096
 BUCKETS = 1 << 15
 RANK = 8
 BINS = 8
@@ -187,7 +186,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for lo, hi, stats, r, b in features(batch.column("text"), _declared(batch)):
             cut = np.concatenate(([0], np.cumsum(np.bincount(r, minlength=hi - lo))))
-            words = [np.unique(b[cut[k] : cut[k + 1]])[:PER_DOC].astype(np.int32) for k in range(hi - lo)]
+            words = [np.unique(b[cut[k] : cut[k + 1]]).astype(np.int32) for k in range(hi - lo)]
             yield pa.record_batch(
                 [
                     batch.column("doc_id").slice(lo, hi - lo), pa.array(np.arange(row, row + hi - lo)),

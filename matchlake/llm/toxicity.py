@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from . import arrays, common, sampling
 
 SAMPLE = 9_000  # labelled documents for mining and training, about
-PER_DOC = 4096  # distinct features of a sample document
 THRESHOLD = 0.3
 MIN_DOCS, MIN_SHARE = 4, 0.005  # toxic sample documents a tied feature occurs in, at least
 LEAST_LIFT = 2.0  # log odds of a tied feature, lower bound
@@ -145,7 +144,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             cols: list[list] = [[], [], []]
             for r in range(w.rows):
                 for out, h in zip(cols, (w.hash, w.more["begin"], w.more["ending"])):
-                    out.append(np.unique(h[cut[r] : cut[r + 1]])[:PER_DOC].view(np.int64))
+                    out.append(np.unique(h[cut[r] : cut[r + 1]]).view(np.int64))
             kind = pa.list_(pa.int64())
             yield pa.record_batch(
                 [

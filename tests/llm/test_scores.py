@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from matchlake.llm import class_lm, common, langid, quality, toxicity
@@ -144,6 +145,19 @@ def test_toxicity_edges(odd, empty, some_labels, no_labels):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_samples_hold_all_features_of_long_documents():
+    text = " ".join(f"{k}x{k}" for k in range(9000))
+    batch = pa.record_batch([[1], [text], [1], [len(text)]], ["doc_id", "text", "label", "n_chars"])
+    for kind in ("word", "begin", "ending"):
+        got = pa.Table.from_batches(toxicity._sample_features(iter([batch]))).column(kind)[0].values.to_numpy()
+        w = next(toxicity._words(batch.column("text")))
+        every = w.hash if kind == "word" else w.more[kind]
+        assert set(got.view(np.uint64).tolist()) == set(every.tolist())
+    got = pa.Table.from_batches(quality._sample_features(iter([batch]))).column("words")[0].values.to_numpy()
+    [(_, _, _, _, buckets)] = quality.features(batch.column("text"), quality._declared(batch))
+    assert set(got.tolist()) == set(buckets.tolist()) and len(got) > 4096
+
+
 # ---- quality ------------------------------------------------------------------------
 def test_quality_on_held_out_labels(docs, labels):
     got = {r.doc_id: r for r in quality.report(docs, labels).collect()}
