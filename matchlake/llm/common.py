@@ -38,7 +38,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once below the shared folder and read back: later stages
     (and retries after a lost executor) start from files, not from lineage.
 
@@ -48,7 +48,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     files = max(2 * spark.sparkContext.defaultParallelism, partitions(spark) // 8)
-    df.coalesce(files).write.parquet(path)
+    df.coalesce(files).write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

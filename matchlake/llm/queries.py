@@ -1,7 +1,8 @@
 """Registered queries of the text operators, over whole tables.
 
-Only exact dedup has an SQL form (``ORACLES``); the others are tested against
-brute force, exact round trips or held-out labels in ``tests/llm``.
+Exact dedup, line dedup and the divergence audit have an SQL form
+(``ORACLES``); the others are tested against brute force, exact round trips or
+held-out labels in ``tests/llm``.
 """
 
 from __future__ import annotations
@@ -9,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     class_lm,
+    divergence,
     exact_dedup,
     fingerprints,
     jaccard_join,
     langid,
     licenses,
+    line_dedup,
     mixing,
     pieces,
     quality,
@@ -63,11 +67,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(documents(spark, sf_dir))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_class_lm, op3_licenses, op4_toxicity, op5_exact_dedup, op6_jaccard_join, op7_langid,
-        op8_sentencepiece, op9_mixing, op10_quality,
+        op8_sentencepiece, op9_mixing, op10_quality, op11_line_dedup, op12_alignment, op13_divergence,
     )
 }
 
@@ -81,4 +97,6 @@ ORACLES = {
                doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
         FROM d
     """,
+    "op11_line_dedup": line_dedup.ORACLE,
+    "op13_divergence": divergence.ORACLE,
 }
