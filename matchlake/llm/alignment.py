@@ -34,8 +34,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -49,7 +48,9 @@ from . import arrays, common
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 CUT = re.compile(r"(?<=\S) (?=\S)")
-KEPT = 300_000  # remembered stretches per generation
+#: the usual pattern of byte-level BPE (fixed value)
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+KEPT = 400_000  # remembered stretches per generation
 SENT = 2_000_000
 HELD = 1 << 20  # links that a task gathers before it adds them up
 
@@ -68,35 +69,39 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-@dataclass
-class Stretch:
-    """Alignment of one stretch; ``exact``: the tokens give back its bytes."""
+#: groups as text, A's ids + (B's ids << 32), links (a | b << shift, packed)
+Stretch = tuple[str, int, bytes]
 
-    exact: bool
-    groups: str
-    n_a: int
-    n_b: int
-    n_groups: int
-    a: bytes  # A's ids of the links, uint32
-    b: bytes
+
+def merges_by_id(spec: dict) -> bool:
+    """Whether a byte-level BPE merges in the order of its ids, with the usual
+    pattern: then its vocabulary is a table of ranks."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    ids = [model["vocab"].get("".join(p)) for p in pairs]
+    rest = set(model["vocab"].values()) - set(ids) - {t["id"] for t in spec.get("added_tokens", [])}
+    return (
+        model.get("type") == "BPE" and spec.get("normalizer") is None and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True) and not model.get("ignore_merges") and not model.get("dropout")
+        and None not in ids and ids == sorted(ids) and len(rest) == 256 and max(rest) < min(ids, default=256)
+    )
 
 
 class Aligner:
     def __init__(self, a_json: str, b_model: bytes, rule: str = "end"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True  # their strings in a text are text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         self.slices = rule == "slice"
+        spec = json.loads(a_json)
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         letters = byte_letters()
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
-        special = {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.bytes_a = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for piece, i in vocabulary.items():
-            self.bytes_a[i] = piece.encode() if piece in special else bytes(letters[c] for c in piece)
+        vocabulary = {bytes(letters[c] for c in p): i for p, i in spec["model"]["vocab"].items() if p not in special}
+        self.bytes_a = [b""] * (max([*vocabulary.values(), *special.values()], default=-1) + 1)
+        for x, i in [*vocabulary.items(), *((p.encode(), i) for p, i in special.items())]:
+            self.bytes_a[i] = x
+        self.ids_a = self._ranked(vocabulary) if merges_by_id(spec) else self._merged(a_json)
         n = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(n)]
         self.bytes_b = [
@@ -104,73 +109,110 @@ class Aligner:
         ]
         self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
         self.name_a, self.name_b = [str(i) for i in range(len(self.bytes_a))], [str(i) for i in range(n)]
+        self.shift = 16 if max(len(self.bytes_a), n) <= 1 << 16 else 32
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.young: dict[str, Stretch] = {}
         self.old: dict[str, Stretch] = {}
 
-    def align(self, stretch: str, ids_a: list[int], ids_b: list[int]) -> Stretch:
-        whole = (" " + stretch).encode()
+    @staticmethod
+    def _ranked(ranks: dict[bytes, int]) -> Callable[[str], list[int]]:
+        """The same ids, several times faster than by the vocabulary's library."""
+        import tiktoken
+
+        return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    @staticmethod
+    def _merged(a_json: str) -> Callable[[str], list[int]]:
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_str(a_json)
+        t.encode_special_tokens = True  # their strings in a text are text
+        return lambda text: t.encode(text, add_special_tokens=False).ids
+
+    def align(self, text: str, stops: list[int]) -> list[Stretch] | None:
+        """The stretches of a text that end at the bytes ``stops`` of space +
+        text; None if the tokens do not give it back, or do not end there."""
+        whole = (" " + text).encode()
+        ids_a, ids_b = self.ids_a(" " + text), self.b.encode(text)
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != whole or b"".join(map(self.bytes_b.__getitem__, ids_b)) != whole:
-            return Stretch(False, "", 0, 0, 0, b"", b"")
-        ends_a = {e: k for k, e in enumerate(accumulate(map(self.size_a.__getitem__, ids_a)), 1)}
-        ends_b = {e: k for k, e in enumerate(accumulate(map(self.size_b.__getitem__, ids_b)), 1)}
-        groups, link_a, link_b = [], [], []
+            return None
+        ends_a = dict(zip(accumulate(map(self.size_a.__getitem__, ids_a)), range(1, len(ids_a) + 1)))
+        ends_b = dict(zip(accumulate(map(self.size_b.__getitem__, ids_b)), range(1, len(ids_b) + 1)))
+        common_ends = sorted(ends_a.keys() & ends_b.keys())
+        number = dict(zip(common_ends, range(1, len(common_ends) + 1)))
+        if not all([e in number for e in stops]):
+            return None
+        names_a, names_b = list(map(self.name_a.__getitem__, ids_a)), list(map(self.name_b.__getitem__, ids_b))
+        groups: list[str] = []
+        pairs: list[list[int]] = []
         i = j = 0
-        for end in sorted(ends_a.keys() & ends_b.keys()):
-            slice_a, slice_b = ids_a[i : ends_a[end]], ids_b[j : ends_b[end]]
-            i, j = ends_a[end], ends_b[end]
-            groups.append(
-                ",".join(map(self.name_a.__getitem__, slice_a)) + "|" + ",".join(map(self.name_b.__getitem__, slice_b))
-            )
+        for end in common_ends:
+            k, m = ends_a[end], ends_b[end]
+            left = names_a[i] if k == i + 1 else ",".join(names_a[i:k])
+            right = names_b[j] if m == j + 1 else ",".join(names_b[j:m])
+            groups.append(left + "|" + right)
             if self.slices:
-                link_a.extend(x for x in slice_a for _ in slice_b)
-                link_b.extend(slice_b * len(slice_a))
-            else:
-                link_a.append(slice_a[-1])
-                link_b.append(slice_b[-1])
-        return Stretch(
-            True, ";".join(groups), len(ids_a), len(ids_b), len(groups),
-            np.array(link_a, "<u4").tobytes(), np.array(link_b, "<u4").tobytes(),
-        )
-
-    def _new(self, stretches: list[str]) -> list[Stretch]:
-        ids_a = [e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)]
-        ids_b = self.b.encode(stretches, num_threads=1)
-        return [self.align(*x) for x in zip(stretches, ids_a, ids_b)]
-
-    def parts(self, text: str) -> list[Stretch]:
+                pairs.append([x | y << self.shift for x in ids_a[i:k] for y in ids_b[j:m]])
+            i, j = k, m
+        kind, width = f"<u{self.shift // 4}", self.shift // 4
+        if self.slices:
+            at = [0, *accumulate(map(len, pairs))]
+            codes = np.array([x for p in pairs for x in p], kind).tobytes()
+        else:  # the last tokens of each group end together
+            at = range(len(common_ends) + 1)
+            last_a = np.array(ids_a, kind)[np.array([ends_a[e] - 1 for e in common_ends])]
+            last_b = np.array(ids_b, kind)[np.array([ends_b[e] - 1 for e in common_ends])]
+            codes = (last_a | last_b << np.array(self.shift, kind)).tobytes()
+        out = []
+        i = j = g = 0
+        for e in stops:
+            k, m, h = ends_a[e], ends_b[e], number[e]
+            out.append((";".join(groups[g:h]), k - i + (m - j << 32), codes[width * at[g] : width * at[h]]))
+            i, j, g = k, m, h
+        return out
+
+    def _alone(self, stretch: str) -> Stretch | None:
+        got = self.align(stretch, [len(stretch.encode()) + 1])
+        return got and got[0]
+
+    def _new(self, stretches: list[str]) -> list[Stretch | None]:
+        """Stretches not seen before, tokenized as one text."""
+        stops = list(accumulate([len(s.encode()) + 1 for s in stretches]))
+        return self.align(" ".join(stretches), stops) or [self._alone(s) for s in stretches]
+
+    def parts(self, text: str) -> list[Stretch | None]:
         """The stretches of a text that is not empty."""
         if not self.cuts or SPACE in text:
-            return self._new([text])
+            return [self._alone(text)]
         words = text.split(" ")
         got = list(map(self.young.get, words))
         if None not in got:
             return got
-        missing = {w for w, g in zip(words, got) if g is None}
-        if any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
+        missing = dict.fromkeys([w for w, g in zip(words, got) if g is None])
+        if any([not w or w[0].isspace() or w[-1].isspace() for w in missing]):
             words = CUT.split(text)  # white space beside a space
-            missing = {w for w in words if w not in self.young}
+            missing = dict.fromkeys([w for w in words if w not in self.young])
         fresh = {w: g for w in missing if (g := self.old.get(w)) is not None}
         unseen = [w for w in missing if w not in fresh]
-        fresh.update(zip(unseen, self._new(unseen)))
-        out = [fresh.get(w) or self.young[w] for w in words]
+        if unseen:
+            fresh.update(zip(unseen, self._new(unseen)))
+        out = [fresh[w] if w in fresh else self.young[w] for w in words]
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {}
-        # only what str.split finds may be remembered, and no long stretches
-        self.young.update((w, s) for w, s in fresh.items() if len(w) <= 64 and " " not in w and not (w[0].isspace() or w[-1].isspace()))
+        for w, g in fresh.items():  # only what str.split finds, and no long stretches
+            if g is not None and len(w) <= 64 and " " not in w and not (w[0].isspace() or w[-1].isspace()):
+                self.young[w] = g
         return out
 
-    def __call__(self, text: str | None) -> Stretch | None:
-        """The alignment of a text; None if it has no tokens."""
-        if not text:
+    def __call__(self, text: str | None) -> tuple[str, int, int, int, bytes] | None:
+        """(groups, n_a, n_b, n_groups, links) of a text; None if it has no
+        tokens."""
+        got = self.parts(text) if text else [None]
+        if None in got:
             return None
-        got = self.parts(text)
-        if not all([s.exact for s in got]):
-            return None
-        return Stretch(
-            True, ";".join([s.groups for s in got]), sum([s.n_a for s in got]), sum([s.n_b for s in got]),
-            sum([s.n_groups for s in got]), b"".join([s.a for s in got]), b"".join([s.b for s in got]),
-        )
+        groups, counts, links = zip(*got)
+        joined, n = ";".join(groups), sum(counts)
+        return joined, n & 0xFFFFFFFF, n >> 32, joined.count(";") + 1, b"".join(links)
 
 
 _aligners: dict[str, Aligner] = {}
@@ -186,50 +228,45 @@ def _aligner(files: tuple[str, bytes], rule: str) -> Aligner:
 
 def aligned(docs: DataFrame, a_file: str | None = None, b_file: str | None = None, rule: str = "end") -> DataFrame:
     """Per row: doc_id, row (its number), n_a, n_b, n_groups, n_links, groups,
-    and the links' ids link_a, link_b (little-endian uint16 if both
-    vocabularies fit, else uint32)."""
+    and links: a | b << 16 of each link as little-endian uint32, or a | b << 32
+    as uint64 where a vocabulary has more than 65,536 ids."""
     with open(a_file or default_file(A_FILE), encoding="utf-8") as f:
         a_json = f.read()
     with open(b_file or default_file(B_FILE), "rb") as f:
         b_model = f.read()
     files = docs.sparkSession.sparkContext.broadcast((a_json, b_model))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    names = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "link_a", "link_b"]
-    kinds = [*[pa.int64()] * 5, pa.string(), pa.binary(), pa.binary()]
+    names = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "links"]
+    kinds = [*[pa.int64()] * 5, pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = _aligner(files.value, rule)
-        narrow = max(len(align.bytes_a), len(align.bytes_b)) <= 1 << 16
-        packed = (lambda x: np.frombuffer(x, "<u4").astype("<u2").tobytes()) if narrow else bytes
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
                 out: list[tuple] = []
                 for t in part.column("text"):
-                    s = align(t.as_py())
+                    groups, n_a, n_b, n_groups, links = align(t.as_py()) or ("", 0, 0, 0, b"")
                     row += 1
-                    out.append(
-                        (row, 0, 0, 0, 0, "", b"", b"") if s is None
-                        else (row, s.n_a, s.n_b, s.n_groups, len(s.a) // 4, s.groups, packed(s.a), packed(s.b))
-                    )
+                    out.append((row, n_a, n_b, n_groups, len(links) * 4 // align.shift, groups, links))
                 yield pa.record_batch([part.column("doc_id"), *(pa.array(x, k) for x, k in zip(zip(*out), kinds))], names)
 
-    schema = "doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, link_a binary, link_b binary"
+    schema = "doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, links binary"
     return rows.mapInArrow(run, schema)
 
 
 # ---- counts of id pairs -----------------------------------------------------------
 def _keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """a << 32 | b of each row's links."""
-    for n, a, b in zip(batch.column("n_links").to_pylist(), batch.column("link_a"), batch.column("link_b")):
-        a, b = a.as_py(), b.as_py()
-        kind = f"<u{len(a) // n}" if n else "<u4"
-        yield np.frombuffer(a, kind).astype(np.int64) << 32 | np.frombuffer(b, kind)
+    """The links of each row, as numbers."""
+    for n, links in zip(batch.column("n_links").to_pylist(), batch.column("links")):
+        links = links.as_py()
+        yield np.frombuffer(links, f"<u{len(links) // n if n else 4}")
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
-    """key, count of all links, best (its B id has no higher count)."""
+    """key (as in links), count of all links, best (its B id has no higher
+    count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -238,7 +275,11 @@ def pair_counts(rows: DataFrame) -> DataFrame:
         def added() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.record_batch([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+            shift = key.dtype.itemsize * 4
+            return pa.record_batch(
+                [pa.array(key.astype(np.int64)), pa.array((key >> shift).astype(np.int64)), pa.array(n.astype(np.int64))],
+                ["key", "b", "n"],
+            )
 
         for batch in batches:
             for keys in _keys(batch):
@@ -251,9 +292,8 @@ def pair_counts(rows: DataFrame) -> DataFrame:
         if held:
             yield added()
 
-    links = rows.select("n_links", "link_a", "link_b")
-    counts = links.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("count"))
-    counts = counts.withColumn("b", F.col("key").bitwiseAND((1 << 32) - 1))
+    links = rows.select("n_links", "links")
+    counts = links.mapInArrow(run, "key bigint, b bigint, n bigint").groupBy("b", "key").agg(F.sum("n").alias("count"))
     most = counts.groupBy("b").agg(F.max("count").alias("most"))
     return counts.join(most, "b").select("key", "count", (F.col("count") == F.col("most")).alias("best"))
 
@@ -284,11 +324,11 @@ def scored(rows: DataFrame, pairs: DataFrame, sent: int | None = None) -> DataFr
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, count, best = known.value
-        names = [n for n in names_in if not n.startswith("link_")]
+        names = [n for n in names_in if n != "links"]
         for batch in batches:
             n_best, sums = [], []
             for keys in _keys(batch):
-                place, there = at(keys, own)
+                place, there = at(keys.astype(np.int64), own)
                 n_best.append(int(best[place[there]].sum()))
                 sums.append(int(count[place[there]].sum()))
             yield pa.record_batch(
@@ -300,16 +340,17 @@ def scored(rows: DataFrame, pairs: DataFrame, sent: int | None = None) -> DataFr
         own = known.value[0]
         for batch in batches:
             for row, keys in zip(batch.column("row").to_pylist(), _keys(batch)):
+                keys = keys.astype(np.int64)
                 key, n = np.unique(keys[~at(keys, own)[1]], return_counts=True)
                 if len(key):
                     yield pa.record_batch([pa.array([row] * len(key), pa.int64()), pa.array(key), pa.array(n)], ["row", "key", "n"])
 
     names_in = rows.columns
-    schema = rows.drop("link_a", "link_b").schema.add("n_best", "long").add("count_sum", "long")
+    schema = rows.drop("links").schema.add("n_best", "long").add("count_sum", "long")
     out = rows.mapInArrow(score, schema)
     if not others:
         return out
-    rare = rows.select("row", "n_links", "link_a", "link_b").mapInArrow(rest, "row bigint, key bigint, n bigint")
+    rare = rows.select("row", "n_links", "links").mapInArrow(rest, "row bigint, key bigint, n bigint")
     more = (
         rare.join(pairs.where(F.col("count") < least), "key")
         .groupBy("row")
