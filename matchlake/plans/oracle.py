@@ -476,6 +476,36 @@ flat_players AS (
   SELECT DISTINCT m.date, s.player_id, s.team_id, s.nick FROM flat_stats s JOIN shown m USING (match_id) WHERE s.side = 'total'
 )""" + job_rows()
 MODEL_SQL["stats_by_map"] = MODEL_SQL["stg_match_stats"]
+MODEL_SQL["stg_match_stats_lists"] = MODEL_SQL["stg_match_stats"]
+
+
+def _positions(relation: str, name: str, order: str) -> str:
+    columns = order.split()
+    text = ", ".join(f"coalesce({c}, '-')" for c in columns)
+    keys = ", ".join(f"{c} ASC NULLS LAST" for c in columns)
+    return (
+        f"SELECT '{name}' AS model, row_number() OVER (ORDER BY {keys}) AS position, "
+        f"md5(concat_ws('|', {text})) AS row_md5 FROM ({relation})"
+    )
+
+
+def _body(sql: str) -> str:
+    """A model's SQL as a relation of its own."""
+    s = sql.strip()
+    return "WITH " + s[1:].strip() if s.startswith(",") else s
+
+
+MODEL_SQL["sorted_positions"] = (
+    _positions(
+        _body(MODEL_SQL["stg_maps_results"]), "stg_maps_results",
+        "match_id map_choice choice_number map_name pick_team_id team1_id team1_result team2_id",
+    )
+    + "\nUNION ALL\n"
+    + _positions(
+        _body(MODEL_SQL["stg_match_stats"]), "stg_match_stats",
+        "map_name match_id player_id team_id kd_total adr_total kd_ct adr_ct kd_tr adr_tr",
+    )
+)
 MODEL_SQL["no_forfeit_matches"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS match_id, '* Match ' || o_orderkey || ' played' AS note
 FROM orders WHERE o_orderkey % 3 <> 1

@@ -54,6 +54,12 @@ def q_stg_match_stats(spark, sf_dir):
     return models.stg_match_stats(r.stored("match_stats", r.match_stats()))
 
 
+def q_stg_match_stats_lists(spark, sf_dir):
+    """M6 by J4'."""
+    r = raw(spark, sf_dir, materialize=True)
+    return models.stg_match_stats_lists(r.stored("match_stats", r.match_stats()))
+
+
 def q_stg_maps_results(spark, sf_dir):
     # the results table feeds three branches of the model: derive it once
     r = raw(spark, sf_dir, materialize=True)
@@ -66,6 +72,24 @@ def q_last_sorts(spark, sf_dir):
     return models.ordered_maps_results(q_stg_maps_results(spark, sf_dir))
 
 
+def q_sorted_positions(spark, sf_dir):
+    """O1 and O2 as data: the place of every row in the models' written order,
+    made total by the rest of the row's keys."""
+    r = raw(spark, sf_dir, materialize=True)
+    results = models.stg_maps_results(r.stored("maps_results", r.maps_results()), r.matchs(), r.teams())
+    order = ("match_id", "map_choice", "choice_number", "map_name", "pick_team_id", "team1_id", "team1_result", "team2_id")
+    by_match = models.with_position(results.select(*order), *order)
+    stats = models.stg_match_stats(r.stored("match_stats", r.match_stats()))
+    keys = ("map_name", "match_id", "player_id", "team_id", "kd_total", "adr_total", "kd_ct", "adr_ct", "kd_tr", "adr_tr")
+    by_map = models.with_position(stats.select(*keys), *keys)
+
+    def rows(name, df, columns):
+        text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("-")) for c in columns])
+        return df.select(F.lit(name).alias("model"), "position", F.md5(text.cast("binary")).alias("row_md5"))
+
+    return rows("stg_maps_results", by_match, order).unionByName(rows("stg_match_stats", by_map, keys))
+
+
 def q_pair_bounds(spark, sf_dir):
     r = raw(spark, sf_dir)
     return models.pair_bounds(r.maps_results(), r.teams())
@@ -291,9 +315,11 @@ QUERIES: dict[str, Query] = {
     "stg_players": q_stg_players,
     "stg_maps_vetos": q_stg_maps_vetos,
     "stg_match_stats": q_stg_match_stats,
+    "stg_match_stats_lists": q_stg_match_stats_lists,
     "stg_maps_results": q_stg_maps_results,
     "pair_bounds": q_pair_bounds,
     "last_sorts": q_last_sorts,
+    "sorted_positions": q_sorted_positions,
     "flatten_matchs": q_flatten_matchs,
     "flatten_teams": q_flatten_teams,
     "flatten_players": q_flatten_players,
