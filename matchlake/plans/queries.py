@@ -208,7 +208,7 @@ def q_corrected_rerun(spark, sf_dir):
     maps = F.col("maps").withField("bans", F.when(no_bans, F.slice("maps.bans", 1, 0)).otherwise(F.col("maps.bans")))
     corrected = scratch_path(spark, "corrected")
     d.where(F.substring(io.PART, 1, 7) != first).withColumn("maps", maps).write.parquet(corrected)
-    io.land_documents(spark.read.schema(d.schema).parquet(corrected), bronze, layout="month", wanted=lambda v: True)
+    io.land_documents(spark.read.schema(d.schema).parquet(corrected), bronze, layout="month", cover=io.Cover())
     job.run_range(spark, bronze, raw_root, layout="month")
     return content(spark, raw_root, "month")
 

@@ -1,27 +1,33 @@
 """Reading and writing bronze documents and raw tables.
 
-Layout: ``<root>/extract_date=<yyyy-MM-dd>/part-*`` for bronze and for every
-raw table (``<raw_root>/<table>/extract_date=.../``). The day column is a
-Hive-style partition: a day predicate prunes directories. Writes use dynamic
-partition overwrite, and the caller says which partitions the output stands
-for: those among them that it leaves empty are removed, so a re-run replaces
-its days even where nothing is left of them. (The reference appends, which
-duplicates rows on a re-run; ``mode='append'`` keeps that on request.)
+Layout: ``<root>/extract_date=<yyyy-MM-dd>/part-*`` for landed bronze, and
+``<raw_root>/<table>/run=<id>/extract_date=.../`` for the raw tables. The day
+column is a Hive-style partition: a day predicate prunes directories. A run
+stands for some partitions (``Cover``) and replaces them in all tables at the
+moment it is published in the commit log (``commits``), even where nothing is
+left of them. (The reference appends, which duplicates rows on a re-run;
+``mode='append'`` keeps that on request.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import BRONZE, RAW
+from ..schemas import BRONZE, RAW, RAW_TABLES
+from . import commits
+from .commits import RUN, Cover
 
 PART = "extract_date"
 MONTH = "extract_month"
 CORRUPT = "_corrupt_record"
+# beside a landing folder: runs that replace parts of it, and their log
+RUNS, COMMITS = ".runs", ".commits"
 # storage layouts: directory column per layout; "day" is the reference's
 LAYOUTS = {"day": PART, "month": MONTH}
 
@@ -108,12 +114,28 @@ def read_days(spark: SparkSession, root: str, days: list[str], fmt: str = "parqu
 
 
 def _load(spark: SparkSession, root: str, fmt: str, cond: Column | None, layout: str) -> DataFrame:
+    """Landed files, without what published runs have replaced, and the runs."""
     schema = _with_part(BRONZE, layout)
-    reader = spark.read
+    options = {}
     if fmt == "json":
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.schema(schema).format(fmt).load(root)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    root, col = root.rstrip("/"), LAYOUTS[layout]
+    runs = commits.read_log(spark, f"{root}{COMMITS}")
+    if not runs:
+        df = spark.read.schema(schema).options(**options).format(fmt).load(root)
+    else:
+        commits.check_layout(runs, layout)
+        parts = []
+        gone = commits.hidden(runs, Cover())
+        plain = commits.load(spark, fmt, schema, root, **options) if gone is not None else None
+        if plain is not None:
+            parts.append(plain.where(~reduce(or_, [c.column(col) for c in gone])) if gone else plain)
+        with_run = T.StructType([*schema.fields, T.StructField(RUN, T.StringType(), True)])
+        new = commits.live_rows(spark, fmt, with_run, f"{root}{RUNS}", runs, col, **options)
+        if new is not None:
+            parts.append(new.drop(RUN))
+        df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     df = df if cond is None else df.where(cond)
     return df.drop(MONTH) if layout == "month" else df
 
@@ -126,57 +148,36 @@ def clustered(df: DataFrame, col: str) -> DataFrame:
     return df.hint("rebalance", col)
 
 
-Wanted = Callable[[str], bool]  # which partition values an output stands for
-
-
-def _partition_files(spark: SparkSession, path: str, col: str, wanted: Wanted) -> dict[str, set[str]]:
-    """File names per wanted partition directory of a table."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    out: dict[str, set[str]] = {}
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(f"{col}=") and wanted(name[len(col) + 1 :]):
-                out[name] = {f.getPath().getName() for f in fs.listStatus(st.getPath())}
-    return out
-
-
-def _replacing(spark: SparkSession, path: str, col: str, wanted: Wanted | None, write: Callable[[], None]) -> None:
-    """Run ``write``, then remove the wanted partitions that it has not
-    written: what they hold is from an earlier run."""
-    before = _partition_files(spark, path, col, wanted) if wanted else {}
-    write()
-    if before:
-        after = _partition_files(spark, path, col, wanted)
-        fs = None
-        for name, files in before.items():
-            if after.get(name) == files:
-                p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-                fs = fs or p.getFileSystem(spark._jsc.hadoopConfiguration())
-                fs.delete(p, True)
+def _written_values(spark: SparkSession, path: str, schema: T.StructType, col: str, fmt: str = "parquet") -> set[str]:
+    """The partition values of a table: names of its folders, no rows are read."""
+    df = commits.load(spark, fmt, schema, path)
+    return {r[0] for r in df.select(col).distinct().collect() if r[0] is not None} if df is not None else set()
 
 
 def land_documents(
     docs: DataFrame, root: str, fmt: str = "parquet", mode: str = "overwrite", layout: str = "day",
-    wanted: Wanted | None = None,
+    cover: Cover | None = None,
 ) -> None:
-    """S3: write documents into day (or month) partitions. Partitions present
-    in ``docs`` are replaced, and so are, by nothing, the ``wanted`` others: an
-    extract that is empty for its day empties the day. Non-ASCII text is
-    written as UTF-8."""
-    if wanted is not None and mode == "overwrite":
-        again = lambda: land_documents(docs, root, fmt, mode, layout)
-        return _replacing(docs.sparkSession, root.rstrip("/"), LAYOUTS[layout], wanted, again)
+    """S3: write documents into day (or month) partitions, non-ASCII text as
+    UTF-8.
+
+    Plainly, ``mode='overwrite'`` replaces the partitions present in ``docs``.
+    With ``cover`` the documents replace all of those partitions, also the ones
+    that they leave empty, at one moment: they are written as a run beside the
+    landing folder and published in its commit log (see ``commits``)."""
     col = LAYOUTS[layout]
+    root = root.rstrip("/")
+    run = commits.new_run()
     out = clustered(with_layout(docs, layout), col)
-    w = out.write.partitionBy(col).mode(mode).option("partitionOverwriteMode", "dynamic")
-    if fmt == "json":
-        # explicit nulls, as the reference's json.dump writes them (a reader
-        # that infers the schema then still sees every field)
-        w.option("ignoreNullFields", "false").json(root)
-    else:
-        w.format(fmt).save(root)
+    w = out.write.partitionBy(col).option("partitionOverwriteMode", "dynamic")
+    # explicit nulls, as the reference's json.dump writes them (a reader
+    # that infers the schema then still sees every field)
+    w = w.option("ignoreNullFields", "false") if fmt == "json" else w
+    if cover is None:
+        w.mode(mode).format(fmt).save(root)
+        return
+    w.mode("errorifexists").format(fmt).save(f"{root}{RUNS}/{RUN}={run}")
+    commits.publish(docs.sparkSession, f"{root}{COMMITS}", run, mode, layout, cover)
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -204,56 +205,74 @@ def write_raw(
     mode: str = "overwrite",
     layout: str = "day",
     parallel: bool = True,
-    wanted: Wanted | None = None,
+    cover: Cover | None = None,
 ) -> None:
-    """One Parquet table per raw table, partitioned by the storage day
-    (or month).
+    """The raw tables of one run, partitioned by the storage day (or
+    month), published together: readers see all of them or none.
 
-    ``mode='overwrite'`` replaces the partitions written and the ``wanted``
-    ones that the new rows leave empty; ``'append'`` is the reference's
-    behaviour (rows repeat on a re-run).
+    ``mode='overwrite'`` replaces the partitions of ``cover``, also those that
+    the new rows leave empty (without ``cover``: the partitions written);
+    ``'append'`` is the reference's behaviour (rows repeat on a re-run).
     With ``parallel`` the tables are written as concurrent Spark jobs (one
     thread each submits its job; the cluster runs their tasks side by side);
-    the first failure is raised after all writes have finished."""
-    col = LAYOUTS[layout]
+    the first failure is raised after all writes have finished, and nothing of
+    the run is published then."""
+    col, root, run = LAYOUTS[layout], raw_root.rstrip("/"), commits.new_run()
 
     def write(name: str, df: DataFrame) -> None:
         out = check_schema(name, df)
+        w = out.write
         if PART in out.columns:
-            out = clustered(with_layout(out, layout), col)
-            w = out.write.partitionBy(col)
-        else:
-            w = out.write
-        path = f"{raw_root.rstrip('/')}/{name}"
-        w = w.mode(mode).option("partitionOverwriteMode", "dynamic")
-        if mode == "overwrite" and PART in df.columns:
-            _replacing(df.sparkSession, path, col, wanted, lambda: w.parquet(path))
-        else:
-            w.parquet(path)
+            w = clustered(with_layout(out, layout), col).write.partitionBy(col)
+        w.mode("errorifexists").parquet(f"{root}/{name}/{RUN}={run}")
 
     if not parallel or len(tables) < 2:
         for name, df in tables.items():
             write(name, df)
-        return
-    from concurrent.futures import ThreadPoolExecutor
+    else:
+        from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(write, name, df) for name, df in tables.items()]
-    errors = [f.exception() for f in futures if f.exception() is not None]
-    if errors:
-        raise errors[0]
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            futures = [pool.submit(write, name, df) for name, df in tables.items()]
+        errors = [f.exception() for f in futures if f.exception() is not None]
+        if errors:
+            raise errors[0]
+    spark = next(iter(tables.values())).sparkSession
+    if cover is None:
+        paths = [(f"{root}/{n}/{RUN}={run}", _with_part(RAW[n], layout)) for n, df in tables.items() if PART in df.columns]
+        values = set().union(*[_written_values(spark, p, schema, col) for p, schema in paths])
+        cover = Cover(values=tuple(sorted(values))) if paths else Cover()
+    commits.publish(spark, f"{root}/commits", run, mode, layout, cover)
 
 
 def read_raw(
-    spark: SparkSession, raw_root: str, name: str, keep_day: bool = False, layout: str = "day"
+    spark: SparkSession, raw_root: str, name: str, keep_day: bool = False, layout: str = "day",
+    runs: Sequence[commits.Run] | None = None,
 ) -> DataFrame:
-    """A raw table by logical name; the storage day is dropped unless asked."""
-    df = spark.read.schema(_with_part(RAW[name], layout)).parquet(f"{raw_root.rstrip('/')}/{name}")
+    """A raw table by logical name, as the published runs leave it (or the
+    given ones: a snapshot of several tables); the storage day is dropped
+    unless asked."""
+    root = raw_root.rstrip("/")
+    runs = commits.read_log(spark, f"{root}/commits") if runs is None else runs
+    if not runs:
+        raise ValueError(f"no published run below {root}")
+    commits.check_layout(runs, layout)
+    schema = _with_part(RAW[name], layout)
+    with_run = T.StructType([*schema.fields, T.StructField(RUN, T.StringType(), True)])
+    df = commits.live_rows(spark, "parquet", with_run, f"{root}/{name}", runs, LAYOUTS[layout])
+    df = df.drop(RUN) if df is not None else spark.createDataFrame([], schema)
     if layout == "month":
         df = df.drop(MONTH)
     return df if keep_day else df.drop(PART)
 
 
+def compact(spark: SparkSession, raw_root: str, layout: str = "day") -> None:
+    """Fold all published runs into one: the log's later readers need no other."""
+    runs = commits.read_log(spark, f"{raw_root.rstrip('/')}/commits")
+    tables = {n: read_raw(spark, raw_root, n, keep_day=True, layout=layout, runs=runs) for n in RAW_TABLES}
+    write_raw(tables, raw_root, layout=layout, cover=Cover())
+
+
 class RawCatalog:
     """Logical names to tables; models take the frames from here."""
 
@@ -261,13 +280,15 @@ class RawCatalog:
         self, spark: SparkSession, raw_root: str, maps: DataFrame | None = None, layout: str = "day"
     ):
         self.spark, self.root, self._maps, self.layout = spark, raw_root, maps, layout
+        # one snapshot for all tables
+        self.runs = commits.read_log(spark, f"{raw_root.rstrip('/')}/commits")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "maps":
             from .adapters import maps_dimension
 
             return self._maps if self._maps is not None else maps_dimension(self.spark)
-        return read_raw(self.spark, self.root, name, layout=self.layout)
+        return read_raw(self.spark, self.root, name, layout=self.layout, runs=self.runs)
 
     def register_views(self, names: Iterable[str] = tuple(RAW) + ("maps",)) -> None:
         for n in names:

@@ -127,8 +127,8 @@ def test_a_corrected_day_replaces_the_day(spark, tmp_root):
     # the corrected extract of the first day has no bans, that of the last is empty
     first = docs.where(F.col("extract_date") == days[0])
     first = first.withColumn("maps", F.col("maps").withField("bans", F.slice("maps.bans", 1, 0)))
-    io.land_documents(first, bronze, wanted=lambda v: v == days[0])
-    io.land_documents(docs.where("false"), bronze, wanted=lambda v: v == days[2])
+    io.land_documents(first, bronze, cover=io.Cover(values=(days[0],)))
+    io.land_documents(docs.where("false"), bronze, cover=io.Cover(values=(days[2],)))
     assert job.run_day(spark, bronze, days[0], raw)
     assert not job.run_day(spark, bronze, days[2], raw, skip_if_empty=True)
     assert rows("maps_vetos", days[0]) == rows("maps_results", days[0]) == 0 < rows("matchs", days[0])
@@ -136,6 +136,79 @@ def test_a_corrected_day_replaces_the_day(spark, tmp_root):
     assert {n: rows(n, days[1]) for n in RAW_TABLES} == others
 
 
+def test_a_failed_run_changes_nothing(spark, tmp_root):
+    import pytest
+
+    docs, days = three_days(spark)
+    bronze, raw = f"{tmp_root}/bronze", f"{tmp_root}/raw"
+    io.land_documents(docs, bronze)
+    job.run_range(spark, bronze, raw)
+    cat = io.RawCatalog(spark, raw)
+    before = {n: bag(io.read_raw(spark, raw, n, keep_day=True)) for n in RAW_TABLES}
+    tables = job.range_tables(docs.where(F.col("extract_date") == days[0]).withColumn("type", F.lit("new")))
+    # the last of the six tables dies while its rows are written
+    dying = tables | {"match_stats": tables["match_stats"].withColumn("nick", F.raise_error(F.lit("killed")).cast("string"))}
+    for parallel in (True, False):
+        with pytest.raises(Exception, match="killed"):
+            io.write_raw(dying, raw, cover=io.Cover(), parallel=parallel)
+        assert {n: bag(io.read_raw(spark, raw, n, keep_day=True)) for n in RAW_TABLES} == before
+    # the whole run, published: one day instead of three; the older catalog still reads its snapshot
+    io.write_raw(tables, raw, cover=io.Cover())
+    after = io.read_raw(spark, raw, "matchs", keep_day=True).collect()
+    assert {(r.extract_date, r.type) for r in after} == {(days[0], "new")}
+    assert cat["matchs"].count() == len(before["matchs"])
+
+
+def test_runs_replace_what_they_cover(spark, tmp_root):
+    def frame(rows):
+        return {"players": spark.createDataFrame(rows, "player_id string, team_id string, nick string, extract_date string")}
+
+    def shown():
+        return sorted((r.extract_date, r.nick) for r in io.read_raw(spark, tmp_root, "players", keep_day=True).collect())
+
+    def put(nick, days, **how):
+        io.write_raw(frame([("1", "2", nick, f"2022-01-0{d}") for d in days]), tmp_root, **how)
+
+    put("a", "123", cover=io.Cover())
+    put("b", "2")  # the partitions written
+    assert shown() == [("2022-01-01", "a"), ("2022-01-02", "b"), ("2022-01-03", "a")]
+    put("c", "2", mode="append")
+    assert shown()[1:3] == [("2022-01-02", "b"), ("2022-01-02", "c")]
+    put("d", "3", cover=io.Cover(low="2022-01-02"))  # the second is left empty
+    assert shown() == [("2022-01-01", "a"), ("2022-01-03", "d")]
+    io.write_raw({"players": frame([("1", "2", "x", "2022-01-01")])["players"].where("false")}, tmp_root, cover=io.Cover(high="2022-01-01"))
+    assert shown() == [("2022-01-03", "d")]
+    live, _ = io.commits.visible(io.commits.read_log(spark, f"{tmp_root}/commits"), "extract_date")
+    assert len(live) == 3  # of five runs: the first is covered by two later ones together
+    import pytest
+
+    with pytest.raises(ValueError):
+        io.read_raw(spark, tmp_root, "players", layout="month")
+    with pytest.raises(ValueError):
+        io.read_raw(spark, f"{tmp_root}-none", "players")
+
+
+def test_compaction_keeps_every_row(spark, tmp_root):
+    docs, days = three_days(spark)
+    bronze, raw = f"{tmp_root}/bronze", f"{tmp_root}/raw"
+    io.land_documents(docs, bronze)
+    for d in days:
+        job.run_day(spark, bronze, d, raw)
+    job.run_day(spark, bronze, days[1], raw, mode="append")
+    before = {n: bag(io.read_raw(spark, raw, n, keep_day=True)) for n in RAW_TABLES}
+    io.compact(spark, raw)
+    assert {n: bag(io.read_raw(spark, raw, n, keep_day=True)) for n in RAW_TABLES} == before
+    live, _ = io.commits.visible(io.commits.read_log(spark, f"{raw}/commits"), "extract_date")
+    assert len(live) == 1
+
+
+def test_covers():
+    c = io.Cover
+    a, b, v = c("2", "5"), c("4", None), c(values=("3", "9"))
+    assert a.touches(b) and not c("1", "3").touches(b) and v.touches(a) and a.touches(v) and not v.touches(c("4", "8"))
+    assert c("4", "5").within(a) and not b.within(a) and a.within(c()) and not c().within(a) and v.within(c("3", None)) and not a.within(v)
+
+
 def test_malformed_lines_are_set_aside(spark, tmp_root):
     local = f"{tmp_root}/landing/extract_date=2022-02-26".replace("file:", "")
     os.makedirs(local, exist_ok=True)
