@@ -316,6 +316,16 @@ MODEL_SQL.update({
     "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams"),
 })
 
+MODEL_SQL["catalog_backfill"] = (
+    MODEL_SQL["backfill"].replace(
+        "SELECT DISTINCT s.match_id, c.label AS map_choice", ", final AS (SELECT DISTINCT s.match_id, c.label AS map_choice"
+    )
+    + """)
+SELECT r.*, CASE trim(m.best_of_type) WHEN 'Best of 3' THEN 'MD3' WHEN 'Best of 5' THEN 'MD5' ELSE 'MD1' END AS best_of_type
+FROM final r JOIN flat_matchs m USING (match_id)
+"""
+)
+
 
 _POOL_K = POOL_CASE  # CASE k WHEN 0 THEN 'Vertigo' ...
 

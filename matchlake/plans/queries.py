@@ -18,7 +18,7 @@ from ..functions.scalar import day_before
 from ..operators import assemble, extract, flatten, pages
 from ..schemas import RAW, RAW_TABLES
 from ..session import scratch_path
-from ..sources import io
+from ..sources import catalog, io
 from ..sources.adapters import RawFromDriver, TextFromDriver, maps_dimension, rendered_pages
 from ..sources.tables import DriverTables
 from . import job, models
@@ -218,6 +218,17 @@ def q_backfill(spark, sf_dir):
     return models.stg_maps_results(cat["maps_results"], cat["matchs"], cat["teams"])
 
 
+def q_catalog_backfill(spark, sf_dir):
+    """The range job's tables registered by name; a second session reads the
+    models as SQL views."""
+    root = range_run(spark, sf_dir)
+    name = "matchlake_" + root.rsplit("-", 1)[-1]
+    catalog.register(spark, root, name, layout="month")
+    return spark.newSession().sql(
+        f"SELECT r.*, m.best_of_type FROM {name}.stg_maps_results r JOIN {name}.stg_matchs m USING (match_id)"
+    )
+
+
 def q_views_by_ordinal(spark, sf_dir):
     """Models as views, grouped and ordered by ordinals in SQL."""
     r = raw(spark, sf_dir)
@@ -330,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "daily_run": q_daily_run,
     "rerun_is_idempotent": q_rerun_is_idempotent,
     "backfill": q_backfill,
+    "catalog_backfill": q_catalog_backfill,
     "append_run": q_append_run,
     "corrected_rerun": q_corrected_rerun,
     "views_by_ordinal": q_views_by_ordinal,
