@@ -4,7 +4,7 @@ DataFrame with built-in string / regex / array functions only; a page is
 one row, so nothing is grouped or shuffled unless stated.
 
 HTML is not XML, so ``xpath`` does not apply; the regexes cover flat
-elements (no nesting of the same tag).
+elements, ``markup.elements`` those that hold elements of the same tag.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import format_parts, headline_date, path_part, strip_chars
+from .markup import elements, first_text
 from .nested import attach_first, keep, last_wins_map, split_by, tail, zip_positions
 
 # Patterns of the page elements read.
@@ -85,6 +86,33 @@ def team_boxes(pages: DataFrame) -> DataFrame:
     )
 
 
+def nested_team_boxes(pages: DataFrame) -> DataFrame:
+    """``team_boxes`` by structure: a box may hold elements of its own tag at
+    any place, and its name and score may stand inside further elements."""
+    boxes = F.transform(
+        elements(F.col("html"), "div", "team"),
+        lambda b: F.struct(
+            F.regexp_extract(b, HREF_RE, 1).alias("link"), first_text(b, "div", "teamName").alias("name"),
+            first_text(b, "div", "score").alias("score"),
+        ),
+    )
+    x = pages.select("match_id", F.posexplode(boxes).alias("pos", "b"))
+    return x.select(
+        "match_id", "pos", path_part("b.link", 4).alias("team_id"), "b.name", "b.score", "b.link"
+    )
+
+
+def nested_tabs(pages: DataFrame) -> DataFrame:
+    """Map tabs by structure: the place and name of each map, and of how many
+    elements of the tag its tab consists."""
+    tabs = elements(F.col("html"), "div", "tab")
+    x = pages.select("match_id", F.posexplode(tabs).alias("pos", "tab"))
+    return x.select(
+        "match_id", "pos", first_text(F.col("tab"), "div", "map-name").alias("map_name"),
+        F.size(elements(F.col("tab"), "div")).alias("n_elements"),
+    )
+
+
 def score_blocks(blocks: DataFrame) -> DataFrame:
     """Half scores of both teams from a block's spans, and whether the map was
     played (the block's class)."""

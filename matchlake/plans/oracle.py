@@ -440,6 +440,14 @@ SELECT m.match_id, x.pos::INTEGER AS pos, t.team_id, t.name, if(x.pos = 0, m.tea
 FROM raw_matchs m, (VALUES (0), (1)) x(pos), raw_teams t
 WHERE t.team_id = if(x.pos = 0, m.team1_id, m.team2_id)
 """
+MODEL_SQL["nested_team_boxes"] = MODEL_SQL["team_boxes"]
+# a tab is itself, an icon, a name and a list of boards with two elements each
+MODEL_SQL["nested_tabs"] = f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS match_id,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS INTEGER) AS pos,
+       {POOL_CASE} AS map_name, CAST(4 + 2 * (l_linenumber % 3) AS INTEGER) AS n_elements
+FROM lg
+"""
 MODEL_SQL["board_players"] = """
 SELECT match_id, map_name, slot AS team_id, player_id, nick, kd, diff, adr, kast, rating
 FROM raw_stats_slot WHERE side = 'total'

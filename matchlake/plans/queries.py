@@ -299,6 +299,14 @@ def q_team_boxes(spark, sf_dir):
     return extract.team_boxes(text(spark, sf_dir).team_boxes())
 
 
+def q_nested_team_boxes(spark, sf_dir):
+    return extract.nested_team_boxes(text(spark, sf_dir).nested_pages())
+
+
+def q_nested_tabs(spark, sf_dir):
+    return extract.nested_tabs(text(spark, sf_dir).nested_pages())
+
+
 def q_score_blocks(spark, sf_dir):
     return extract.score_blocks(text(spark, sf_dir).score_blocks())
 
@@ -359,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "no_forfeits": q_no_forfeits,
     "no_forfeit_matches": q_no_forfeit_matches,
     "team_boxes": q_team_boxes,
+    "nested_team_boxes": q_nested_team_boxes,
+    "nested_tabs": q_nested_tabs,
     "score_blocks": q_score_blocks,
     "board_players": q_board_players,
     "pages_to_raw": q_pages_to_raw,

@@ -418,6 +418,28 @@ class TextFromDriver(RawFromDriver):
         left, right = box(F.col("l1"), F.col("n1"), F.col("team1_score")), box(F.col("l2"), F.col("n2"), F.col("team2_score"))
         return j.select("match_id", F.concat(left, F.lit("\n"), right).alias("html"))
 
+    def nested_pages(self) -> DataFrame:
+        """The team boxes in nested markup, and one tab per choice of the
+        match: elements of one tag inside each other, other boxes' classes
+        inside a box, empty and self-closing ones."""
+        boxes = self.team_boxes()
+        inner = F.regexp_replace("html", r'<div class="team">', '<div id="x" class="box team big"><div class="logo"><div/><div></div></div>')
+        inner = F.regexp_replace(inner, r'<div class="teamName">([^<]*)</div>', '<DIV class="teamName"><div><div>$1</div></div></DIV>')
+        inner = F.regexp_replace(inner, r'<div class="score">([^<]*)</div>', '<div class="won score"><div> $1</div><div class="teams"></div></div >')
+        tab = F.concat(
+            F.lit('<div class="tab"><div class="icon"></div><div class="map-name">'), pool_name(F.col("k")),
+            F.lit('</div><div class="boards">'), F.repeat(F.lit("<div><div></div></div>"), (F.col("l_linenumber") % 3).cast("int")),
+            F.lit("</div></div>"),
+        )
+        lines = RawFromDriver(self.t).line_groups().select(_s(F.col("l_orderkey")).alias("match_id"), "l_linenumber", tab.alias("tab"))
+        # a match has at most seven choices
+        tabs = lines.groupBy("match_id").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "tab"))).alias("tabs"))
+        page = F.concat(
+            F.lit('<body><div class="page"><div class="boxes">'), inner, F.lit('</div><div class="tabs">'),
+            F.array_join(F.coalesce("tabs.tab", F.array().cast("array<string>")), "\n"), F.lit("</div></div></body>"),
+        )
+        return boxes.join(tabs, "match_id", "left").select("match_id", page.alias("html"))
+
     def score_blocks(self) -> DataFrame:
         """Markup of one map's half scores: nine spans, the scores at places
         1, 3, 5 and 7 with the side as class."""

@@ -1,4 +1,10 @@
-from matchlake.operators import extract
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from matchlake.operators import extract, markup
 
 
 def test_url_and_page_edge_cases(spark):
@@ -41,3 +47,46 @@ def test_veto_line_rules(spark):
         ("pick", "4", "Mirage", "1"),     # single block, > 8 tokens: 6th from the end
         ("ban", "6", "today", "2"),       # not a single block: last token
     ]
+
+
+def cut_by_hand(html, tag, cls):
+    """Elements of a tag and class by a stack of open tokens."""
+    out, open_ = [], []
+    for m in re.finditer(rf"(?is)<{tag}(?=[\s>])([^>]*)>|</{tag}\s*>", html):
+        if m.group(0).startswith("</"):
+            if open_:
+                out.append((*open_.pop(), m.end()))
+        elif not m.group(0).endswith("/>"):
+            names = re.search(r'(?:^|\s)class="([^"]*)"', m.group(1) or "")
+            open_.append((m.start(), (names.group(1) if names else "").split()))
+    out += [(start, names, len(html)) for start, names in open_]
+    return [html[start:end] for start, names, end in sorted(out) if cls is None or cls in names]
+
+
+def test_elements_inside_elements(spark):
+    pages = [
+        '<div class="a">x</div>', '<div class="a"><div>y</div>z</div>tail', 'no element', '', None, '<div class="a">never <div>closed</div>',
+        '<p>t</p><DIV id="1" class="b a"><div class="a c">in</div></DIV ><div class="ab">no</div><div class="a">last</div>',
+        '</div><div class="a">after a stray end</div>', '<div class="a"/><div class="a">x</div>', '<divider class="a">no</divider>',
+        "<div\nclass=\"a\">line\n<div\n>two</div>\n</div>", '<div class="x"><div class="a"><div class="a">deep</div></div></div>' * 3,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    got = df.select("i", markup.elements(F.col("html"), "div", "a").alias("a"), markup.elements(F.col("html"), "div").alias("d"))
+    for r in got.collect():
+        page = pages[r.i]
+        assert (r.a, r.d) == ((None, None) if page is None else (cut_by_hand(page, "div", "a"), cut_by_hand(page, "div", None))), page
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(['<div>', '<div class="a">', '</div>', "x", "<p>", '<div class="b a" id="1">', "<div/>"]), max_size=14), max_size=20))
+def test_elements_of_any_nesting(spark, parts):
+    pages = ["".join(p) for p in parts]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    for r in df.select("i", markup.elements(F.col("html"), "div", "a").alias("a")).collect():
+        assert r.a == cut_by_hand(pages[r.i], "div", "a"), pages[r.i]
+
+
+def test_text_of_elements(spark):
+    html = '<div class="n"> <div>two</div> <b>words</b> </div>'
+    df = spark.createDataFrame([(html,), ("",)], "html string")
+    assert [r[0] for r in df.select(markup.first_text(F.col("html"), "div", "n")).collect()] == ["two words", None]
