@@ -294,8 +294,12 @@ def job_rows(where: str = "true", copies: int = 1) -> str:
     return "\n" + "\nUNION ALL ".join(parts) + "\n"
 
 
-def first_days(n: int) -> str:
-    return f"date IN (SELECT DISTINCT date FROM raw_matchs ORDER BY date LIMIT {n})"
+INNER_MONTHS = (
+    "strftime(CAST(date AS DATE) + 1, '%Y-%m') > "
+    "(SELECT min(strftime(CAST(date AS DATE) + 1, '%Y-%m')) FROM raw_matchs) AND "
+    "strftime(CAST(date AS DATE) + 1, '%Y-%m') < "
+    "(SELECT max(strftime(CAST(date AS DATE) + 1, '%Y-%m')) FROM raw_matchs)"
+)
 
 
 # the corrected extract: no bans in every fifth match, nothing of the first month
@@ -309,8 +313,10 @@ AFTER_FIRST_MONTH = (
 
 MODEL_SQL.update({
     "json_round_trip": "SELECT DISTINCT * FROM raw_matchs",
-    "daily_run": JOB_CTES + job_rows(first_days(3)),
-    "append_run": JOB_CTES + job_rows(first_days(1), copies=2),
+    "daily_run": JOB_CTES + job_rows(),
+    "append_run": JOB_CTES + job_rows(copies=2),
+    "range_of_months": JOB_CTES + job_rows(INNER_MONTHS),
+    "streaming_run": JOB_CTES + job_rows(),
     "corrected_rerun": CORRECTED_CTES + job_rows(AFTER_FIRST_MONTH),
     "rerun_is_idempotent": JOB_CTES + job_rows(),
     "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams"),

@@ -9,6 +9,7 @@ returned frame reads them.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from ..session import scratch_path
 from ..sources import catalog, io
 from ..sources.adapters import RawFromDriver, TextFromDriver, maps_dimension, rendered_pages
 from ..sources.tables import DriverTables
+from ..streaming import incremental
 from . import job, models
 from . import oracle as _oracle
 
@@ -157,32 +159,58 @@ def content(spark: SparkSession, raw_root: str, layout: str) -> DataFrame:
     return out
 
 
-def first_days(spark: SparkSession, bronze: str, n: int) -> list[str]:
-    days = io.read_bronze(spark, bronze).select(io.PART).distinct().orderBy(io.PART).limit(n)
-    return [r[0] for r in days.collect()]
-
-
 def q_json_round_trip(spark, sf_dir):
     root = land(spark, sf_dir, "json", layout="month")
     d = io.read_bronze(spark, root, fmt="json", layout="month")
     return flatten.matchs(d, day_before("extract_date"))
 
 
+def days_of(spark: SparkSession, bronze: str) -> tuple[str, str]:
+    """First and last storage day."""
+    d = io.read_bronze(spark, bronze, layout="month").agg(F.min(io.PART).alias("low"), F.max(io.PART).alias("high"))
+    return tuple(d.first())
+
+
 def q_daily_run(spark, sf_dir):
-    """The whole history lands as day partitions, then the daily job runs
-    on the first three days."""
-    bronze, raw_root = land(spark, sf_dir), scratch_path(spark, "raw")
-    for day in first_days(spark, bronze, 3):
-        job.run_day(spark, bronze, day, raw_root)
-    return content(spark, raw_root, "day")
+    """W1 and W2 over the whole history: the daily job on the first and the
+    last day, which holds S9's test for empty days, and the range job on the
+    days between them (X16: a start and an end). A day without documents is
+    skipped and leaves nothing."""
+    months, bronze, raw_root = land(spark, sf_dir, layout="month"), scratch_path(spark, "bronze"), scratch_path(spark, "raw")
+    low, high = days_of(spark, months)
+    docs = io.read_bronze(spark, months, layout="month")
+    # the two ends as day partitions for the daily job, all else by month
+    io.land_documents(docs.where(F.col(io.PART).isin(low, high)), bronze)
+    for day in (low, high):
+        job.run_day(spark, bronze, day, raw_root, skip_if_empty=True)
+    empty = (dt.date.fromisoformat(high) + dt.timedelta(days=1)).isoformat()
+    if job.run_day(spark, bronze, empty, raw_root, mode="append", skip_if_empty=True):
+        raise ValueError(f"{empty} has documents")
+    between = scratch_path(spark, "raw")
+    inner = docs.where((F.col(io.PART) > low) & (F.col(io.PART) < high))
+    io.write_raw(job.range_tables(inner), between, layout="month")
+    return content(spark, raw_root, "day").unionByName(content(spark, between, "month"))
 
 
 def q_append_run(spark, sf_dir):
-    """The reference's append: the first day twice gives its rows twice."""
-    bronze, raw_root = land(spark, sf_dir), scratch_path(spark, "raw")
-    for day in first_days(spark, bronze, 1) * 2:
-        job.run_day(spark, bronze, day, raw_root, mode="append")
-    return content(spark, raw_root, "day")
+    """U3, the reference's append over the whole history: every row twice."""
+    bronze, raw_root = land(spark, sf_dir, layout="month"), scratch_path(spark, "raw")
+    for _ in range(2):
+        job.run_range(spark, bronze, raw_root, mode="append", layout="month")
+    return content(spark, raw_root, "month")
+
+
+def q_range_of_months(spark, sf_dir):
+    """The range job from the second to the last but one month of the
+    history (both ends given), and once more on a range of no documents."""
+    bronze, raw_root = land(spark, sf_dir, layout="month"), scratch_path(spark, "raw")
+    low, high = (dt.date.fromisoformat(d) for d in days_of(spark, bronze))
+    start = (low.replace(day=1) + dt.timedelta(days=31)).replace(day=1)
+    end = high.replace(day=1) - dt.timedelta(days=1)
+    job.run_range(spark, bronze, raw_root, start.isoformat(), end.isoformat(), layout="month")
+    after = (high + dt.timedelta(days=31)).replace(day=1)
+    job.run_range(spark, bronze, raw_root, after.isoformat(), None, layout="month")
+    return content(spark, raw_root, "month")
 
 
 def range_run(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
@@ -213,6 +241,18 @@ def q_corrected_rerun(spark, sf_dir):
     return content(spark, raw_root, "month")
 
 
+def q_streaming_run(spark, sf_dir):
+    """The daily schedule as a stream: the whole history arrives in two parts
+    that share all months, the batch of the second is delivered twice."""
+    landing, raw_root, checkpoint = (scratch_path(spark, n) for n in ("landing", "raw", "stream-checkpoint"))
+    docs = landed(spark, sf_dir)
+    part = F.pmod(F.xxhash64("match_id"), F.lit(2))
+    for k in range(2):
+        io.land_documents(docs.where(part == k), landing, mode="append", layout="month")
+        incremental.run_once(spark, landing, raw_root, checkpoint, fmt="parquet", layout="month", deliveries=k + 1)
+    return content(spark, raw_root, "month")
+
+
 def q_backfill(spark, sf_dir):
     cat = io.RawCatalog(spark, range_run(spark, sf_dir), layout="month")
     return models.stg_maps_results(cat["maps_results"], cat["matchs"], cat["teams"])
@@ -351,6 +391,8 @@ QUERIES: dict[str, Query] = {
     "backfill": q_backfill,
     "catalog_backfill": q_catalog_backfill,
     "append_run": q_append_run,
+    "range_of_months": q_range_of_months,
+    "streaming_run": q_streaming_run,
     "corrected_rerun": q_corrected_rerun,
     "views_by_ordinal": q_views_by_ordinal,
     "stats_by_map": q_stats_by_map,

@@ -106,10 +106,10 @@ def _well_formed() -> Column:
     return F.col(CORRUPT).isNull() & (F.length(F.coalesce("match_id", F.lit(""))) >= 0)
 
 
-def read_days(spark: SparkSession, root: str, days: list[str], fmt: str = "parquet") -> DataFrame:
-    """Documents of the listed days: a literal list, so that only their
-    directories are read."""
-    df = _load(spark, root, fmt, F.col(PART).isin(days), "day")
+def read_days(spark: SparkSession, root: str, days: list[str], fmt: str = "parquet", layout: str = "day") -> DataFrame:
+    """Documents of the listed days (or months): a literal list, so that only
+    their directories are read."""
+    df = _load(spark, root, fmt, F.col(LAYOUTS[layout]).isin(days), layout)
     return df.where(_well_formed()).drop(CORRUPT) if fmt == "json" else df
 
 
