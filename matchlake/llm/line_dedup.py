@@ -239,7 +239,9 @@ def losses(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, th, lost: the digests of the keys that a document loses."""
     hashes = common.stored(_hashes(docs, text), "line-hashes")
     suspects = common.stored(_suspects(docs, text, _twice(hashes, hashes.count())), "line-suspects")
-    lost = suspects.join(repeats(suspects), "digest").where(~F.col("doc_id").eqNullSafe(F.col("first")))
+    # two tables side by side: Spark splits a hot digest of a join without an aggregate below it
+    first = common.stored(repeats(suspects), "line-repeats")
+    lost = suspects.join(first, "digest").where(~F.col("doc_id").eqNullSafe(F.col("first")))
     return lost.groupBy("doc_id", "th").agg(F.collect_set("digest").alias("lost"))
 
 
