@@ -38,16 +38,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy", files: int | None = None) -> DataFrame:
     """``df`` written once below the shared folder and read back: later stages
     (and retries after a lost executor) start from files, not from lineage.
 
     Such tables are much smaller than the texts, so several partitions share a
-    file: an eighth of the shuffle partitions, and at least two a core.
+    file: an eighth of the shuffle partitions, and at least two a core. Where
+    the last stage reads far more than it writes, ``files`` asks for more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    files = max(2 * spark.sparkContext.defaultParallelism, partitions(spark) // 8)
+    files = files or max(2 * spark.sparkContext.defaultParallelism, partitions(spark) // 8)
     df.coalesce(files).write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 

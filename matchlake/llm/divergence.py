@@ -196,7 +196,7 @@ def distances(kept: DataFrame, f: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
     """lang, source, part (pair, term), item, value, rank."""
     docs = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    kept = common.stored(kept_terms(term_rows(docs), least), "kept-terms")
+    kept = common.stored(kept_terms(term_rows(docs), least), "kept-terms", files=common.partitions(docs.sparkSession))
     f = common.stored(facts(docs.select("lang", "source"), kept), "source-facts")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
 
