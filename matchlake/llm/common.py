@@ -53,6 +53,17 @@ def stored(df: DataFrame, name: str, compression: str = "snappy", files: int | N
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def fold(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id's decimal text modulo n; a null id counts as ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

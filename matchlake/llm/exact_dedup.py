@@ -196,16 +196,17 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
+    """The rows of ``docs`` that stay, with their columns (of any names)."""
+    d, k, n = common.free_names(docs, "__digest", "__k", "__n")
 
     def key(of: str) -> Column:
         return F.xxhash64(F.col("doc_id"), F.col(of))
 
-    tagged = docs.withColumn("__digest", digest(F.col("text"))).withColumn("__k", key("__digest"))
-    rows = common.stored(tagged.select("doc_id", F.col("__digest").alias("digest")), "digests")
+    tagged = docs.withColumn(d, digest(F.col("text"))).withColumn(k, key(d))
+    rows = common.stored(tagged.select("doc_id", F.col(d).alias("digest")), "digests")
     g = groups(*split_history(rows)).select("digest", F.col("keep_id").alias("doc_id"))
-    stay = g.select(F.col("digest").alias("__digest"), key("digest").alias("__k"))
+    stay = g.select(F.col("digest").alias(d), key("digest").alias(k))
     # join and numbering share their keys, and so one shuffle of the texts
-    again = Window.partitionBy("__k", "__digest").orderBy(F.lit(1))
-    j = tagged.join(stay, ["__k", "__digest"], "left_semi")
-    return j.withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*docs.columns)
+    again = Window.partitionBy(k, d).orderBy(F.lit(1))
+    j = tagged.join(stay, [k, d], "left_semi")
+    return j.withColumn(n, F.row_number().over(again)).where(F.col(n) == 1).select(*docs.columns)

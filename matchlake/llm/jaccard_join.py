@@ -381,17 +381,18 @@ def join(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each linked group (the smallest id, null last,
-    then text hash); rows without words stay."""
+    then text hash); rows without words stay. Columns of any names pass."""
+    k, n = common.free_names(docs, "__k", "__n")
     j = common.stored(join(docs), "joined")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th"))
     one = j.where("cid is not null").groupBy("label").agg(first.alias("m"))
     stay = one.select(F.col("m.doc_id").alias("doc_id"), F.col("m.th").alias("th"))
     stay = stay.unionByName(j.where("cid is null").select("doc_id", "th")).distinct()
-    stay = stay.select(F.xxhash64("doc_id", "th").alias("__k")).distinct()
+    stay = stay.select(F.xxhash64("doc_id", "th").alias(k)).distinct()
     tagged = docs.withColumn(
-        "__k", F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+        k, F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     )
-    nth = F.row_number().over(Window.partitionBy("__k").orderBy(F.lit(1)))
+    nth = F.row_number().over(Window.partitionBy(k).orderBy(F.lit(1)))
     bare = ~F.coalesce(F.col("text"), F.lit("")).rlike(common.WORD)
-    kept = tagged.join(stay, "__k", "left_semi").withColumn("__n", nth).where((F.col("__n") == 1) | bare)
+    kept = tagged.join(stay, k, "left_semi").withColumn(n, nth).where((F.col(n) == 1) | bare)
     return kept.select(*docs.columns)

@@ -209,12 +209,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     def key(size: Column) -> Column:
         return F.xxhash64(F.col("doc_id"), F.col("source").cast("string"), size)
 
-    m = mix(docs).withColumn("__k", key(F.col("size")))
+    k, takes, copies, copy = common.free_names(docs, "__k", "__takes", "__copies", "__copy")
+    m = mix(docs).withColumn(k, key(F.col("size")))
     m = m.withColumn("copies", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int"))
     # one entry per document; more only where rows repeat id, source and size
-    m = m.groupBy("__k").agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__takes"))
-    j = docs.withColumn("__k", key(size_of(F.col("text")))).join(m, "__k")
-    nth = F.row_number().over(Window.partitionBy("__k").orderBy(F.xxhash64("text")))
-    j = j.withColumn("__copies", F.element_at("__takes", nth))
-    j = j.where("__copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies"))))
+    m = m.groupBy(k).agg(F.sort_array(F.collect_list("copies"), asc=False).alias(takes))
+    j = docs.withColumn(k, key(size_of(F.col("text")))).join(m, k)
+    nth = F.row_number().over(Window.partitionBy(k).orderBy(F.xxhash64("text")))
+    j = j.withColumn(copies, F.element_at(takes, nth))
+    j = j.where(F.col(copies) > 0).withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(copies))))
     return j.select(*docs.columns)

@@ -425,5 +425,6 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    s = scores(docs, fit(docs, labels), "__toxic_score", "__toxic_votes")
-    return s.where(F.col("__toxic_score") < THRESHOLD).select(*docs.columns)
+    score, votes = common.free_names(docs, "__toxic_score", "__toxic_votes")
+    s = scores(docs, fit(docs, labels), score, votes)
+    return s.where(F.col(score) < THRESHOLD).select(*docs.columns)

@@ -4,6 +4,7 @@ import corpus_pipeline
 import pytest
 from matchlake.llm import mixing, pieces, queries
 from matchlake.llm.common import documents, labels, stored
+from pyspark.sql import functions as F
 
 from .test_copies import sets_of
 
@@ -63,3 +64,30 @@ def test_stages_in_order(spark):
     import numpy as np
 
     assert sorted(c.decode(np.array(r.ids)) for r in out["sentencepiece"]) == sorted(r.text for r in out["mixing"])
+
+
+CLASHING = ["__k", "__n", "__digest", "__takes", "__copies", "__copy", "__toxic_score", "__toxic_votes", "th", "copies", "label", "cid"]
+
+
+def test_columns_of_any_name_pass_the_stages(spark, odd, some_labels):
+    """Rows and values are those of the same table without such columns."""
+    from matchlake.llm import exact_dedup, jaccard_join, toxicity
+
+    names = CLASHING
+    plain = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    clash = plain.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in names])
+    stages = [exact_dedup.keep_first, jaccard_join.keep_one, mixing.mixed, lambda d: toxicity.drop_toxic(d, some_labels)]
+    for stage in stages:
+        got, want = stage(clash), stage(plain)
+        assert got.columns == clash.columns
+        rows = got.collect()
+        assert sorted(map(str, (tuple(r)[:2] for r in rows))) == sorted(map(str, (tuple(r)[:2] for r in want.collect())))
+        for r in rows:
+            assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in names)
+
+
+def test_names_differ_in_more_than_case(spark):
+    from matchlake.llm.common import free_names
+
+    df = spark.createDataFrame([], "__K int, ___k int, n int")
+    assert free_names(df, "__k", "n", "m") == ["____k", "_n", "m"]
