@@ -4,9 +4,19 @@ tables (pre-registered as views of the same name)."""
 
 from __future__ import annotations
 
-from ..functions.scalar import MAP_CHOICES
-from ..schemas import MAP_DIMENSION
-from ..sources.adapters import BEST_OF, POOL, SIDE_ADR_OFFSET, TEAM_LINK_PREFIX
+# Fixed values, from FIXTURES.md: nothing is taken from the code that is checked.
+POOL = ["Vertigo", "Dust2", "Overpass", "Ancient", "Mirage", "Inferno", "Nuke", "Train", "Cache"]
+BEST_OF = {"1": "Best of 1 ", "2": "Best of 2", "3": "Best of 3 ", "4": "Best of 5 "}
+MAP_DIMENSION = [(1, "Vertigo"), (2, "Dust2"), (3, "Overpass"), (4, "Ancient"), (5, "Mirage"), (6, "Inferno"), (7, "Nuke")]
+SIDE_ADR_OFFSET = {"total": 0, "ct": 1, "tr": 2}
+TEAM_LINK_PREFIX = "https://h.example/team/"
+# format ('' for any other), choice number, position of the map (section 2.1)
+MAP_CHOICES = [
+    ("Best of 1", "3", "Map 1"), ("Best of 1", "4", "Map 2"), ("Best of 1", "5", "Map 1"), ("Best of 1", "6", "Map 2"),
+    ("Best of 1", "7", "Map 1"), ("Best of 3", "3", "Map 1"), ("Best of 3", "4", "Map 2"), ("Best of 3", "7", "Map 3"),
+    ("Best of 5", "3", "Map 1"), ("Best of 5", "4", "Map 2"), ("Best of 5", "5", "Map 3"), ("Best of 5", "6", "Map 4"),
+    ("Best of 5", "7", "Map 5"), ("", "3", "Map 1"), ("", "4", "Map 2"),
+]
 
 
 def _case(expr: str, pairs: list[tuple[str, str]]) -> str:
@@ -160,9 +170,7 @@ GROUP BY 1
 }
 
 
-CHOICES = ", ".join(
-    f"({_q(bo or '')}, {_q(n)}, {_q(label)})" for bo, row in MAP_CHOICES.items() for n, label in row.items()
-)
+CHOICES = ", ".join(f"({_q(bo)}, {_q(n)}, {_q(label)})" for bo, n, label in MAP_CHOICES)
 
 
 def m7_sql(results: str, matchs: str, teams: str) -> str:
@@ -317,6 +325,13 @@ MODEL_SQL.update({
     "append_run": JOB_CTES + job_rows(copies=2),
     "range_of_months": JOB_CTES + job_rows(INNER_MONTHS),
     "streaming_run": JOB_CTES + job_rows(),
+    # one broken line per seventh match, in the month of its day
+    "parsed_lines": """
+SELECT strftime(CAST(date AS DATE) + 1, '%Y-%m') AS extract_month, false AS is_malformed, match_id AS content FROM raw_matchs
+UNION ALL
+SELECT strftime(CAST(date AS DATE) + 1, '%Y-%m'), true, '{"match_id": "' || match_id || '", "teams": [' FROM raw_matchs
+WHERE CAST(match_id AS BIGINT) % 7 = 0
+""",
     "corrected_rerun": CORRECTED_CTES + job_rows(AFTER_FIRST_MONTH),
     "rerun_is_idempotent": JOB_CTES + job_rows(),
     "backfill": JOB_CTES + m7_sql("flat_results", "flat_matchs", "flat_teams"),

@@ -165,6 +165,21 @@ def q_json_round_trip(spark, sf_dir):
     return flatten.matchs(d, day_before("extract_date"))
 
 
+def q_parsed_lines(spark, sf_dir):
+    """Landed documents and, in the same folders, broken lines (one per
+    seventh match): both sides of one parse."""
+    root = land(spark, sf_dir, "json", layout="month")
+    m = raw(spark, sf_dir).matchs().where(F.col("match_id").cast("bigint") % 7 == 0)
+    line = F.concat(F.lit('{"match_id": "'), F.col("match_id"), F.lit('", "teams": ['))
+    month = F.substring(F.date_add(F.to_date("date"), 1).cast("string"), 1, 7)
+    broken = m.select(line.alias("value"), month.alias(io.MONTH))
+    io.clustered(broken, io.MONTH).write.partitionBy(io.MONTH).mode("append").text(root)
+    both = io.parsed_lines(spark, root, layout="month")
+    return both.select(
+        io.MONTH, F.col(io.CORRUPT).isNotNull().alias("is_malformed"), F.coalesce(io.CORRUPT, "match_id").alias("content")
+    )
+
+
 def days_of(spark: SparkSession, bronze: str) -> tuple[str, str]:
     """First and last storage day."""
     d = io.read_bronze(spark, bronze, layout="month").agg(F.min(io.PART).alias("low"), F.max(io.PART).alias("high"))
@@ -386,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "flatten_results": q_flatten_results,
     "flatten_stats": q_flatten_stats,
     "json_round_trip": q_json_round_trip,
+    "parsed_lines": q_parsed_lines,
     "daily_run": q_daily_run,
     "rerun_is_idempotent": q_rerun_is_idempotent,
     "backfill": q_backfill,

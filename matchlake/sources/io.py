@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import BRONZE, RAW, RAW_TABLES
+from ..session import scratch_path
 from . import commits
 from .commits import RUN, Cover
 
@@ -100,6 +101,17 @@ def malformed(
     return df.where(~_well_formed()).select(PART, F.col(CORRUPT).alias("line"))
 
 
+def parsed_lines(spark: SparkSession, root: str, layout: str = "day") -> DataFrame:
+    """Good and malformed JSON lines side by side, from one parse: the
+    landed text is read and parsed once into a scratch table, with the raw line
+    in ``_corrupt_record`` where it is no document. The directory column of the
+    layout stays, as a broken line has no day of its own."""
+    df = _load(spark, root, "json", None, layout, keep_directory=True)
+    path = scratch_path(spark, "parsed-lines")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _well_formed() -> Column:
     # Spark refuses to read the corrupt column of raw JSON alone, as a count
     # would: a second column, in a test that is always true
@@ -113,7 +125,9 @@ def read_days(spark: SparkSession, root: str, days: list[str], fmt: str = "parqu
     return df.where(_well_formed()).drop(CORRUPT) if fmt == "json" else df
 
 
-def _load(spark: SparkSession, root: str, fmt: str, cond: Column | None, layout: str) -> DataFrame:
+def _load(
+    spark: SparkSession, root: str, fmt: str, cond: Column | None, layout: str, keep_directory: bool = False
+) -> DataFrame:
     """Landed files, without what published runs have replaced, and the runs."""
     schema = _with_part(BRONZE, layout)
     options = {}
@@ -137,7 +151,7 @@ def _load(spark: SparkSession, root: str, fmt: str, cond: Column | None, layout:
             parts.append(new.drop(RUN))
         df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     df = df if cond is None else df.where(cond)
-    return df.drop(MONTH) if layout == "month" else df
+    return df.drop(MONTH) if layout == "month" and not keep_directory else df
 
 
 def clustered(df: DataFrame, col: str) -> DataFrame:

@@ -219,6 +219,18 @@ def test_malformed_lines_are_set_aside(spark, tmp_root):
     assert [tuple(r) for r in io.malformed(spark, root).collect()] == [("2022-02-26", "{broken")]
 
 
+def test_one_parse_gives_both_sides(spark, tmp_root):
+    local = f"{tmp_root}/landing/extract_date=2022-02-26".replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/a.json", "w", encoding="utf-8") as fh:
+        fh.write(json.dumps(g1()) + "\n{broken\n\n[1, 2\n" + json.dumps([g1(), g6()]) + "\n")
+    both = io.parsed_lines(spark, f"{tmp_root}/landing").collect()
+    good = sorted(r.match_id for r in both if r[io.CORRUPT] is None)
+    assert good == ["100", "100", "600"]
+    assert sorted(r[io.CORRUPT] for r in both if r[io.CORRUPT] is not None) == ["[1, 2", "{broken"]
+    assert {r.extract_date for r in both} == {"2022-02-26"}
+
+
 def test_cli_rejects_a_month_layout_for_one_day(spark, tmp_root):
     import pytest
 
