@@ -258,6 +258,65 @@ def test_every_notice_of_a_block(spark):
     ]
 
 
+def notices(text):
+    return licenses.Scanner(licenses.TEMPLATES).matches(text)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Released under the Apache License.", []), ("Released under the BSD License.", []),
+    ("Released under the GPL License.", []), ("Released under the Company License.", []),
+    ("Released under the MIT License.", ["MIT"]), ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]),
+    ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]), ("Licensed under the Apache License, Version 1.1.", []),
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("Licensed under the GNU General Public License, version 2, or (at your option) any later version.", ["GPL-2.0-or-later"]),
+    ("Licensed under the GNU Lesser General Public License, version 2.1", ["LGPL-2.1"]),
+    ("Licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("Licensed under the GNU General Public License, version 4.", []),
+    ("SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("SPDX-License-Identifier: Apache-1.1", []),
+    (licenses.TEMPLATES["GPL-2.0-or-later"][1], ["GPL-2.0-or-later"]),
+    (licenses.TEMPLATES["AGPL-3.0-or-later"][1], ["AGPL-3.0-or-later"]),
+    (licenses.BSD_HEAD + licenses.BSD_WARRANTY, ["BSD-2-Clause"]),
+    (licenses.BSD_HEAD.replace("met: ", "met: 1. ").replace("disclaimer. ", "disclaimer. 2. ") + licenses.BSD_WARRANTY, ["BSD-2-Clause"]),
+    (licenses.TEMPLATES["BSD-3-Clause"][0].replace("the copyright holder nor", "Acme Inc. nor"), ["BSD-3-Clause"]),
+    (licenses.BSD_HEAD + " All advertising materials must display an acknowledgement." + licenses.BSD_THIRD
+     + licenses.BSD_WARRANTY, []),
+    (licenses.TEMPLATES["X11"][0], ["X11"]), (licenses.TEMPLATES["MIT-0"][0], ["MIT-0"]), (licenses.TEMPLATES["0BSD"][0], ["0BSD"]),
+])
+def test_close_wordings_are_told_apart(text, want):
+    assert [m[1] for m in notices(text)[1]] == want
+    assert [m[1] for m in notices(f"Words before it.\n\n{textwrap.fill(text, 50)}\n\nWords behind it.")[1]] == want
+
+
+def test_another_version_is_unknown():
+    assert notices("Licensed under the Apache License, Version 1.1")[1:] == ([], 1)
+    assert notices("The game was played as is, on the field.")[1:] == ([], 0)
+
+
+def test_the_ranking_decides(monkeypatch):
+    """Both templates' wordings are in the text; the one that saves more wins."""
+    x11 = licenses.TEMPLATES["X11"][0]
+    assert [m[1] for m in notices(x11)[1]] == ["X11"]
+    ranked = licenses.Scanner.ranked
+    monkeypatch.setattr(licenses.Scanner, "ranked", lambda *a: ranked(*a)[::-1])
+    assert [m[1] for m in notices(x11)[1]] == ["MIT"]
+
+
+def test_the_gate_loses_no_wording(docs, monkeypatch):
+    """Every wording of every template in the middle of prose, with the gate
+    and by brute force, where all templates are compared word by word."""
+    prose = [r.text for r in docs.select("text").orderBy("doc_id").collect() if r.text and not licenses._cue.search(r.text)][:20]
+    texts = []
+    for name, wordings in sorted(licenses.TEMPLATES.items()):
+        for k, w in enumerate([*wordings, f"SPDX-License-Identifier: {name}"]):
+            before, behind = prose[len(texts) % 20], prose[(len(texts) + k + 1) % 20]
+            texts.append((name, before + "\n" + textwrap.fill("Licensed " + w, 40 + k) + "\n" + behind))
+    gated = licenses.Scanner(licenses.TEMPLATES)
+    found = [gated.matches(t)[1] for _, t in texts]
+    assert [[m[1] for m in got] for got in found] == [[name] for name, _ in texts]
+    monkeypatch.setattr(licenses, "SAVED", -1e9)
+    assert [gated.matches(t)[1] for _, t in texts] == found
+
+
 def test_licence_edges(odd, empty):
     got = licenses.scan(odd).collect()
     assert len(got) == odd.count() and all(r.licenses is None for r in got)
