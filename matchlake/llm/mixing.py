@@ -7,13 +7,16 @@ subset of its documents whose sizes add up to it as closely as possible:
 1. documents are counted per (source, size): the histogram is all the fit
    needs, so a source with a third of all rows is a few thousand rows here;
 2. per source, each size first gets its proportional share of documents,
-   then single documents while they fit, and a bounded-knapsack dynamic
-   programme over the remaining counts closes the last words;
+   then a single document while it fits, and a bounded-knapsack dynamic
+   programme over the remaining counts, and some given back, closes the last
+   words;
 3. per (source, size), the wanted number of documents is chosen by a seeded
    hash. Only the hash bucket that holds the cut is ranked, so one frequent
    size is never sorted whole in one task.
 
-Null text has size 0; documents of size 0 take 0 words. Reruns agree.
+Null text has size 0; documents of size 0 take 0 words. Long texts are counted
+whole. An empty table gives an empty mix; extra columns are not read. Reruns
+agree.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ MOST = 2.0
 WEIGHTS = (3, 1, 2)
 SEED = 20
 BUCKETS = 4096
+WORK = 1 << 28  # bytes of reachable sums that widening a fit may take
 
 
 def size_of(text: Column) -> Column:
@@ -66,8 +70,17 @@ def targets(totals: DataFrame, share: float = SHARE, most: float = MOST, weights
 
 
 def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take so that the words taken come
-    as near to ``budget`` as the sizes allow."""
+    """How many documents of each size to take so that the words taken are the
+    greatest reachable sum that is not above ``budget``.
+
+    Shares are rounded, then documents are given back, up to ``width`` a size,
+    and the knapsack fills what is open; the width doubles until nothing nearer
+    can be reached. That is so where the sum meets the budget (less its
+    remainder by the sizes' common divisor), or the width is twice the largest
+    size and the words left: a longer exchange of documents has a part that
+    sums to zero. Only where the reachable sums of the next width would take
+    more than ``WORK`` bytes does the best sum of the last one stand.
+    """
     order = np.argsort(sizes)[::-1]
     s, c = sizes[order].astype(np.int64), counts[order].astype(np.int64)
     total = int((s * c).sum())
@@ -78,23 +91,36 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     # floors of the proportional shares, in integers
     took = np.array([int(n) * budget // total for n in c], np.int64)
     left = budget - int((s * took).sum())
-    for i in range(len(s)):  # large sizes first: what is left fits the small ones
-        more = min(int(c[i] - took[i]), left // int(s[i])) if s[i] else 0
-        more = min(more, 1) if left > 4 * int(s[0]) else more
+    for i in range(len(s)):  # then single documents, large sizes first
+        more = min(int(c[i] - took[i]), 1, left // int(s[i])) if s[i] else 0
         took[i] += more
         left -= more * int(s[i])
-    # give back up to a few large documents' worth, then close it exactly
-    room = 2 * int(s[0])
-    for i in range(len(s)):
-        if left >= room:
+    spare = budget % int(np.gcd.reduce(s[(s > 0) & (c > 0)]))
+    enough = 2 * int(s[0]) + left + 1
+    best, missing, width = took, left, 1
+    while missing > spare:
+        base, open_words, room = took.copy(), left, 2 * width * int(s[0])
+        for i in range(len(s)):
+            # the first widths open a few large documents' worth, which
+            # is nearly always enough
+            if width < enough and open_words >= room:
+                break
+            back = min(int(base[i]), width)
+            base[i] -= back
+            open_words += back * int(s[i])
+        items = sum(min(int(n), open_words // int(z)).bit_length() for n, z in zip(c - base, s) if z)
+        if width > 1 and items * open_words // 8 > WORK:
             break
-        back = min(int(took[i]), 1)
-        took[i] -= back
-        left += back * int(s[i])
-    took += _knapsack(s, c - took, left)
-    back = np.empty(len(sizes), np.int64)
-    back[order] = took
-    return back
+        filled = _knapsack(s, c - base, open_words)
+        still = open_words - int((s * filled).sum())
+        if still < missing:
+            best, missing = base + filled, still
+        if width >= enough or not (base * s).any():
+            break
+        width = min(2 * width, enough)
+    out = np.empty(len(sizes), np.int64)
+    out[order] = best
+    return out
 
 
 def _knapsack(s: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:

@@ -91,6 +91,34 @@ def target_truth(sizes, share=1.5, most=2.0, weights=(3, 1, 2)):
     return out
 
 
+def test_fit_meets_the_best_reachable_sum():
+    rng = np.random.default_rng(7)
+    cases = [([4, 13], [2, 1], 15), ([6, 10, 15], [1, 1, 1], 14), ([0, 3], [5, 2], 4), ([7, 14, 21, 3], [40, 30, 9, 1], 500)]
+    for _ in range(3000):
+        n = int(rng.integers(1, 6))
+        sizes = rng.choice(np.arange(0, 40), n, replace=False)
+        counts = rng.integers(1, 9, n)
+        cases.append((sizes, counts, int(rng.integers(0, (sizes * counts).sum() + 3))))
+    for sizes, counts, budget in cases:
+        sizes, counts = np.asarray(sizes), np.asarray(counts)
+        sums = {0}
+        for z, n in zip(sizes.tolist(), counts.tolist()):
+            sums = {t + k * z for t in sums for k in range(n + 1)}
+        took = mixing.fit_counts(sizes, counts, budget)
+        assert ((took >= 0) & (took <= counts)).all()
+        assert int((sizes * took).sum()) == max(t for t in sums if t <= budget), (sizes, counts, budget)
+
+
+def test_fit_of_a_large_source():
+    rng = np.random.default_rng(8)
+    sizes, counts = np.arange(1, 4000), rng.integers(1, 2000, 3999)
+    for budget in (123_456_789, int((sizes * counts).sum()) // 2):
+        took = mixing.fit_counts(sizes, counts, budget)
+        assert int((sizes * took).sum()) == budget and ((took >= 0) & (took <= counts)).all()
+    few = mixing.fit_counts(np.array([40, 130]), np.array([3_000_000, 2_000_000]), 200_000_015)
+    assert few @ [40, 130] == 200_000_010
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 12), st.integers(1, 3)), min_size=1, max_size=4, unique_by=lambda x: x[0]), st.integers(0, 80))
 def test_knapsack_finds_the_nearest_sum(items, budget):
