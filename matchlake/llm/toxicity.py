@@ -1,27 +1,33 @@
 """Toxicity by weak supervision.
 
-Voters look at a text's words: a list of insults, insults near a second
-person, repeated insults, and words, word beginnings and word endings that are
-tied to toxic texts in a bounded sample of labelled training documents. Each
-votes toxic or abstains.
+Twenty voters look at a text's words and shape, never at labels: lists of
+insults by theme and language, threats, insults that come in numbers, near each
+other, near a second person or after a naming word, disguised and stretched
+spellings made from the lists by rule, capitals and exclamation marks. Four
+more look for words, word beginnings and word endings that are tied to toxic
+texts in a bounded sample of labelled training documents: no list covers every
+language. Each votes toxic or abstains.
 
 A generative label model explains how often each combination of votes occurs
 over all documents: a hidden label, a share of toxic texts, the accuracies of
 the voters, and their correlations (voters that still depend on each other
 given the label are modelled together, by the joint table of their votes). The
 labels of the training fold are one more, noisy, voter. It is fitted by EM on
-the table of combinations, which has at most 3 * 2**voters rows.
+the table of combinations that occur; some hundreds do.
 
 A logistic regression is then trained on the posterior labels of the sample,
 with the votes and the tied words as features, and scores every whole text.
 
-Null and empty texts have no words and get the score of a text without hits.
+Null and empty texts have no words and get the score of a text without hits; an
+empty table gives an empty one. Repeated rows each get a row, null ids too, and
+ties a score alike.
 Without labelled training rows the label model's own odds stand in for the
 trained weights.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,18 +44,38 @@ MIN_DOCS, MIN_SHARE = 4, 0.005  # toxic sample documents a tied feature occurs i
 LEAST_LIFT = 2.0  # log odds of a tied feature, lower bound
 SEED = 4
 
-# Insults.
-INSULTS = (
-    "idiot idiots moron morons stupid loser losers worthless pathetic clown scum trash disgusting dumb imbecile "
-    "jerk bastard fool garbage filth vermin creep hate shut ugly retard freak pig coward liar "
-    "idiota estupido estúpido imbécil basura idioten dumm abschaum versager arschloch dummkopf connard imbecile "
-    "stupide ordure crétin débile"
-).split()
+# Insults by theme or language, threats, and words around them.
+THEMES = {
+    "intellect": "idiot idiots moron morons stupid dumb imbecile retard fool",
+    "worth": "loser losers worthless pathetic garbage trash clown coward liar",
+    "disgust": "scum filth vermin disgusting pig freak creep ugly",
+    "profane": "bastard jerk shut hate bitch asshole shit fuck",
+    "german": "idioten dumm abschaum versager arschloch dummkopf",
+    "french": "connard ordure crétin débile salaud",
+    "spanish": "idiota estupido estúpido imbécil basura cabrón",
+}
+INSULTS = [w for words in THEMES.values() for w in words.split()]
+THREATS = "kill murder strangle stab töten umbringen tuer matar".split()
 SECOND_PERSON = "you your you're u ur du ihr dich dein tu te toi vous tú usted vos".split()
-
-VOTERS = ["insult", "two_insults", "insult_at_you", "tied_word", "two_tied_words", "tied_beginning", "tied_ending"]
+NAMING = "a an the such are is re what bist ein eine un une eres es".split()
+DISGUISE = str.maketrans("aeiost", "431057")
+
+UNLABELLED = [
+    *THEMES, "threat", "two_insults", "three_insults", "two_themes", "repeated_insult", "insult_at_you", "named_insult",
+    "insult_pair", "dense_insults", "disguised", "stretched", "shouting", "exclaiming",
+]
+TIED = ["tied_word", "two_tied_words", "tied_beginning", "tied_ending"]
+VOTERS = UNLABELLED + TIED
+DENSE = 0.02  # insults to words of a text
+SHOUTED, LETTERS = 0.3, 20  # capitals to letters, and letters a text has at least
+EXCLAIMED = 3
+LABELLED = 5  # labelled documents of each kind that correlations are read from, at least
+COPIES = 0.8  # Jaccard similarity of the words of two copies
 BEGIN, ENDING = 5, 6
 
+_byte = np.arange(256)
+UPPER = (_byte >= 65) & (_byte <= 90)
+SHAPES = [UPPER, UPPER | ((_byte >= 97) & (_byte <= 122)), _byte == ord("!")]
 EXTRAS = {"begin": lambda p: p.prefix(BEGIN), "ending": lambda p: p.suffix(ENDING)}
 
 
@@ -89,20 +115,32 @@ class Mined:
     endings: np.ndarray
 
 
+def disguised(words: list[str]) -> list[str]:
+    """Spellings with one letter, or all, replaced by look-alike digits."""
+    every = [w.translate(DISGUISE) for w in words]
+    one = [w[:i] + w[i].translate(DISGUISE) + w[i + 1 :] for w in words for i in range(len(w))]
+    return sorted(set(every + one) - set(words))
+
+
+def stretched(words: list[str]) -> list[str]:
+    """Spellings with a vowel three to eight times."""
+    return sorted({w[:i] + w[i] * n + w[i + 1 :] for w in words for i in range(len(w)) if w[i] in "aeiou" for n in range(3, 9)})
+
+
 class Voting:
     """Votes and tied features of a group of rows."""
 
     def __init__(self, mined: Mined):
-        self.insults, self.you = Known(_hashes(INSULTS)), Known(_hashes(SECOND_PERSON))
+        themes = {int(_hashes([w])[0]): k for k, words in enumerate(THEMES.values()) for w in words.split()}
+        self.insults = Known(_hashes(INSULTS))
+        self.theme = np.array([themes[int(h)] for h in self.insults.hashes])
+        self.you, self.naming = Known(_hashes(SECOND_PERSON)), Known(_hashes(NAMING))
+        self.lists = [Known(_hashes(words)) for words in (THREATS, disguised(INSULTS), stretched(INSULTS))]
         self.kinds = [Known(mined.words), Known(mined.begins), Known(mined.endings)]
         self.sizes = [len(k.hashes) for k in self.kinds]
 
-    def __call__(self, w: arrays.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(votes rows x VOTERS, rows of features, features)."""
-        votes = np.zeros((w.rows, len(VOTERS)), bool)
-        at, _ = self.insults.find(w.hash)
-        hits = np.bincount(w.row[at], minlength=w.rows)
-        votes[:, 0], votes[:, 1] = hits > 0, hits > 1
+    def _at_you(self, w: arrays.Words, at: np.ndarray) -> np.ndarray:
+        """Which of the insults have a second person within four words."""
         you = np.zeros(len(w.hash) + 8, bool)
         you[self.you.find(w.hash)[0] + 4] = True
         near = np.zeros(len(at), bool)
@@ -114,19 +152,50 @@ class Voting:
             lo, hi = max(0, at[k] - 3), min(len(w.hash), at[k] + 5)
             window = np.flatnonzero(you[lo + 4 : hi + 4]) + lo
             near[k] = bool((w.row[window] == w.row[at[k]]).any())
-        votes[w.row[at[near]], 2] = True
+        return near
+
+    def voted(self, w: arrays.Words, shape: np.ndarray) -> np.ndarray:
+        """Votes, rows x UNLABELLED; ``shape``: bytes of SHAPES per row."""
+        votes = {name: np.zeros(w.rows, bool) for name in UNLABELLED}
+        at, which = self.insults.find(w.hash)
+        row = w.row[at]
+        hits = np.bincount(row, minlength=w.rows)
+        for k, name in enumerate(THEMES):
+            votes[name][row[self.theme[which] == k]] = True
+        for name, known in zip(("threat", "disguised", "stretched"), self.lists):
+            votes[name][w.row[known.find(w.hash)[0]]] = True
+        votes["two_insults"], votes["three_insults"] = hits > 1, hits > 2
+        votes["two_themes"] = np.bincount(_distinct(row, self.theme[which])[0], minlength=w.rows) > 1
+        votes["repeated_insult"] = np.bincount(_distinct(row, which)[0], minlength=w.rows) < hits
+        votes["insult_at_you"][row[self._at_you(w, at)]] = True
+        names = np.zeros(len(w.hash) + 1, bool)
+        names[self.naming.find(w.hash)[0] + 1] = True
+        before = np.maximum(at - 1, 0)
+        votes["named_insult"][row[names[at] & (w.row[before] == row)]] = True
+        close = (np.diff(at) <= 2) & (np.diff(row) == 0)
+        votes["insult_pair"][row[1:][close]] = True
+        votes["dense_insults"] = (hits > 0) & (hits >= DENSE * w.per_row())
+        upper, letters, bangs = shape.T
+        votes["shouting"] = (letters >= LETTERS) & (upper >= SHOUTED * letters)
+        votes["exclaiming"] = bangs >= EXCLAIMED
+        return np.stack([votes[name] for name in UNLABELLED], axis=1)
+
+    def __call__(self, w: arrays.Words, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(votes rows x VOTERS, rows of features, features)."""
+        ties = np.zeros((w.rows, len(TIED)), bool)
         rows, feats, base = [], [], 0
         for kind, (known, h) in enumerate(zip(self.kinds, (w.hash, w.more["begin"], w.more["ending"]))):
             at, which = known.find(h)
             r, f = _distinct(w.row[at], which)
             n = np.bincount(r, minlength=w.rows)
             if kind == 0:
-                votes[:, 3], votes[:, 4] = n > 0, n > 1
+                ties[:, 0], ties[:, 1] = n > 0, n > 1
             else:
-                votes[:, 4 + kind] = n > 0
+                ties[:, 1 + kind] = n > 0
             rows.append(r)
             feats.append(f + base)
             base += self.sizes[kind]
+        votes = np.concatenate([self.voted(w, shape), ties], axis=1)
         return votes, np.concatenate(rows), np.concatenate(feats)
 
 
@@ -134,6 +203,13 @@ def _words(col) -> Iterator[arrays.Words]:
     return arrays.words(col, arrays.NOT_ALNUM, lower=True, extras=EXTRAS)
 
 
+def _read(col) -> Iterator[tuple[arrays.Words, np.ndarray]]:
+    """Words and shapes of groups of rows."""
+    shape = arrays.class_counts(col, SHAPES)
+    for w in _words(col):
+        yield w, shape[w.lo : w.hi]
+
+
 # ---- mining ------------------------------------------------------------------------
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct word, beginning and ending hashes of each sample document."""
@@ -157,13 +233,20 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def without_copies(sample: pa.Table) -> pa.Table:
-    """One of the sample documents that share their lowest word hashes: copies
-    of one toxic text are no evidence that its rare words are toxic."""
-    seen, stay = set(), []
+    """One of the sample documents that share ``COPIES`` of their words: copies
+    of one toxic text are no evidence that its rare words are toxic. Copies are
+    looked for among those of the same lowest word hashes and compared by all."""
+    kept: dict[tuple, list[np.ndarray]] = {}
+    stay = []
     for k, (words, label) in enumerate(zip(sample.column("word"), sample.column("label").to_pylist())):
-        key = (label, words.values[:4].to_numpy().tobytes())  # they come in order
-        if key not in seen:
-            seen.add(key)
+        own = words.values.to_numpy()  # distinct, in order
+        others = kept.setdefault((label, own[:4].tobytes()), [])
+        for other in others:
+            both = len(np.intersect1d(own, other, assume_unique=True))
+            if both >= COPIES * (len(own) + len(other) - both):
+                break
+        else:
+            others.append(own)
             stay.append(k)
     return sample.take(pa.array(stay, pa.int64()))
 
@@ -200,8 +283,15 @@ class LabelModel:
         self.m = votes.shape[1]
         self.groups = [[j] for j in range(self.m)]
         q = self._start(votes, label, count)
-        q = self._em(votes, label, count, q, rounds)
-        self.correlations = self._residual(votes, count, q)
+        # voters of one list agree so often that, taken as independent, they
+        # would become the hidden label: where there are labels, dependence is
+        # read from them
+        known = label >= 0
+        if (count * (label == 1)).sum() >= LABELLED and (count * (label == 0)).sum() >= LABELLED:
+            self.correlations = self._residual(votes[known], count[known], (label[known] == 1).astype(float))
+        else:
+            q = self._em(votes, label, count, q, rounds)
+            self.correlations = self._residual(votes, count, q)
         self.groups = self._clusters(self.correlations)
         q = self._em(votes, label, count, q, rounds)
         w1, w0 = q * count, (1 - q) * count
@@ -211,7 +301,7 @@ class LabelModel:
 
     @staticmethod
     def _start(votes, label, count) -> np.ndarray:
-        q = np.where(votes.any(axis=1), 0.8, 0.03)
+        q = np.array([0.03, 0.3, 0.8])[np.minimum(votes.sum(axis=1), 2)]
         return np.where(label == 1, np.maximum(q, 0.7), np.where(label == 0, np.minimum(q, 0.1), q))
 
     @staticmethod
@@ -227,7 +317,7 @@ class LabelModel:
         return cov / sd[:, None] / sd[None, :]
 
     @staticmethod
-    def _clusters(corr: np.ndarray, least: float = 0.2, most: int = 4) -> list[list[int]]:
+    def _clusters(corr: np.ndarray, least: float = 0.2, most: int = 12) -> list[list[int]]:
         of = list(range(len(corr)))
         pairs = sorted(((-abs(corr[i, j]), i, j) for i in range(len(corr)) for j in range(i)))
         for c, i, j in pairs:
@@ -243,7 +333,8 @@ class LabelModel:
             self.prior = float(np.clip((q * count).sum() / max(count.sum(), 1e-9), 1e-4, 0.999))
             self.tables = []
             for g, code in zip(self.groups, codes):
-                both = [np.bincount(code, w * count, minlength=1 << len(g)) + 0.5 for w in (1 - q, q)]
+                size = 1 << len(g)
+                both = [np.bincount(code, w * count, minlength=size) + min(0.5, 8 / size) for w in (1 - q, q)]
                 self.tables.append([b / b.sum() for b in both])
             self.label_rates = []
             for w in (1 - q, q):
@@ -303,15 +394,15 @@ class Classifier:
 def _combinations(mined) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voting = Voting(mined.value)
-        total = np.zeros(3 << len(VOTERS), np.int64)
+        total: Counter = Counter()
         for batch in batches:
             label = batch.column("label").to_numpy(zero_copy_only=False)
-            for w in _words(batch.column("text")):
-                votes, _, _ = voting(w)
+            for w, shape in _read(batch.column("text")):
+                votes, _, _ = voting(w, shape)
                 code = (votes << np.arange(len(VOTERS))).sum(axis=1) * 3 + label[w.lo : w.hi] + 1
-                total += np.bincount(code, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["code", "n"])
+                total.update(code.tolist())
+        cols = [pa.array(list(c), pa.int64()) for c in (total.keys(), total.values())]
+        yield pa.record_batch(cols, ["code", "n"])
 
     return run
 
@@ -374,8 +465,8 @@ def _sample_own_votes(sample: pa.Table, mined: Mined, drawn: DataFrame, shared)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voting, row = Voting(shared.value), 0
         for batch in batches:
-            for w in _words(batch.column("text")):
-                votes, _, _ = voting(w)
+            for w, shape in _read(batch.column("text")):
+                votes, _, _ = voting(w, shape)
                 code = (votes << np.arange(len(VOTERS))).sum(axis=1)
                 ids = batch.column("doc_id").slice(w.lo, w.rows)
                 yield pa.record_batch([ids, pa.array(np.arange(row, row + w.rows)), pa.array(code)], ["doc_id", "row", "code"])
@@ -397,8 +488,8 @@ def scores(docs: DataFrame, model: Classifier, score: str = "score", votes: str
         m = shared.value
         voting = Voting(m.mined)
         for batch in batches:
-            for w in _words(batch.column(names.index("text"))):
-                fired, rows, feats = voting(w)
+            for w, shape in _read(batch.column(names.index("text"))):
+                fired, rows, feats = voting(w, shape)
                 z = m.bias + fired @ m.vote_weights + np.bincount(rows, m.feature_weights[feats], minlength=w.rows)
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 voters = [[VOTERS[j] for j in np.flatnonzero(v)] for v in fired]

@@ -136,6 +136,34 @@ def test_label_model_finds_accuracies_and_correlations():
     assert abs(m.prior - 0.2) < 0.05
 
 
+@pytest.mark.parametrize("text, want", [
+    ("a calm day in the garden", set()),
+    ("they called him a moron", {"intellect", "named_insult", "dense_insults"}),
+    ("you are pathetic, pathetic scum", {
+        "worth", "disgust", "two_insults", "three_insults", "two_themes", "repeated_insult", "insult_at_you", "named_insult",
+        "insult_pair", "dense_insults"}),
+    ("what an 1d10t and m0ron, st00pid stuuupid thing", {"disguised", "stretched"}),
+    ("du bist ein dummkopf", {"german", "insult_at_you", "named_insult", "dense_insults"}),
+    ("I will strangle this guitar!!!", {"threat", "exclaiming"}),
+    ("THIS IS A VERY LOUD TEXT ABOUT NOTHING", {"shouting"}),
+    ("", set()),
+])
+def test_voters_do_not_need_labels(text, want):
+    none = toxicity.Mined(*[np.zeros(0, np.uint64)] * 3)
+    # rows beside it: no vote may cross from one row to another
+    [(w, shape)] = toxicity._read(pa.array(["you such a", text, "moron moron you"]))
+    votes = toxicity.Voting(none)(w, shape)[0]
+    assert {toxicity.VOTERS[j] for j in np.flatnonzero(votes[1])} == want
+    assert len(toxicity.UNLABELLED) == 20
+
+
+def test_only_copies_leave_the_mining_sample():
+    low = list(range(4))
+    words = [low + list(range(10, 50)), low + list(range(10, 49)), low + list(range(100, 140)), low + list(range(10, 50))]
+    t = pa.table({"word": pa.array(words, pa.list_(pa.int64())), "label": [1, 1, 1, 0], "doc_id": [0, 1, 2, 3]})
+    assert toxicity.without_copies(t).column("doc_id").to_pylist() == [0, 2, 3]
+
+
 def test_toxicity_edges(odd, empty, some_labels, no_labels):
     for lab in (some_labels, no_labels):
         got = toxicity.report(odd, lab).collect()
