@@ -1,10 +1,20 @@
 """Language-model scores from Brown class-based bigrams.
 
-Units of the exchange clustering are the ``HOT`` most frequent words, one by
-one, the end of a text, and, for all other words, ``GROUPS`` groups by their
-last bytes and length; so every word, seen or not, has a class. Classes are
-found by the exchange algorithm on the unit bigrams of the whole training
-part, which number at most (HOT + GROUPS + 1) ** 2 whatever the corpus holds.
+Exchange clustering assigns a class to every word of the table of frequent
+words that occurs at least ``OFTEN`` times, in two steps:
+
+1. The ``HOT`` most frequent words, the end of a text and ``GROUPS`` groups of
+   all other words (by their last bytes and length) are exchanged one after
+   another on the driver; their bigrams number at most (HOT + GROUPS + 1) ** 2
+   whatever the corpus holds.
+2. The other words start in the class of their group and are then exchanged one
+   by one in Spark tasks, each with its own bigrams: a row per word holds its
+   neighbours and their counts, and the word goes to the class that raises the
+   likelihood most under the class table of the round. A round moves one half
+   of the words, and the last one is undone if it lowered the likelihood.
+
+Words below ``OFTEN``, beyond the table or never seen keep the class of their
+group, so every word has one.
 
 A token's probability is p(class | class before) * p(word | class); the first
 is smoothed towards the class frequencies, the second adds one to each word of
@@ -35,8 +45,11 @@ GROUPS = 256
 UNITS = HOT + 1 + GROUPS
 END = HOT
 TABLE = 1 << 18
-CLASSES = 48
+CLASSES = 128
 SWEEPS = 8
+OFTEN = 3  # occurrences from which a word is exchanged by itself
+ROUNDS = 8  # rounds over halves of the words
+CHUNK = 512  # words whose gains a task computes at once
 BETA = 50.0  # weight of the class frequencies in a transition
 KEPT = 1 << 20  # distinct words a task holds before it passes them on
 
@@ -125,7 +138,7 @@ class Lookup:
         return np.where(self.sorted[at] == h, self.order[at], -1)
 
 
-def _with_ends(w: arrays.Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _with_ends(w: arrays.Words, units: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Unit sequence of the rows with an end after each, and each one's row."""
     n = w.per_row()
     ends = np.cumsum(n + 1) - 1
@@ -134,41 +147,102 @@ def _with_ends(w: arrays.Words, units: np.ndarray) -> tuple[np.ndarray, np.ndarr
     is_word = np.ones(len(seq), bool)
     is_word[ends] = False
     seq[is_word] = units
-    seq[ends] = END
+    seq[ends] = end
     return seq, rows
 
 
-def unit_of(w: arrays.Words, hot: Lookup) -> np.ndarray:
-    at = hot(w.hash)
-    return np.where(at >= 0, at, HOT + 1 + w.more["ending"].astype(np.int64))
+class Units:
+    """Numbers of the words that are exchanged (positions in the table of
+    frequent words), the end of a text, and the groups of all others."""
 
+    def __init__(self, hashes: np.ndarray, endings: np.ndarray):
+        self.hashes, self.endings = hashes, endings
+        self.end = len(hashes)
+        self.size = len(hashes) + 1 + GROUPS
+        self.hot = min(HOT, len(hashes))
 
-def unit_bigrams(texts: DataFrame, hot_hashes: np.ndarray) -> np.ndarray:
-    """UNITS x UNITS counts over all texts; an end precedes each first word."""
+    def of(self, w: arrays.Words, known: Lookup) -> np.ndarray:
+        at = known(w.hash)
+        return np.where(at >= 0, at, self.end + 1 + w.more["ending"].astype(np.int64))
+
+    def coarse(self) -> np.ndarray:
+        """Of each unit: itself if hot, the end, or its group, as numbers below
+        ``UNITS``."""
+        groups = np.concatenate((self.endings, [-1], np.arange(GROUPS)))
+        out = HOT + 1 + groups
+        out[: self.hot] = np.arange(self.hot)
+        out[self.end] = END
+        return out
+
+
+def bigrams(texts: DataFrame, units: Units) -> DataFrame:
+    """(u, v, n): how often unit v follows u; an end precedes each first word."""
+    size = units.size
+
+    def merged(held: list[tuple]) -> tuple:
+        keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(back, np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
+
+    def emit(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(keys), 1 << 16):
+            k = keys[i : i + (1 << 16)]
+            yield pa.record_batch(
+                [pa.array((k // size).astype(np.int32)), pa.array((k % size).astype(np.int32)), pa.array(n[i : i + (1 << 16)])],
+                ["u", "v", "n"],
+            )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, held, size = Lookup(hot_hashes), [], 0
-        total = np.zeros(UNITS * UNITS, np.int64)
+        known, held, held_size = Lookup(units.hashes), [], 0
         for batch in batches:
             for w in _words(batch.column(0)):
-                seq, _ = _with_ends(w, unit_of(w, hot))
-                held.append(np.concatenate(([END], seq[:-1])) * UNITS + seq)
-                size += len(seq)
-                if size > 1 << 20:
-                    total += np.bincount(np.concatenate(held), minlength=UNITS * UNITS)
-                    held, size = [], 0
+                seq, _ = _with_ends(w, units.of(w, known), units.end)
+                held.append(np.unique(np.concatenate(([units.end], seq[:-1])) * size + seq, return_counts=True))
+                held_size += len(held[-1][0])
+                if held_size > 2 * KEPT:
+                    held = [merged(held)]
+                    held_size = len(held[0][0])
+                    if held_size > KEPT:
+                        yield from emit(*held.pop())
+                        held_size = 0
         if held:
-            total += np.bincount(np.concatenate(held), minlength=UNITS * UNITS)
+            yield from emit(*merged(held))
+
+    pairs = texts.select("text").mapInArrow(count, "u int, v int, n bigint")
+    return pairs.groupBy("u", "v").agg(F.sum("n").alias("n"))
+
+
+def tally(pairs: DataFrame, of: np.ndarray, size: int) -> np.ndarray:
+    """size x size sums of the bigrams' counts by ``of`` their units."""
+    shared = pairs.sparkSession.sparkContext.broadcast(of)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, total = shared.value, np.zeros(size * size)
+        for batch in batches:
+            u, v, n = (batch.column(c).to_numpy() for c in ("u", "v", "n"))
+            total += np.bincount(of[u] * size + of[v], n, minlength=size * size)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 1 << 16):
             part = at[i : i + (1 << 16)]
-            yield pa.record_batch([pa.array(part), pa.array(total[part])], ["pair", "n"])
+            yield pa.record_batch([pa.array(part), pa.array(total[part].astype(np.int64))], ["pair", "n"])
 
-    pairs = texts.select("text").mapInArrow(count, "pair bigint, n bigint")
-    got = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(UNITS * UNITS)
+    got = pairs.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size * size)
     out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    return out.reshape(UNITS, UNITS)
+    shared.unpersist()
+    return out.reshape(size, size)
+
+
+def neighbours(pairs: DataFrame, units: Units) -> DataFrame:
+    """(word, after, before) of each word exchanged in tasks: the units that
+    follow and precede it, with counts. Bigrams are distinct, so a list has at
+    most as many entries as there are units."""
+    own = lambda c: (F.col(c) >= units.hot) & (F.col(c) < units.end)
+    after = pairs.where(own("u")).select(F.col("u").alias("word"), F.lit(True).alias("is_after"), F.struct(F.col("v").alias("unit"), "n").alias("x"))
+    before = pairs.where(own("v")).select(F.col("v").alias("word"), F.lit(False).alias("is_after"), F.struct(F.col("u").alias("unit"), "n").alias("x"))
+    return after.unionByName(before).groupBy("word").agg(
+        F.collect_list(F.when(F.col("is_after"), F.col("x"))).alias("after"),
+        F.collect_list(F.when(~F.col("is_after"), F.col("x"))).alias("before"),
+    )
 
 
 # ---- exchange clustering ----------------------------------------------------------
@@ -228,6 +302,93 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS,
     return of
 
 
+def gains(table: np.ndarray, of: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """words x classes: the likelihood with each word taken out of its class
+    ``of`` and put into every class, beside the one without it. ``after`` and
+    ``before`` count the word's bigrams with each class, without its bigrams
+    with itself, which are ``own``; ``table`` holds all bigrams of classes."""
+    k = np.arange(len(of))
+    out = np.zeros(after.shape)
+    for mine, other, t in ((after, before, table), (before, after, table.T)):
+        i, c = np.nonzero(mine)
+        if not len(i):
+            continue
+        x = mine[i, c]
+        base = t[:, c].T.copy()  # bigrams of every class with c, without the word's
+        same = np.flatnonzero(c == of[i])
+        base[same] -= other[i[same]]
+        base[np.arange(len(i)), of[i]] -= x
+        base[same, of[i[same]]] -= own[i[same]]
+        first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
+        out[i[first]] += np.add.reduceat(_f(base + x[:, None]) - _f(base), first, axis=0)
+    diag = np.repeat(np.diag(table)[None, :], len(of), axis=0)
+    diag[k, of] -= after[k, of] + before[k, of] + own
+    out -= _f(diag + after) + _f(diag + before) - 2 * _f(diag)
+    out += _f(diag + after + before + own[:, None]) - _f(diag)
+    for sums, mine in ((table.sum(1), after), (table.sum(0), before)):
+        whole = mine.sum(1) + own
+        rest = np.repeat(sums[None, :], len(of), axis=0)
+        rest[k, of] -= whole
+        out -= _f(rest + whole[:, None]) - _f(rest)
+    return out
+
+
+def likelihood(table: np.ndarray) -> float:
+    return float(_f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum())
+
+
+def _by_class(lists: pa.Array, words: np.ndarray, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """words x classes counts of (unit, n) lists, and the counts of the word itself."""
+    unit, n = (x.to_numpy() for x in lists.flatten().flatten())
+    row = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
+    self_ = unit == words[row]
+    counts = np.bincount(row * classes + of[unit], np.where(self_, 0, n), minlength=len(words) * classes)
+    return counts.reshape(len(words), classes), np.bincount(row, np.where(self_, n, 0), minlength=len(words))
+
+
+def exchange_words(
+    near: DataFrame, pairs: DataFrame, of: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all units after the words of ``near`` have moved, and the
+    class table. The last class is the end's own."""
+
+    def moves(shared, half: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of, table = shared.value
+            for batch in batches:
+                for i in range(0, batch.num_rows, CHUNK):
+                    part = batch.slice(i, CHUNK)
+                    words = part.column("word").to_numpy().astype(np.int64)
+                    after, own = _by_class(part.column("after"), words, of, classes)
+                    before, _ = _by_class(part.column("before"), words, of, classes)
+                    gain = gains(table, of[words], after, before, own)
+                    gain[:, -1] = -np.inf
+                    to = gain.argmax(1)
+                    k = np.arange(len(words))
+                    better = gain[k, to] > gain[k, of[words]] + 1e-9
+                    yield pa.record_batch([pa.array(words[better]), pa.array(to[better])], ["word", "to"])
+
+        return near.where(F.col("word") % 2 == half).mapInArrow(run, "word bigint, to bigint")
+
+    table = tally(pairs, of, classes)
+    still = 0
+    for r in range(rounds):
+        shared = near.sparkSession.sparkContext.broadcast((of, table))
+        moved = moves(shared, r % 2).toArrow()
+        shared.unpersist()
+        # a half without moves changes nothing for the other, if that has none either
+        still = still + 1 if not moved.num_rows else 0
+        if still == 2:
+            break
+        new = of.copy()
+        new[moved.column("word").to_numpy()] = moved.column("to").to_numpy()
+        new_table = tally(pairs, new, classes) if moved.num_rows else table
+        if likelihood(new_table) < likelihood(table):
+            break
+        of, table = new, new_table
+    return of, table
+
+
 class Model:
     """What a task needs to score texts, apart from rare words' counts."""
 
@@ -237,28 +398,29 @@ class Model:
         self.docs = sum(r.n for r in stats if r.ending < 0)
         h, n, g, self.least = frequent(real)
         self.hashes, self.counts = h, n
-        hot = min(HOT, len(h))
-        unit_n, unit_v = np.zeros(UNITS), np.zeros(UNITS)
+        cut = int((n >= OFTEN).sum())  # most frequent first
+        self.units = units = Units(h[:cut], g[:cut])
+        unit_n, unit_v = np.zeros(units.size), np.zeros(units.size)
         for r in stats:
             if r.ending >= 0:
-                unit_n[HOT + 1 + r.ending] += r.n
-                unit_v[HOT + 1 + r.ending] += r.v
-        np.subtract.at(unit_n, HOT + 1 + g[:hot], n[:hot])
-        np.subtract.at(unit_v, HOT + 1 + g[:hot], 1)
-        unit_n[:hot], unit_v[:hot] = n[:hot], 1
-        unit_n[END], unit_v[END] = self.docs, 1 if self.docs else 0
+                unit_n[units.end + 1 + r.ending] += r.n
+                unit_v[units.end + 1 + r.ending] += r.v
+        np.subtract.at(unit_n, units.end + 1 + g[:cut], n[:cut])
+        np.subtract.at(unit_v, units.end + 1 + g[:cut], 1)
+        unit_n[:cut], unit_v[:cut] = n[:cut], 1
+        unit_n[units.end], unit_v[units.end] = self.docs, 1 if self.docs else 0
         self.tokens, self.distinct = int(unit_n.sum()), int(unit_v.sum())
-        big = unit_bigrams(texts, h[:hot])
-        of = exchange(big)
-        member = np.zeros((UNITS, CLASSES))
-        member[np.arange(UNITS), of] = 1
-        pairs = member.T @ big @ member
-        share = (member.T @ unit_n + 1) / (self.tokens + CLASSES)
-        trans = (pairs + BETA * share) / (pairs.sum(1, keepdims=True) + BETA)
-        room = member.T @ unit_n + member.T @ unit_v + 1
-        self.of, self.trans = of, np.log10(trans)
-        self.room = np.log10(room)
-        self.hot = hot
+        self.exchanged = int(n[:cut].sum())
+        pairs = common.stored(bigrams(texts, units), "bigrams")
+        coarse = units.coarse()
+        of = exchange(tally(pairs, coarse, UNITS))[coarse]
+        near = common.stored(neighbours(pairs, units), "neighbours")
+        self.of, table = exchange_words(near, pairs, of)
+        per_class = np.bincount(self.of, unit_n, minlength=CLASSES)
+        share = (per_class + 1) / (self.tokens + CLASSES)
+        trans = (table + BETA * share) / (table.sum(1, keepdims=True) + BETA)
+        self.trans = np.log10(trans)
+        self.room = np.log10(per_class + np.bincount(self.of, unit_v, minlength=CLASSES) + 1)
 
 
 SCORED = (
@@ -272,7 +434,7 @@ def _score(model) -> callable:
         from pyspark import TaskContext
 
         m = model.value
-        table, hot = Lookup(m.hashes), Lookup(m.hashes[: m.hot])
+        table, exchanged = Lookup(m.hashes), Lookup(m.units.hashes)
         logs = np.log10(m.counts + 1.0)
         whole = np.log10(m.tokens + m.distinct + 1.0)
         end_known, end_log = int(m.docs > 0), np.log10(m.docs + 1.0)
@@ -282,9 +444,9 @@ def _score(model) -> callable:
             for w in _words(batch.column("text")):
                 keys, back = np.unique(w.hash, return_inverse=True)
                 at = table(keys)[back]
-                seq, rows = _with_ends(w, unit_of(w, hot))
+                seq, rows = _with_ends(w, m.units.of(w, exchanged), m.units.end)
                 cls = m.of[seq]
-                before = np.concatenate(([m.of[END]], cls[:-1]))
+                before = np.concatenate(([m.of[m.units.end]], cls[:-1]))
                 local = np.bincount(rows, m.trans[before, cls] - m.room[cls], minlength=w.rows)
                 in_table = at >= 0
                 top = np.bincount(w.row[in_table], logs[at[in_table]], minlength=w.rows) + end_log

@@ -74,6 +74,94 @@ def test_exchange_raises_the_likelihood():
         assert np.bincount(mine).max() >= 0.8 * len(mine)
 
 
+def likelihood_of(big, of, k):
+    m = np.zeros((len(big), k))
+    m[np.arange(len(big)), of] = 1
+    return class_lm.likelihood(m.T @ big @ m)
+
+
+def test_gains_of_words_equal_the_likelihood_of_each_move():
+    rng = np.random.default_rng(3)
+    size, k = 24, 5
+    big = rng.poisson(rng.gamma(0.4, 2.0, (size, size))).astype(float)
+    of = rng.integers(0, k, size)
+    member = np.zeros((size, k))
+    member[np.arange(size), of] = 1
+    own = np.diag(big).copy()
+    after, before = big @ member, big.T @ member
+    after[np.arange(size), of] -= own
+    before[np.arange(size), of] -= own
+    gain = class_lm.gains(member.T @ big @ member, of, after, before, own)
+    for u in range(size):
+        for b in range(k):
+            to = of.copy()
+            to[u] = b
+            move = likelihood_of(big, to, k) - likelihood_of(big, of, k)
+            assert math.isclose(gain[u, b] - gain[u, of[u]], move, rel_tol=1e-6, abs_tol=1e-6)
+
+
+def plain_words(text):
+    return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+
+
+def test_class_scores_equal_a_plain_computation(docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    texts = docs.where(common.fold("doc_id", 7) != 2).select("text")
+    m = class_lm.Model(class_lm.count_words(texts), texts)
+    counts = collections.Counter(w for t in train for w in plain_words(t))
+    vocab = sorted(counts | collections.Counter(w for _, t in rows for w in plain_words(t)))
+    looked_up = next(class_lm._words(pa.array([" ".join(vocab)])))
+    unit = dict(zip(vocab, m.units.of(looked_up, class_lm.Lookup(m.units.hashes)).tolist()))
+    # all words from the threshold on are exchanged by themselves
+    assert {w for w in counts if unit[w] < m.units.end} == {w for w in counts if counts[w] >= class_lm.OFTEN}
+    assert m.exchanged == sum(n for n in counts.values() if n >= class_lm.OFTEN)
+    end = int(m.of[m.units.end])
+    cls = {w: int(m.of[u]) for w, u in unit.items()}
+    assert end not in cls.values()
+
+    pairs, size = collections.Counter(), collections.Counter()
+    kinds = collections.Counter(cls[w] for w in counts) + collections.Counter([end])
+    for t in train:
+        seq = [cls[w] for w in plain_words(t)] + [end]
+        size.update(seq)
+        pairs.update(zip([end] + seq[:-1], seq))
+    total, out = sum(size.values()), collections.Counter()
+    for (a, _), n in pairs.items():
+        out[a] += n
+
+    def plain(text):
+        got, a = 0.0, end
+        for b in [cls[w] for w in plain_words(text)] + [end]:
+            share = (size[b] + 1) / (total + class_lm.CLASSES)
+            got += math.log10((pairs[a, b] + class_lm.BETA * share) / (out[a] + class_lm.BETA))
+            a = b
+        for w in plain_words(text):
+            got += math.log10((counts[w] + 1) / (size[cls[w]] + kinds[cls[w]] + 1))
+        return got + math.log10((len(train) + 1) / (size[end] + kinds[end] + 1))
+
+    got = {r.doc_id: r.score for r in class_lm.score(docs).collect()}
+    for i, t in rows:
+        assert math.isclose(got[i], plain(t), rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_words_exchanged_in_tasks_raise_the_likelihood(docs):
+    texts = docs.where(common.fold("doc_id", 7) != 2).select("text")
+    words = class_lm.count_words(texts)
+    h, n, g, _ = class_lm.frequent(words.where("ending >= 0"))
+    cut = int((n >= class_lm.OFTEN).sum())
+    units = class_lm.Units(h[:cut], g[:cut])
+    pairs = class_lm.bigrams(texts, units).cache()
+    assert pairs.agg({"n": "sum"}).first()[0] == n.sum() + words.where("ending < 0").first().n
+    coarse = units.coarse()
+    start = class_lm.exchange(class_lm.tally(pairs, coarse, class_lm.UNITS))[coarse]
+    of, table = class_lm.exchange_words(class_lm.neighbours(pairs, units), pairs, start)
+    assert class_lm.likelihood(table) > class_lm.likelihood(class_lm.tally(pairs, start, class_lm.CLASSES))
+    assert np.array_equal(table, class_lm.tally(pairs, of, class_lm.CLASSES))
+    assert np.array_equal(of[: units.hot], start[: units.hot]) and (of != start).any()
+    pairs.unpersist()
+
+
 # ---- language ID -------------------------------------------------------------------
 def test_languages_on_held_out_rows(docs):
     got = {r.doc_id: r for r in langid.predictions(docs).collect()}
