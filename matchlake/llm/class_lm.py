@@ -8,10 +8,15 @@ words that occurs at least ``OFTEN`` times, in two steps:
    another on the driver; their bigrams number at most (HOT + GROUPS + 1) ** 2
    whatever the corpus holds.
 2. The other words start in the class of their group and are then exchanged one
-   by one in Spark tasks, each with its own bigrams: a row per word holds its
-   neighbours and their counts, and the word goes to the class that raises the
-   likelihood most under the class table of the round. A round moves one half
-   of the words, and the last one is undone if it lowered the likelihood.
+   by one in Spark tasks, each with its own bigrams: a word goes to the class
+   that raises the likelihood most under the class table of the round. A round
+   moves one half of the words, and the last one is undone if it lowered the
+   likelihood; rounds end when two in a row gain less than ``LEAST_GAIN``.
+
+Bigrams are counted inside each task, dealt as packed arrays to shards of
+words and added up there, so the shuffle has a row per task and shard. A shard
+holds its distinct bigrams only; the number of shards grows with the shuffle
+partitions.
 
 Words below ``OFTEN``, beyond the table or never seen keep the class of their
 group, so every word has one.
@@ -48,7 +53,9 @@ TABLE = 1 << 18
 CLASSES = 128
 SWEEPS = 8
 OFTEN = 3  # occurrences from which a word is exchanged by itself
-ROUNDS = 8  # rounds over halves of the words
+ROUNDS = 12  # most rounds over halves of the words
+LEAST_GAIN = 1e-3  # nats a token
+PACK = 1 << 13  # bigrams a row of packed counts holds, of whole words if these are exchanged in tasks
 CHUNK = 512  # words whose gains a task computes at once
 BETA = 50.0  # weight of the class frequencies in a transition
 KEPT = 1 << 20  # distinct words a task holds before it passes them on
@@ -175,76 +182,143 @@ class Units:
         return out
 
 
-def bigrams(texts: DataFrame, units: Units) -> DataFrame:
-    """(u, v, n): how often unit v follows u; an end precedes each first word."""
-    size = units.size
+PACKED = "after binary, after_n binary, before binary, before_n binary"
+
+
+def _sums(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    if len(held) == 1:
+        return held[0]
+    return arrays.merge_counts(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+
+
+def _raw(x: np.ndarray, dtype) -> bytes:
+    return x.astype(dtype).tobytes()
 
-    def merged(held: list[tuple]) -> tuple:
-        keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        return keys, np.bincount(back, np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
 
-    def emit(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(keys), 1 << 16):
-            k = keys[i : i + (1 << 16)]
+def _unpacked(batch: pa.RecordBatch, keys: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the packed rows of a batch, end to end."""
+    return tuple(
+        np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64) for c in (keys, f"{keys}_n")
+    )
+
+
+def bigrams(texts: DataFrame, units: Units) -> DataFrame:
+    """Bigrams of units as packed rows: keys ``word * units.size + other`` and
+    counts of the units that follow (``after``) and precede (``before``) some
+    words; an end precedes each first word. The words exchanged in tasks have
+    all theirs in one row, the other units only ``after``."""
+    size, spark = units.size, texts.sparkSession
+    shards = 4 * common.partitions(spark)
+
+    def dealt(keys: np.ndarray, n: np.ndarray, is_after: bool) -> Iterator[pa.RecordBatch]:
+        if not len(keys):
+            return
+        shard = (keys // size) % shards
+        order = np.argsort(shard.astype(np.int32), kind="stable")
+        shard, keys, n = shard[order], keys[order], n[order]
+        cut = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True])))
+        rows = list(zip(cut[:-1], cut[1:]))
+        for i in range(0, len(rows), 64):
+            part = rows[i : i + 64]
             yield pa.record_batch(
-                [pa.array((k // size).astype(np.int32)), pa.array((k % size).astype(np.int32)), pa.array(n[i : i + (1 << 16)])],
-                ["u", "v", "n"],
+                [
+                    pa.array([int(shard[a]) for a, _ in part], pa.int32()),
+                    pa.array([is_after] * len(part)),
+                    pa.array([_raw(keys[a:b], np.int64) for a, b in part], pa.binary()),
+                    pa.array([_raw(n[a:b], np.int64) for a, b in part], pa.binary()),
+                ],
+                ["shard", "is_after", "key", "n"],
             )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, held_size = Lookup(units.hashes), [], 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            yield from dealt(keys, n, True)
+            u, v = keys // size, keys % size
+            own = (v >= units.hot) & (v < units.end)
+            yield from dealt(v[own] * size + u[own], n[own], False)
+
         for batch in batches:
             for w in _words(batch.column(0)):
                 seq, _ = _with_ends(w, units.of(w, known), units.end)
-                held.append(np.unique(np.concatenate(([units.end], seq[:-1])) * size + seq, return_counts=True))
-                held_size += len(held[-1][0])
+                held.append(np.concatenate(([units.end], seq[:-1])) * size + seq)
+                held_size += len(seq)
                 if held_size > 2 * KEPT:
-                    held = [merged(held)]
-                    held_size = len(held[0][0])
-                    if held_size > KEPT:
-                        yield from emit(*held.pop())
-                        held_size = 0
+                    yield from emit()
+                    held, held_size = [], 0
         if held:
-            yield from emit(*merged(held))
-
-    pairs = texts.select("text").mapInArrow(count, "u int, v int, n bigint")
-    return pairs.groupBy("u", "v").agg(F.sum("n").alias("n"))
-
-
-def tally(pairs: DataFrame, of: np.ndarray, size: int) -> np.ndarray:
+            yield from emit()
+
+    def rows_of(sides: dict[bool, list[tuple]]) -> Iterator[tuple]:
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        after, before = (_sums(sides[x]) if sides[x] else none for x in (True, False))
+        # a cut between words, in either list, once a row is full; the units
+        # that are not exchanged here are cut anywhere
+        word = after[0] // size
+        own = (word >= units.hot) & (word < units.end)
+        for k in range(0, int((~own).sum()), PACK):
+            yield tuple(x[~own][k : k + PACK] for x in after) + none
+        after = tuple(x[own] for x in after)
+        words, n = arrays.merge_counts(
+            np.concatenate((after[0] // size, before[0] // size)), np.ones(len(after[0]) + len(before[0]), np.int64)
+        )
+        if not len(words):
+            return
+        row = np.cumsum(n) // PACK
+        low = words[np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))] * size
+        cuts = [np.append(np.searchsorted(x[0], low), len(x[0])) for x in (after, before)]
+        for k in range(len(low)):
+            yield tuple(x[c[k] : c[k + 1]] for side, c in zip((after, before), cuts) for x in side)
+
+    def packed(sides: dict[bool, list[tuple]]) -> Iterator[pa.RecordBatch]:
+        rows = [[_raw(x, np.int64) for x in r] for r in rows_of(sides)]
+        for i in range(0, len(rows), 32):
+            cols = list(zip(*rows[i : i + 32]))
+            yield pa.record_batch([pa.array(c, pa.binary()) for c in cols], ["after", "after_n", "before", "before_n"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sides, new = None, {True: [], False: []}, 0
+        for batch in batches:
+            for shard, side, key, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "is_after", "key", "n"))):
+                if shard != now:
+                    yield from packed(sides)
+                    now, sides, new = shard, {True: [], False: []}, 0
+                sides[side].append((np.frombuffer(key, np.int64), np.frombuffer(n, np.int64)))
+                new += len(sides[side][-1][0])
+                if new > max(KEPT, 2 * sum(len(x[0][0]) for x in sides.values() if x)):
+                    sides, new = {k: [_sums(x)] if x else [] for k, x in sides.items()}, 0
+        yield from packed(sides)
+
+    parts = texts.select("text").mapInArrow(count, "shard int, is_after boolean, key binary, n binary")
+    by_shard = parts.repartition(common.partitions(spark), "shard").sortWithinPartitions("shard")
+    return by_shard.mapInArrow(add_up, PACKED)
+
+
+def tally(pairs: DataFrame, units: Units, of: np.ndarray, size: int) -> np.ndarray:
     """size x size sums of the bigrams' counts by ``of`` their units."""
     shared = pairs.sparkSession.sparkContext.broadcast(of)
+    base = units.size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, total = shared.value, np.zeros(size * size)
         for batch in batches:
-            u, v, n = (batch.column(c).to_numpy() for c in ("u", "v", "n"))
-            total += np.bincount(of[u] * size + of[v], n, minlength=size * size)
+            key, n = _unpacked(batch, "after")
+            total += np.bincount(of[key // base] * size + of[key % base], n, minlength=size * size)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 1 << 16):
             part = at[i : i + (1 << 16)]
             yield pa.record_batch([pa.array(part), pa.array(total[part].astype(np.int64))], ["pair", "n"])
 
-    got = pairs.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    sums = pairs.select("after", "after_n").mapInArrow(count, "pair bigint, n bigint")
+    got = sums.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size * size)
     out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
     shared.unpersist()
     return out.reshape(size, size)
 
 
-def neighbours(pairs: DataFrame, units: Units) -> DataFrame:
-    """(word, after, before) of each word exchanged in tasks: the units that
-    follow and precede it, with counts. Bigrams are distinct, so a list has at
-    most as many entries as there are units."""
-    own = lambda c: (F.col(c) >= units.hot) & (F.col(c) < units.end)
-    after = pairs.where(own("u")).select(F.col("u").alias("word"), F.lit(True).alias("is_after"), F.struct(F.col("v").alias("unit"), "n").alias("x"))
-    before = pairs.where(own("v")).select(F.col("v").alias("word"), F.lit(False).alias("is_after"), F.struct(F.col("u").alias("unit"), "n").alias("x"))
-    return after.unionByName(before).groupBy("word").agg(
-        F.collect_list(F.when(F.col("is_after"), F.col("x"))).alias("after"),
-        F.collect_list(F.when(~F.col("is_after"), F.col("x"))).alias("before"),
-    )
-
-
 # ---- exchange clustering ----------------------------------------------------------
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
@@ -337,30 +411,43 @@ def likelihood(table: np.ndarray) -> float:
     return float(_f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum())
 
 
-def _by_class(lists: pa.Array, words: np.ndarray, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """words x classes counts of (unit, n) lists, and the counts of the word itself."""
-    unit, n = (x.to_numpy() for x in lists.flatten().flatten())
-    row = np.repeat(np.arange(len(words)), np.diff(lists.offsets.to_numpy()))
-    self_ = unit == words[row]
+def _by_class(key: np.ndarray, n: np.ndarray, words: np.ndarray, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """words x classes counts of bigrams, and each word's with itself."""
+    base = len(of)
+    row, unit = np.searchsorted(words, key // base), key % base
+    self_ = unit == key // base
     counts = np.bincount(row * classes + of[unit], np.where(self_, 0, n), minlength=len(words) * classes)
     return counts.reshape(len(words), classes), np.bincount(row, np.where(self_, n, 0), minlength=len(words))
 
 
 def exchange_words(
-    near: DataFrame, pairs: DataFrame, of: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS
+    pairs: DataFrame, units: Units, of: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all units after the words of ``near`` have moved, and the
-    class table. The last class is the end's own."""
+    """Classes of all units after the words exchanged in tasks have moved, and
+    the class table. The last class is the end's own."""
+    hot, end, base = units.hot, units.end, units.size
 
     def moves(shared, half: int) -> DataFrame:
+        def chosen(key: np.ndarray) -> np.ndarray:
+            word = key // base
+            return (word >= hot) & (word < end) & (word % 2 == half)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of, table = shared.value
             for batch in batches:
-                for i in range(0, batch.num_rows, CHUNK):
-                    part = batch.slice(i, CHUNK)
-                    words = part.column("word").to_numpy().astype(np.int64)
-                    after, own = _by_class(part.column("after"), words, of, classes)
-                    before, _ = _by_class(part.column("before"), words, of, classes)
+                lists = []
+                for name in ("after", "before"):
+                    key, n = _unpacked(batch, name)
+                    mine = chosen(key)
+                    order = np.argsort(key[mine], kind="stable")
+                    lists.append((key[mine][order], n[mine][order]))
+                all_words = np.unique(np.concatenate([k // base for k, _ in lists]))
+                for i in range(0, len(all_words), CHUNK):
+                    words = all_words[i : i + CHUNK]
+                    at = [np.searchsorted(k, (words[0] * base, (words[-1] + 1) * base)) for k, _ in lists]
+                    (after, own), (before, _) = (
+                        _by_class(k[a:b], n[a:b], words, of, classes) for (k, n), (a, b) in zip(lists, at)
+                    )
                     gain = gains(table, of[words], after, before, own)
                     gain[:, -1] = -np.inf
                     to = gain.argmax(1)
@@ -368,24 +455,24 @@ def exchange_words(
                     better = gain[k, to] > gain[k, of[words]] + 1e-9
                     yield pa.record_batch([pa.array(words[better]), pa.array(to[better])], ["word", "to"])
 
-        return near.where(F.col("word") % 2 == half).mapInArrow(run, "word bigint, to bigint")
+        return pairs.mapInArrow(run, "word bigint, to bigint")
 
-    table = tally(pairs, of, classes)
+    table = tally(pairs, units, of, classes)
     still = 0
     for r in range(rounds):
-        shared = near.sparkSession.sparkContext.broadcast((of, table))
+        shared = pairs.sparkSession.sparkContext.broadcast((of, table))
         moved = moves(shared, r % 2).toArrow()
         shared.unpersist()
-        # a half without moves changes nothing for the other, if that has none either
-        still = still + 1 if not moved.num_rows else 0
-        if still == 2:
-            break
         new = of.copy()
         new[moved.column("word").to_numpy()] = moved.column("to").to_numpy()
-        new_table = tally(pairs, new, classes) if moved.num_rows else table
-        if likelihood(new_table) < likelihood(table):
+        new_table = tally(pairs, units, new, classes) if moved.num_rows else table
+        gain = likelihood(new_table) - likelihood(table)
+        if gain < 0:
             break
         of, table = new, new_table
+        still = still + 1 if gain <= LEAST_GAIN * table.sum() else 0
+        if still == 2:
+            break
     return of, table
 
 
@@ -413,9 +500,8 @@ class Model:
         self.exchanged = int(n[:cut].sum())
         pairs = common.stored(bigrams(texts, units), "bigrams")
         coarse = units.coarse()
-        of = exchange(tally(pairs, coarse, UNITS))[coarse]
-        near = common.stored(neighbours(pairs, units), "neighbours")
-        self.of, table = exchange_words(near, pairs, of)
+        of = exchange(tally(pairs, units, coarse, UNITS))[coarse]
+        self.of, table = exchange_words(pairs, units, of)
         per_class = np.bincount(self.of, unit_n, minlength=CLASSES)
         share = (per_class + 1) / (self.tokens + CLASSES)
         trans = (table + BETA * share) / (table.sum(1, keepdims=True) + BETA)

@@ -152,13 +152,25 @@ def test_words_exchanged_in_tasks_raise_the_likelihood(docs):
     cut = int((n >= class_lm.OFTEN).sum())
     units = class_lm.Units(h[:cut], g[:cut])
     pairs = class_lm.bigrams(texts, units).cache()
-    assert pairs.agg({"n": "sum"}).first()[0] == n.sum() + words.where("ending < 0").first().n
     coarse = units.coarse()
-    start = class_lm.exchange(class_lm.tally(pairs, coarse, class_lm.UNITS))[coarse]
-    of, table = class_lm.exchange_words(class_lm.neighbours(pairs, units), pairs, start)
-    assert class_lm.likelihood(table) > class_lm.likelihood(class_lm.tally(pairs, start, class_lm.CLASSES))
-    assert np.array_equal(table, class_lm.tally(pairs, of, class_lm.CLASSES))
+    by_unit = class_lm.tally(pairs, units, coarse, class_lm.UNITS)
+    assert by_unit.sum() == n.sum() + words.where("ending < 0").first().n
+    start = class_lm.exchange(by_unit)[coarse]
+    of, table = class_lm.exchange_words(pairs, units, start)
+    assert class_lm.likelihood(table) > class_lm.likelihood(class_lm.tally(pairs, units, start, class_lm.CLASSES))
+    assert np.array_equal(table, class_lm.tally(pairs, units, of, class_lm.CLASSES))
     assert np.array_equal(of[: units.hot], start[: units.hot]) and (of != start).any()
+    # whole lists of the exchanged words in one row, both sides, added up
+    where, sums = {}, {"after": collections.Counter(), "before": collections.Counter()}
+    for k, row in enumerate(pairs.collect()):
+        for side in sums:
+            for key, times in zip(np.frombuffer(row[side], np.int64).tolist(), np.frombuffer(row[f"{side}_n"], np.int64).tolist()):
+                word, other = divmod(key, units.size)
+                sums[side][(word, other) if side == "after" else (other, word)] += times
+                if units.hot <= word < units.end:
+                    assert where.setdefault(word, k) == k
+    own = {p: t for p, t in sums["after"].items() if units.hot <= p[1] < units.end}
+    assert own == dict(sums["before"]) and set(where) == set(range(units.hot, units.end))
     pairs.unpersist()
 
 
