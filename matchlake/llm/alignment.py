@@ -39,7 +39,6 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,22 +234,21 @@ def aligned(docs: DataFrame, a_file: str | None = None, b_file: str | None = Non
     with open(b_file or default_file(B_FILE), "rb") as f:
         b_model = f.read()
     files = docs.sparkSession.sparkContext.broadcast((a_json, b_model))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # numbered where they are read: a task of a stored table runs several partitions
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
     names = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "groups", "links"]
-    kinds = [*[pa.int64()] * 5, pa.string(), pa.binary()]
+    kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = _aligner(files.value, rule)
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
                 out: list[tuple] = []
                 for t in part.column("text"):
                     groups, n_a, n_b, n_groups, links = align(t.as_py()) or ("", 0, 0, 0, b"")
-                    row += 1
-                    out.append((row, n_a, n_b, n_groups, len(links) * 4 // align.shift, groups, links))
-                yield pa.record_batch([part.column("doc_id"), *(pa.array(x, k) for x, k in zip(zip(*out), kinds))], names)
+                    out.append((n_a, n_b, n_groups, len(links) * 4 // align.shift, groups, links))
+                yield pa.record_batch([part.column("doc_id"), part.column("row"), *(pa.array(x, k) for x, k in zip(zip(*out), kinds))], names)
 
     schema = "doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, links binary"
     return rows.mapInArrow(run, schema)

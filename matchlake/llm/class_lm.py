@@ -517,16 +517,13 @@ SCORED = (
 
 def _score(model) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         m = model.value
         table, exchanged = Lookup(m.hashes), Lookup(m.units.hashes)
         logs = np.log10(m.counts + 1.0)
         whole = np.log10(m.tokens + m.distinct + 1.0)
         end_known, end_log = int(m.docs > 0), np.log10(m.docs + 1.0)
-        rid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, held = batch.column("doc_id"), batch.column("held_out")
+            rid, ids, held = (batch.column(c) for c in ("rid", "doc_id", "held_out"))
             for w in _words(batch.column("text")):
                 keys, back = np.unique(w.hash, return_inverse=True)
                 at = table(keys)[back]
@@ -549,15 +546,13 @@ def _score(model) -> callable:
                 off = np.concatenate(([0], np.cumsum(np.bincount(r[first], minlength=w.rows)))).astype(np.int32)
                 yield pa.record_batch(
                     [
-                        pa.array(rid + np.arange(w.rows)),
-                        ids.slice(w.lo, w.rows), held.slice(w.lo, w.rows),
+                        *(c.slice(w.lo, w.rows) for c in (rid, ids, held)),
                         pa.array(n), pa.array(known), pa.array(top - n * whole), pa.array(top + local),
                         pa.ListArray.from_arrays(pa.array(off), pa.array(arrays.signed(h[first]))),
                         pa.ListArray.from_arrays(pa.array(off), pa.array(times)),
                     ],
                     ["rid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare", "times"],
                 )
-                rid += w.rows
 
     return run
 
@@ -572,7 +567,9 @@ def score(docs: DataFrame, train_fold: int = 7, out_fold: int = 2) -> DataFrame:
     words = common.stored(count_words(train), "word-counts")
     model = Model(words, train)
     shared = spark.sparkContext.broadcast(model)
-    scored = common.stored(texts.mapInArrow(_score(shared), SCORED), "word-scores")
+    # numbered where they are read: a task of the stored table runs several partitions
+    numbered = texts.withColumn("rid", F.monotonically_increasing_id())
+    scored = common.stored(numbered.mapInArrow(_score(shared), SCORED), "word-scores")
     pairs = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("w"))
     pairs = pairs.select("rid", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
     others = words.where((F.col("ending") >= 0) & (F.floor(F.log2("n") * 16) < model.least)).select("hash", "n")

@@ -263,6 +263,12 @@ def test_special_tokens_are_text(tokenizers, aligner):
     assert got is not None and "50256" not in re.split("[,;|]", got[0])
 
 
+def test_alignment_when_a_task_holds_several_partitions(spark, tokenizers):
+    rows = [(i, f"word{i % 7} and filler{i % 5}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(80)
+    assert total(alignment.report(df, sent=0).collect()) == total(alignment_truth(tokenizers, rows))
+
+
 def test_alignment_of_the_documents(docs, tokenizers):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     want = total(alignment_truth(tokenizers, rows))

@@ -52,6 +52,21 @@ def test_lm_edges(odd, empty):
     assert class_lm.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("table", [0, 40])
+def test_base_score_when_a_task_holds_several_partitions(spark, monkeypatch, table):
+    """Words beyond the table are joined to their rows by number: rows of
+    partitions that share a task must not share one."""
+    monkeypatch.setattr(class_lm, "TABLE", table)
+    rows = [(i, " ".join(f"Word{(i * k) % 83} w{i % 29}" for k in range(1 + i % 7))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(80)
+    got = {r.doc_id: r for r in class_lm.score(docs).collect()}
+    assert len(got) == len(rows)
+    for (i, _), (n, known, total, base) in zip(rows, base_scores(rows)):
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(0)
     true = rng.integers(0, 3, 30)
