@@ -236,3 +236,13 @@ def test_cli_rejects_a_month_layout_for_one_day(spark, tmp_root):
 
     with pytest.raises(SystemExit):
         job.main(["--src", tmp_root, "--dst", tmp_root, "--process-date", "2022-02-26", "--layout", "month"])
+
+
+def test_landed_json_is_compressed(spark, tmp_root):
+    docs, days = three_days(spark)
+    io.land_documents(docs, f"{tmp_root}/json", fmt="json")
+    local = f"{tmp_root}/json".replace("file:", "")
+    files = [f for _, _, names in os.walk(local) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    back = io.read_bronze(spark, f"{tmp_root}/json", fmt="json")
+    assert bag(back.select("match_id", "teams", "extract_date")) == bag(docs.select("match_id", "teams", "extract_date"))
