@@ -246,3 +246,15 @@ def test_landed_json_is_compressed(spark, tmp_root):
     assert files and all(f.endswith(".json.gz") for f in files)
     back = io.read_bronze(spark, f"{tmp_root}/json", fmt="json")
     assert bag(back.select("match_id", "teams", "extract_date")) == bag(docs.select("match_id", "teams", "extract_date"))
+
+
+def test_documents_that_share_a_match_are_deduplicated(spark, tmp_root):
+    docs, days = three_days(spark)
+    bronze = f"{tmp_root}/bronze"
+    io.land_documents(docs, bronze)
+    io.land_documents(docs.where(F.col("extract_date") == days[0]), bronze, mode="append")
+    job.run_range(spark, bronze, f"{tmp_root}/raw")
+    want = job.range_tables(docs)
+    for name in RAW_TABLES:
+        got = io.read_raw(spark, f"{tmp_root}/raw", name, keep_day=True)
+        assert bag(got) == bag(want[name].select(*got.columns)), name
