@@ -14,6 +14,8 @@ page. Comments and scripts are not told apart from markup.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,12 +35,17 @@ def _depths(pieces: Column) -> Column:
 def elements(html: Column, tag: str, cls: str | None = None) -> Column:
     """The elements of a tag (and class) with their markup, in page order, as
     array<string>. Null for a null text, empty where there is none."""
-    opening = rf"<{tag}(?=[\s>])(?![^>]*/>)"
     wanted = rf'(?is)^<{tag}(\s[^>]*)?>'
     if cls is not None:
         wanted = rf'(?is)^<{tag}\s([^>]*\s)?class="([^"]*\s)?{cls}(\s[^"]*)?"'
-    token = rf"(?is)^({opening}|</{tag}\s*>)"
-    pieces = F.split(html, rf"(?is)(?={opening}|</{tag}\s*>)")
+    # a blank in front: the first piece then never starts with a token
+    pieces = F.split(F.concat(F.lit(" "), html), rf"(?is)(?=<(?:/{tag}\s*>|{tag}(?=[\s>])(?![^>]*/>)))")
+
+    def is_wanted(piece: Column) -> Column:
+        test = piece.rlike(wanted)
+        plain = cls is not None and re.fullmatch(r"[\w-]+", cls, re.A)
+        return F.lower(piece).contains(cls.lower()) & test if plain else test
+
     def cut(p: Column, d: Column, at: Column) -> Column:
         after = F.array_position(F.slice(d, at + 1, F.size(d) - at), F.element_at(d, at) - 1).cast("int")
         body = F.array_join(F.slice(p, at, F.when(after > 0, after).otherwise(F.size(p) - at + 1)), "")
@@ -46,12 +53,10 @@ def elements(html: Column, tag: str, cls: str | None = None) -> Column:
         return F.concat(body, end)
 
     def found(p: Column, d: Column) -> Column:
-        places = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: F.element_at(p, i).rlike(wanted))
+        places = F.filter(F.sequence(F.lit(1), F.size(p)), lambda i: is_wanted(F.element_at(p, i)))
         return F.transform(places, lambda i: cut(p, d, i))
 
-    # one piece before the first token, also where the text starts with it
-    head = F.concat(F.array(F.lit("")), F.filter(pieces, lambda x: x.rlike(token)))
-    return F.when(html.isNotNull(), bound(head, lambda p: bound(_depths(p), lambda d: found(p, d))))
+    return F.when(html.isNotNull(), bound(pieces, lambda p: bound(_depths(p), lambda d: found(p, d))))
 
 
 def text_of(element: Column) -> Column:
