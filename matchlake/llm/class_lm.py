@@ -11,7 +11,9 @@ words that occurs at least ``OFTEN`` times, in two steps:
    by one in Spark tasks, each with its own bigrams: a word goes to the class
    that raises the likelihood most under the class table of the round. A round
    moves one half of the words, and the last one is undone if it lowered the
-   likelihood; rounds end when two in a row gain less than ``LEAST_GAIN``.
+   likelihood; rounds end when two in a row gain less than ``LEAST_GAIN``. A
+   task reads the bigrams of the round's half only, and looks up what small
+   counts gain in a table of its own.
 
 Bigrams are counted inside each task, dealt as packed arrays to shards of
 words and added up there, so the shuffle has a row per task and shard. A shard
@@ -56,7 +58,8 @@ OFTEN = 3  # occurrences from which a word is exchanged by itself
 ROUNDS = 12  # most rounds over halves of the words
 LEAST_GAIN = 1e-3  # nats a token
 PACK = 1 << 13  # bigrams a row of packed counts holds, of whole words if these are exchanged in tasks
-CHUNK = 512  # words whose gains a task computes at once
+STEPS = 32  # counts up to which the gain of a count is looked up
+CHUNK = 128  # words whose gains a task computes at once
 BETA = 50.0  # weight of the class frequencies in a transition
 KEPT = 1 << 20  # distinct words a task holds before it passes them on
 
@@ -182,7 +185,7 @@ class Units:
         return out
 
 
-PACKED = "after binary, after_n binary, before binary, before_n binary"
+PACKED = "half int, after binary, after_n binary, before binary, before_n binary"
 
 
 def _sums(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -206,9 +209,10 @@ def bigrams(texts: DataFrame, units: Units) -> DataFrame:
     """Bigrams of units as packed rows: keys ``word * units.size + other`` and
     counts of the units that follow (``after``) and precede (``before``) some
     words; an end precedes each first word. The words exchanged in tasks have
-    all theirs in one row, the other units only ``after``."""
+    all theirs in one row, of one ``half`` (odd or even words); the other units
+    only ``after``, with half -1."""
     size, spark = units.size, texts.sparkSession
-    shards = 4 * common.partitions(spark)
+    shards = 4 * common.partitions(spark)  # even: a shard's words are of one half
 
     def dealt(keys: np.ndarray, n: np.ndarray, is_after: bool) -> Iterator[pa.RecordBatch]:
         if not len(keys):
@@ -259,7 +263,7 @@ def bigrams(texts: DataFrame, units: Units) -> DataFrame:
         word = after[0] // size
         own = (word >= units.hot) & (word < units.end)
         for k in range(0, int((~own).sum()), PACK):
-            yield tuple(x[~own][k : k + PACK] for x in after) + none
+            yield -1, *(x[~own][k : k + PACK] for x in after), *none
         after = tuple(x[own] for x in after)
         words, n = arrays.merge_counts(
             np.concatenate((after[0] // size, before[0] // size)), np.ones(len(after[0]) + len(before[0]), np.int64)
@@ -270,13 +274,16 @@ def bigrams(texts: DataFrame, units: Units) -> DataFrame:
         low = words[np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))] * size
         cuts = [np.append(np.searchsorted(x[0], low), len(x[0])) for x in (after, before)]
         for k in range(len(low)):
-            yield tuple(x[c[k] : c[k + 1]] for side, c in zip((after, before), cuts) for x in side)
+            yield int(words[0] % 2), *(x[c[k] : c[k + 1]] for side, c in zip((after, before), cuts) for x in side)
 
     def packed(sides: dict[bool, list[tuple]]) -> Iterator[pa.RecordBatch]:
-        rows = [[_raw(x, np.int64) for x in r] for r in rows_of(sides)]
+        rows = [(half, *(_raw(x, np.int64) for x in r)) for half, *r in rows_of(sides)]
         for i in range(0, len(rows), 32):
             cols = list(zip(*rows[i : i + 32]))
-            yield pa.record_batch([pa.array(c, pa.binary()) for c in cols], ["after", "after_n", "before", "before_n"])
+            yield pa.record_batch(
+                [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
+                ["half", "after", "after_n", "before", "before_n"],
+            )
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sides, new = None, {True: [], False: []}, 0
@@ -376,34 +383,53 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS,
     return of
 
 
-def gains(table: np.ndarray, of: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+def steps_of(table: np.ndarray) -> np.ndarray:
+    """[x - 1, c, b]: what ``_f(table[b, c])`` gains by x more bigrams, for x
+    up to ``STEPS``: words share these, so each is computed once."""
+    x = np.arange(1.0, STEPS + 1)[:, None, None]
+    return _f(table.T + x) - _f(table.T)
+
+
+def gains(
+    table: np.ndarray, of: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray,
+    steps: tuple[np.ndarray, np.ndarray] | None = None,
+) -> np.ndarray:
     """words x classes: the likelihood with each word taken out of its class
     ``of`` and put into every class, beside the one without it. ``after`` and
     ``before`` count the word's bigrams with each class, without its bigrams
-    with itself, which are ``own``; ``table`` holds all bigrams of classes."""
-    k = np.arange(len(of))
+    with itself, which are ``own``; ``table`` holds all bigrams of classes, and
+    ``steps`` is ``steps_of`` it and its transpose."""
+    steps = steps or (steps_of(table), steps_of(table.T))
     out = np.zeros(after.shape)
-    for mine, other, t in ((after, before, table), (before, after, table.T)):
+    for mine, other, t, step in ((after, before, table, steps[0]), (before, after, table.T, steps[1])):
         i, c = np.nonzero(mine)
         if not len(i):
             continue
-        x = mine[i, c]
-        base = t[:, c].T.copy()  # bigrams of every class with c, without the word's
-        same = np.flatnonzero(c == of[i])
-        base[same] -= other[i[same]]
-        base[np.arange(len(i)), of[i]] -= x
-        base[same, of[i[same]]] -= own[i[same]]
+        x, a = mine[i, c], of[i]
+        part = step[np.minimum(x, STEPS).astype(np.int64) - 1, c]
+        same = c == a
+        k = np.flatnonzero((x > STEPS) & ~same)
+        part[k] = _f(t.T[c[k]] + x[k, None]) - _f(t.T)[c[k]]
+        # the class table without the word, where that matters
+        k = np.flatnonzero(same)
+        base = t.T[c[k]] - other[i[k]]
+        base[np.arange(len(k)), a[k]] = 0  # set below
+        part[k] = _f(base + x[k, None]) - _f(base)
+        rest = t[a, c] - x - np.where(same, other[i, a] + own[i], 0)
+        part[np.arange(len(i)), a] = _f(rest + x) - _f(rest)
         first = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
-        out[i[first]] += np.add.reduceat(_f(base + x[:, None]) - _f(base), first, axis=0)
-    diag = np.repeat(np.diag(table)[None, :], len(of), axis=0)
-    diag[k, of] -= after[k, of] + before[k, of] + own
-    out -= _f(diag + after) + _f(diag + before) - 2 * _f(diag)
-    out += _f(diag + after + before + own[:, None]) - _f(diag)
+        out[i[first]] += np.add.reduceat(part, first, axis=0)
+    # bigrams of a class with itself gain both sides at once
+    i, c = np.nonzero(after + before + own[:, None])
+    x, y, z = after[i, c], before[i, c], own[i]
+    diag = np.diag(table)[c] - np.where(c == of[i], x + y + z, 0)
+    out[i, c] += _f(diag + x + y + z) - _f(diag + x) - _f(diag + y) + _f(diag)
     for sums, mine in ((table.sum(1), after), (table.sum(0), before)):
         whole = mine.sum(1) + own
-        rest = np.repeat(sums[None, :], len(of), axis=0)
-        rest[k, of] -= whole
-        out -= _f(rest + whole[:, None]) - _f(rest)
+        sizes, at = np.unique(whole, return_inverse=True)
+        more = (_f(sums + sizes[:, None]) - _f(sums))[at]
+        more[np.arange(len(of)), of] = _f(sums[of]) - _f(sums[of] - whole)
+        out -= more
     return out
 
 
@@ -411,11 +437,11 @@ def likelihood(table: np.ndarray) -> float:
     return float(_f(table).sum() - _f(table.sum(1)).sum() - _f(table.sum(0)).sum())
 
 
-def _by_class(key: np.ndarray, n: np.ndarray, words: np.ndarray, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_class(
+    word: np.ndarray, unit: np.ndarray, n: np.ndarray, words: np.ndarray, of: np.ndarray, classes: int
+) -> tuple[np.ndarray, np.ndarray]:
     """words x classes counts of bigrams, and each word's with itself."""
-    base = len(of)
-    row, unit = np.searchsorted(words, key // base), key % base
-    self_ = unit == key // base
+    row, self_ = np.searchsorted(words, word), unit == word
     counts = np.bincount(row * classes + of[unit], np.where(self_, 0, n), minlength=len(words) * classes)
     return counts.reshape(len(words), classes), np.bincount(row, np.where(self_, n, 0), minlength=len(words))
 
@@ -425,37 +451,34 @@ def exchange_words(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all units after the words exchanged in tasks have moved, and
     the class table. The last class is the end's own."""
-    hot, end, base = units.hot, units.end, units.size
+    base = units.size
 
     def moves(shared, half: int) -> DataFrame:
-        def chosen(key: np.ndarray) -> np.ndarray:
-            word = key // base
-            return (word >= hot) & (word < end) & (word % 2 == half)
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of, table = shared.value
+            (of, table), steps = shared.value, None
             for batch in batches:
-                lists = []
-                for name in ("after", "before"):
-                    key, n = _unpacked(batch, name)
-                    mine = chosen(key)
-                    order = np.argsort(key[mine], kind="stable")
-                    lists.append((key[mine][order], n[mine][order]))
-                all_words = np.unique(np.concatenate([k // base for k, _ in lists]))
-                for i in range(0, len(all_words), CHUNK):
-                    words = all_words[i : i + CHUNK]
-                    at = [np.searchsorted(k, (words[0] * base, (words[-1] + 1) * base)) for k, _ in lists]
-                    (after, own), (before, _) = (
-                        _by_class(k[a:b], n[a:b], words, of, classes) for (k, n), (a, b) in zip(lists, at)
-                    )
-                    gain = gains(table, of[words], after, before, own)
-                    gain[:, -1] = -np.inf
-                    to = gain.argmax(1)
-                    k = np.arange(len(words))
-                    better = gain[k, to] > gain[k, of[words]] + 1e-9
-                    yield pa.record_batch([pa.array(words[better]), pa.array(to[better])], ["word", "to"])
-
-        return pairs.mapInArrow(run, "word bigint, to bigint")
+                steps = steps or (steps_of(table), steps_of(table.T))
+                for row in zip(*(batch.column(c).to_pylist() for c in ("after", "after_n", "before", "before_n"))):
+                    # all bigrams of some words, ordered by word
+                    keys, counts = ([np.frombuffer(x, np.int64) for x in row[k::2]] for k in range(2))
+                    owners = [key // base for key in keys]
+                    lists = [(w, key - w * base, n) for w, key, n in zip(owners, keys, counts)]
+                    all_words = np.unique(np.concatenate(owners))
+                    for i in range(0, len(all_words), CHUNK):
+                        words = all_words[i : i + CHUNK]
+                        at = [np.searchsorted(w, (words[0], words[-1] + 1)) for w in owners]
+                        (after, own), (before, _) = (
+                            _by_class(*(x[a:b] for x in side), words, of, classes) for side, (a, b) in zip(lists, at)
+                        )
+                        gain = gains(table, of[words], after, before, own, steps)
+                        gain[:, -1] = -np.inf
+                        to = gain.argmax(1)
+                        k = np.arange(len(words))
+                        better = gain[k, to] > gain[k, of[words]] + 1e-9
+                        yield pa.record_batch([pa.array(words[better]), pa.array(to[better])], ["word", "to"])
+
+        mine = pairs.where(F.col("half") == half).select("after", "after_n", "before", "before_n")
+        return mine.mapInArrow(run, "word bigint, to bigint")
 
     table = tally(pairs, units, of, classes)
     still = 0

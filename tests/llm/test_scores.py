@@ -114,6 +114,44 @@ def test_gains_of_words_equal_the_likelihood_of_each_move():
             assert math.isclose(gain[u, b] - gain[u, of[u]], move, rel_tol=1e-6, abs_tol=1e-6)
 
 
+def test_gains_of_small_and_large_counts_agree_with_the_likelihood():
+    rng = np.random.default_rng(5)
+    size, k = 20, 4
+    # counts on both sides of those that are looked up
+    big = rng.poisson(rng.gamma(0.4, 3.0 * class_lm.STEPS, (size, size))).astype(float)
+    of = rng.integers(0, k, size)
+    member = np.eye(k)[of]
+    own = np.diag(big).copy()
+    after, before = big @ member, big.T @ member
+    after[np.arange(size), of] -= own
+    before[np.arange(size), of] -= own
+    assert (after > class_lm.STEPS).any() and ((after > 0) & (after <= class_lm.STEPS)).any()
+    table = member.T @ big @ member
+    steps = class_lm.steps_of(table), class_lm.steps_of(table.T)
+    gain = class_lm.gains(table, of, after, before, own, steps)
+    for u in range(size):
+        for b in range(k):
+            to = of.copy()
+            to[u] = b
+            move = likelihood_of(big, to, k) - likelihood_of(big, of, k)
+            assert math.isclose(gain[u, b] - gain[u, of[u]], move, rel_tol=1e-6, abs_tol=1e-6)
+
+
+def test_a_round_reads_the_bigrams_of_its_half_only(docs):
+    texts = docs.where(common.fold("doc_id", 7) != 2).select("text")
+    h, n, g, _ = class_lm.frequent(class_lm.count_words(texts).where("ending >= 0"))
+    cut = int((n >= class_lm.OFTEN).sum())
+    units = class_lm.Units(h[:cut], g[:cut])
+    halves = {}
+    for row in class_lm.bigrams(texts, units).collect():
+        words = np.concatenate([np.frombuffer(row[side], np.int64) // units.size for side in ("after", "before")])
+        inside = (words >= units.hot) & (words < units.end)
+        assert (words[inside] % 2 == row.half).all() and inside.all() == inside.any() == (row.half >= 0)
+        halves.setdefault(row.half, set()).update(words.tolist())
+    assert set(halves) == {-1, 0, 1}
+    assert halves[0] | halves[1] == set(range(units.hot, units.end))
+
+
 def plain_words(text):
     return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
 
