@@ -189,7 +189,12 @@ PACKED = "half int, after binary, after_n binary, before binary, before_n binary
 
 
 def _sums(held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts added up by key, in the order of the keys."""
     if len(held) == 1:
+        keys, n = held[0]
+        if (keys[1:] < keys[:-1]).any():  # those before a word come as the words before them did
+            order = np.argsort(keys, kind="stable")
+            return keys[order], n[order]
         return held[0]
     return arrays.merge_counts(*(np.concatenate([h[i] for h in held]) for i in range(2)))
 

@@ -226,6 +226,23 @@ def test_words_exchanged_in_tasks_raise_the_likelihood(docs):
     pairs.unpersist()
 
 
+def test_bigrams_of_a_single_part_are_in_the_order_of_words(docs):
+    # one task: nothing is added up, and the lists come as they were counted
+    texts = docs.where(common.fold("doc_id", 7) != 2).select("text").coalesce(1)
+    h, n, g, _ = class_lm.frequent(class_lm.count_words(texts).where("ending >= 0"))
+    cut = int((n >= class_lm.OFTEN).sum())
+    units = class_lm.Units(h[:cut], g[:cut])
+    pairs = class_lm.bigrams(texts, units).cache()
+    for row in pairs.collect():
+        for side in ("after", "before"):
+            assert (np.diff(np.frombuffer(row[side], np.int64)) > 0).all()
+    coarse = units.coarse()
+    start = class_lm.exchange(class_lm.tally(pairs, units, coarse, class_lm.UNITS))[coarse]
+    of, table = class_lm.exchange_words(pairs, units, start, rounds=2)
+    assert np.array_equal(table, class_lm.tally(pairs, units, of, class_lm.CLASSES)) and (of != start).any()
+    pairs.unpersist()
+
+
 # ---- language ID -------------------------------------------------------------------
 def test_languages_on_held_out_rows(docs):
     got = {r.doc_id: r for r in langid.predictions(docs).collect()}
