@@ -1,11 +1,13 @@
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from matchlake.plans import job
 from matchlake.plans.queries import documents
 from matchlake.schemas import RAW_TABLES
+from matchlake.session import RELEASE
 from matchlake.sources import io
 
 from .golden import g1, g6
@@ -42,6 +44,49 @@ def test_day_runs_equal_range_run_and_rerun_is_idempotent(spark, tmp_root):
     assert m.count() == 2 * single.count()
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for k in range(files.size()) if (f := files.apply(k).getName()).startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files that came since; their removal may take a moment."""
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_stored_steps_leave_no_shuffle_files(spark, tmp_root):
+    docs, days = three_days(spark)
+    bronze, raw = f"{tmp_root}/bronze", f"{tmp_root}/raw"
+    setting = spark.conf.get(RELEASE, None)
+    before = shuffle_files(spark)
+    io.land_documents(docs, bronze, layout="month")
+    assert not left_behind(spark, before)
+    for _ in range(2):
+        job.run_range(spark, bronze, raw, layout="month")
+    assert not left_behind(spark, before)
+    assert spark.conf.get(RELEASE, None) == setting
+    assert io.read_raw(spark, raw, "matchs", layout="month").count() == docs.count()
+
+
+def test_corrected_documents_are_landed_by_the_tasks_that_read_them(spark, tmp_root, monkeypatch):
+    docs, days = three_days(spark)
+    bronze = f"{tmp_root}/bronze"
+    io.land_documents(docs, bronze, layout="month")
+    d = io.read_bronze(spark, bronze, layout="month").withColumn("type", F.lit("corrected"))
+    expected = bag(d.select("match_id", "type", "extract_date").where(F.col("extract_date") != days[0]))
+
+    def exchanged(*_):
+        raise AssertionError("the documents are dealt again")
+
+    monkeypatch.setattr(io, "clustered", exchanged)
+    io.land_documents(d.where(F.col("extract_date") != days[0]), bronze, layout="month", cover=io.Cover(), as_read=True)
+    got = io.read_bronze(spark, bronze, layout="month").select("match_id", "type", "extract_date")
+    assert bag(got) == expected and expected
+
+
 def test_match_date_is_day_before(spark, tmp_root):
     docs, days = three_days(spark)
     bronze = f"{tmp_root}/bronze"
