@@ -249,9 +249,9 @@ def q_corrected_rerun(spark, sf_dir):
     first = d.agg(F.min(F.substring(io.PART, 1, 7))).first()[0]
     no_bans = F.col("match_id").cast("bigint") % 5 == 0
     maps = F.col("maps").withField("bans", F.when(no_bans, F.slice("maps.bans", 1, 0)).otherwise(F.col("maps.bans")))
-    corrected = scratch_path(spark, "corrected")
-    d.where(F.substring(io.PART, 1, 7) != first).withColumn("maps", maps).write.parquet(corrected)
-    io.land_documents(spark.read.schema(d.schema).parquet(corrected), bronze, layout="month", cover=io.Cover())
+    corrected = d.where(F.substring(io.PART, 1, 7) != first).withColumn("maps", maps)
+    # written as a run beside the files that are read, month by month as they are
+    io.land_documents(corrected, bronze, layout="month", cover=io.Cover(), as_read=True)
     job.run_range(spark, bronze, raw_root, layout="month")
     return content(spark, raw_root, "month")
 
