@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm import exact_dedup, jaccard_join, mixing, pieces, toxicity
-from matchlake.llm.common import bounded_batches, documents, labels, stored
+from matchlake.llm.common import bounded_batches, documents, gathered, labels, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
     bounded_batches(spark)
-    return toxicity.drop_toxic(docs, labels(spark, sf_dir))
+    return gathered(toxicity.drop_toxic(docs, labels(spark, sf_dir)))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
     bounded_batches(spark)
     e = pieces.encode(docs.select("doc_id", "source", "text"))
-    return e.selectExpr("doc_id", "source", "ids", "cast(coalesce(size(ids), 0) as bigint) AS n_tokens", "piece_score")
+    return gathered(
+        e.selectExpr("doc_id", "source", "ids", "cast(coalesce(size(ids), 0) as bigint) AS n_tokens", "piece_score")
+    )
 
 
 STAGES = [

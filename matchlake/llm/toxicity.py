@@ -199,6 +199,11 @@ class Voting:
         return votes, np.concatenate(rows), np.concatenate(feats)
 
 
+def _coded(votes: np.ndarray) -> np.ndarray:
+    """A number for each row's combination of votes."""
+    return (votes << np.arange(votes.shape[1])).sum(axis=1)
+
+
 def _words(col) -> Iterator[arrays.Words]:
     return arrays.words(col, arrays.NOT_ALNUM, lower=True, extras=EXTRAS)
 
@@ -212,10 +217,12 @@ def _read(col) -> Iterator[tuple[arrays.Words, np.ndarray]]:
 
 # ---- mining ------------------------------------------------------------------------
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct word, beginning and ending hashes of each sample document."""
-    row = 0
+    """Distinct word, beginning and ending hashes of each sample document, and
+    its votes that need no tied features."""
+    none = np.zeros(0, np.uint64)
+    voting, row = Voting(Mined(none, none, none)), 0
     for batch in batches:
-        for w in _words(batch.column("text")):
+        for w, shape in _read(batch.column("text")):
             cut = np.concatenate(([0], np.cumsum(w.per_row())))
             cols: list[list] = [[], [], []]
             for r in range(w.rows):
@@ -225,9 +232,10 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.record_batch(
                 [
                     batch.column("doc_id").slice(w.lo, w.rows), pa.array(np.arange(row, row + w.rows)),
-                    batch.column("label").slice(w.lo, w.rows), *(pa.array(c, kind) for c in cols),
+                    batch.column("label").slice(w.lo, w.rows), pa.array(_coded(voting.voted(w, shape))),
+                    *(pa.array(c, kind) for c in cols),
                 ],
-                ["doc_id", "row", "label", "word", "begin", "ending"],
+                ["doc_id", "row", "label", "votes", "word", "begin", "ending"],
             )
             row += w.rows
 
@@ -396,22 +404,21 @@ def _combinations(mined) -> callable:
         voting = Voting(mined.value)
         total: Counter = Counter()
         for batch in batches:
-            label = batch.column("label").to_numpy(zero_copy_only=False)
             for w, shape in _read(batch.column("text")):
                 votes, _, _ = voting(w, shape)
-                code = (votes << np.arange(len(VOTERS))).sum(axis=1) * 3 + label[w.lo : w.hi] + 1
-                total.update(code.tolist())
+                total.update(_coded(votes).tolist())
         cols = [pa.array(list(c), pa.int64()) for c in (total.keys(), total.values())]
         yield pa.record_batch(cols, ["code", "n"])
 
     return run
 
 
-def _sample_votes(sample: pa.Table, mined: Mined) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and features of the sample, from its collected hashes."""
+def _sample_votes(sample: pa.Table, mined: Mined) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``Voting`` tells of the sample, from what was collected of it."""
+    ties = np.zeros((sample.num_rows, len(TIED)), np.int64)
     rows, feats, base = [], [], 0
-    for kind, hashes in (("word", mined.words), ("begin", mined.begins), ("ending", mined.endings)):
-        col = sample.column(kind).combine_chunks()
+    for kind, (name, hashes) in enumerate((("word", mined.words), ("begin", mined.begins), ("ending", mined.endings))):
+        col = sample.column(name).combine_chunks()
         if isinstance(col, pa.ChunkedArray):
             col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.list_(pa.int64()))
         if len(col):
@@ -421,9 +428,16 @@ def _sample_votes(sample: pa.Table, mined: Mined) -> tuple[np.ndarray, np.ndarra
             at, which = Known(hashes).find(h)
             rows.append(owner[at])
             feats.append(which + base)
+            n = np.bincount(owner[at], minlength=len(col))
+            if kind == 0:
+                ties[:, 0], ties[:, 1] = n > 0, n > 1
+            else:
+                ties[:, 1 + kind] = n > 0
         base += len(hashes)
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *rows]), np.concatenate([none, *feats])
+    code = sample.column("votes").to_numpy() if sample.num_rows else none
+    votes = np.concatenate([(code[:, None] >> np.arange(len(UNLABELLED))) & 1, ties], axis=1)
+    return votes, np.concatenate([none, *rows]), np.concatenate([none, *feats])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
@@ -431,27 +445,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     drawn = sampling.labelled(docs, labels, "toxic", SAMPLE, SEED)
     found = drawn.mapInArrow(
         _sample_features,
-        "doc_id bigint, row bigint, label int, word array<bigint>, begin array<bigint>, ending array<bigint>",
+        "doc_id bigint, row bigint, label int, votes bigint, word array<bigint>, begin array<bigint>, ending array<bigint>",
     )
     sample = sampling.collected(found)
     mined = mine(sample)
+    own, rows, feats = _sample_votes(sample, mined)
+    label = sample.column("label").to_numpy().astype(np.int64) if sample.num_rows else np.zeros(0, np.int64)
     # vote combinations: those of all documents, and those of the sample with
     # its labels in place of the same documents without
     shared = spark.sparkContext.broadcast(mined)
-    combos = docs.select(F.lit(-1).alias("label"), "text").unionByName(drawn.select("label", "text"))
-    got = combos.mapInArrow(_combinations(shared), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()
-    table = {r.code: r.n for r in got}
-    for code, n in list(table.items()):
-        if code % 3:
-            table[code - code % 3] = max(table.get(code - code % 3, 0) - n, 0)
+    combos = docs.select("text").mapInArrow(_combinations(shared), "code bigint, n bigint")
+    got = combos.groupBy("code").agg(F.sum("n").alias("n")).collect()
+    table = {r.code * 3: r.n for r in got}
+    for code, n in Counter((_coded(own) * 3 + label + 1).tolist()).items():
+        table[code] = n
+        table[code - code % 3] = max(table.get(code - code % 3, 0) - n, 0)
     table = table or {0: 0}
     code = np.array(sorted(table), np.int64)
     count = np.array([table[c] for c in code], np.float64)
     votes = (code[:, None] // 3 >> np.arange(len(VOTERS))) & 1
     model = LabelModel(votes, code % 3 - 1, count)
-    label = sample.column("label").to_numpy().astype(np.int64) if sample.num_rows else np.zeros(0, np.int64)
-    own = _sample_own_votes(sample, mined, drawn, shared)
-    rows, feats = _sample_votes(sample, mined)
     size = len(mined.words) + len(mined.begins) + len(mined.endings)
     target = model.posterior(own, label) if len(label) else np.zeros(0)
     b, wv, wf = fit_linear(own, rows, feats, size, target)
@@ -461,22 +474,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     return Classifier(mined, model, b, wv, wf)
 
 
-def _sample_own_votes(sample: pa.Table, mined: Mined, drawn: DataFrame, shared) -> np.ndarray:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voting, row = Voting(shared.value), 0
-        for batch in batches:
-            for w, shape in _read(batch.column("text")):
-                votes, _, _ = voting(w, shape)
-                code = (votes << np.arange(len(VOTERS))).sum(axis=1)
-                ids = batch.column("doc_id").slice(w.lo, w.rows)
-                yield pa.record_batch([ids, pa.array(np.arange(row, row + w.rows)), pa.array(code)], ["doc_id", "row", "code"])
-                row += w.rows
-
-    got = sampling.collected(drawn.select("doc_id", "text").mapInArrow(run, "doc_id bigint, row bigint, code bigint"))
-    code = got.column("code").to_numpy() if got.num_rows else np.zeros(0, np.int64)
-    return (code[:, None] >> np.arange(len(VOTERS))) & 1
-
-
 def scores(docs: DataFrame, model: Classifier, score: str = "score", votes: str = "votes") -> DataFrame:
     """``docs`` with a double score and the array of voters that fired, under
     the given names (columns of ``docs`` with these names are replaced)."""

@@ -3,7 +3,7 @@ import re
 import corpus_pipeline
 import pytest
 from matchlake.llm import mixing, pieces, queries
-from matchlake.llm.common import documents, labels, stored
+from matchlake.llm.common import documents, labels, partitions, stored
 from pyspark.sql import functions as F
 
 from .test_copies import sets_of
@@ -69,6 +69,13 @@ def test_stages_in_order(spark):
 CLASHING = ["__k", "__n", "__digest", "__takes", "__copies", "__copy", "__toxic_score", "__toxic_votes", "th", "copies", "label", "cid"]
 
 
+def test_stages_without_a_shuffle_have_as_many_partitions_as_files(spark):
+    most = max(2 * spark.sparkContext.defaultParallelism, partitions(spark) // 8)
+    many = documents(spark, SF).repartition(most + 9)
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.encode):
+        assert stage(spark, many, SF).rdd.getNumPartitions() <= most
+
+
 def test_columns_of_any_name_pass_the_stages(spark, odd, some_labels):
     """Rows and values are those of the same table without such columns."""
     from matchlake.llm import exact_dedup, jaccard_join, toxicity

@@ -333,6 +333,33 @@ def test_only_copies_leave_the_mining_sample():
     assert toxicity.without_copies(t).column("doc_id").to_pylist() == [0, 2, 3]
 
 
+def test_votes_of_the_sample_equal_those_of_its_texts():
+    texts = ["you idiot moron", "", "Worth  alphabet losers losers", "QUITE LOUD words!!! of alphabets and m0ron", "plain"]
+    batch = pa.record_batch([range(5), texts, [1, 0, 1, 1, 0]], ["doc_id", "text", "label"])
+    words = [w for t in texts for w in t.split()]
+    [all_words] = toxicity._words(pa.array([" ".join(words)]))
+    mined = toxicity.Mined(*(np.unique(h)[::2] for h in (all_words.hash, all_words.more["begin"], all_words.more["ending"])))
+    sample = pa.Table.from_batches(toxicity._sample_features(iter([batch])))
+    votes, rows, feats = toxicity._sample_votes(sample, mined)
+    [(w, shape)] = toxicity._read(batch.column("text"))
+    want, want_rows, want_feats = toxicity.Voting(mined)(w, shape)
+    assert votes.astype(bool).tolist() == want.tolist() and votes[:, len(toxicity.UNLABELLED) :].any()
+    assert sorted(zip(rows.tolist(), feats.tolist())) == sorted(zip(want_rows.tolist(), want_feats.tolist()))
+
+
+def test_toxicity_reads_the_documents_for_sample_and_combinations_only(spark, docs, labels):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = docs.select("doc_id", "text")
+    toxicity.fit(rows.mapInArrow(count, rows.schema), labels)
+    assert read.value == 2 * docs.count()
+
+
 def test_toxicity_edges(odd, empty, some_labels, no_labels):
     for lab in (some_labels, no_labels):
         got = toxicity.report(odd, lab).collect()
