@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import format_parts, headline_date, path_part, strip_chars
-from .markup import elements, first_text
+from .markup import count_elements, elements, first_element, first_text, pieces, text_of
 from .nested import attach_first, keep, last_wins_map, split_by, tail, zip_positions
 
 # Patterns of the page elements read.
@@ -107,9 +107,10 @@ def nested_tabs(pages: DataFrame) -> DataFrame:
     elements of the tag its tab consists."""
     tabs = elements(F.col("html"), "div", "tab")
     x = pages.select("match_id", F.posexplode(tabs).alias("pos", "tab"))
+    x = x.select("match_id", "pos", pieces(F.col("tab"), "div").alias("tab"))
     return x.select(
-        "match_id", "pos", first_text(F.col("tab"), "div", "map-name").alias("map_name"),
-        F.size(elements(F.col("tab"), "div")).alias("n_elements"),
+        "match_id", "pos", text_of(first_element(F.col("tab"), "div", "map-name")).alias("map_name"),
+        count_elements(F.col("tab"), "div").alias("n_elements"),
     )
 
 

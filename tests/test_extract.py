@@ -90,3 +90,18 @@ def test_text_of_elements(spark):
     html = '<div class="n"> <div>two</div> <b>words</b> </div>'
     df = spark.createDataFrame([(html,), ("",)], "html string")
     assert [r[0] for r in df.select(markup.first_text(F.col("html"), "div", "n")).collect()] == ["two words", None]
+
+
+def test_counted_and_first_elements_are_those_that_are_cut(spark):
+    pages = ['<div class="a"><div>y</div><div class="a">z</div></div></div><div class="a">open', "</div>", "", None, "<p>t</p>" + "<div>" * 30 + "</div>" * 29]
+    df = spark.createDataFrame([(p,) for p in pages], "html string").withColumn("p", markup.pieces(F.col("html"), "div"))
+    for cls in (None, "a"):
+        got = df.select(
+            markup.elements(F.col("html"), "div", cls).alias("all"), markup.count_elements(F.col("p"), "div", cls).alias("n"),
+            markup.first_element(F.col("p"), "div", cls).alias("first"),
+        ).collect()
+        for r in got:
+            if r.all is not None:
+                assert (r.n, r.first) == (len(r.all), r.all[0] if r.all else None)
+            else:
+                assert r.first is None
