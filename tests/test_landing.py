@@ -13,6 +13,7 @@ from matchlake.session import OPEN_FILES, unsorted_writes
 from matchlake.sources import io
 
 from .golden import g1, g6, g7
+from .test_job import left_behind, shuffle_files
 
 
 def bag(df):
@@ -120,3 +121,27 @@ def test_maps_named_twice_and_missing_players(spark):
     for keep in (False, True):
         want = flatten.stats(docs, keep_slot=keep)
         assert bag(flatten.stats(docs, keep_slot=keep, unique=True)) == bag(want) and want.count() > 70
+
+
+def test_pages_are_landed_by_the_tasks_that_read_them(spark, tmp_root, monkeypatch):
+    from matchlake.plans import queries
+
+    root = tables(spark, tmp_root)
+    cluster = io.clustered
+
+    def clustered(df, col):
+        assert "maps" not in df.columns, "whole documents are dealt"
+        return cluster(df, col)
+
+    monkeypatch.setattr(io, "clustered", clustered)
+    assert queries.q_pages_to_raw(spark, root).count() > 100
+
+
+def test_stored_ranges_leave_no_shuffle_files(spark):
+    from matchlake.plans import models
+
+    df = spark.range(1000).select(F.xxhash64("id").alias("v"))
+    before = shuffle_files(spark)
+    x = models.with_position(df, "v")
+    assert not left_behind(spark, before)
+    assert x.agg(F.count_distinct("position")).first()[0] == x.agg(F.max("position")).first()[0] == 1000
